@@ -6,7 +6,7 @@ per task, and labelling is a row-local projection that never shuffles.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -23,6 +23,11 @@ def _any(columns) -> Column:
     return reduce(lambda a, b: a | b, columns) if columns else F.lit(False)
 
 
+def bind(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` evaluated once per row however often ``use`` reads it."""
+    return F.get(F.transform(F.array(value), use), 0)
+
+
 def matches_any(text: Column, patterns: Sequence[str]) -> Column:
     """True if any pattern is found anywhere in the text."""
     return _any(text.rlike(FLAGS + p) for p in patterns)
@@ -60,25 +65,28 @@ def first_largest(scores: Column, classes: Sequence[str]) -> Column:
     return F.array_max(options)
 
 
+def _or_default(best: Column, default: str) -> Column:
+    return bind(best, lambda b: F.struct(F.when(b["score"] > 0, b["class"]).otherwise(default).alias("class"),
+                                         b["score"].alias("score")))
+
+
 def label_class(text: Column, rules: RuleSet, default: str) -> Column:
     """Struct(class, score): the class with most pattern hits, or ``default`` with 0."""
-    best = first_largest(hit_counts(text, rules), list(rules))
-    return F.struct(F.when(best["score"] > 0, best["class"]).otherwise(default).alias("class"),
-                    best["score"].alias("score"))
+    return _or_default(first_largest(hit_counts(text, rules), list(rules)), default)
 
 
 def label_keywords(text: Column, keywords: RuleSet, default: str) -> Column:
     """Struct(class, score) by plain substring counts."""
-    best = first_largest(keyword_counts(F.lower(text), keywords), list(keywords))
-    return F.struct(F.when(best["score"] > 0, best["class"]).otherwise(default).alias("class"),
-                    best["score"].alias("score"))
+    counted = bind(F.lower(text), lambda lower: keyword_counts(lower, keywords))
+    return _or_default(first_largest(counted, list(keywords)), default)
 
 
 def label_escalation(text: Column, rules: RuleSet, default: str) -> Column:
     """Struct(escalate, reason): the first reason whose patterns hit; else (false, ``default``)."""
-    lower = F.lower(text)
-    reason = F.coalesce(*[F.when(matches_any(lower, p), F.lit(r)) for r, p in rules.items()])
-    return F.struct(reason.isNotNull().alias("escalate"), F.coalesce(reason, F.lit(default)).alias("reason"))
+    reason = bind(F.lower(text),
+                  lambda lower: F.coalesce(*[F.when(matches_any(lower, p), F.lit(r)) for r, p in rules.items()]))
+    return bind(reason, lambda r: F.struct(r.isNotNull().alias("escalate"),
+                                           F.coalesce(r, F.lit(default)).alias("reason")))
 
 
 def difficulty(text: Column, escalated: Column, hard_patterns: Sequence[str]) -> Column:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from deskloom.functions.rules import bind
+
 RUBRIC = ["groundedness", "brand_voice", "actionability", "safety"]
 
 
@@ -20,26 +22,27 @@ def parse_scores_json(col: Column, low: int = 1, high: int = 5, missing: int = 3
 
     A score that is absent counts as ``missing``; one that is present but no number makes the whole result null.
     """
-    schema = "map<string,string>"
-    parsed = F.from_json(strip_code_fence(col), schema, {"mode": "PERMISSIVE"})
-
-    def score(name: str) -> Column:
-        raw = F.coalesce(parsed[name], F.lit(str(missing)))
-        number = raw.try_cast("double")
-        return F.greatest(F.lit(low), F.least(F.lit(high), F.floor(F.abs(number)) * F.signum(number))).cast("int")
+    def build(parsed: Column) -> Column:
+        valid, scores = parsed.isNotNull(), []
+        for name in RUBRIC:
+            number = F.coalesce(parsed[name], F.lit(str(missing))).try_cast("double")
+            clamped = F.greatest(F.lit(low), F.least(F.lit(high), F.floor(F.abs(number)) * F.signum(number)))
+            scores.append(clamped.cast("int").alias(name))
+            valid = valid & (~F.map_contains_key(parsed, F.lit(name)) | parsed[name].try_cast("double").isNotNull())
+        return F.when(valid, F.struct(*scores, F.coalesce(parsed["reasoning"], F.lit("")).alias("reasoning")))
 
-    scores = {n: score(n) for n in RUBRIC}
-    valid = parsed.isNotNull()
-    for name in RUBRIC:
-        valid = valid & (~F.map_contains_key(parsed, F.lit(name)) | parsed[name].try_cast("double").isNotNull())
-    return F.when(valid, F.struct(*[c.alias(n) for n, c in scores.items()],
-                                  F.coalesce(parsed["reasoning"], F.lit("")).alias("reasoning")))
+    return bind(F.from_json(strip_code_fence(col), "map<string,string>"), build)
 
 
 def normalise(scores: Column) -> Column:
     """Divide an array of scores by its sum; all zero becomes a uniform distribution."""
-    total = F.aggregate(scores, F.lit(0.0), lambda acc, s: acc + s)
-    return F.transform(scores, lambda s: F.when(total > 0, s / total).otherwise(F.lit(1.0) / F.size(scores)))
+
+    def shares(values: Column) -> Column:
+        total = F.aggregate(values, F.lit(0.0), lambda acc, s: acc + s)
+        return bind(total, lambda t: F.transform(
+            values, lambda s: F.when(t > 0, s / t).otherwise(F.lit(1.0) / F.size(values))))
+
+    return bind(scores, shares)
 
 
 def half_even_bin(col: Column) -> Column:

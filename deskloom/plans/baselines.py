@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from deskloom.functions.rules import contains_any, label_keywords
+from deskloom.functions.rules import bind, contains_any, label_keywords
 from deskloom.functions.text import class_phrase
 from deskloom.presets import replies, rules, taxonomy
 
@@ -30,10 +30,13 @@ def majority_class(labelled: DataFrame, label: str) -> Column:
 
 def keyword_baseline(text: Column, keywords=None, escalation_words=None, default: str = taxonomy.DEFAULT_CLASS) -> Column:
     """Substring counts per class (first class wins ties), escalation by trigger substrings."""
-    lower = F.lower(text)
+    def answer(t: Column) -> Column:
+        cls, escalated = t["cls"], t["escalated"]
+        reply = F.concat(F.lit(replies.KEYWORD_REPLY_HEAD), class_phrase(cls), F.lit(replies.KEYWORD_REPLY_TAIL),
+                         F.when(escalated, replies.KEYWORD_REPLY_DM).otherwise(""))
+        return _answer(cls, F.when(escalated, taxonomy.ESCALATE).otherwise(taxonomy.AUTO_HANDLE),
+                       F.when(escalated, DM_REASON).otherwise(AUTO_REASON), reply)
+
     cls = label_keywords(text, keywords or rules.BASELINE_KEYWORDS, default)["class"]
-    escalated = contains_any(lower, escalation_words or rules.BASELINE_ESCALATION_WORDS)
-    reply = F.concat(F.lit(replies.KEYWORD_REPLY_HEAD), class_phrase(cls), F.lit(replies.KEYWORD_REPLY_TAIL),
-                     F.when(escalated, replies.KEYWORD_REPLY_DM).otherwise(""))
-    return _answer(cls, F.when(escalated, taxonomy.ESCALATE).otherwise(taxonomy.AUTO_HANDLE),
-                   F.when(escalated, DM_REASON).otherwise(AUTO_REASON), reply)
+    escalated = contains_any(F.lower(text), escalation_words or rules.BASELINE_ESCALATION_WORDS)
+    return bind(F.struct(cls.alias("cls"), escalated.alias("escalated")), answer)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from deskloom.functions.rules import contains_any
+from deskloom.functions.rules import bind, contains_any
 from deskloom.presets import rules
 
 SCORER = "heuristic_fallback"
@@ -13,7 +13,11 @@ SCORER = "heuristic_fallback"
 
 def rubric_scores(query: Column, reply: Column) -> Column:
     """Struct(groundedness, brand_voice, actionability, safety, overall_score)."""
-    said, asked = F.lower(reply), F.lower(query)
+    return bind(F.struct(F.lower(reply).alias("said"), F.lower(query).alias("asked")),
+                lambda t: _scores(t["asked"], t["said"]))
+
+
+def _scores(asked: Column, said: Column) -> Column:
     robotic = contains_any(said, rules.ROBOTIC_PHRASES)
 
     def ladder(top, middle_score: int, middle, floor: int) -> Column:
@@ -29,8 +33,8 @@ def rubric_scores(query: Column, reply: Column) -> Column:
                     F.when(contains_any(said, rules.HAZARD_WARNINGS), 5).otherwise(2))
               .when(contains_any(said, rules.ROBOTIC_PHRASES[:1]), 4).otherwise(5))
     parts = {"groundedness": groundedness, "brand_voice": brand_voice, "actionability": actionability, "safety": safety}
-    overall = (groundedness + brand_voice + actionability + safety) / 4.0
-    return F.struct(*[c.alias(n) for n, c in parts.items()], F.round(overall, 2).alias("overall_score"))
+    return bind(F.struct(*[c.alias(n) for n, c in parts.items()]), lambda s: F.struct(
+        *[s[n].alias(n) for n in parts], F.round(sum((s[n] for n in parts), F.lit(0)) / 4.0, 2).alias("overall_score")))
 
 
 def feedback(scores: Column) -> Column:

@@ -44,10 +44,10 @@ def template_columns(id_col: Column, templates=cases.TEMPLATES, devices=cases.DE
     }
 
 
-def generate_rows(ids: DataFrame, id_col: str, **kwargs) -> DataFrame:
-    """One generated corpus row per id."""
+def generate_rows(ids: DataFrame, id_col: str, first: int = 0, **kwargs) -> DataFrame:
+    """One generated corpus row per id; ``first`` is added to the number in the row's own id."""
     columns = template_columns(F.col(id_col), **kwargs)
-    return ids.select(numbered_id("synth_", F.col(id_col)).alias("id"), *[c.alias(n) for n, c in columns.items()])
+    return ids.select(numbered_id("synth_", F.col(id_col) + first).alias("id"), *[c.alias(n) for n, c in columns.items()])
 
 
 def expand_templates(spark: SparkSession, total: int) -> DataFrame:
