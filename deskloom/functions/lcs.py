@@ -5,6 +5,7 @@ import sys
 import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType
 
 # Executors need not have this package: its functions travel with the tasks.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -25,7 +26,7 @@ def lcs_length(a, b) -> int:
     return len(a) - free.bit_count()
 
 
-@F.pandas_udf("int")
+@F.pandas_udf(IntegerType())
 def lcs(a: pd.Series, b: pd.Series) -> pd.Series:
     empty = ()
     return pd.Series([lcs_length(empty if x is None else x, empty if y is None else y) for x, y in zip(a, b)],

@@ -6,6 +6,7 @@ import sys
 import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 # Executors need not have this package: its functions travel with the tasks.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -35,7 +36,7 @@ def regularised_beta(x: float, a: float, b: float) -> float:
     return front * value
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def correlation_p_value(r: pd.Series, n: pd.Series) -> pd.Series:
     """Two-sided p-value of a Pearson correlation (t test with n - 2 degrees of freedom)."""
     def one(r, n):

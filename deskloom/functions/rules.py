@@ -6,12 +6,14 @@ per task, and labelling is a row-local projection that never shuffles.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from deskloom.functions.text import bind
+
 # Case-insensitive, Unicode classes, and '.' stops at '\n' only.
 FLAGS = "(?iUd)"
 
@@ -23,11 +25,6 @@ def _any(columns) -> Column:
     return reduce(lambda a, b: a | b, columns) if columns else F.lit(False)
 
 
-def bind(value: Column, use: Callable[[Column], Column]) -> Column:
-    """``use(value)`` with ``value`` evaluated once per row however often ``use`` reads it."""
-    return F.get(F.transform(F.array(value), use), 0)
-
-
 def matches_any(text: Column, patterns: Sequence[str]) -> Column:
     """True if any pattern is found anywhere in the text."""
     return _any(text.rlike(FLAGS + p) for p in patterns)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from deskloom.functions.rules import bind
+from deskloom.functions.text import bind
 
 RUBRIC = ["groundedness", "brand_voice", "actionability", "safety"]
 

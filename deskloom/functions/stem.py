@@ -6,6 +6,7 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StringType
 
 # Executors need not have this package: its functions travel with the tasks.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -128,7 +129,7 @@ def stem(word: str) -> str:
 CACHED_STEMS = 1 << 18
 
 
-@F.pandas_udf("array<string>")
+@F.pandas_udf(ArrayType(StringType()))
 def stem_tokens(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
     """Stem tokens longer than three letters. Row-local, with a bounded cache per task: no shuffle on hot words."""
     known = {}

@@ -6,6 +6,8 @@ Blank, digit and word classes follow Unicode, so the expressions agree with engi
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -16,6 +18,11 @@ WORD = r"[\p{L}\p{N}_]+"
 LATIN_WORD = r"[a-z0-9]+"
 
 
+def bind(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` evaluated once per row however often ``use`` reads it."""
+    return F.get(F.transform(F.array(value), use), 0)
+
+
 def strip(col: Column) -> Column:
     """Remove all Unicode blanks at both ends (``F.trim`` removes U+0020 only)."""
     return F.regexp_replace(col, EDGE_BLANKS, "")
@@ -78,16 +85,18 @@ def drop_words(tokens: Column, stop_words) -> Column:
 
 def ngrams(tokens: Column, low: int = 1, high: int = 1) -> Column:
     """All n-grams for n in ``low..high``, joined by one space, duplicates kept."""
-    size = F.size(tokens)
 
-    def of_order(n: int) -> Column:
+    def of_order(words_: Column, n: int) -> Column:
         if n == 1:
-            return tokens
+            return words_
+        size = F.size(words_)
         starts = F.when(size >= n, F.sequence(F.lit(1), F.greatest(size - (n - 1), F.lit(1)))).otherwise(
             F.array().cast("array<int>"))
-        return F.transform(starts, lambda i: F.concat_ws(" ", *[F.get(tokens, i + (k - 1)) for k in range(n)]))
+        return F.transform(starts, lambda i: F.concat_ws(" ", *[F.get(words_, i + (k - 1)) for k in range(n)]))
 
-    return F.concat(*[of_order(n) for n in range(low, high + 1)])
+    if high == 1:
+        return tokens
+    return bind(tokens, lambda t: F.concat(*[of_order(t, n) for n in range(low, high + 1)]))
 
 
 def fill_slots(template: Column, **slots: Column) -> Column:

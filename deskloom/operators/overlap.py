@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from deskloom.functions.lcs import lcs
 from deskloom.functions.stem import stem_tokens
-from deskloom.functions.text import latin_words, ngrams, words
+from deskloom.functions.text import bind, latin_words, ngrams, words
 
 EPSILON = 0.1
 BLEU_ORDERS = 4
@@ -38,11 +38,16 @@ def _grams(kind: str, tokens: Column, orders, side: str) -> list[Column]:
 
 def _counted(pairs: DataFrame, token_sets, carry=()) -> DataFrame:
     """(pair_id, kind, gram, c, r, carry..): occurrences of each n-gram on both sides."""
-    grams = [g for kind, a, b, orders in token_sets
-             for g in _grams(kind, a, orders, "candidate") + _grams(kind, b, orders, "reference")]
+    tokens = F.struct(*[t.alias(f"{kind}_{side}") for kind, a, b, _ in token_sets
+                        for side, t in (("candidate", a), ("reference", b))])
+
+    def all_grams(t: Column) -> Column:
+        return F.concat(*[g for kind, _, _, orders in token_sets for side in ("candidate", "reference")
+                          for g in _grams(kind, t[f"{kind}_{side}"], orders, side)])
+
     spread = pairs.repartition("pair_id")
     # explode_outer keeps a row for pairs without any token.
-    rows = spread.select("pair_id", *carry, F.explode_outer(F.concat(*grams)).alias("_g")).select(
+    rows = spread.select("pair_id", *carry, F.explode_outer(bind(tokens, all_grams)).alias("_g")).select(
         "pair_id", *carry, "_g.*")
     return rows.groupBy("pair_id", *carry, "kind", "gram").agg(F.sum("c").alias("c"), F.sum("r").alias("r"))
 

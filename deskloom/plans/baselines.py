@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from deskloom.functions.rules import bind, contains_any, label_keywords
-from deskloom.functions.text import class_phrase
+from deskloom.functions.rules import contains_any, label_keywords
+from deskloom.functions.text import bind, class_phrase
 from deskloom.presets import replies, rules, taxonomy
 
 AUTO_REASON = "STANDARD_TROUBLESHOOTING"

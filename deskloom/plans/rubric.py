@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from deskloom.functions.rules import bind, contains_any
+from deskloom.functions.rules import contains_any
+from deskloom.functions.text import bind
 from deskloom.presets import rules
 
 SCORER = "heuristic_fallback"
