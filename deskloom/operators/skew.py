@@ -32,14 +32,20 @@ def heavy_keys(df: DataFrame, key: str | Sequence[str], min_rows: int = HEAVY_RO
 
 
 def skew_join(left: DataFrame, right: DataFrame, key: str | Sequence[str], spread: str, how: str = "inner",
-              heavy: DataFrame | None = None, min_rows: int = HEAVY_ROWS, salts: int = SALTS) -> DataFrame:
+              heavy: DataFrame | None = None, min_rows: int = HEAVY_ROWS, salts: int = SALTS,
+              left_stored: bool = False) -> DataFrame:
     """Equi-join on ``key`` where ``left`` may have very hot keys.
 
+    A ``left_stored`` table is counted first (Parquet footers only): with fewer than ``min_rows`` rows it has no heavy
+    key and the join stays plain. Without that flag ``left`` should be cheap to read twice.
+
     Rows of heavy keys are spread over ``salts`` sub-keys by a hash of the ``spread`` column (repeatable, so a re-run
     task makes the same split) and only the matching ``right`` rows are copied to each sub-key. ``heavy`` has at most
     ``MAX_HEAVY_KEYS`` rows, which bounds the broadcasts.
     """
     names = _names(key)
+    if left_stored and left.count() < min_rows:
+        return left.join(right, names, how)
     if heavy is None:
         heavy = heavy_keys(left, names, min_rows)
     marks = F.broadcast(heavy.select(*names).limit(MAX_HEAVY_KEYS).withColumn("_heavy", F.lit(True)))

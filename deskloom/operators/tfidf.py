@@ -5,11 +5,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from deskloom.functions.text import drop_words, ngrams, words
 from deskloom.operators.skew import HEAVY_ROWS, skew_join
+from deskloom.session import stored
 
 # A vocabulary of at most this many terms is small enough to broadcast.
 BROADCAST_TERMS = 100_000
@@ -94,13 +95,40 @@ class TfidfModel:
         return self.weigh(term_counts(docs, id_col, text_col, self.config))
 
 
-def fit_tfidf(docs: DataFrame, id_col: str, text_col: str, config: TfidfConfig) -> TfidfModel:
-    tf = term_counts(docs, id_col, text_col, config)
+def fit_tfidf(docs: DataFrame, id_col: str, text_col: str, config: TfidfConfig,
+              tf: DataFrame | None = None) -> TfidfModel:
+    """Vocabulary with idf; pass counted terms (``tf``) to avoid counting them again."""
+    tf = term_counts(docs, id_col, text_col, config) if tf is None else tf
     n_docs = docs.agg(F.count("*")).scalar()
     kept = vocabulary(document_frequency(tf), config.max_terms)
     return TfidfModel(kept.select("term", "df", smooth_idf(n_docs, F.col("df")).alias("idf")), config)
 
 
 def tfidf(docs: DataFrame, id_col: str, text_col: str, config: TfidfConfig) -> DataFrame:
-    """Fit on the documents and weigh them."""
-    return fit_tfidf(docs, id_col, text_col, config).transform(docs, id_col, text_col)
+    """Fit on the documents and weigh them; the texts are tokenised once, into a stored term-count table."""
+    tf = stored(term_counts(docs, id_col, text_col, config), "tf")
+    return fit_tfidf(docs, id_col, text_col, config, tf).weigh(tf)
+
+
+@dataclass
+class TfidfIndex:
+    """Stored vocabulary and document weights, built once and searched by many message batches."""
+
+    model: TfidfModel
+    weights: DataFrame
+
+    @classmethod
+    def build(cls, docs: DataFrame, id_col: str, text_col: str, config: TfidfConfig,
+              heavy_rows: int = HEAVY_ROWS) -> "TfidfIndex":
+        tf = stored(term_counts(docs, id_col, text_col, config), "tf")
+        fitted = fit_tfidf(docs, id_col, text_col, config, tf)
+        model = TfidfModel(stored(fitted.terms, "terms"), config, heavy_rows)
+        return cls(model, stored(model.weigh(tf), "weights"))
+
+    def save(self, path: str) -> None:
+        self.model.terms.write.parquet(f"{path}/terms")
+        self.weights.write.parquet(f"{path}/weights")
+
+    @classmethod
+    def load(cls, spark: SparkSession, path: str, config: TfidfConfig) -> "TfidfIndex":
+        return cls(TfidfModel(spark.read.parquet(f"{path}/terms"), config), spark.read.parquet(f"{path}/weights"))

@@ -11,7 +11,7 @@ from deskloom.operators.golden import golden_sample, rating_set
 from deskloom.operators.leakage import leakage_report, without_leaks
 from deskloom.operators.pairing import brand_replies, support_pairs
 from deskloom.presets import cases, replies, rules, taxonomy
-from deskloom.session import cut_lineage
+from deskloom.session import stored
 from deskloom.sources.files import write_csv, write_json
 from deskloom.sources.literals import adversarial_cases
 from deskloom.sources.synthetic import CORPUS_COLUMNS, top_up_pairs
@@ -50,12 +50,12 @@ def initialise_data(spark: SparkSession, messages: DataFrame, folder: str, max_p
                     **kwargs) -> DataFrame:
     """Build and write corpus, golden set (JSON and CSV), ratings and leakage report below ``folder``.
 
-    The corpus is checkpointed once and feeds every step. Returns the leakage report.
+    The corpus is stored once and feeds every step. Returns the leakage report.
     """
-    corpus = cut_lineage(corpus_sequence(build_corpus(messages, max_pairs, **kwargs)))
+    corpus = stored(corpus_sequence(build_corpus(messages, max_pairs, **kwargs)))
     golden, sampled = golden_sample(corpus, adversarial_cases(spark), taxonomy.CLASSES, rules.LABEL_ESCALATION_RULES,
                                     rules.HARD_CASE_PATTERNS, target)
-    golden, sampled = cut_lineage(golden), cut_lineage(sampled)
+    golden, sampled = stored(golden), stored(sampled)
     clean = without_leaks(corpus, golden, sampled, deduplicated=True).select(*CORPUS_COLUMNS)
     write_json(clean, f"{folder}/corpus")
     write_json(golden, f"{folder}/golden")

@@ -8,12 +8,13 @@ from pyspark.sql import functions as F
 from deskloom.functions.rules import RuleSet
 from deskloom.functions.text import not_blank
 from deskloom.operators.retrieval import DEPTH, top_k_cases
-from deskloom.operators.tfidf import TfidfConfig
+from deskloom.operators.tfidf import TfidfConfig, TfidfIndex
 from deskloom.plans.classifier import ClassModel, classify_by_rules
 from deskloom.plans.policy import escalate
 from deskloom.plans.replies import draft_reply
 from deskloom.presets import rules as preset_rules
 from deskloom.presets import taxonomy
+from deskloom.session import stored
 
 VERSION = "2.0.0"
 REPLY_MODE = "template_fallback"
@@ -27,13 +28,15 @@ def split_blank(messages: DataFrame, text: str = "text") -> tuple[DataFrame, Dat
 
 def decide(messages: DataFrame, corpus: DataFrame, config: TfidfConfig, rules: RuleSet = preset_rules.BOOST_RULES,
            model: ClassModel | None = None, default_class: str = taxonomy.DEFAULT_CLASS, k: int = 3,
-           depth: int = DEPTH, steps=None, class_replies=None, names=None) -> DataFrame:
+           depth: int = DEPTH, steps=None, class_replies=None, names=None,
+           index: TfidfIndex | None = None) -> DataFrame:
     """Messages (query_id, text) with classification, ``top_cases``, ``escalation`` struct and ``draft_reply``."""
     if model is None:
         classified = classify_by_rules(messages, "text", rules, default_class, names)
     else:
         classified = model.classify(messages, "query_id", "text", rules, names=names)
-    hits = top_k_cases(classified, corpus, config, k, class_col="predicted_intent", depth=depth)
+    classified = stored(classified, "classified")
+    hits = top_k_cases(classified, corpus, config, k, class_col="predicted_intent", depth=depth, index=index)
     rows = classified.join(hits, "query_id", "left")
     top = F.get("top_cases", 0)
     rows = rows.withColumn("escalation", escalate(F.col("text"), F.col("confidence"), top["auto_handle"],

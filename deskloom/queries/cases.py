@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from deskloom.functions import rules as R
 from deskloom.operators.retrieval import flat_cases, top_k_cases, top_matches
-from deskloom.operators.tfidf import (CLASSIFIER_TERMS, TfidfConfig, document_frequency, fit_tfidf, retrieval_terms,
+from deskloom.operators.tfidf import (CLASSIFIER_TERMS, TfidfConfig, TfidfIndex, document_frequency, fit_tfidf, retrieval_terms,
                                       term_counts, tfidf, vocabulary)
 from deskloom.plans import benchmark as B
 from deskloom.plans.baselines import keyword_baseline, majority_baseline, majority_class
@@ -19,7 +19,7 @@ from deskloom.queries import inputs, sql
 from deskloom.queries.inputs import DEFAULT_LANG, LANG_CORPUS_SQL, LANG_RULES, LANGS
 from deskloom.queries.registry import query, table
 from deskloom.queries.scalars import STOP_WORDS
-from deskloom.session import cut_lineage, scratch_path
+from deskloom.session import stored, scratch_path
 from deskloom.sources import files
 
 WORDS = TfidfConfig()
@@ -130,9 +130,8 @@ SELECT query_id AS query, id AS doc, round(score, 6) AS score, r AS rank FROM be
 def nearest_by_cosine(spark, folder):
     """Pool of nine per message by raw cosine over the inverted index."""
     corpus = inputs.lang_corpus(spark, folder)
-    model = fit_tfidf(corpus, "id", "customer_text", CASES)
-    found = top_matches(model.transform(_asked(spark, folder), "query_id", "text"),
-                        model.transform(corpus, "id", "customer_text"), 9)
+    index = TfidfIndex.build(corpus, "id", "customer_text", CASES)
+    found = top_matches(stored(index.model.transform(_asked(spark, folder), "query_id", "text")), index.weights, 9)
     return found.select("query", "doc", F.round("score", 6).alias("score"), "rank")
 
 
@@ -292,14 +291,14 @@ def compare_systems(spark, folder):
 def benchmark_report(spark, folder):
     """All metrics of the three systems, written as JSON and read back."""
     path = scratch_path(spark, "benchmark-report")
-    files.write_json(B.benchmark_report(cut_lineage(B.predictions(_decided(spark, folder)))), path)
+    files.write_json(B.benchmark_report(stored(B.predictions(_decided(spark, folder)))), path)
     return files.scan_json_lines(spark, path, "system string, metric_group string, metric string, value double")
 
 
 @query(f"""WITH {_SYSTEMS}, m AS (SELECT system, count_if(truth_escalated AND predicted_escalated) AS tp,
   count_if(NOT truth_escalated AND predicted_escalated) AS fp, count_if(truth_escalated AND NOT predicted_escalated) AS fn,
-  count_if(truth = predicted) AS right, count(*) AS n FROM preds GROUP BY system),
-w AS (SELECT system, right / n AS accuracy, CASE WHEN tp + fp > 0 THEN tp / (tp + fp) ELSE 0 END AS precision,
+  count_if(truth = predicted) AS correct, count(*) AS n FROM preds GROUP BY system),
+w AS (SELECT system, correct / n AS accuracy, CASE WHEN tp + fp > 0 THEN tp / (tp + fp) ELSE 0 END AS precision,
   CASE WHEN tp + fn > 0 THEN tp / (tp + fn) ELSE 0 END AS recall, CASE WHEN tp + fn > 0 THEN fn / (tp + fn) ELSE 0 END AS high_risk_miss_rate,
   (tp + fn)::DOUBLE AS total_high_risk_count FROM m),
 r AS (SELECT system, {", ".join(f"avg({e}) AS {n}" for n, e in _RUBRIC.items())} FROM preds GROUP BY system),
@@ -312,7 +311,7 @@ def benchmark_report_parts(spark, folder):
     """The report's metrics that plain SQL can restate."""
     kept = ["accuracy", "precision", "recall", "high_risk_miss_rate", "total_high_risk_count",
             "groundedness", "brand_voice", "actionability", "safety"]
-    report = B.benchmark_report(cut_lineage(B.predictions(_decided(spark, folder))))
+    report = B.benchmark_report(stored(B.predictions(_decided(spark, folder))))
     return report.filter(F.col("metric").isin(kept)).select("system", "metric", F.round("value", 6).alias("value"))
 
 

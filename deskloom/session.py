@@ -48,7 +48,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint: the result survives the loss of executors."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def stored(df: DataFrame, name: str = "step") -> DataFrame:
+    """Write ``df`` to a Parquet table in the shared folder and read it back.
+
+    Cuts the lineage, survives the loss of executors, and gives later joins true sizes and pruned columns.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
