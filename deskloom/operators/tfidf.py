@@ -48,14 +48,16 @@ def spark_stop_words(language: str = "english") -> list[str]:
 
 
 def term_counts(docs: DataFrame, id_col: str, text_col: str, config: TfidfConfig) -> DataFrame:
-    """(id, term, tf). Tokens are counted per input task first, so the shuffle moves distinct terms only."""
-    exploded = docs.select(F.col(id_col).alias("id"), F.explode(config.terms(F.col(text_col))).alias("term"))
+    """(id, term, tf). The texts are spread by id before they are cut into n-grams, so the only shuffle moves plain
+    texts; counting per (id, term) then needs none."""
+    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("_text")).repartition("id")
+    exploded = texts.select("id", F.explode(config.terms(F.col("_text"))).alias("term"))
     return exploded.groupBy("id", "term").agg(F.count("*").alias("tf"))
 
 
 def document_frequency(tf: DataFrame) -> DataFrame:
-    """(term, df, total). Reading ``tf`` keeps the shuffle below identical to the one the weights read: it is reused."""
-    return tf.groupBy("term").agg(F.count_if(F.col("tf") > 0).alias("df"), F.sum("tf").alias("total"))
+    """(term, df, total), combined before the shuffle."""
+    return tf.groupBy("term").agg(F.count("*").alias("df"), F.sum("tf").alias("total"))
 
 
 def vocabulary(frequencies: DataFrame, max_terms: int | None) -> DataFrame:

@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from deskloom.sources.files import spread
+
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLE: dict[str, str] = {}
@@ -24,5 +26,10 @@ def query(sql: str | None = None, name: str | None = None):
     return register
 
 
+# Tables with long texts: regex and token work dominates, so it should use all cores.
+TEXT_TABLES = {"documents", "pages"}
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    rows = spark.read.parquet(f"{folder}/{name}.parquet")
+    return spread(rows) if name in TEXT_TABLES else rows

@@ -11,6 +11,15 @@ from deskloom.functions.text import norm_id
 CSV_OPTIONS = {"header": "true", "multiLine": "true", "quote": '"', "escape": '"'}
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Repartition an input that has fewer splits than the cluster has cores, before costly row-local work.
+
+    Large inputs have more splits than cores and pass through without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def as_bool(col: Column) -> Column:
     """'True'/'true' to true, anything else (null too) to false."""
     return F.coalesce(F.lower(F.trim(col)) == "true", F.lit(False))
