@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from deskloom.functions.rules import RuleSet, difficulty, label_escalation
 from deskloom.functions.text import key_digest, numbered_id, shuffle_key, text_key
-from deskloom.presets.cases import REAL_SAMPLE_NOTE, REAL_SOURCE, SYNTHETIC_SAMPLE_NOTE
 from deskloom.operators.skew import first_per_key, top_n_per_group
+from deskloom.presets.cases import REAL_SAMPLE_NOTE, REAL_SOURCE, SYNTHETIC_SAMPLE_NOTE
+from deskloom.session import stored
 
 GOLDEN_COLUMNS = ["id", "customer_tweet", "ground_truth_intent", "reference_reply", "ground_truth_escalation",
                   "escalation_reason", "difficulty", "notes", "source"]
@@ -72,6 +73,8 @@ def golden_sample(corpus: DataFrame, adversarial: DataFrame, classes, escalation
         filled = leftover_rows(eligible, sampled, short)
         filled = filled.withColumn("position", F.col("position") + (wanted - short)).withColumn("_filled", F.lit(True))
         sampled = sampled.unionByName(filled)
+    # At most ``target`` rows, read by the golden set and by the corpus cleaning after it.
+    sampled = stored(sampled, "sampled")
 
     label = label_escalation(F.col("customer_text"), escalation_rules, default_reason)
     cases = sampled.withColumn("_label", label).select(

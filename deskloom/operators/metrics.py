@@ -61,7 +61,7 @@ def confusion_matrix(predictions: DataFrame, truth: str, predicted: str, labels:
     """Dense (system, truth, predicted, n) over the ordered labels, zeros kept; other labels are left out."""
     counts = outcome_counts(predictions, truth, predicted, system)
     names = F.array(*map(F.lit, labels))
-    grid = (predictions.select(system).distinct().withColumn("truth", F.explode(names))
+    grid = (counts.filter(F.col("n") > 0).select(system).distinct().withColumn("truth", F.explode(names))
             .withColumn("predicted", F.explode(names)))
     return grid.join(counts, [system, "truth", "predicted"], "left").withColumn("n", F.coalesce("n", F.lit(0)))
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from deskloom.functions import text as T
 from deskloom.functions.rules import FLAGS, RuleSet, label_class
 from deskloom.operators.skew import (HEAVY_ROWS, first_per_key, last_per_key, skew_join, top_n_per_group)
+from deskloom.session import stored
 
 
 def outbound(messages: DataFrame) -> DataFrame:
@@ -107,5 +108,6 @@ def support_pairs(messages: DataFrame, replies: DataFrame, rules: RuleSet, defau
     """Cleaned, deduplicated pairs, at most ``max(10, max_pairs // classes)`` per class, with class and position."""
     pairs = dedupe_by_text(first_reply_pairs(replies, messages, min_chars))
     labelled = pairs.withColumn("class", label_class(F.col("customer_text"), rules, default_class)["class"])
-    capped = cap_per_class(labelled, class_cap(max_pairs, len(rules)))
+    # At most cap x classes rows; stored because numbering and later checks read them again.
+    capped = stored(cap_per_class(labelled, class_cap(max_pairs, len(rules))), "pairs")
     return class_positions(capped, list(rules))

@@ -113,7 +113,8 @@ def value_positions(df: DataFrame, value: str, group: Sequence[str] = (), bucket
     """
     group = list(group)
     counts = df.filter(F.col(value).isNotNull()).groupBy(*group, value).agg(F.count("*").alias("n"))
-    cuts = counts.agg(F.percentile_approx(value, [i / buckets for i in range(1, buckets)], 1000)).scalar()
+    # The filter keeps ``n`` in this branch, so all branches share one shuffle of the counts.
+    cuts = counts.filter(F.col("n") > 0).agg(F.percentile_approx(value, [i / buckets for i in range(1, buckets)], 1000)).scalar()
     tagged = (counts.withColumn("_cuts", F.coalesce(cuts, F.array().cast(f"array<{dict(df.dtypes)[value]}>")))
               .withColumn("_bucket", F.size(F.filter("_cuts", lambda c: c < F.col(value)))).drop("_cuts"))
     sizes = tagged.groupBy(*group, "_bucket").agg(F.sum("n").alias("_size"))

@@ -8,12 +8,14 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from deskloom.functions.text import drop_words, ngrams, words
-from deskloom.operators.skew import HEAVY_ROWS, skew_join
+from deskloom.functions.text import drop_words, key_digest, ngrams, text_key, words
+from deskloom.operators.skew import HEAVY_ROWS, skew_join, top_n_per_group
 from deskloom.session import stored
 
 # A vocabulary of at most this many terms is small enough to broadcast.
 BROADCAST_TERMS = 100_000
+# Copies of one text an index keeps; searches may ask for pools up to this size.
+KEEP_COPIES = 30
 
 
 @dataclass(frozen=True)
@@ -47,12 +49,17 @@ def spark_stop_words(language: str = "english") -> list[str]:
     return StopWordsRemover.loadDefaultStopWords(language)
 
 
-def term_counts(docs: DataFrame, id_col: str, text_col: str, config: TfidfConfig) -> DataFrame:
-    """(id, term, tf). The texts are spread by id before they are cut into n-grams, so the only shuffle moves plain
-    texts; counting per (id, term) then needs none."""
-    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("_text")).repartition("id")
-    exploded = texts.select("id", F.explode(config.terms(F.col("_text"))).alias("term"))
-    return exploded.groupBy("id", "term").agg(F.count("*").alias("tf"))
+def text_digest(text):
+    """Key of a text for term weighting: texts that differ in case or outer blanks have the same terms."""
+    return key_digest(text_key(F.coalesce(text, F.lit(""))))
+
+
+def term_counts(docs: DataFrame, id_col: str, text_col: str, config: TfidfConfig, carry: Sequence[str] = ()) -> DataFrame:
+    """(id, term, tf, carry..). The texts are spread by id before they are cut into n-grams, so the only shuffle moves
+    plain texts; counting per (id, term) then needs none."""
+    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("_text"), *carry).repartition("id")
+    exploded = texts.select("id", *carry, F.explode(config.terms(F.col("_text"))).alias("term"))
+    return exploded.groupBy("id", *carry, "term").agg(F.count("*").alias("tf")).select("id", "term", "tf", *carry)
 
 
 def document_frequency(tf: DataFrame) -> DataFrame:
@@ -114,23 +121,40 @@ def tfidf(docs: DataFrame, id_col: str, text_col: str, config: TfidfConfig) -> D
 
 @dataclass
 class TfidfIndex:
-    """Stored vocabulary and document weights, built once and searched by many message batches."""
+    """Stored search tables, built once and searched by many message batches.
+
+    Copies of a text are indexed once, under their lowest document id. ``weights`` holds (id, term, df, weight), ``df``
+    counting all copies; ``members`` holds (id, copy) with the ``keep`` lowest document ids per text: of equally scored
+    copies no others can be among the ``keep`` best.
+    """
 
     model: TfidfModel
     weights: DataFrame
+    members: DataFrame
+    keep: int = KEEP_COPIES
 
     @classmethod
     def build(cls, docs: DataFrame, id_col: str, text_col: str, config: TfidfConfig,
-              heavy_rows: int = HEAVY_ROWS) -> "TfidfIndex":
-        tf = stored(term_counts(docs, id_col, text_col, config), "tf")
-        fitted = fit_tfidf(docs, id_col, text_col, config, tf)
-        model = TfidfModel(stored(fitted.terms, "terms"), config, heavy_rows)
-        return cls(model, stored(model.weigh(tf), "weights"))
+              heavy_rows: int = HEAVY_ROWS, keep: int = KEEP_COPIES) -> "TfidfIndex":
+        lowered = F.lower(F.coalesce(F.col(text_col), F.lit("")))
+        keyed = docs.select(F.col(id_col).alias("id"), text_digest(F.col(text_col)).alias("key"), lowered.alias("_text"))
+        texts = keyed.groupBy("key").agg(F.min("id").alias("id"), F.first("_text").alias("_text"),
+                                         F.count("*").alias("copies"))
+        tf = stored(term_counts(texts, "id", "_text", config, carry=("copies",)), "tf")
+        frequencies = tf.groupBy("term").agg(F.sum("copies").alias("df"), F.sum(F.col("tf") * F.col("copies")).alias("total"))
+        n_docs = docs.agg(F.count("*")).scalar()
+        terms = vocabulary(frequencies, config.max_terms).select("term", "df", smooth_idf(n_docs, F.col("df")).alias("idf"))
+        model = TfidfModel(stored(terms, "terms"), config, heavy_rows)
+        lowest = top_n_per_group(keyed.select("key", "id"), ["key"], [F.col("id")], keep, spread="id")
+        members = lowest.select(F.min("id").over(Window.partitionBy("key")).alias("id"), F.col("id").alias("copy"))
+        return cls(model, stored(model.weigh(tf.drop("copies")), "weights"), stored(members, "members"), keep)
 
     def save(self, path: str) -> None:
         self.model.terms.write.parquet(f"{path}/terms")
         self.weights.write.parquet(f"{path}/weights")
+        self.members.write.parquet(f"{path}/members")
 
     @classmethod
-    def load(cls, spark: SparkSession, path: str, config: TfidfConfig) -> "TfidfIndex":
-        return cls(TfidfModel(spark.read.parquet(f"{path}/terms"), config), spark.read.parquet(f"{path}/weights"))
+    def load(cls, spark: SparkSession, path: str, config: TfidfConfig, keep: int = KEEP_COPIES) -> "TfidfIndex":
+        return cls(TfidfModel(spark.read.parquet(f"{path}/terms"), config), spark.read.parquet(f"{path}/weights"),
+                   spark.read.parquet(f"{path}/members"), keep)

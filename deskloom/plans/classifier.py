@@ -7,16 +7,18 @@ from dataclasses import dataclass
 
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.linalg import VectorUDT
+from pyspark.ml.linalg import Vectors, VectorUDT
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from deskloom.functions.rules import RuleSet, first_largest, hit_counts, label_class, lookup
 from deskloom.functions.scores import normalise, ranked_classes
-from deskloom.operators.skew import heavy_keys, skew_join
+from deskloom.functions.text import bind
+from deskloom.operators.skew import skew_join
 from deskloom.operators.tfidf import CLASSIFIER_TERMS, TfidfConfig, TfidfModel, fit_tfidf
 from deskloom.presets import taxonomy
+from deskloom.session import stored
 
 RULE_BOOST = 0.18
 CONFIDENT = 0.35
@@ -93,12 +95,15 @@ class ClassModel:
         """The documents with classification columns. Equal texts are scored once."""
         asked = docs.withColumn("_digest", F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256))
         texts = asked.groupBy("_digest").agg(F.min(text_col).alias("_text"))
-        scored = self.linear.transform(self.features(texts, "_digest", "_text"))
-        probs = F.transform(
-            F.array(*[F.lit(i) for i in range(len(self.classes))]),
-            lambda i: F.coalesce(F.get(vector_to_array(F.col("probability")), i), F.lit(0.0)))
-        by_text = scored.select(F.col("id").alias("_digest"), probs.alias("_p"))
-        rows = skew_join(asked, by_text, "_digest", spread=id_col, heavy=heavy_keys(asked, "_digest"))
+        scored = self.linear.transform(_vectors(texts, "_digest", "_text", self.terms, self.config, self.linear.numFeatures))
+        by_text = scored.select(F.col("id").alias("_digest"), vector_to_array(F.col("probability")).alias("_p"))
+        # A text without known terms has no vector row; its probabilities are those of the intercepts.
+        blank = self.linear.predictProbability(Vectors.sparse(self.linear.numFeatures, [])).tolist()
+        rows = skew_join(asked, by_text, "_digest", spread=id_col, how="left")
+        known = F.coalesce("_p", F.array(*map(F.lit, blank)))
+        positions = F.array(*[F.lit(i) for i in range(len(self.classes))])
+        rows = rows.withColumn("_p", bind(known, lambda p: F.transform(
+            positions, lambda i: F.coalesce(F.get(p, i), F.lit(0.0)))))
         rows = rows.withColumn("_hits", hit_counts(F.col(text_col), rules))
         rows = rows.withColumn("_scores", blend(F.col("_p"), F.col("_hits"), boost))
         return rows.withColumns(verdict(F.col("_scores"), F.col("_hits"), self.classes, names)).drop(
@@ -115,15 +120,21 @@ class ClassModel:
                    list(classes), config)
 
 
-def _features(docs, id_col, text_col, terms, config, size) -> DataFrame:
+def _vectors(docs, id_col, text_col, terms, config, size) -> DataFrame:
+    """(id, features) of the texts that hold a known term."""
     weights = TfidfModel(terms.drop("index"), config).transform(docs, id_col, text_col)
     indexed = weights.join(F.broadcast(terms.select("term", "index")), "term")
     # One document's distinct terms form one array: its size is bounded by the vocabulary.
-    vectors = indexed.groupBy("id").agg(F.array_sort(F.collect_list(
-        F.struct("index", F.col("weight").alias("value")))).alias("entries"))
+    entries = F.array_sort(F.collect_list(F.struct("index", F.col("weight").alias("value"))))
+    return indexed.groupBy("id").agg(entries.alias("_e")).select("id", sparse_vector(F.col("_e"), size).alias("features"))
+
+
+def _features(docs, id_col, text_col, terms, config, size) -> DataFrame:
+    """(id, features) of all texts; one without known terms gets an empty vector."""
     empty = F.array().cast("array<struct<index:int,value:double>>")
-    return (docs.select(F.col(id_col).alias("id")).join(vectors, "id", "left")
-            .select("id", sparse_vector(F.coalesce("entries", empty), size).alias("features")))
+    found = _vectors(docs, id_col, text_col, terms, config, size)
+    return (docs.select(F.col(id_col).alias("id")).join(found, "id", "left")
+            .select("id", F.coalesce("features", sparse_vector(empty, size)).alias("features")))
 
 
 def fit_classifier(corpus: DataFrame, text_col: str, label_col: str, classes: Sequence[str],
@@ -137,7 +148,7 @@ def fit_classifier(corpus: DataFrame, text_col: str, label_col: str, classes: Se
     if config.max_terms is None:
         raise ValueError("the class model needs a capped vocabulary")
     kept = fit_tfidf(corpus, id_col, text_col, config).terms
-    terms = kept.withColumn("index", F.row_number().over(Window.orderBy("term")) - 1)
+    terms = stored(kept.withColumn("index", F.row_number().over(Window.orderBy("term")) - 1), "class-terms")
     sizes = {r[label_col]: r["count"] for r in
              corpus.filter(F.col(label_col).isin(classes)).groupBy(label_col).count().collect()}
     rows, present = sum(sizes.values()), len(sizes)

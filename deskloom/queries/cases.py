@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from deskloom.functions import rules as R
-from deskloom.operators.retrieval import flat_cases, top_k_cases, top_matches
+from deskloom.operators.retrieval import flat_cases, search, top_k_cases
 from deskloom.operators.tfidf import (CLASSIFIER_TERMS, TfidfConfig, TfidfIndex, document_frequency, fit_tfidf, retrieval_terms,
                                       term_counts, tfidf, vocabulary)
 from deskloom.plans import benchmark as B
@@ -131,7 +131,7 @@ def nearest_by_cosine(spark, folder):
     """Pool of nine per message by raw cosine over the inverted index."""
     corpus = inputs.lang_corpus(spark, folder)
     index = TfidfIndex.build(corpus, "id", "customer_text", CASES)
-    found = top_matches(stored(index.model.transform(_asked(spark, folder), "query_id", "text")), index.weights, 9)
+    found = search(_asked(spark, folder), index, "query_id", "text", 9)
     return found.select("query", "doc", F.round("score", 6).alias("score"), "rank")
 
 
