@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from deskloom.functions.pvalue import correlation_p_value
 from deskloom.functions.scores import half_even_bin
 from deskloom.operators.skew import HEAVY_ROWS, skew_join, value_positions
+from deskloom.session import stored
 
 
 def pearson(df: DataFrame, a: str, b: str) -> DataFrame:
@@ -19,22 +20,31 @@ def pearson(df: DataFrame, a: str, b: str) -> DataFrame:
                        correlation_p_value("pearson_r", F.col("n").cast("double")).alias("p_value"))
 
 
-def average_ranks(df: DataFrame, value: str) -> DataFrame:
+def average_ranks(df: DataFrame, value: str, weight: str | None = None) -> DataFrame:
     """(value, n, average_rank) per distinct value: ties share the mean of their ranks."""
-    return value_positions(df, value).select(
+    return value_positions(df, value, weight=weight).select(
         value, "n", (F.col("below") + (F.col("n") + 1) / 2.0).alias("average_rank"))
 
 
-def spearman(df: DataFrame, a: str, b: str, heavy_rows: int = HEAVY_ROWS) -> DataFrame:
-    """(spearman_rho): Pearson correlation of average ranks, computed on counted value pairs."""
+def counted_pairs(df: DataFrame, a: str, b: str) -> DataFrame:
+    """Stored (_a, _b, _n): how often each pair of ratings occurs; the only pass over the rated rows."""
     both = df.filter(F.col(a).isNotNull() & F.col(b).isNotNull())
-    pairs = both.groupBy(F.col(a).alias("_a"), F.col(b).alias("_b")).agg(F.count("*").alias("_n"))
-    ranks_a = average_ranks(both, a).select(F.col(a).alias("_a"), F.col("average_rank").alias("_ra"))
-    ranks_b = average_ranks(both, b).select(F.col(b).alias("_b"), F.col("average_rank").alias("_rb"))
-    ranked = skew_join(skew_join(pairs, ranks_a, "_a", spread="_b", min_rows=heavy_rows),
-                       ranks_b, "_b", spread="_a", min_rows=heavy_rows)
+    return stored(both.groupBy(F.col(a).alias("_a"), F.col(b).alias("_b")).agg(F.count("*").alias("_n")), "pairs")
+
+
+def spearman(df: DataFrame, a: str, b: str, heavy_rows: int = HEAVY_ROWS) -> DataFrame:
+    """(spearman_rho): Pearson correlation of average ranks."""
+    return spearman_of_pairs(counted_pairs(df, a, b), heavy_rows)
+
+
+def spearman_of_pairs(pairs: DataFrame, heavy_rows: int = HEAVY_ROWS) -> DataFrame:
+    rows = pairs.count()
+    ranks_a = average_ranks(pairs, "_a", "_n").select("_a", F.col("average_rank").alias("_ra"))
+    ranks_b = average_ranks(pairs, "_b", "_n").select("_b", F.col("average_rank").alias("_rb"))
+    ranked = skew_join(pairs, ranks_a, "_a", spread="_b", min_rows=heavy_rows, left_rows=rows)
+    ranked = skew_join(ranked, ranks_b, "_b", spread="_a", min_rows=heavy_rows, left_rows=rows)
     # The mean rank is (n + 1) / 2 on both sides; centring first keeps the sums small.
-    total = both.agg(F.count("*")).scalar()
+    total = pairs.agg(F.sum("_n")).scalar()
     x, y, n = F.col("_ra") - (total + 1) / 2.0, F.col("_rb") - (total + 1) / 2.0, F.col("_n")
     return ranked.agg((F.sum(n * x * y) / F.sqrt(F.sum(n * x * x) * F.sum(n * y * y))).alias("spearman_rho"))
 
@@ -44,8 +54,10 @@ def quadratic_kappa(df: DataFrame, a: str, b: str) -> DataFrame:
 
     Quadratic weights let the expected disagreement follow from sums and sums of squares: no label x label table.
     """
-    both = df.filter(F.col(a).isNotNull() & F.col(b).isNotNull())
-    pairs = both.groupBy(F.col(a).alias("_a"), F.col(b).alias("_b")).agg(F.count("*").alias("_n"))
+    return kappa_of_pairs(counted_pairs(df, a, b))
+
+
+def kappa_of_pairs(pairs: DataFrame) -> DataFrame:
     labels = pairs.select(F.col("_a").alias("_v")).union(pairs.select("_b")).distinct()
     # One row per distinct score bin.
     index = labels.select("_v", F.dense_rank().over(Window.orderBy("_v")).alias("_i"))
@@ -66,14 +78,15 @@ def exact_agreement(a: str, b: str) -> Column:
 def agreement_report(df: DataFrame, human: str, judge: str) -> DataFrame:
     """One row: sample_size, cohen_kappa_quadratic, pearson_correlation_r, p_value, spearman_rho,
     agreement_percentage, mean_human_score, mean_judge_score."""
-    binned = df.select(human, judge, half_even_bin(F.col(human)).alias("_hb"), half_even_bin(F.col(judge)).alias("_jb"))
-    head = binned.agg(F.count("*").alias("sample_size"),
-                      F.corr(human, judge).alias("pearson_correlation_r"),
-                      exact_agreement(human, judge).alias("agreement_percentage"),
-                      F.avg(human).alias("mean_human_score"), F.avg(judge).alias("mean_judge_score"))
+    pairs = counted_pairs(df, human, judge)
+    binned = (pairs.groupBy(half_even_bin(F.col("_a")).alias("_a"), half_even_bin(F.col("_b")).alias("_b"))
+              .agg(F.sum("_n").alias("_n")))
+    head = df.agg(F.count("*").alias("sample_size"), F.corr(human, judge).alias("pearson_correlation_r"),
+                  exact_agreement(human, judge).alias("agreement_percentage"),
+                  F.avg(human).alias("mean_human_score"), F.avg(judge).alias("mean_judge_score"))
     return head.select(
-        "sample_size", quadratic_kappa(binned, "_hb", "_jb").scalar().alias("cohen_kappa_quadratic"),
+        "sample_size", kappa_of_pairs(binned).scalar().alias("cohen_kappa_quadratic"),
         "pearson_correlation_r",
         correlation_p_value("pearson_correlation_r", F.col("sample_size").cast("double")).alias("p_value"),
-        spearman(binned, human, judge).scalar().alias("spearman_rho"),
+        spearman_of_pairs(pairs).scalar().alias("spearman_rho"),
         "agreement_percentage", "mean_human_score", "mean_judge_score")

@@ -10,6 +10,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from deskloom.session import stored
+
 MAX_HEAVY_KEYS = 1000
 HEAVY_ROWS = 1_000_000
 SALTS = 64
@@ -33,18 +35,20 @@ def heavy_keys(df: DataFrame, key: str | Sequence[str], min_rows: int = HEAVY_RO
 
 def skew_join(left: DataFrame, right: DataFrame, key: str | Sequence[str], spread: str, how: str = "inner",
               heavy: DataFrame | None = None, min_rows: int = HEAVY_ROWS, salts: int = SALTS,
-              left_stored: bool = False) -> DataFrame:
+              left_stored: bool = False, left_rows: int | None = None) -> DataFrame:
     """Equi-join on ``key`` where ``left`` may have very hot keys.
 
-    A ``left_stored`` table is counted first (Parquet footers only): with fewer than ``min_rows`` rows it has no heavy
-    key and the join stays plain. Without that flag ``left`` should be cheap to read twice.
+    A ``left_stored`` table is counted first (Parquet footers only), or the caller knows ``left_rows``: with fewer than
+    ``min_rows`` rows there is no heavy key and the join stays plain. Else ``left`` should be cheap to read twice.
 
     Rows of heavy keys are spread over ``salts`` sub-keys by a hash of the ``spread`` column (repeatable, so a re-run
     task makes the same split) and only the matching ``right`` rows are copied to each sub-key. ``heavy`` has at most
     ``MAX_HEAVY_KEYS`` rows, which bounds the broadcasts.
     """
     names = _names(key)
-    if left_stored and left.count() < min_rows:
+    if left_stored:
+        left_rows = left.count()
+    if left_rows is not None and left_rows < min_rows:
         return left.join(right, names, how)
     if heavy is None:
         heavy = heavy_keys(left, names, min_rows)
@@ -105,16 +109,18 @@ def bucketed_row_number(df: DataFrame, order: str, bucket: Column, name: str = "
             .drop("_bucket", "_inside", "_offset"))
 
 
-def value_positions(df: DataFrame, value: str, group: Sequence[str] = (), buckets: int = 256) -> DataFrame:
+def value_positions(df: DataFrame, value: str, group: Sequence[str] = (), buckets: int = 256,
+                    weight: str | None = None) -> DataFrame:
     """(group.., value, n, below): how often each value occurs and how many rows of its group are smaller.
 
-    Equal values are combined before the shuffle. The distinct values are cut into ``buckets`` ranges by approximate
-    quantiles; the cut points only balance the work, the counts are exact.
+    ``weight`` names a column of row counts if the rows are counted already. Equal values are combined before the
+    shuffle and the distinct values stored; they are cut into ``buckets`` ranges by approximate quantiles. The cut
+    points only balance the work, the counts are exact.
     """
     group = list(group)
-    counts = df.filter(F.col(value).isNotNull()).groupBy(*group, value).agg(F.count("*").alias("n"))
-    # The filter keeps ``n`` in this branch, so all branches share one shuffle of the counts.
-    cuts = counts.filter(F.col("n") > 0).agg(F.percentile_approx(value, [i / buckets for i in range(1, buckets)], 1000)).scalar()
+    size = F.sum(weight) if weight else F.count("*")
+    counts = stored(df.filter(F.col(value).isNotNull()).groupBy(*group, value).agg(size.alias("n")), "values")
+    cuts = counts.agg(F.percentile_approx(value, [i / buckets for i in range(1, buckets)], 1000)).scalar()
     tagged = (counts.withColumn("_cuts", F.coalesce(cuts, F.array().cast(f"array<{dict(df.dtypes)[value]}>")))
               .withColumn("_bucket", F.size(F.filter("_cuts", lambda c: c < F.col(value)))).drop("_cuts"))
     sizes = tagged.groupBy(*group, "_bucket").agg(F.sum("n").alias("_size"))
