@@ -1,6 +1,5 @@
 import json
 
-import pytest
 from pyspark.sql import functions as F
 
 from deskloom import schemas
@@ -8,8 +7,8 @@ from deskloom.operators import golden as G
 from deskloom.operators import leakage as L
 from deskloom.operators import pairing as P
 from deskloom.operators.skew import (bucketed_row_number, first_per_key, skew_join, top_n_per_group, value_positions)
-from deskloom.plans.corpus import build_corpus, corpus_sequence, initialise_data
-from deskloom.presets import cases, replies, rules, taxonomy
+from deskloom.plans.corpus import build_corpus, initialise_data
+from deskloom.presets import replies, rules, taxonomy
 from deskloom.sources import files, literals, synthetic
 
 
