@@ -81,10 +81,8 @@ def exact_percentile(df: DataFrame, value: str, p: float, group: Sequence[str] =
     The two neighbours of position ``p * (n - 1)`` are found from value counts and the counts before them.
     """
     group = list(group)
-    counts = value_positions(df, value, group)
-    sizes = counts.groupBy(*group).agg(F.sum("n").alias("_total"))
-    placed = counts.join(sizes, group) if group else counts.withColumn("_total", sizes.scalar())
-    place = F.lit(p) * (F.col("_total") - 1)
+    placed = value_positions(df, value, group)
+    place = F.lit(p) * (F.col("total") - 1)
     floor, ceil = F.floor(place), F.ceil(place)
 
     def holds(position: Column) -> Column:

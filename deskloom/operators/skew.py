@@ -111,7 +111,8 @@ def bucketed_row_number(df: DataFrame, order: str, bucket: Column, name: str = "
 
 def value_positions(df: DataFrame, value: str, group: Sequence[str] = (), buckets: int = 256,
                     weight: str | None = None) -> DataFrame:
-    """(group.., value, n, below): how often each value occurs and how many rows of its group are smaller.
+    """(group.., value, n, below, total): how often each value occurs, how many rows of its group are smaller, and the
+    size of the group.
 
     ``weight`` names a column of row counts if the rows are counted already. Equal values are combined before the
     shuffle and the distinct values stored; they are cut into ``buckets`` ranges by approximate quantiles. The cut
@@ -120,13 +121,22 @@ def value_positions(df: DataFrame, value: str, group: Sequence[str] = (), bucket
     group = list(group)
     size = F.sum(weight) if weight else F.count("*")
     counts = stored(df.filter(F.col(value).isNotNull()).groupBy(*group, value).agg(size.alias("n")), "values")
-    cuts = counts.agg(F.percentile_approx(value, [i / buckets for i in range(1, buckets)], 1000)).scalar()
-    tagged = (counts.withColumn("_cuts", F.coalesce(cuts, F.array().cast(f"array<{dict(df.dtypes)[value]}>")))
-              .withColumn("_bucket", F.size(F.filter("_cuts", lambda c: c < F.col(value)))).drop("_cuts"))
+    values = f"array<{dict(df.dtypes)[value]}>"
+    quantiles = counts.agg(F.coalesce(F.percentile_approx(value, [i / buckets for i in range(1, buckets)], 1000),
+                                      F.array().cast(values)).alias("fine"))
+    # Every 16th cut finds the block, the block's own cuts the bucket: two short scans per value.
+    cuts = quantiles.select(F.struct("fine", F.filter("fine", lambda c, i: i % 16 == 15).alias("coarse"))).scalar()
+    tagged = (counts.withColumn("_cuts", cuts)
+              .withColumn("_block", F.size(F.filter("_cuts.coarse", lambda c: c < F.col(value))))
+              .withColumn("_cut", F.slice("_cuts.fine", F.col("_block") * 16 + 1, F.lit(16)))
+              .withColumn("_bucket", F.col("_block") * 16 + F.size(F.filter("_cut", lambda c: c < F.col(value))))
+              .drop("_cuts", "_block", "_cut"))
     sizes = tagged.groupBy(*group, "_bucket").agg(F.sum("n").alias("_size"))
-    earlier = Window.partitionBy(*group).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select(*group, "_bucket", F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_offset"))
+    whole = Window.partitionBy(*group)
+    earlier = whole.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select(*group, "_bucket", F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_offset"),
+                           F.sum("_size").over(whole).alias("total"))
     smaller = Window.partitionBy(*group, "_bucket").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
     return (tagged.withColumn("_inside", F.coalesce(F.sum("n").over(smaller), F.lit(0)))
             .join(offsets, [*group, "_bucket"])
-            .select(*group, value, "n", (F.col("_inside") + F.col("_offset")).alias("below")))
+            .select(*group, value, "n", (F.col("_inside") + F.col("_offset")).alias("below"), "total"))
