@@ -29,7 +29,7 @@ class LanguageModel:
     """Dictionary bytes per language, and how texts are encoded with them."""
 
     dictionaries: dict[str, bytes]
-    level: int = 7
+    level: int = 5
     chunk: int = 8192
     min_margin: float = 0.005
 

@@ -26,10 +26,10 @@ SYMBOLS = b"#*$%&|<>"
 class Bands:
     """Limits of bytes / compressed bytes. ``whole``: (bytes from, lowest, highest), by rising length."""
 
-    whole: tuple = ((0, 0.0, 2.0), (64, 0.0, 2.1), (128, 0.8, 2.3), (256, 1.05, 2.4), (512, 1.2, 2.5), (1024, 1.4, 2.65),
-                    (2048, 1.5, 2.75), (4096, 1.55, 2.85), (8192, 1.6, 3.0), (32768, 1.6, 3.2))
+    whole: tuple = ((0, 0.0, 2.0), (64, 0.0, 1.6), (128, 0.8, 1.95), (256, 1.05, 2.0), (512, 1.2, 2.1), (1024, 1.4, 2.25),
+                    (2048, 1.5, 2.35), (4096, 1.6, 2.45), (8192, 1.7, 2.55), (16384, 1.75, 2.6), (32768, 1.75, 2.7))
     chunk_bytes: int = 2048
-    chunk: tuple = (1.5, 2.75)
+    chunk: tuple = (1.5, 2.25)
     chunk_share: float = 0.25  # of the full chunks that may lie outside
     level: int = 3
 
