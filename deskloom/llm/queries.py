@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from deskloom.llm import langid, mixing, quality
+from deskloom.llm import decontaminate, langid, lm, mixing, neardup, pii, quality, tokenids, toxicity
 from deskloom.llm.words import in_fold
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,11 +25,24 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+@query
+def op1_hyperminhash(spark, folder):
+    return neardup.near_duplicates(table(spark, folder, "documents"))
+
+
 @query
 def op3_compression_bands(spark, folder):
     return quality.quality(table(spark, folder, "documents"))
 
 
+@query
+def op4_attentive_gru(spark, folder):
+    docs = table(spark, folder, "documents").withColumn("held_out", in_fold("doc_id", 4, 2))
+    labels = table(spark, folder, "labels").filter(~in_fold("doc_id", 4, 2))
+    found = toxicity.toxicity(docs, toxicity.fit(docs, labels), carry=("held_out",))
+    return found.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
+
+
 @query
 def op5_language(spark, folder):
     docs = table(spark, folder, "documents").withColumn("held_out", in_fold("doc_id", 4, 2))
@@ -37,8 +51,39 @@ def op5_language(spark, folder):
         "doc_id", "held_out", "p.*")
 
 
+@query
+def op6_backoff_automaton(spark, folder):
+    docs = table(spark, folder, "documents").withColumn("held_out", in_fold("doc_id", 5, 1))
+    model, words = lm.fit(docs.filter(~F.col("held_out")))
+    return lm.scores(docs, model, words, carry=("held_out",))
+
+
+@query
+def op7_skip_chain_crf(spark, folder):
+    docs = table(spark, folder, "documents")
+    found = pii.personal_data(docs, pii.fit(docs))
+    digest = F.sha2(F.col("base_spans").cast("binary"), 256).alias("base_sha256")
+    return found.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", digest, "spans", "n_added")
+
+
 @query
 def op8_mix(spark, folder):
     drawn = mixing.draws(table(spark, folder, "documents"))
     words = F.aggregate("taken", F.lit(0).cast("long"), lambda total, d: total + d["words"])
     return drawn.select("doc_id", "size", "source_size", "target", words.alias("taken"))
+
+
+@query
+def op9_template_leaks(spark, folder):
+    return decontaminate.leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+def vocabulary(name: str = "word_bpe_49k.json") -> str:
+    with open(public_tokenizers.path(name), encoding="utf-8") as file:
+        return file.read()
+
+
+@query
+def op10_token_ids(spark, folder):
+    files = tokenids.write_tokens(table(spark, folder, "documents"), vocabulary(), end_id=1)
+    return tokenids.digests(tokenids.read_tokens(spark, files))
