@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from deskloom.llm import decontaminate, langid, lm, mixing, neardup, pii, quality, tokenids, toxicity
+from deskloom.llm import decontaminate, langid, lm, mixing, neardup, pii, quality, substrings, tokenids, toxicity
 from deskloom.llm.words import in_fold
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -30,6 +30,11 @@ def op1_hyperminhash(spark, folder):
     return neardup.near_duplicates(table(spark, folder, "documents"))
 
 
+@query
+def op2_suffix_automata(spark, folder):
+    return substrings.remove_repeats(table(spark, folder, "documents"))
+
+
 @query
 def op3_compression_bands(spark, folder):
     return quality.quality(table(spark, folder, "documents"))
