@@ -97,31 +97,15 @@ def lookup(col: Column, table: Mapping[str, str], default: str | None = None) ->
     return F.coalesce(F.create_map(*pairs)[col], F.lit(default))
 
 
-def rules_from_table(rule_table: DataFrame, max_rules: int = 2000) -> dict[str, list[str]] | None:
-    """Read a rule table (class, ordinal, pattern) into a rule set; None if it holds more than ``max_rules`` rows."""
-    rows = rule_table.select("class", "ordinal", "pattern").limit(max_rules + 1).collect()
-    if len(rows) > max_rules:
-        return None
-    rules: dict[str, list[str]] = {}
-    for row in sorted(rows, key=lambda r: (r["ordinal"], r["pattern"])):
-        rules.setdefault(row["class"], []).append(row["pattern"])
-    return rules
-
-
-def rule_hits(df: DataFrame, text: str, rule_table: DataFrame, max_rules: int = 2000) -> DataFrame:
-    """Text x rule theta join, reduced to hits: adds ``hits`` = array of struct(class, n) for classes with a hit.
-
-    Up to ``max_rules`` rules become constant expressions in one projection. A longer rule table is joined as a theta
-    join whose pairs are counted per row key by the caller's unique ``seq`` column.
+def rule_hits(df: DataFrame, text: str, rule_table: DataFrame) -> DataFrame:
+    """Text x rule table, reduced to hits: adds ``hits`` = array of struct(class, n) in rule order for classes with a hit.
+
+    The rule table (class, ordinal, pattern) becomes one array, which every row is matched with in place: no pairs of
+    texts and rules are made, at any number of rules.
     """
-    rules = rules_from_table(rule_table, max_rules)
-    if rules is not None:
-        per_class = F.array(*[
-            F.struct(F.lit(c).alias("class"), pattern_hits(F.col(text), p).alias("n")) for c, p in rules.items()])
-        return df.withColumn("hits", F.filter(per_class, lambda h: h["n"] > 0))
-    pairs = df.select("seq", F.col(text).alias("_text")).join(
-        rule_table.select("class", "pattern"), F.expr(f"_text rlike concat('{FLAGS}', pattern)"))
-    hits = (pairs.groupBy("seq", "class").agg(F.count("*").cast("int").alias("n"))
-            .groupBy("seq").agg(F.array_sort(F.collect_list(F.struct("class", "n"))).alias("hits")))
-    empty = F.array().cast("array<struct<class:string,n:int>>")
-    return df.join(hits, "seq", "left").withColumn("hits", F.coalesce("hits", empty))
+    classes = rule_table.groupBy("class").agg(F.min("ordinal").alias("ordinal"), F.collect_list("pattern").alias("patterns"))
+    rules = classes.agg(F.array_sort(F.collect_list(F.struct("ordinal", "class", "patterns")))).scalar()
+    found = F.transform("_rules", lambda r: F.struct(
+        r["class"].alias("class"),
+        F.size(F.filter(r["patterns"], lambda p: F.rlike(F.col(text), F.concat(F.lit(FLAGS), p)))).alias("n")))
+    return df.withColumn("_rules", rules).withColumn("hits", F.filter(found, lambda h: h["n"] > 0)).drop("_rules")

@@ -12,82 +12,89 @@ from pyspark.sql import functions as F
 
 from deskloom.session import stored
 
-MAX_HEAVY_KEYS = 1000
+# Rows of one key that a single task may take.
 HEAVY_ROWS = 1_000_000
-SALTS = 64
+# Distinct values that are ranked in one task, and rows per group that one ranking pass hands on.
+VALUES_PER_BUCKET = 100_000
+RANKED_ROWS = 1_000
 
 
 def _names(key: str | Sequence[str]) -> list[str]:
     return [key] if isinstance(key, str) else list(key)
 
 
-def heavy_keys(df: DataFrame, key: str | Sequence[str], min_rows: int = HEAVY_ROWS,
-               max_keys: int = MAX_HEAVY_KEYS) -> DataFrame:
-    """At most ``max_keys`` keys with at least ``min_rows`` rows, heaviest first (map-side combined count).
+def heavy_keys(df: DataFrame, key: str | Sequence[str], rows_per_task: int = HEAVY_ROWS,
+               rows: Column | None = None) -> DataFrame:
+    """(key.., _salts): every key with more than ``rows_per_task`` rows, and the number of tasks its rows are worth.
 
-    Keys beyond the list hold fewer rows than total / ``max_keys`` each, so leaving them unsalted is safe.
+    ``rows`` gives the row count of a key where ``df`` holds one row per key already.
     """
     names = _names(key)
-    return (df.groupBy(*names).agg(F.count("*").alias("_rows"))
-            .filter(F.col("_rows") >= min_rows)
-            .orderBy(F.desc("_rows"), *names).limit(max_keys).select(*names))
+    counted = df.select(*names, rows.alias("_rows")) if rows is not None else df.groupBy(*names).agg(F.count("*").alias("_rows"))
+    return counted.filter(F.col("_rows") > rows_per_task).select(
+        *names, F.ceil(F.col("_rows") / F.lit(rows_per_task)).cast("int").alias("_salts"))
 
 
 def skew_join(left: DataFrame, right: DataFrame, key: str | Sequence[str], spread: str, how: str = "inner",
-              heavy: DataFrame | None = None, min_rows: int = HEAVY_ROWS, salts: int = SALTS,
-              left_stored: bool = False, left_rows: int | None = None) -> DataFrame:
+              heavy: DataFrame | None = None, min_rows: int = HEAVY_ROWS, left_stored: bool = False,
+              left_rows: int | None = None) -> DataFrame:
     """Equi-join on ``key`` where ``left`` may have very hot keys.
 
-    A ``left_stored`` table is counted first (Parquet footers only), or the caller knows ``left_rows``: with fewer than
-    ``min_rows`` rows there is no heavy key and the join stays plain. Else ``left`` should be cheap to read twice.
+    A ``left_stored`` table is counted first (Parquet footers only), or the caller knows ``left_rows``: with at most
+    ``min_rows`` rows no key can have more, and the join stays plain. Else ``left`` should be cheap to read twice.
 
-    Rows of heavy keys are spread over ``salts`` sub-keys by a hash of the ``spread`` column (repeatable, so a re-run
-    task makes the same split) and only the matching ``right`` rows are copied to each sub-key. ``heavy`` has at most
-    ``MAX_HEAVY_KEYS`` rows, which bounds the broadcasts.
+    Rows of heavy keys are spread over sub-keys, one per ``min_rows`` rows, by a hash of the ``spread`` column (repeatable,
+    so a re-run task makes the same split) and only the matching ``right`` rows are copied to each sub-key. The list of
+    heavy keys (see ``heavy_keys``) is stored once, so both sides see the same one.
     """
+    if how not in ("inner", "left", "left_outer", "left_semi", "left_anti"):
+        raise ValueError(f"rows of the right side are copied, so a {how} join would repeat unmatched ones")
     names = _names(key)
     if left_stored:
         left_rows = left.count()
-    if left_rows is not None and left_rows < min_rows:
+    if left_rows is not None and left_rows <= min_rows:
         return left.join(right, names, how)
-    if heavy is None:
-        heavy = heavy_keys(left, names, min_rows)
-    marks = F.broadcast(heavy.select(*names).limit(MAX_HEAVY_KEYS).withColumn("_heavy", F.lit(True)))
-    salt = F.pmod(F.xxhash64(spread), F.lit(salts)).cast("int")
-    copies = F.when(F.col("_heavy"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-    salted_left = (left.join(marks, names, "left")
-                   .withColumn("_salt", F.when(F.col("_heavy"), salt).otherwise(0)).drop("_heavy"))
-    salted_right = right.join(marks, names, "left").withColumn("_salt", F.explode(copies)).drop("_heavy")
+    marks = stored(heavy_keys(left, names, min_rows) if heavy is None else heavy, "heavy")
+    if marks.isEmpty():
+        return left.join(right, names, how)
+    salt = F.when(F.col("_salts").isNotNull(), F.pmod(F.xxhash64(spread), F.col("_salts")).cast("int")).otherwise(0)
+    copies = F.sequence(F.lit(0), F.coalesce(F.col("_salts"), F.lit(1)) - 1)
+    salted_left = left.join(marks, names, "left").withColumn("_salt", salt).drop("_salts")
+    salted_right = right.join(marks, names, "left").withColumn("_salt", F.explode(copies)).drop("_salts")
     return salted_left.join(salted_right, [*names, "_salt"], how).drop("_salt")
 
 
 def first_per_key(df: DataFrame, key: str, order: str) -> DataFrame:
-    """The row with the smallest ``order`` per key, by aggregation: copies of a hot key are combined before the shuffle."""
-    others = [c for c in df.columns if c not in (key, order)]
-    best = F.min(F.struct(order, *others)).alias("_first")
-    return df.groupBy(key).agg(best).select(key, "_first.*").select(*df.columns)
+    """The row with the smallest ``order`` (unique) per key.
+
+    Only (key, order) is aggregated, map-side combined, so copies of a hot key cost little; rows are then picked by a semi
+    join on (key, order), which no key can skew. ``df`` is read twice, the first time for two columns.
+    """
+    best = df.groupBy(key).agg(F.min(order).alias(order))
+    return df.join(best, [key, order], "left_semi").select(*df.columns)
 
 
 def last_per_key(df: DataFrame, key: str, order: str) -> DataFrame:
-    """The row with the largest ``order`` per key (later rows overwrite earlier ones)."""
-    others = [c for c in df.columns if c not in (key, order)]
-    best = F.max(F.struct(order, *others)).alias("_last")
-    return df.groupBy(key).agg(best).select(key, "_last.*").select(*df.columns)
+    """The row with the largest ``order`` (unique) per key: later rows overwrite earlier ones."""
+    best = df.groupBy(key).agg(F.max(order).alias(order))
+    return df.join(best, [key, order], "left_semi").select(*df.columns)
 
 
 def top_n_per_group(df: DataFrame, group: Sequence[str], order: Sequence[Column], n: int, spread: str,
-                    rank: str = "rn", salts: int = SALTS) -> DataFrame:
-    """First ``n`` rows per group in a total order, with their rank.
+                    rank: str = "rn", salts: int | None = None) -> DataFrame:
+    """First ``n`` rows per group in a total order, with their rank. ``order`` must end in a unique column.
 
-    Two passes: the first ranks inside (group, salt), so a hot group is sorted by many tasks; the second sees at most
-    ``salts * n`` rows per group. ``order`` must end in a unique column.
+    Spark cuts to ``n`` rows per group in every task before the shuffle. Where ``n`` itself is large, that still leaves a
+    hot group with too many rows for one sort: it is then ranked inside (group, salt) first, one salt per
+    ``RANKED_ROWS`` wanted rows.
     """
-    salt = F.pmod(F.xxhash64(spread), F.lit(salts))
-    local = Window.partitionBy(*group, "_salt").orderBy(*order)
+    salts = -(-n // RANKED_ROWS) if salts is None else salts
     final = Window.partitionBy(*group).orderBy(*order)
-    return (df.withColumn("_salt", salt)
-            .withColumn(rank, F.row_number().over(local)).filter(F.col(rank) <= n).drop(rank, "_salt")
-            .withColumn(rank, F.row_number().over(final)).filter(F.col(rank) <= n))
+    if salts > 1:
+        local = Window.partitionBy(*group, "_salt").orderBy(*order)
+        df = (df.withColumn("_salt", F.pmod(F.xxhash64(spread), F.lit(salts)))
+              .withColumn(rank, F.row_number().over(local)).filter(F.col(rank) <= n).drop(rank, "_salt"))
+    return df.withColumn(rank, F.row_number().over(final)).filter(F.col(rank) <= n)
 
 
 def bucketed_row_number(df: DataFrame, order: str, bucket: Column, name: str = "position",
@@ -109,23 +116,26 @@ def bucketed_row_number(df: DataFrame, order: str, bucket: Column, name: str = "
             .drop("_bucket", "_inside", "_offset"))
 
 
-def value_positions(df: DataFrame, value: str, group: Sequence[str] = (), buckets: int = 256,
+def value_positions(df: DataFrame, value: str, group: Sequence[str] = (), buckets: int | None = None,
                     weight: str | None = None) -> DataFrame:
     """(group.., value, n, below, total): how often each value occurs, how many rows of its group are smaller, and the
     size of the group.
 
     ``weight`` names a column of row counts if the rows are counted already. Equal values are combined before the
-    shuffle and the distinct values stored; they are cut into ``buckets`` ranges by approximate quantiles. The cut
-    points only balance the work, the counts are exact.
+    shuffle and the distinct values stored; they are cut into ranges by approximate quantiles, one per
+    ``VALUES_PER_BUCKET`` values. The cut points only balance the work, the counts are exact.
     """
     group = list(group)
     size = F.sum(weight) if weight else F.count("*")
     counts = stored(df.filter(F.col(value).isNotNull()).groupBy(*group, value).agg(size.alias("n")), "values")
+    if buckets is None:
+        buckets = max(1, -(-counts.count() // VALUES_PER_BUCKET))
     values = f"array<{dict(df.dtypes)[value]}>"
-    quantiles = counts.agg(F.coalesce(F.percentile_approx(value, [i / buckets for i in range(1, buckets)], 1000),
-                                      F.array().cast(values)).alias("fine"))
+    places = F.array(*[F.lit(i / buckets) for i in range(1, buckets)]).cast("array<double>")
+    cut = F.percentile_approx(value, places, max(1000, 4 * buckets)) if buckets > 1 else F.lit(None).cast(values)
+    quantiles = counts.agg(F.count("*"), F.coalesce(cut, F.array().cast(values)).alias("fine"))
     # Every 16th cut finds the block, the block's own cuts the bucket: two short scans per value.
-    cuts = quantiles.select(F.struct("fine", F.filter("fine", lambda c, i: i % 16 == 15).alias("coarse"))).scalar()
+    cuts = quantiles.select(F.struct(F.col("fine"), F.filter("fine", lambda c, i: i % 16 == 15).alias("coarse"))).scalar()
     tagged = (counts.withColumn("_cuts", cuts)
               .withColumn("_block", F.size(F.filter("_cuts.coarse", lambda c: c < F.col(value))))
               .withColumn("_cut", F.slice("_cuts.fine", F.col("_block") * 16 + 1, F.lit(16)))

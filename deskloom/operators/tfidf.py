@@ -9,11 +9,9 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from deskloom.functions.text import drop_words, key_digest, ngrams, text_key, words
-from deskloom.operators.skew import HEAVY_ROWS, skew_join, top_n_per_group
+from deskloom.operators.skew import HEAVY_ROWS, heavy_keys, skew_join, top_n_per_group
 from deskloom.session import stored
 
-# A vocabulary of at most this many terms is small enough to broadcast.
-BROADCAST_TERMS = 100_000
 # Copies of one text an index keeps; searches may ask for pools up to this size.
 KEEP_COPIES = 30
 
@@ -57,7 +55,9 @@ def text_digest(text):
 def term_counts(docs: DataFrame, id_col: str, text_col: str, config: TfidfConfig, carry: Sequence[str] = ()) -> DataFrame:
     """(id, term, tf, carry..). The texts are spread by id before they are cut into n-grams, so the only shuffle moves
     plain texts; counting per (id, term) then needs none."""
-    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("_text"), *carry).repartition("id")
+    # With a number, the partitions stay apart: texts grow many times when they are cut into n-grams.
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("_text"), *carry).repartition(parts, "id")
     exploded = texts.select("id", *carry, F.explode(config.terms(F.col("_text"))).alias("term"))
     return exploded.groupBy("id", *carry, "term").agg(F.count("*").alias("tf")).select("id", "term", "tf", *carry)
 
@@ -88,14 +88,9 @@ class TfidfModel:
 
     def weigh(self, tf: DataFrame) -> DataFrame:
         """Unit-length weights of counted terms; terms outside the vocabulary are dropped."""
-        cap = self.config.max_terms
-        if cap is not None and cap <= BROADCAST_TERMS:
-            joined = tf.join(F.broadcast(self.terms), "term")
-        else:
-            # Hot terms are known from their document frequency; no extra pass finds them.
-            hot = (self.terms.filter(F.col("df") >= self.heavy_rows)
-                   .orderBy(F.desc("df"), "term").limit(1000).select("term"))
-            joined = skew_join(tf, self.terms, "term", spread="id", heavy=hot)
+        # Hot terms are known from their document frequency; no extra pass finds them.
+        hot = heavy_keys(self.terms, "term", self.heavy_rows, rows=F.col("df"))
+        joined = skew_join(tf, self.terms, "term", spread="id", heavy=hot)
         raw = joined.withColumn("_w", (1 + F.log(F.col("tf").cast("double"))) * F.col("idf"))
         length = F.sqrt(F.sum(F.col("_w") * F.col("_w")).over(Window.partitionBy("id")))
         return raw.select("id", "term", "df", (F.col("_w") / length).alias("weight"))
@@ -153,8 +148,10 @@ class TfidfIndex:
         self.model.terms.write.parquet(f"{path}/terms")
         self.weights.write.parquet(f"{path}/weights")
         self.members.write.parquet(f"{path}/members")
+        self.members.sparkSession.range(1).select(F.lit(self.keep).alias("keep")).write.parquet(f"{path}/settings")
 
     @classmethod
-    def load(cls, spark: SparkSession, path: str, config: TfidfConfig, keep: int = KEEP_COPIES) -> "TfidfIndex":
+    def load(cls, spark: SparkSession, path: str, config: TfidfConfig) -> "TfidfIndex":
+        """A saved index; how many copies per text it holds was saved with it, so a larger pool is refused."""
         return cls(TfidfModel(spark.read.parquet(f"{path}/terms"), config), spark.read.parquet(f"{path}/weights"),
-                   spark.read.parquet(f"{path}/members"), keep)
+                   spark.read.parquet(f"{path}/members"), spark.read.parquet(f"{path}/settings").first()["keep"])

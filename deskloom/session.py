@@ -33,12 +33,14 @@ def local_session(cores: str = "8", memory: str = "8g", shuffle_partitions: int
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared checkpoint folder; a temporary one only where none is configured."""
+    """The cluster's shared checkpoint folder; a temporary one only in local mode, where none may be configured."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
+    if not configured and not sc.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     sc.setCheckpointDir(configured or tempfile.mkdtemp(prefix="deskloom-"))
     return sc.getCheckpointDir()
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -56,8 +57,13 @@ def csv_files(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def choose_csv(spark: SparkSession, folder: str, preferred: str = "twcs.csv") -> str | None:
-    """The file whose path names ``preferred``, else the largest CSV; None without any CSV."""
-    files = csv_files(spark, folder)
+    """The file whose path names ``preferred``, else the largest CSV; None without any CSV or without the folder."""
+    try:
+        files = csv_files(spark, folder)
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
     best = files.orderBy(F.contains(F.lower("path"), F.lit(preferred)).cast("int").desc(),
                          F.desc("bytes"), F.desc("path")).limit(1).collect()
     return best[0]["path"] if best else None
