@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from deskloom.functions import text as T
 from deskloom.functions.rules import FLAGS, RuleSet, label_class
-from deskloom.operators.skew import (HEAVY_ROWS, first_per_key, last_per_key, skew_join, top_n_per_group)
+from deskloom.operators.skew import HEAVY_ROWS, first_per_key, skew_join, top_n_per_group
 from deskloom.session import stored
 
 
@@ -46,10 +46,15 @@ def reply_targets(messages: DataFrame, replies: DataFrame) -> DataFrame:
     return named.join(ids, "tweet_id", "left_semi").select(*messages.columns)
 
 
-def parents(messages: DataFrame) -> DataFrame:
-    """(tweet_id, customer_raw): one text per id; of rows that share an id the last one counts."""
+def parents(messages: DataFrame, replies: DataFrame) -> DataFrame:
+    """(tweet_id, customer_raw): one text per answered id; of rows that share an id the last one counts.
+
+    Ids and row numbers decide first; texts are fetched for the chosen rows only.
+    """
+    answered = linked(replies).select(F.col("in_response_to_tweet_id").alias("tweet_id")).distinct()
     rows = messages.filter(F.col("tweet_id") != "").select("tweet_id", "seq", F.col("text").alias("customer_raw"))
-    return last_per_key(rows, "tweet_id", "seq").drop("seq")
+    latest = rows.join(answered, "tweet_id", "left_semi").groupBy("tweet_id").agg(F.max("seq").alias("seq"))
+    return rows.join(latest, ["tweet_id", "seq"], "left_semi").drop("seq")
 
 
 def pair_replies(replies: DataFrame, messages: DataFrame, heavy_rows: int = HEAVY_ROWS) -> DataFrame:
@@ -57,27 +62,28 @@ def pair_replies(replies: DataFrame, messages: DataFrame, heavy_rows: int = HEAV
     sent = linked(replies).select(F.col("in_response_to_tweet_id").alias("tweet_id"),
                                   F.col("tweet_id").alias("agent_tweet_id"),
                                   F.col("text").alias("agent_raw"), "seq")
-    return skew_join(sent, parents(messages), "tweet_id", spread="agent_tweet_id", min_rows=heavy_rows)
+    return skew_join(sent, parents(messages, replies), "tweet_id", spread="agent_tweet_id", min_rows=heavy_rows)
 
 
 def first_reply_pairs(replies: DataFrame, messages: DataFrame, min_chars: int = 15) -> DataFrame:
     """Cleaned (customer_text, agent_text) pairs, the first long-enough reply per message.
 
-    Later replies to the same message share its text key and would be dropped as duplicates anyway. Dropping them in a
-    map-side combined aggregation before the join removes the skew of heavily answered messages.
+    Later replies to the same message share its text key and would be dropped as duplicates anyway. Dropping them by a
+    map-side combined aggregation of (id, row number) before the join removes the skew of heavily answered messages.
     """
-    sent = (linked(replies)
-            .select(F.col("in_response_to_tweet_id").alias("tweet_id"), "seq",
-                    F.col("tweet_id").alias("agent_tweet_id"), T.clean_text(F.col("text")).alias("agent_text"))
-            .filter(T.long_enough(F.col("agent_text"), min_chars)))
-    asked = (parents(messages)
+    sent = linked(replies).select(F.col("in_response_to_tweet_id").alias("tweet_id"), "seq",
+                                  F.col("tweet_id").alias("agent_tweet_id"), "text")
+    usable = sent.filter(T.long_enough(T.clean_text(F.col("text")), min_chars))
+    first = usable.groupBy("tweet_id").agg(F.min("seq").alias("seq"))
+    chosen = sent.join(first, ["tweet_id", "seq"], "left_semi").withColumn("agent_text", T.clean_text(F.col("text"))).drop("text")
+    asked = (parents(messages, replies)
              .select("tweet_id", T.clean_text(F.col("customer_raw")).alias("customer_text"))
              .filter(T.long_enough(F.col("customer_text"), min_chars)))
-    return first_per_key(sent, "tweet_id", "seq").join(asked, "tweet_id")
+    return chosen.join(asked, "tweet_id")
 
 
 def dedupe_by_text(pairs: DataFrame, text: str = "customer_text", order: str = "seq") -> DataFrame:
-    """First row in file order per text key. The key travels as a digest, the text once per surviving row."""
+    """First row in file order per text key. The key travels as a digest; rows are picked by their number."""
     keyed = pairs.withColumn("_key", T.key_digest(T.text_key(F.col(text))))
     return first_per_key(keyed, "_key", order).drop("_key")
 
@@ -106,7 +112,7 @@ def class_positions(capped: DataFrame, classes, label: str = "class", rank: str
 def support_pairs(messages: DataFrame, replies: DataFrame, rules: RuleSet, default_class: str,
                   max_pairs: int = 3000, min_chars: int = 15) -> DataFrame:
     """Cleaned, deduplicated pairs, at most ``max(10, max_pairs // classes)`` per class, with class and position."""
-    pairs = dedupe_by_text(first_reply_pairs(replies, messages, min_chars))
+    pairs = dedupe_by_text(stored(first_reply_pairs(replies, messages, min_chars), "first-replies"))
     labelled = pairs.withColumn("class", label_class(F.col("customer_text"), rules, default_class)["class"])
     # At most cap x classes rows; stored because numbering and later checks read them again.
     capped = stored(cap_per_class(labelled, class_cap(max_pairs, len(rules))), "pairs")

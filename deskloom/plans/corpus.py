@@ -56,7 +56,7 @@ def initialise_data(spark: SparkSession, messages: DataFrame, folder: str, max_p
     golden, sampled = golden_sample(corpus, adversarial_cases(spark), taxonomy.CLASSES, rules.LABEL_ESCALATION_RULES,
                                     rules.HARD_CASE_PATTERNS, target)
     golden, sampled = stored(golden), stored(sampled)
-    clean = without_leaks(corpus, golden, sampled, deduplicated=True).select(*CORPUS_COLUMNS)
+    clean = without_leaks(corpus, golden, sampled).select(*CORPUS_COLUMNS)
     write_json(clean, f"{folder}/corpus")
     write_json(golden, f"{folder}/golden")
     write_csv(golden, f"{folder}/golden_csv")
