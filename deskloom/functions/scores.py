@@ -17,21 +17,43 @@ def strip_code_fence(col: Column) -> Column:
     return F.when(F.startswith(text, F.lit("```")), F.array_join(kept, "\n")).otherwise(text)
 
 
+def _json_score(parsed: Column, name: str, low: int, high: int, missing: int) -> tuple[Column, Column]:
+    """(whether the entry counts as a number, its clamped whole part): numbers, true and false, and whole numbers in
+    quotes count; null, other texts and nested values do not."""
+    entry = F.try_variant_get(parsed, f"$.{name}", "variant")
+    kind = F.schema_of_variant(entry)
+    text = F.try_variant_get(parsed, f"$.{name}", "string")
+    number = F.when(kind == "STRING", F.when(F.rlike(text, F.lit(r"^\s*[+-]?[0-9]+\s*$")), text.try_cast("double")))\
+        .when(kind == "BOOLEAN", F.when(text == "true", 1.0).otherwise(0.0))\
+        .when(kind.rlike("^(BIGINT|DOUBLE|FLOAT|DECIMAL)"), text.try_cast("double"))
+    value = F.when(entry.isNull(), F.lit(float(missing))).otherwise(number)
+    whole = F.floor(F.abs(value)) * F.signum(value)
+    return value.isNotNull() & ~F.isnan(value), F.greatest(F.lit(low), F.least(F.lit(high), whole)).cast("int")
+
+
 def parse_scores_json(col: Column, low: int = 1, high: int = 5, missing: int = 3) -> Column:
-    """Struct of the four rubric scores from a JSON reply, clamped; null if the reply is no JSON object.
+    """Struct of the four rubric scores from a JSON reply, clamped, with their mean and the reasoning.
 
-    A score that is absent counts as ``missing``; one that is present but no number makes the whole result null.
+    Null if the reply is not one JSON object and nothing else. A score that is absent counts as ``missing``; one that is
+    present but no number makes the whole result null.
     """
     def build(parsed: Column) -> Column:
-        valid, scores = parsed.isNotNull(), []
+        valid, scores = F.schema_of_variant(parsed).startswith("OBJECT"), []
         for name in RUBRIC:
-            number = F.coalesce(parsed[name], F.lit(str(missing))).try_cast("double")
-            clamped = F.greatest(F.lit(low), F.least(F.lit(high), F.floor(F.abs(number)) * F.signum(number)))
-            scores.append(clamped.cast("int").alias(name))
-            valid = valid & (~F.map_contains_key(parsed, F.lit(name)) | parsed[name].try_cast("double").isNotNull())
-        return F.when(valid, F.struct(*scores, F.coalesce(parsed["reasoning"], F.lit("")).alias("reasoning")))
+            counts, score = _json_score(parsed, name, low, high, missing)
+            valid = valid & counts
+            scores.append(score.alias(name))
+        overall = F.bround(sum(scores[1:], scores[0]) / F.lit(float(len(RUBRIC))), 2)
+        reasoning = F.coalesce(F.try_variant_get(parsed, "$.reasoning", "string"), F.lit(""))
+        return F.when(valid, F.struct(*scores, overall.alias("overall_score"), reasoning.alias("reasoning")))
+
+    return bind(strip_code_fence(col), lambda text: bind(F.try_parse_json(only_object(text)), build))
+
 
-    return bind(F.from_json(strip_code_fence(col), "map<string,string>"), build)
+def only_object(text: Column) -> Column:
+    """The text if it starts and ends like an object; the JSON parser itself ignores what follows a value."""
+    trimmed = F.regexp_replace(text, r"^\s+|\s+\z", "")
+    return F.when(trimmed.startswith("{") & trimmed.endswith("}"), trimmed)
 
 
 def normalise(scores: Column) -> Column:

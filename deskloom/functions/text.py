@@ -36,10 +36,12 @@ def clean_text(col: Column) -> Column:
 
 
 def norm_id(col: Column) -> Column:
-    """Id as text: null, '' and 'nan' to '', blanks stripped, one trailing '.0' dropped."""
-    text = col.cast("string")
-    return F.when(text.isNull() | (text == "") | (text == "nan"), "").otherwise(
-        F.regexp_replace(strip(text), r"\.0\z", ""))
+    """Id as text: null, '' and 'nan' to '', blanks stripped, one trailing '.0' dropped; float ids in plain digits."""
+    text, number = col.cast("string"), col.try_cast("double")
+    plain = F.regexp_replace(strip(text), r"\.0\z", "")
+    whole = F.when((number == F.floor(number)) & (F.abs(number) < 1e18), number.cast("decimal(20,0)").cast("string"))
+    return (F.when(text.isNull() | (F.lower(text) == "nan") | (text == ""), "")
+            .when(F.typeof(col).isin("double", "float"), F.coalesce(whole, plain)).otherwise(plain))
 
 
 def text_key(col: Column) -> Column:

@@ -78,12 +78,19 @@ def exact_agreement(a: str, b: str) -> Column:
 def agreement_report(df: DataFrame, human: str, judge: str) -> DataFrame:
     """One row: sample_size, cohen_kappa_quadratic, pearson_correlation_r, p_value, spearman_rho,
     agreement_percentage, mean_human_score, mean_judge_score."""
+    # Only rows that both have rated count, for every figure.
     pairs = counted_pairs(df, human, judge)
     binned = (pairs.groupBy(half_even_bin(F.col("_a")).alias("_a"), half_even_bin(F.col("_b")).alias("_b"))
               .agg(F.sum("_n").alias("_n")))
-    head = df.agg(F.count("*").alias("sample_size"), F.corr(human, judge).alias("pearson_correlation_r"),
-                  exact_agreement(human, judge).alias("agreement_percentage"),
-                  F.avg(human).alias("mean_human_score"), F.avg(judge).alias("mean_judge_score"))
+    n, x, y = F.col("_n"), F.col("_a"), F.col("_b")
+    means = pairs.agg((F.sum(n * x) / F.sum(n)).alias("_x"), (F.sum(n * y) / F.sum(n)).alias("_y"))
+    dx, dy = x - means.select("_x").scalar(), y - means.select("_y").scalar()
+    equal = F.when(half_even_bin(x) == half_even_bin(y), 100.0).otherwise(0.0)
+    head = pairs.agg(
+        F.coalesce(F.sum(n), F.lit(0)).alias("sample_size"),
+        F.try_divide(F.sum(n * dx * dy), F.sqrt(F.sum(n * dx * dx) * F.sum(n * dy * dy))).alias("pearson_correlation_r"),
+        (F.sum(n * equal) / F.sum(n)).alias("agreement_percentage"),
+        (F.sum(n * x) / F.sum(n)).alias("mean_human_score"), (F.sum(n * y) / F.sum(n)).alias("mean_judge_score"))
     return head.select(
         "sample_size", kappa_of_pairs(binned).scalar().alias("cohen_kappa_quadratic"),
         "pearson_correlation_r",

@@ -89,7 +89,7 @@ def golden_sample(corpus: DataFrame, adversarial: DataFrame, classes, escalation
         F.when(F.col("_filled") | (F.col("source") == real_source), REAL_SAMPLE_NOTE)
         .otherwise(SYNTHETIC_SAMPLE_NOTE).alias("notes"),
         "source")
-    golden = adversarial.select(*GOLDEN_COLUMNS).limit(target).unionByName(cases.select(*GOLDEN_COLUMNS))
+    golden = adversarial.select(*GOLDEN_COLUMNS).orderBy("id").limit(target).unionByName(cases.select(*GOLDEN_COLUMNS))
     return golden, sampled.drop("_filled", "position")
 
 

@@ -9,13 +9,14 @@ from deskloom.functions import rules as R
 from deskloom.functions import scores as S
 from deskloom.functions import text as T
 from deskloom.operators.pairing import brand_replies, outbound, replies_by_signal
+from deskloom.operators.skew import top_n_per_group
+from deskloom.operators.tfidf import spark_stop_words
 from deskloom.plans.triage import split_blank
 from deskloom.presets import cases, rules, taxonomy
 from deskloom.queries import inputs, sql
 from deskloom.queries.registry import query, table
 from deskloom.session import scratch_path
 from deskloom.sources import files, literals, synthetic
-from deskloom.operators.tfidf import spark_stop_words
 
 
 @query(f"WITH {sql.MESSAGES} SELECT tweet_id, author_id, inbound, text, in_response_to_tweet_id FROM messages")
@@ -78,6 +79,16 @@ def norm_id(spark, folder):
     return table(spark, folder, "orders").select("o_orderkey", T.norm_id(raw).alias("norm"))
 
 
+@query("""SELECT o_orderkey, CASE WHEN o_orderkey % 7 = 0 THEN '' WHEN o_orderkey % 11 = 0 THEN ''
+  WHEN o_orderkey % 3 = 0 THEN (o_custkey + 0.5)::DOUBLE::VARCHAR ELSE (115700000 + o_custkey)::VARCHAR END AS norm FROM orders""")
+def norm_id_of_numbers(spark, folder):
+    """Ids that were read as floats, the way CSV readers leave them."""
+    key, cust = F.col("o_orderkey"), F.col("o_custkey").cast("double")
+    raw = F.when(key % 7 == 0, F.lit(None)).when(key % 11 == 0, F.lit("NaN").cast("double")).when(
+        key % 3 == 0, cust + 0.5).otherwise(cust + 115700000)
+    return table(spark, folder, "orders").select("o_orderkey", T.norm_id(raw).alias("norm"))
+
+
 @query(f"SELECT doc_id, {sql.key('text')} AS key FROM documents")
 def text_key(spark, folder):
     return table(spark, folder, "documents").select("doc_id", T.text_key(F.col("text")).alias("key"))
@@ -230,10 +241,13 @@ SELECT c.conv_id, coalesce(string_agg('Historical case ' || i || ':' || chr(10)
 FROM (SELECT DISTINCT conv_id FROM conversations) c LEFT JOIN p ON p.conv_id = c.conv_id GROUP BY c.conv_id""")
 def context_assembly(spark, folder):
     """Grounding text of the first three exchanges of each conversation (200 characters each, as the feature asks)."""
-    pairs = inputs.reply_pairs(spark, folder).withColumn("conv_id", F.expr("pair_id div 1000"))
-    cases_of = pairs.groupBy("conv_id").agg(F.transform(
-        F.array_sort(F.collect_list(F.struct("pair_id", F.col("reference").alias("customer_text"),
-                                             F.col("candidate").alias("agent_text")))),
+    pairs = inputs.reply_pairs(spark, folder).select(
+        F.expr("pair_id div 1000").alias("conv_id"), "pair_id", F.substring("reference", 1, 200).alias("customer_text"),
+        F.substring("candidate", 1, 200).alias("agent_text"))
+    # Ranked and cut to three before anything is collected.
+    first = top_n_per_group(pairs, ["conv_id"], [F.col("pair_id")], 3, spread="pair_id")
+    cases_of = first.groupBy("conv_id").agg(F.transform(
+        F.array_sort(F.collect_list(F.struct("pair_id", "customer_text", "agent_text"))),
         lambda c: F.struct(c["customer_text"].alias("customer_text"), c["agent_text"].alias("agent_text"))).alias("cases"))
     conversations = table(spark, folder, "conversations").select("conv_id").distinct()
     none = F.array().cast("array<struct<customer_text:string,agent_text:string>>")
@@ -258,16 +272,23 @@ def reply_post_filter(spark, folder):
 
 @query("""SELECT o_orderkey, greatest(1, least(5, o_custkey % 9 - 1))::INT AS groundedness,
   CASE WHEN o_orderkey % 4 = 0 THEN 3 ELSE greatest(1, least(5, o_custkey % 7)) END::INT AS brand_voice,
-  greatest(1, least(5, o_orderkey % 6))::INT AS actionability, 3 AS safety, o_orderpriority AS reasoning
-FROM orders WHERE o_orderkey % 5 <> 0 AND o_orderkey % 13 <> 0""")
+  greatest(1, least(5, o_orderkey % 6))::INT AS actionability,
+  CASE WHEN o_orderkey % 13 = 1 THEN 4 WHEN o_orderkey % 13 = 2 THEN 1 WHEN o_orderkey % 13 = 3 THEN 2 ELSE 3 END AS safety,
+  round_even((groundedness + brand_voice + actionability + safety) / 4.0, 2)::DOUBLE AS overall_score,
+  o_orderpriority AS reasoning
+FROM orders WHERE o_orderkey % 5 <> 0 AND o_orderkey % 13 NOT IN (0, 4, 5, 6, 7, 8)""")
 def parse_scores_json(spark, folder):
     """JSON score replies, some fenced, some without a key, some broken (dropped here)."""
     key, cust = F.col("o_orderkey"), F.col("o_custkey")
     voice = F.when(key % 4 != 0, F.concat(F.lit('"brand_voice": '), (cust % 7).cast("string"), F.lit(", "))).otherwise("")
     body = F.concat(F.lit('{"groundedness": '), (cust % 9 - 1).cast("string"), F.lit(", "), voice,
                     F.lit('"actionability": '), (key % 6).cast("string"),
-                    F.when(key % 13 == 0, F.lit(', "safety": "n/a"')).otherwise(""),
-                    F.lit(', "reasoning": "'), F.col("o_orderpriority"), F.lit('"}'))
+                    F.when(key % 13 == 0, ', "safety": "n/a"').when(key % 13 == 1, ', "safety": "4"')
+                    .when(key % 13 == 2, ', "safety": true').when(key % 13 == 3, ', "safety": 2.9')
+                    .when(key % 13 == 4, ', "safety": null').when(key % 13 == 5, ', "safety": "4.5"')
+                    .when(key % 13 == 6, ", 'safety': 4").when(key % 13 == 8, ', "safety": [4]').otherwise(""),
+                    F.lit(', "reasoning": "'), F.col("o_orderpriority"), F.lit('"}'),
+                    F.when(key % 13 == 7, " That is all.").otherwise(""))
     reply = F.when(key % 5 == 0, F.lit("Sorry, no scores.")).when(
         key % 3 == 0, F.concat(F.lit("```json\n"), body, F.lit("\n```"))).otherwise(body)
     parsed = table(spark, folder, "orders").select("o_orderkey", S.parse_scores_json(reply).alias("s"))

@@ -7,19 +7,19 @@ from pyspark.sql import functions as F
 from deskloom.queries import sql
 from deskloom.queries.registry import query, table
 from deskloom.session import scratch_path
-from deskloom.streaming.triage_stream import triage_rows, windowed_counts
+from deskloom.streaming.triage_stream import drop_repeats, triage_rows, windowed_counts
 
 EVENT_RULES = {"problem": [r"error"], "sale": [r"purchase"], "visit": [r"view", r"click"]}
 EVENT_STEPS = [("LOW_CONFIDENCE_AMBIGUITY", "LOW", "Route to a person.", [r'error.*"k": [89]'])]
 
 
 def _stream(spark, folder):
-    """The event table as a file stream of texts; the table is one file, so it arrives whole."""
+    """The event table as a file stream of texts: one file, cut into four by time, so it arrives in four batches."""
     path = scratch_path(spark, "event-stream")
     texts = table(spark, folder, "events").select(
         "event_id", F.col("ts").cast("timestamp").alias("ts"), F.concat("event_type", F.lit("  "), "props").alias("text"))
-    texts.write.parquet(path)
-    return spark.readStream.schema(texts.schema).parquet(path)
+    texts.repartitionByRange(4, "ts").write.parquet(path)
+    return spark.readStream.schema(texts.schema).option("maxFilesPerTrigger", 1).parquet(path)
 
 
 def _drain(spark, rows, mode="append"):
@@ -30,6 +30,14 @@ def _drain(spark, rows, mode="append"):
     return spark.read.schema(rows.schema).parquet(out)
 
 
+def _final(spark, rows):
+    """Run an aggregating stream and read its last state: every batch replaces the table, so open windows are in it."""
+    out = scratch_path(spark, "state")
+    (rows.writeStream.foreachBatch(lambda batch, _: batch.write.mode("overwrite").parquet(out)).outputMode("complete")
+     .option("checkpointLocation", scratch_path(spark, "progress")).trigger(availableNow=True).start().awaitTermination())
+    return spark.read.schema(rows.schema).parquet(out)
+
+
 _TEXT = sql.clean("event_type || '  ' || props")
 _TRIAGED = f"""t AS (SELECT event_id, ts, {_TEXT} AS text FROM events),
 triaged AS (SELECT *, {sql.best_class(sql.hit_list('text', EVENT_RULES), list(EVENT_RULES), 'other')} AS class,
@@ -43,12 +51,11 @@ def triage_stream(spark, folder):
 
 
 @query(f"""WITH {_TRIAGED}, w AS (SELECT time_bucket(INTERVAL 1 DAY, ts) AS window_start, class, decision, count(*) AS n
-  FROM triaged GROUP BY ALL) SELECT strftime(window_start, '%Y-%m-%d') AS day, class, decision, n FROM w
-WHERE window_start + INTERVAL 1 DAY <= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR""")
+  FROM triaged GROUP BY ALL) SELECT strftime(window_start, '%Y-%m-%d') AS day, class, decision, n FROM w""")
 def triage_stream_windows(spark, folder):
-    """Counts per day, class and decision of the days the watermark has closed."""
+    """Counts per day, class and decision, those of days that are still open, too."""
     rows = triage_rows(_stream(spark, folder), EVENT_RULES, "other", steps=EVENT_STEPS)
-    counts = _drain(spark, windowed_counts(rows, window="1 day", delay="1 hour"))
+    counts = _final(spark, windowed_counts(rows, window="1 day", delay="1 hour"))
     return counts.select(F.date_format("window_start", "yyyy-MM-dd").alias("day"), "class", "decision", "n")
 
 
@@ -60,3 +67,15 @@ def triage_batch_windows(spark, folder):
         F.col("ts").cast("timestamp").alias("ts"), F.concat("event_type", F.lit("  "), "props").alias("text"))
     counts = windowed_counts(triage_rows(texts, EVENT_RULES, "other", steps=EVENT_STEPS), window="1 day")
     return counts.select(F.date_format("window_start", "yyyy-MM-dd").alias("day"), "class", "decision", "n")
+
+
+@query("SELECT event_type || ' ' || user_id % 50 AS text, count(DISTINCT event_type) AS n FROM events GROUP BY ALL")
+def stream_first_messages(spark, folder):
+    """One message per text key over a stream of several batches; the watermark delay spans the whole table."""
+    path = scratch_path(spark, "event-stream")
+    texts = table(spark, folder, "events").select(
+        F.col("ts").cast("timestamp").alias("ts"),
+        F.concat("event_type", F.lit(" "), (F.col("user_id") % 50).cast("string")).alias("text"))
+    texts.repartitionByRange(3, "ts").write.parquet(path)
+    stream = spark.readStream.schema(texts.schema).option("maxFilesPerTrigger", 1).parquet(path)
+    return _drain(spark, drop_repeats(stream, delay="3650 days")).groupBy("text").agg(F.count("*").alias("n"))
