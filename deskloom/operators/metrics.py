@@ -5,12 +5,13 @@ The predictions are counted once per (system, truth, prediction); everything els
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from deskloom.operators.skew import value_positions
+from deskloom.session import stored
 
 
 def ratio(a: Column, b: Column) -> Column:
@@ -60,10 +61,12 @@ def confusion_matrix(predictions: DataFrame, truth: str, predicted: str, labels:
                      system: str = "system") -> DataFrame:
     """Dense (system, truth, predicted, n) over the ordered labels, zeros kept; other labels are left out."""
     counts = outcome_counts(predictions, truth, predicted, system)
-    names = F.array(*map(F.lit, labels))
-    grid = (counts.filter(F.col("n") > 0).select(system).distinct().withColumn("truth", F.explode(names))
-            .withColumn("predicted", F.explode(names)))
-    return grid.join(counts, [system, "truth", "predicted"], "left").withColumn("n", F.coalesce("n", F.lit(0)))
+    names = list(labels)
+    # One row per system with a count per cell; the cells unfold from it, so the predictions are read once.
+    cells = [F.struct(F.lit(t).alias("truth"), F.lit(p).alias("predicted"), F.coalesce(F.sum(F.when(
+        (F.col("truth") == t) & (F.col("predicted") == p), F.col("n"))), F.lit(0)).alias("n")) for t in names for p in names]
+    wide = counts.filter(F.col("n") > 0).groupBy(system).agg(F.array(*cells).alias("_cells"))
+    return wide.select(system, F.explode("_cells").alias("_c")).select(system, "_c.*")
 
 
 def confusion_table(matrix: DataFrame, labels: Sequence[str], system: str = "system") -> DataFrame:
@@ -78,10 +81,35 @@ def mean_metrics(scored: DataFrame, columns: Sequence[str], system: str = "syste
 def exact_percentile(df: DataFrame, value: str, p: float, group: Sequence[str] = (), name: str = "percentile") -> DataFrame:
     """Percentile with linear interpolation per group, exact and without gathering a group in one task.
 
-    The two neighbours of position ``p * (n - 1)`` are found from value counts and the counts before them.
+    Approximate quantiles bracket the two neighbours of position ``p * (n - 1)``: their rank error is a tenth of what the
+    bracket spans to either side. Rows below the bracket are only counted, and just the values inside it are placed.
     """
-    group = list(group)
-    placed = value_positions(df, value, group)
+    group, slack, accuracy = list(group), 0.001, 10_000
+    known = df.filter(F.col(value).isNotNull()).select(*group, value)
+    ends = F.percentile_approx(value, [max(0.0, p - slack), min(1.0, p + slack)], accuracy)
+    own = [f"_of_{g}" for g in group]
+    bounds = known.groupBy(*group).agg(ends.alias("_ends"), F.count("*").alias("_all")).toDF(*own, "_ends", "_all")
+    same = [F.col(g).eqNullSafe(F.col(o)) for g, o in zip(group, own)]
+    if group:
+        spans = known.join(bounds, same).drop(*own)
+    else:
+        spans = known.crossJoin(bounds)  # one row of bounds
+    wide = F.col("_all") * slack >= 4  # the bracket is some rows wide on either side; a smaller group is placed whole
+    low_end = F.when(wide, F.get("_ends", F.lit(0))) if p - slack > 0 else F.lit(None)
+    high_end = F.when(wide, F.get("_ends", F.lit(1))) if p + slack < 1 else F.lit(None)
+    side = F.when(F.col(value) < low_end, -1).when(F.col(value) > high_end, 1).otherwise(0)
+    kept = F.when(side == 0, F.col(value))
+    # One row per value inside the bracket, and one for all below it.
+    counts = (spans.withColumn("_side", side).filter("_side < 1").withColumn(value, kept)
+              .groupBy(*group, "_all", value).agg(F.count("*").alias("_n")))
+    counts = stored(counts, "bracket")
+    under = counts.filter(F.col(value).isNull()).select(*group, "_n").toDF(*own, "_under")
+    inner = value_positions(counts.filter(F.col(value).isNotNull()), value, [*group, "_all"], weight="_n")
+    if group:
+        placed = inner.join(under, same, "left").drop(*own)
+    else:
+        placed = inner.withColumn("_under", under.agg(F.sum("_under")).scalar())
+    placed = placed.withColumn("below", F.col("below") + F.coalesce("_under", F.lit(0))).withColumn("total", F.col("_all"))
     place = F.lit(p) * (F.col("total") - 1)
     floor, ceil = F.floor(place), F.ceil(place)
 
@@ -96,6 +124,11 @@ def exact_percentile(df: DataFrame, value: str, p: float, group: Sequence[str] =
 
 def tidy(df: DataFrame, metric_group: str, columns: Sequence[str], system: str = "system") -> DataFrame:
     """Wide metric columns to rows (system, metric_group, metric, value)."""
-    entries = F.array(*[F.struct(F.lit(c).alias("metric"), F.col(c).cast("double").alias("value")) for c in columns])
-    return df.select(F.col(system).alias("system"), F.lit(metric_group).alias("metric_group"),
-                     F.explode(entries).alias("_m")).select("system", "metric_group", "_m.*")
+    return tidy_groups(df, {metric_group: columns}, system)
+
+
+def tidy_groups(df: DataFrame, groups: Mapping[str, Sequence[str]], system: str = "system") -> DataFrame:
+    """Wide columns of several metric groups to rows (system, metric_group, metric, value), in one pass over ``df``."""
+    entries = F.array(*[F.struct(F.lit(group).alias("metric_group"), F.lit(c).alias("metric"),
+                                 F.col(c).cast("double").alias("value")) for group, columns in groups.items() for c in columns])
+    return df.select(F.col(system).alias("system"), F.explode(entries).alias("_m")).select("system", "_m.*")

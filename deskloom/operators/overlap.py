@@ -45,7 +45,8 @@ def _counted(pairs: DataFrame, token_sets, carry=()) -> DataFrame:
         return F.concat(*[g for kind, _, _, orders in token_sets for side in ("candidate", "reference")
                           for g in _grams(kind, t[f"{kind}_{side}"], orders, side)])
 
-    spread = pairs.repartition("pair_id")
+    # With a number, the partitions stay apart: small texts grow many times when they are cut into n-grams.
+    spread = pairs.repartition(int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions")), "pair_id")
     # explode_outer keeps a row for pairs without any token.
     rows = spread.select("pair_id", *carry, F.explode_outer(bind(tokens, all_grams)).alias("_g")).select(
         "pair_id", *carry, "_g.*")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from deskloom.functions.scores import RUBRIC
 from deskloom.operators.agreement import agreement_report
-from deskloom.operators.metrics import (binary_metrics, classification_metrics, confusion_matrix, mean_metrics, tidy)
+from deskloom.operators.metrics import (binary_metrics, classification_metrics, confusion_matrix, mean_metrics, tidy, tidy_groups)
 from deskloom.operators.overlap import text_similarity
 from deskloom.plans.baselines import keyword_baseline, majority_baseline
 from deskloom.plans.rubric import rubric_scores
@@ -17,6 +17,9 @@ from deskloom.presets import taxonomy
 
 # System names of the report.
 SYSTEMS = ["Baseline 0 (Trivial Canned)", "Baseline 1 (Simple Zero-Shot)", "Proposed Agent (Hybrid RAG)"]
+ALL = "all"
+AGREEMENT = ["sample_size", "cohen_kappa_quadratic", "pearson_correlation_r", "p_value", "spearman_rho",
+             "agreement_percentage", "mean_human_score", "mean_judge_score"]
 OVERLAP = ["rouge1", "rouge2", "rougeL", "bleu4", "semantic_similarity"]
 
 
@@ -53,19 +56,32 @@ def score_replies(predicted: DataFrame, stem: bool = True) -> DataFrame:
     return rubric.join(overlap, "pair_id").drop("pair_id")
 
 
-def benchmark_report(predicted: DataFrame, stem: bool = True) -> DataFrame:
-    """(system, metric_group, metric, value). Pass a materialised prediction table: it is read by every metric."""
+def benchmark_report(predicted: DataFrame, stem: bool = True, labels: Sequence[str] = (), leakage: DataFrame | None = None,
+                     ratings: DataFrame | None = None) -> DataFrame:
+    """(system, metric_group, metric, value). Pass a materialised prediction table: it is read by every metric.
+
+    ``labels`` adds the full pipeline's confusion matrix (metric: true class -> predicted class), ``leakage`` the leak check
+    (see ``operators.leakage.leakage_report``) and ``ratings`` the agreement of the rubric with rated replies; the last two
+    stand under the system ``ALL``.
+    """
     intents = classification_metrics(predicted, "truth", "predicted")
     escalation = binary_metrics(predicted, "truth_escalated", "predicted_escalated")
     scored = mean_metrics(score_replies(predicted, stem), [*OVERLAP, *RUBRIC, "overall_score"], prefix="")
-    groups = [tidy(intents, "intent_metrics", ["accuracy", "macro_f1", "weighted_f1"]),
-              tidy(escalation, "escalation_metrics", ["precision", "recall", "f1_score", "high_risk_miss_rate",
-                                                      "missed_high_risk_count", "total_high_risk_count"]),
-              tidy(scored, "text_generation_metrics", OVERLAP),
-              tidy(scored, "judge_metrics", [*RUBRIC, "overall_score"])]
-    report = groups[0]
-    for group in groups[1:]:
-        report = report.unionByName(group)
+    report = tidy(intents, "intent_metrics", ["accuracy", "macro_f1", "weighted_f1"])
+    report = report.unionByName(tidy(escalation, "escalation_metrics", [
+        "precision", "recall", "f1_score", "high_risk_miss_rate", "missed_high_risk_count", "total_high_risk_count"]))
+    report = report.unionByName(tidy_groups(scored, {"text_generation_metrics": OVERLAP,
+                                                     "judge_metrics": [*RUBRIC, "overall_score"]}))
+    if labels:
+        cells = pipeline_confusion(predicted, labels)
+        report = report.unionByName(cells.select("system", F.lit("confusion_matrix").alias("metric_group"), F.concat_ws(
+            " -> ", "truth", "predicted").alias("metric"), F.col("n").cast("double").alias("value")))
+    if leakage is not None:
+        found = leakage.withColumn("system", F.lit(ALL)).withColumn("leakage_detected", F.col("leakage_detected").cast("int"))
+        report = report.unionByName(tidy(found, "leakage_verification", [
+            "corpus_size", "golden_size", "exact_duplicates", "leakage_percentage", "leakage_detected"]))
+    if ratings is not None:
+        report = report.unionByName(tidy(rate_and_compare(ratings).withColumn("system", F.lit(ALL)), "judge_agreement", AGREEMENT))
     return report
 
 

@@ -16,7 +16,7 @@ from deskloom.functions.rules import RuleSet, first_largest, hit_counts, label_c
 from deskloom.functions.scores import normalise, ranked_classes
 from deskloom.functions.text import bind
 from deskloom.operators.skew import skew_join
-from deskloom.operators.tfidf import CLASSIFIER_TERMS, TfidfConfig, TfidfModel, fit_tfidf
+from deskloom.operators.tfidf import CLASSIFIER_TERMS, TfidfConfig, TfidfModel, fit_tfidf, term_counts
 from deskloom.presets import taxonomy
 from deskloom.session import stored
 
@@ -120,19 +120,20 @@ class ClassModel:
                    list(classes), config)
 
 
-def _vectors(docs, id_col, text_col, terms, config, size) -> DataFrame:
+def _vectors(docs, id_col, text_col, terms, config, size, tf=None) -> DataFrame:
     """(id, features) of the texts that hold a known term."""
-    weights = TfidfModel(terms.drop("index"), config).transform(docs, id_col, text_col)
-    indexed = weights.join(F.broadcast(terms.select("term", "index")), "term")
+    model = TfidfModel(terms.drop("index"), config)
+    weights = model.transform(docs, id_col, text_col) if tf is None else model.weigh(tf)
+    indexed = weights.join(terms.select("term", "index"), "term")
     # One document's distinct terms form one array: its size is bounded by the vocabulary.
     entries = F.array_sort(F.collect_list(F.struct("index", F.col("weight").alias("value"))))
     return indexed.groupBy("id").agg(entries.alias("_e")).select("id", sparse_vector(F.col("_e"), size).alias("features"))
 
 
-def _features(docs, id_col, text_col, terms, config, size) -> DataFrame:
+def _features(docs, id_col, text_col, terms, config, size, tf=None) -> DataFrame:
     """(id, features) of all texts; one without known terms gets an empty vector."""
     empty = F.array().cast("array<struct<index:int,value:double>>")
-    found = _vectors(docs, id_col, text_col, terms, config, size)
+    found = _vectors(docs, id_col, text_col, terms, config, size, tf)
     return (docs.select(F.col(id_col).alias("id")).join(found, "id", "left")
             .select("id", F.coalesce("features", sparse_vector(empty, size)).alias("features")))
 
@@ -142,12 +143,13 @@ def fit_classifier(corpus: DataFrame, text_col: str, label_col: str, classes: Se
                    id_col: str = "id") -> ClassModel:
     """Multinomial logistic regression with balanced class weights and ridge strength 1 / (c * rows).
 
-    The vocabulary is capped, so it is broadcast; features are cached only while the solver iterates.
+    Features are cached only while the solver iterates.
     """
     classes = list(classes)
     if config.max_terms is None:
         raise ValueError("the class model needs a capped vocabulary")
-    kept = fit_tfidf(corpus, id_col, text_col, config).terms
+    tf = stored(term_counts(corpus, id_col, text_col, config), "tf")  # the texts are cut into n-grams once
+    kept = fit_tfidf(corpus, id_col, text_col, config, tf).terms
     terms = stored(kept.withColumn("index", F.row_number().over(Window.orderBy("term")) - 1), "class-terms")
     sizes = {r[label_col]: r["count"] for r in
              corpus.filter(F.col(label_col).isin(classes)).groupBy(label_col).count().collect()}
@@ -158,7 +160,7 @@ def fit_classifier(corpus: DataFrame, text_col: str, label_col: str, classes: Se
     labelled = (corpus.filter(F.col(label_col).isin(classes))
                 .select(F.col(id_col).alias("id"), ordinal[F.col(label_col)].alias("label"),
                         balance[F.col(label_col)].alias("balance")))
-    training = labelled.join(_features(corpus, id_col, text_col, terms, config, size), "id").persist()
+    training = labelled.join(_features(corpus, id_col, text_col, terms, config, size, tf), "id").persist()
     solver = LogisticRegression(family="multinomial", elasticNetParam=0.0, standardization=False, weightCol="balance",
                                 regParam=1.0 / (c * rows), maxIter=max_iter)
     linear = solver.fit(training)

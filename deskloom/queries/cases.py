@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from deskloom.functions import rules as R
+from deskloom.operators.leakage import leakage_report
 from deskloom.operators.retrieval import flat_cases, search, top_k_cases
 from deskloom.operators.tfidf import (CLASSIFIER_TERMS, TfidfConfig, TfidfIndex, document_frequency, fit_tfidf, retrieval_terms,
                                       term_counts, tfidf, vocabulary)
@@ -16,6 +17,7 @@ from deskloom.plans.replies import draft_reply
 from deskloom.plans.triage import decide, triage
 from deskloom.presets import replies, rules, taxonomy
 from deskloom.queries import inputs, sql
+from deskloom.queries.corpora import tier_rated
 from deskloom.queries.inputs import DEFAULT_LANG, LANG_CORPUS_SQL, LANG_RULES, LANGS
 from deskloom.queries.registry import query, table
 from deskloom.queries.scalars import STOP_WORDS
@@ -135,6 +137,16 @@ def nearest_by_cosine(spark, folder):
     return found.select("query", "doc", F.round("score", 6).alias("score"), "rank")
 
 
+@query(f"""WITH {LANG_CORPUS_SQL}, {_ASKED}, {_top_k('queries', 'lang_corpus')}
+SELECT query_id AS query, id AS doc, round(score, 6) AS score, r AS rank FROM best""")
+def saved_index_search(spark, folder):
+    """The same pool from an index that was saved and loaded."""
+    path = scratch_path(spark, "index")
+    TfidfIndex.build(inputs.lang_corpus(spark, folder), "id", "customer_text", CASES).save(path)
+    found = search(_asked(spark, folder), TfidfIndex.load(spark, path, CASES), "query_id", "text", 9)
+    return found.select("query", "doc", F.round("score", 6).alias("score"), "rank")
+
+
 # Support messages: a generated message per benchmark item, followed by the item's text.
 _INCOMING = f"""{sql.SUPPORT},
 made AS ({sql.generated('benchmark', 'item_id')}),
@@ -291,7 +303,11 @@ def compare_systems(spark, folder):
 def benchmark_report(spark, folder):
     """All metrics of the three systems, written as JSON and read back."""
     path = scratch_path(spark, "benchmark-report")
-    files.write_json(B.benchmark_report(stored(B.predictions(_decided(spark, folder)))), path)
+    golden = _incoming(spark, folder).select(F.col("text").alias("customer_tweet"))
+    report = B.benchmark_report(stored(B.predictions(_decided(spark, folder))), labels=taxonomy.CLASSES,
+                                leakage=leakage_report(inputs.support(spark, folder), golden),
+                                ratings=tier_rated(spark, folder))
+    files.write_json(report, path)
     return files.scan_json_lines(spark, path, "system string, metric_group string, metric string, value double")
 
 
@@ -317,11 +333,22 @@ def benchmark_report_parts(spark, folder):
 
 # ---- linear model ----
 
+@query()
+def triage_with_model(spark, folder):
+    """The whole pipeline with a fitted model: fit on one part of the documents, decide on the benchmark's messages."""
+    corpus = inputs.lang_corpus(spark, folder)
+    model = fit_classifier(inputs.halves(corpus, "id")[0], "customer_text", "intent", LANGS, CLASSIFIER_TERMS)
+    messages = table(spark, folder, "benchmark").select(F.col("item_id").alias("query_id"), "text")
+    found = decide(messages, corpus, CASES, rules=LANG_RULES, model=model, names=dict(zip(LANGS, LANGS)))
+    return found.select("query_id", "predicted_intent", F.round("confidence", 6).alias("confidence"), "is_confident",
+                        "escalation.decision", "escalation.reason", F.size("top_cases").alias("retrieved"), "draft_reply")
+
+
 @query()
 def classify_with_model(spark, folder):
     """Logistic regression on one part of the documents, blended with rules on the other."""
     train, held = inputs.halves(inputs.lang_corpus(spark, folder), "id")
-    model = fit_classifier(train, "customer_text", "intent", LANGS, CLASSIFIER_TERMS, max_iter=100)
+    model = fit_classifier(train, "customer_text", "intent", LANGS, CLASSIFIER_TERMS)
     found = model.classify(held.select("id", "customer_text", "intent"), "id", "customer_text", LANG_RULES,
                            names=dict(zip(LANGS, LANGS)))
     return found.select("id", "intent", "predicted_intent", "confidence", "is_confident", "heuristic_match",

@@ -76,7 +76,7 @@ WHERE k = 1""")
 def duplicate_ids_last_wins(spark, folder):
     rows = inputs.messages(spark, folder).withColumn(
         "tweet_id", F.expr("cast((seq div 1000) * 1000 + (seq % 1000) div 2 as string)"))
-    return P.parents(rows)
+    return P.parents(rows, rows.withColumn("in_response_to_tweet_id", F.col("tweet_id")))
 
 
 @query(f"""WITH {sql.MESSAGES} SELECT tweet_id, author_id FROM messages WHERE tweet_id IN
@@ -301,25 +301,31 @@ def golden_browse(spark, folder):
                      F.max("id").alias("last_id"))
 
 
-_TIER_SQL = " ".join(f"WHEN {i} THEN {sql.lit(t) if t else 'agent_text'}" for i, (t, _) in enumerate(replies.RATING_TIERS))
+TIER_REPLIES = " ".join(f"WHEN {i} THEN {sql.lit(t) if t else 'agent_text'}" for i, (t, _) in enumerate(replies.RATING_TIERS))
 
 
 def _tier_score(k):
     return "CASE tier " + " ".join(f"WHEN {i} THEN {s[k]}" for i, (_, s) in enumerate(replies.RATING_TIERS)) + " END"
 
 
+TIER_OVERALL = "round((" + " + ".join(map(_tier_score, range(4))) + ") / 4.0, 2)::DOUBLE"
+
+
 @query(f"""WITH {sql.SUPPORT}, t AS (SELECT *, CASE WHEN seq < 20 THEN seq % 3 ELSE (seq - 20) % 3 END AS tier FROM support)
-SELECT id AS case_id, CASE tier {_TIER_SQL} END AS model_reply, {_tier_score(0)} AS groundedness, {_tier_score(1)} AS brand_voice,
+SELECT id AS case_id, CASE tier {TIER_REPLIES} END AS model_reply, {_tier_score(0)} AS groundedness, {_tier_score(1)} AS brand_voice,
   {_tier_score(2)} AS actionability, {_tier_score(3)} AS safety,
-  round(({_tier_score(0)} + {_tier_score(1)} + {_tier_score(2)} + {_tier_score(3)}) / 4.0, 2)::DOUBLE AS overall_mean,
+  {TIER_OVERALL} AS overall_mean,
   CASE WHEN seq < 20 THEN 'manual' ELSE 'programmatic_rubric' END AS annotation_method FROM t""")
 def tier_ratings(spark, folder):
+    return tier_rated(spark, folder).select("case_id", "model_reply", "human_scores.*", "annotation_method")
+
+
+def tier_rated(spark, folder):
     golden = inputs.support(spark, folder).select(
         "id", F.col("customer_text").alias("customer_tweet"), F.col("agent_text").alias("reference_reply"),
         F.col("intent").alias("ground_truth_intent"), F.lit("EASY").alias("difficulty"), "seq")
-    rated = G.tier_ratings(golden, "seq", replies.RATING_TIERS, manual_notes=replies.MANUAL_NOTES,
-                           tier_notes=replies.TIER_NOTES)
-    return rated.select("case_id", "model_reply", "human_scores.*", "annotation_method")
+    return G.tier_ratings(golden, "seq", replies.RATING_TIERS, manual_notes=replies.MANUAL_NOTES,
+                          tier_notes=replies.TIER_NOTES)
 
 
 # ---- rule labels ----
@@ -384,9 +390,11 @@ def normalised_ranked_classes(spark, folder):
         "doc_id", "c.class", F.round("c.score", 6).alias("share"), (F.col("p") + 1).alias("rank"))
 
 
-@query(f"""WITH {COLLECTED} SELECT 'kaggle_twcs' AS source, class, count(*) AS n FROM collected GROUP BY class
+@query(f"""WITH {COLLECTED} SELECT 'kaggle_twcs' AS source, class, count(*) AS n FROM labelled GROUP BY class
 UNION ALL SELECT source, lang, count(*) FROM documents GROUP BY source, lang""")
 def counts_by_source(spark, folder):
-    pairs = _pairs(spark, folder).select(F.lit(cases.REAL_SOURCE).alias("source"), "class")
+    pairs = P.dedupe_by_text(P.first_reply_pairs(inputs.replies(spark, folder), inputs.messages(spark, folder)))
+    labelled = R.label_class(F.col("customer_text"), LANG_RULES, DEFAULT_LANG)["class"].alias("class")
+    pairs = pairs.select(F.lit(cases.REAL_SOURCE).alias("source"), labelled)
     docs = table(spark, folder, "documents").select("source", F.col("lang").alias("class"))
     return pairs.unionByName(docs).groupBy("source", "class").agg(F.count("*").alias("n"))

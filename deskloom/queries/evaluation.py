@@ -10,8 +10,10 @@ from deskloom.operators import metrics as M
 from deskloom.operators import overlap as O
 from deskloom.functions.stem import stem_tokens
 from deskloom.functions.text import latin_words
+from deskloom.plans import benchmark as B
 from deskloom.plans.rubric import rubric_scores
 from deskloom.queries import inputs, sql
+from deskloom.queries.corpora import TIER_OVERALL, TIER_REPLIES, tier_rated
 from deskloom.queries.inputs import DEFAULT_LANG, LANG_PHRASES, LANG_RULES, LANGS, PAIRS_SQL
 from deskloom.queries.registry import query, table
 
@@ -120,11 +122,6 @@ def pearson(spark, folder):
     return found.select("n", F.round("pearson_r", 9).alias("pearson_r"), F.round("t_statistic", 6).alias("t_statistic"))
 
 
-@query()
-def pearson_p_value(spark, folder):
-    return A.pearson(rated(spark, folder), "human", "judge").select("n", F.round("p_value", 9).alias("p_value"))
-
-
 _RANKS = f"""{RATED}, ranks AS (SELECT rank() OVER (ORDER BY human) + (count(*) OVER (PARTITION BY human) - 1) / 2 AS ra,
   rank() OVER (ORDER BY judge) + (count(*) OVER (PARTITION BY judge) - 1) / 2 AS rb FROM rated)"""
 
@@ -154,19 +151,61 @@ def quadratic_kappa(spark, folder):
     return A.quadratic_kappa(binned, "a", "b").select(F.round("kappa", 9).alias("kappa"))
 
 
-@query(f"""WITH {_KAPPA}, ranks AS (SELECT rank() OVER (ORDER BY human) + (count(*) OVER (PARTITION BY human) - 1) / 2 AS ra,
+_REPORT_SQL = f"""WITH {_KAPPA}, ranks AS (SELECT rank() OVER (ORDER BY human) + (count(*) OVER (PARTITION BY human) - 1) / 2 AS ra,
   rank() OVER (ORDER BY judge) + (count(*) OVER (PARTITION BY judge) - 1) / 2 AS rb FROM rated)
 SELECT count(*) AS sample_size, round((SELECT k FROM kappa), 9) AS cohen_kappa_quadratic, round(corr(human, judge), 9) AS pearson_correlation_r,
   round((SELECT corr(ra, rb) FROM ranks), 9) AS spearman_rho,
   round(100.0 * count_if(round_even(human, 0) = round_even(judge, 0)) / count(*), 6)::DOUBLE AS agreement_percentage,
-  round(avg(human), 6) AS mean_human_score, round(avg(judge), 6) AS mean_judge_score FROM rated""")
-def agreement_report(spark, folder):
-    found = A.agreement_report(rated(spark, folder), "human", "judge")
+  round(avg(human), 6) AS mean_human_score, round(avg(judge), 6) AS mean_judge_score FROM rated"""
+
+
+def _report(found):
     return found.select("sample_size", *[F.round(c, 9).alias(c) for c in (
         "cohen_kappa_quadratic", "pearson_correlation_r", "spearman_rho")], *[F.round(c, 6).alias(c) for c in (
             "agreement_percentage", "mean_human_score", "mean_judge_score")])
 
 
+@query(_REPORT_SQL)
+def agreement_report(spark, folder):
+    return _report(A.agreement_report(rated(spark, folder), "human", "judge"))
+
+
+_GAPS = RATED.replace("AS judge FROM orders", "AS judge FROM orders WHERE o_orderkey % 7 <> 0 AND o_orderkey % 11 <> 0")
+
+
+@query(_REPORT_SQL.replace(RATED, _GAPS))
+def agreement_report_with_gaps(spark, folder):
+    """Rows that one of the two did not rate count for nothing."""
+    key = F.col("o_orderkey")
+    rows = table(spark, folder, "orders").select(
+        F.when(key % 7 != 0, 6.0 - F.substring("o_orderpriority", 1, 1).cast("double")).alias("human"),
+        F.when(key % 11 != 0, F.floor(F.col("o_totalprice") / 50000) / 2.0).alias("judge"))
+    return _report(A.agreement_report(rows, "human", "judge"))
+
+
+_OVERALL = " + ".join(sql.rubric("lower(customer_text)", "lower(model_reply)").values())
+_RATINGS = f"""{sql.SUPPORT}, tiers AS (SELECT *, CASE WHEN seq < 20 THEN seq % 3 ELSE (seq - 20) % 3 END AS tier FROM support),
+replied AS (SELECT customer_text, CASE tier {TIER_REPLIES} END AS model_reply, {TIER_OVERALL} AS human FROM tiers),
+rated AS (SELECT human, round(({_OVERALL}) / 4.0, 2)::DOUBLE AS judge FROM replied)"""
+
+
+@query(_REPORT_SQL.replace(RATED, _RATINGS))
+def rate_and_compare(spark, folder):
+    """Ratings with the struct of human scores, rated again by the rubric."""
+    return _report(B.rate_and_compare(tier_rated(spark, folder)))
+
+
+@query(f"""WITH {RATED}, c AS (SELECT count(*) AS n, abs(corr(human, judge)) AS r FROM rated),
+k AS (SELECT i, CASE WHEN i IN (0, 200000) THEN 1 WHEN i % 2 = 1 THEN 4 ELSE 2 END AS w FROM range(200001) t(i)),
+f AS (SELECT any_value(n) AS n, any_value(r) AS r, sum(w * CASE WHEN i < 200000 THEN
+    exp((n - 4) / 2 * ln(1 - (r + (1 - r) * i / 200000) ** 2)) ELSE 0 END) * any_value(1 - r) AS tail,
+  sum(w * CASE WHEN i < 200000 THEN exp((n - 4) / 2 * ln(1 - (i / 200000) ** 2)) ELSE 0 END) AS half FROM c, k)
+SELECT n, round(tail / half, 9) AS p_value FROM f""")
+def pearson_p_value(spark, folder):
+    """The oracle integrates the density of r under no correlation."""
+    return A.pearson(rated(spark, folder), "human", "judge").select("n", F.round("p_value", 9).alias("p_value"))
+
+
 # ---- rubric ----
 
 _R = sql.rubric("q", "r")
@@ -238,9 +277,11 @@ def rouge_l(spark, folder):
 
 @query()
 def word_stems(spark, folder):
-    """Stem counts over all documents."""
-    stems = table(spark, folder, "documents").select(F.explode(stem_tokens(latin_words(F.col("text")))).alias("stem"))
-    return stems.groupBy("stem").agg(F.count("*").alias("n"))
+    """Stem counts over all documents: tokens are counted first, so each distinct word is stemmed once."""
+    words = table(spark, folder, "documents").select(F.explode(latin_words(F.col("text"))).alias("word"))
+    counted = words.groupBy("word").agg(F.count("*").alias("n"))
+    stems = counted.select(F.get(stem_tokens(F.array("word")), F.lit(0)).alias("stem"), "n")
+    return stems.groupBy("stem").agg(F.sum("n").alias("n"))
 
 
 _BLEU = _overlap(sql.words("candidate"), sql.words("reference"), (1, 2, 3, 4))

@@ -89,7 +89,7 @@ def test_index_is_reusable(spark, tmp_path):
 
 def test_classifier(spark, tmp_path):
     corpus = expand_templates(spark, 400)
-    model = fit_classifier(corpus, "customer_text", "intent", taxonomy.CLASSES, max_iter=100)
+    model = fit_classifier(corpus, "customer_text", "intent", taxonomy.CLASSES)
     asked = spark.createDataFrame([
         ("q1", "My iPhone keeps crashing after the iOS 17 update"), ("q2", "battery maximum capacity dropped on my iPhone"),
         ("q3", "I forgot my Apple ID password"), ("q4", "Why was I billed for the subscription, refund please"),
