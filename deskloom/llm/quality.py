@@ -14,7 +14,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from deskloom.llm.words import SPACES, WordHashes, slices, text_bytes, window_hashes
+from deskloom.llm.words import SPACES, slices, text_bytes, window_hashes, word_hashes
 
 # Executors need not have this package: its functions travel with the tasks.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -71,17 +71,17 @@ def in_bands(text: bytes, whole: float, chunks: list[float], bands: Bands) -> bo
     return low <= whole <= high and outside <= bands.chunk_share * len(chunks)
 
 
-def measure(text: bytes, hashes: WordHashes, packer, base: BaseRules, bands: Bands) -> tuple:
-    words = text.split()
-    repeats = repeat_words(hashes.of(words), base.repeat_width)
+def measure(text: bytes, hashes: np.ndarray, packer, base: BaseRules, bands: Bands) -> tuple:
+    """All columns of a text; ``hashes`` are those of its words."""
+    repeats = repeat_words(hashes, base.repeat_width)
     points = len(text.decode("utf-8", "surrogatepass"))
     word_chars = points - (len(text) - len(text.translate(None, SPACES)))
-    failed = len(words) < base.min_words or 100 * repeats > base.max_repeat_percent * len(words)
+    failed = len(hashes) < base.min_words or 100 * repeats > base.max_repeat_percent * len(hashes)
     whole = ratio(text, packer)
     starts = range(0, len(text) - bands.chunk_bytes + 1, bands.chunk_bytes)
     chunks = [ratio(text[i:i + bands.chunk_bytes], packer) for i in starts]
     kept = not failed and in_bands(text, whole, chunks, bands)
-    return (len(words), word_chars, len(text) - len(text.translate(None, SYMBOLS)), duplicate_lines(text), repeats,
+    return (len(hashes), word_chars, len(text) - len(text.translate(None, SYMBOLS)), duplicate_lines(text), repeats,
             failed, kept, whole, min(chunks, default=None), max(chunks, default=None))
 
 
@@ -104,9 +104,11 @@ def quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bas
     types = [pa.int64()] * len(COUNTS) + [pa.bool_()] * 2 + [pa.float64()] * len(RATIOS)
 
     def rate(batches):
-        hashes, packer = WordHashes(), zstandard.ZstdCompressor(level=bands.level, write_checksum=False)
+        packer = zstandard.ZstdCompressor(level=bands.level, write_checksum=False)
         for part in slices(batches):
-            found = [measure(t, hashes, packer, base, bands) for t in text_bytes(part.column(1))]
+            texts = text_bytes(part.column(1))
+            hashes, lengths = word_hashes(texts)
+            found = [measure(t, h, packer, base, bands) for t, h in zip(texts, np.split(hashes, np.cumsum(lengths)[:-1]))]
             columns = [pa.array(list(c), t) for c, t in zip(zip(*found), types)]
             yield pa.RecordBatch.from_arrays([part.column(0), *columns], names=["doc_id", *names])
 

@@ -22,13 +22,14 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from deskloom.llm.words import WordHashes, mix, slices, text_bytes, window_hashes
+from deskloom.llm.words import mix, slices, text_bytes, window_hashes, word_hashes
 from deskloom.session import stored
 
 # Executors need not have this package: its functions travel with the tasks.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-KEY_BYTES = 5  # of a fingerprint, besides its part of the key space; the automata sort out chance collisions
+BLOCK_BYTES = 4 << 20  # of text whose windows are compared at once
+KEY_BYTES = 4  # of a fingerprint, besides its part of the key space; the automata sort out chance collisions
 
 
 @dataclass(frozen=True)
@@ -110,16 +111,6 @@ def from_planes(data: bytes) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(zstandard.decompress(data), np.uint8).reshape(8, -1).T).view("<u8").reshape(-1)
 
 
-def short_keys(keys: np.ndarray) -> bytes:
-    return keys.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :KEY_BYTES].tobytes()
-
-
-def from_short_keys(data: bytes) -> np.ndarray:
-    wide = np.zeros((len(data) // KEY_BYTES, 8), np.uint8)
-    wide[:, :KEY_BYTES] = np.frombuffer(data, np.uint8).reshape(-1, KEY_BYTES)
-    return wide.view("<u8").reshape(-1)
-
-
 def group_of(documents: np.ndarray, groups: int) -> np.ndarray:
     return (mix(documents.astype(np.int64).view(np.uint64)) % np.uint64(groups)).astype(np.int64)
 
@@ -144,47 +135,54 @@ def hits_from(packed: bytes) -> np.ndarray:
 
 
 def repeated(key: np.ndarray, document: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(document, place, earlier, rows that come first of their key): the hits among equal keys of several documents.
-
-    The rows must come by rising document if keys are equal.
-    """
-    order = np.argsort(key, kind="stable")
-    key, document, place = key[order], document[order], place[order]
+    """(document, place, earlier, rows of the smallest document of each key): the hits among equal keys of several
+    documents. A key can have several rows in one document."""
+    order = np.argsort(key)
+    key = key[order]
     new = np.ones(len(key), bool)
     new[1:] = key[1:] != key[:-1]
-    leader = np.maximum.accumulate(np.where(new, np.arange(len(key)), 0))
-    later = document > document[leader]
-    led = np.zeros(len(key), bool)
-    led[leader[later]] = True
-    return (np.concatenate([document[later], document[led]]), np.concatenate([place[later], place[led]]),
-            np.concatenate([document[leader[later]], np.full(int(led.sum()), -1)]), order[new])
-
-
-def fingerprints(rows: DataFrame, rules: SubstringRules, parts: int) -> DataFrame:
-    """(key, group, packed): hits inside a block of documents (group >= 0), and for each part of the key space the first
-    occurrence of every window of the block (group -1).
+    starts = np.flatnonzero(new)
+    again = np.flatnonzero(~new)
+    if not len(again):
+        none = np.empty(0, np.int64)
+        return none, none, none, order
+    shared = np.unique(np.searchsorted(starts, again, "right") - 1)  # keys with several rows
+    sizes = np.diff(np.append(starts, len(key)))[shared]
+    group = np.repeat(np.arange(len(shared)), sizes)
+    rows = order[np.repeat(starts[shared] - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())]
+    by_document = np.lexsort((place[rows], document[rows], group))
+    rows = rows[by_document]
+    heads = rows[np.cumsum(sizes) - sizes]
+    later = document[rows] > document[heads][group]
+    led = heads[np.unique(group[later])]
+    alone = np.ones(len(starts), bool)
+    alone[shared] = False
+    smallest = np.concatenate([order[starts[alone]], rows[~later]])
+    return (np.concatenate([document[rows[later]], document[led]]), np.concatenate([place[rows[later]], place[led]]),
+            np.concatenate([document[heads][group[later]], np.full(len(led), -1)]), smallest)
+
+
+def fingerprints(rows: DataFrame, rules: SubstringRules, parts: int, groups: int) -> DataFrame:
+    """(key, group, packed): hits inside a block of documents (group >= 0), and for each part of the key space every
+    window of the block, as it stands in the smallest document (group -1).
 
     A window that very many documents share leaves a block once, however often it occurs there.
     """
 
     def read(batches):
-        hashes = WordHashes()
-        for block in slices(batches):
+        for block in slices(batches, BLOCK_BYTES):
             ids = np.array(block.column(0).to_pylist(), np.int64)
-            order = np.argsort(ids, kind="stable")
-            texts = text_bytes(block.column(1))
-            words = [texts[i].split() for i in order]
-            lengths = np.fromiter(map(len, words), np.int64, len(words))
-            window = window_hashes(hashes.of([w for text in words for w in text]), rules.width)
+            words, lengths = word_hashes(text_bytes(block.column(1)))
+            window = window_hashes(words, rules.width)
             if not len(window):
                 continue
             starts = np.cumsum(lengths) - lengths
-            owner = np.repeat(np.arange(len(words)), lengths)[:len(window)]
+            owner = np.repeat(np.arange(len(lengths)), lengths)[:len(window)]
             place = np.arange(len(window)) - starts[owner]
             inside = place + rules.width <= lengths[owner]
-            window, document, place = window[inside], ids[order][owner[inside]], place[inside]
+            window, document, place = window[inside], ids[owner[inside]], place[inside]
             later, at, earlier, first = repeated(window, document, place)
-            out = [(g, g, p) for g, p in hit_rows(later, at, earlier, parts)]
+            out = [(g, g, p) for g, p in hit_rows(later, at, earlier, groups)]
             first = np.sort(first)
             window, document, place = window[first], document[first], place[first]
             part = ((window >> np.uint64(32)) % np.uint64(parts)).astype(np.int64)
@@ -194,7 +192,7 @@ def fingerprints(rows: DataFrame, rules: SubstringRules, parts: int) -> DataFram
                 own = order[edges[p]:edges[p + 1]]
                 if len(own):
                     numbers = np.concatenate([document[own][:1], np.diff(document[own]), place[own][:1], np.diff(place[own])])
-                    out.append((p, -1, short_keys(window[own]) + planes(numbers.view(np.uint64)) +
+                    out.append((p, -1, window[own].astype("<u4").tobytes() + planes(numbers.view(np.uint64)) +
                                 np.uint32(len(own)).tobytes()))
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(
@@ -203,35 +201,38 @@ def fingerprints(rows: DataFrame, rules: SubstringRules, parts: int) -> DataFram
     return rows.mapInArrow(read, "key int, group int, packed binary")
 
 
-def all_hits(prints: DataFrame, parts: int) -> DataFrame:
+def all_hits(prints: DataFrame, groups: int) -> DataFrame:
     """(group, packed) of all hits: those found inside blocks and those between blocks."""
 
+    def between(found):
+        key, document, place = (np.concatenate(c) for c in zip(*found))
+        later, at, earlier, _ = repeated(key, document, place)
+        rows = list(hit_rows(later, at, earlier, groups))
+        if rows:
+            yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(
+                zip(*rows), (pa.int32(), pa.binary()))], names=["group", "packed"])
+
     def meet(batches):
-        found = []
+        current, found = None, []
         for batch in batches:
             group = batch.column(1).to_numpy()
-            inner = np.flatnonzero(group >= 0)
+            inner = pa.array(np.flatnonzero(group >= 0))
             if len(inner):
-                yield pa.RecordBatch.from_arrays([batch.column(1).take(pa.array(inner)), batch.column(2).take(pa.array(inner))],
+                yield pa.RecordBatch.from_arrays([batch.column(1).take(inner), batch.column(2).take(inner)],
                                                  names=["group", "packed"])
-            for i in np.flatnonzero(group < 0):
-                packed = batch.column(2)[int(i)].as_py()
+            for i in np.flatnonzero(group < 0).tolist():
+                part, packed = batch.column(0)[i].as_py(), batch.column(2)[i].as_py()
+                if part != current and found:
+                    yield from between(found)
+                    found = []
+                current = part
                 n = int(np.frombuffer(packed[-4:], np.uint32)[0])
                 document, place = np.cumsum(from_planes(packed[KEY_BYTES * n:-4]).view(np.int64).reshape(2, -1), axis=1)
-                part = np.full(n, batch.column(0)[int(i)].as_py())
-                found.append((from_short_keys(packed[:KEY_BYTES * n]), part, document, place))
+                found.append((np.frombuffer(packed, "<u4", n), document, place))
         if found:
-            key, part, document, place = (np.concatenate(c) for c in zip(*found))
-            order = np.argsort(document, kind="stable")
-            # Keys of different parts may look alike; both count as one only if the parts agree, too.
-            whole = key[order] | (part[order].astype(np.uint64) << np.uint64(8 * KEY_BYTES))
-            later, at, earlier, _ = repeated(whole, document[order], place[order])
-            rows = list(hit_rows(later, at, earlier, parts))
-            if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(
-                    zip(*rows), (pa.int32(), pa.binary()))], names=["group", "packed"])
+            yield from between(found)
 
-    return prints.repartition("key").mapInArrow(meet, "group int, packed binary")
+    return prints.repartition("key").sortWithinPartitions("key").mapInArrow(meet, "group int, packed binary")
 
 
 def runs(places: np.ndarray, width: int) -> list[tuple[int, int]]:
@@ -256,14 +257,16 @@ DONE, WAITING, REFERENCE, STREAM = range(4)
 PLACED = "kind int, doc_id bigint, earlier bigint, start int, words binary, number bigint, digest string"
 
 
-def place_hits(rows: DataFrame, hits: DataFrame, rules: SubstringRules, parts: int) -> DataFrame:
-    """Documents meet their hits: one shuffle of the texts."""
+def place_hits(rows: DataFrame, hits: DataFrame, rules: SubstringRules, groups: int) -> DataFrame:
+    """Documents meet their hits: one shuffle of the texts, which travel compressed."""
 
     def grouped(batches):
+        packer = zstandard.ZstdCompressor(level=3)
         for part in slices(batches):
             ids = part.column(0).cast(pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.array(group_of(ids.to_numpy(), parts), pa.int32()), ids,
-                                              part.column(1).cast(pa.binary())], names=["group", "doc_id", "text"])
+            packed = [packer.compress(t) for t in text_bytes(part.column(1))]
+            yield pa.RecordBatch.from_arrays([pa.array(group_of(ids.to_numpy(), groups), pa.int32()), ids,
+                                              pa.array(packed, pa.binary())], names=["group", "doc_id", "text"])
 
     texts = rows.mapInArrow(grouped, "group int, doc_id bigint, text binary").select(
         "group", F.lit(1).alias("role"), "doc_id", "text")
@@ -271,8 +274,8 @@ def place_hits(rows: DataFrame, hits: DataFrame, rules: SubstringRules, parts: i
     met = packed.union(texts).repartition("group").sortWithinPartitions("group", "role")
 
     def extract(batches):
-        group, held, known = None, [], None
-        for part in slices(batches):
+        group, held, known, unpacker = None, [], None, zstandard.ZstdDecompressor()
+        for part in slices(batches, 2 << 20):
             out = []
             for g, role, doc, data in zip(*(part.column(i).to_pylist() for i in range(4))):
                 if g != group:
@@ -283,7 +286,8 @@ def place_hits(rows: DataFrame, hits: DataFrame, rules: SubstringRules, parts: i
                 if known is None:
                     known = np.concatenate(held, axis=1) if held else np.zeros((3, 0), np.int64)
                     known = known[:, np.lexsort((known[1], known[2], known[0]))]
-                words, tag = data.split(), xxhash.xxh3_64_intdigest(data) >> 1
+                text = unpacker.decompress(data)
+                words, tag = text.split(), xxhash.xxh3_64_intdigest(text) >> 1
                 a, b = np.searchsorted(known[0], [doc, doc + 1])
                 mine = known[1:, a:b]
                 mine = mine[:, mine[0] + rules.width <= len(words)]
@@ -358,28 +362,31 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     rank: neither takes from the other. A row without id is no reference and loses nothing. Ids are whole numbers.
     """
     spark = docs.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    groups = int(spark.conf.get("spark.sql.shuffle.partitions"))  # of documents
+    parts = 4 * groups  # of the key space; a task takes several, one by one
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit(""))
                        .alias("text"))
     named = rows.filter("doc_id IS NOT NULL")
-    hits = all_hits(fingerprints(named, rules, parts), parts)
-    placed = stored(place_hits(named, hits, rules, parts), "placed")
+    hits = all_hits(fingerprints(named, rules, parts, groups), groups)
+    placed = stored(place_hits(named, hits, rules, groups), "placed")
     spans = placed.filter(F.col("kind").isin(REFERENCE, STREAM)).drop("digest")
-    found = (streamed(spans, rules, 4 * parts).groupBy("doc_id", "number")
+    found = (streamed(spans, rules, parts).groupBy("doc_id", "number")
              .agg(F.collect_list(F.struct("first", "last")).alias("spans")))  # bounded by the length of the document
     waiting = placed.filter(F.col("kind") == WAITING).select("doc_id", "number", F.col("words").alias("text"))
     waiting = waiting.join(found, ["doc_id", "number"], "left").select("doc_id", "text", "spans")
-    bare = rows.filter("doc_id IS NULL").select("doc_id", F.col("text").cast("binary"), F.lit(None).cast(
-        "array<struct<first:int,last:int>>").alias("spans"))
+    bare = rows.filter("doc_id IS NULL").select("doc_id", F.col("text").cast("binary"))
 
     def finish(batches):
-        for part in slices(batches):
-            out = [finished(text.split(), [(s["first"], s["last"]) for s in spans or ()])
-                   for text, spans in zip(part.column(1).to_pylist(), part.column(2).to_pylist())]
+        unpacker = zstandard.ZstdDecompressor()
+        for part in slices(batches, 2 << 20):
+            packed = part.num_columns == 3  # texts with spans come compressed
+            spans = part.column(2).to_pylist() if packed else [None] * part.num_rows
+            out = [finished((unpacker.decompress(text) if packed else text).split(), [(s["first"], s["last"]) for s in own or ()])
+                   for text, own in zip(part.column(1).to_pylist(), spans)]
             yield pa.RecordBatch.from_arrays([part.column(0), *(pa.array(list(c), t) for c, t in zip(
                 zip(*out), (pa.int64(), pa.int64(), pa.string())))], names=["doc_id", "n_words", "n_removed", "kept_sha256"])
 
     schema = "doc_id bigint, n_words bigint, n_removed bigint, kept_sha256 string"
     done = placed.filter(F.col("kind") == DONE).select("doc_id", F.col("number").alias("n_words"), F.lit(0).cast("bigint").alias("n_removed"),
                                                        F.col("digest").alias("kept_sha256"))
-    return done.union(waiting.union(bare).mapInArrow(finish, schema))
+    return done.union(waiting.mapInArrow(finish, schema)).union(bare.mapInArrow(finish, schema))

@@ -4,7 +4,6 @@ import sys
 from collections.abc import Iterator
 
 import numpy as np
-import xxhash
 from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -23,21 +22,65 @@ def in_fold(doc_id: str, folds: int, fold: int) -> Column:
     return (F.crc32(key.cast("binary")) % F.lit(folds)) == fold
 
 
-class WordHashes(dict):
-    """64-bit hashes of words, remembered up to a bound."""
-
-    def __init__(self, limit: int = 1 << 18):
-        super().__init__()
-        self.limit = limit
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= self.limit:
-            self.clear()
-        value = self[word] = xxhash.xxh3_64_intdigest(word)
-        return value
-
-    def of(self, words: list[bytes]) -> np.ndarray:
-        return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
+# Hashing of all words of a text at once: a random number per byte, weighed by powers of an odd number.
+_RANDOM = np.random.RandomState(20)
+_LETTER = _RANDOM.randint(0, 1 << 62, 256, np.int64).astype(np.uint64) * np.uint64(4) + _RANDOM.randint(0, 4, 256).astype(np.uint64)
+_BASE, _INVERSE = np.uint64(0x9E3779B97F4A7C15), np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
+_IN_WORD = np.array([chr(c).encode("latin-1") not in (b" ", b"\t", b"\n", b"\x0b", b"\x0c", b"\r") for c in range(256)])
+_POWERS: dict[str, np.ndarray] = {}
+
+
+def _powers(length: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the base and of its inverse, kept for the next text."""
+    if len(_POWERS.get("up", ())) < length:
+        size = max(length, 1 << 16)
+        for name, base in (("up", _BASE), ("down", _INVERSE)):
+            steps = np.full(size, base, np.uint64)
+            steps[0] = 1
+            _POWERS[name] = np.cumprod(steps)
+    return _POWERS["up"], _POWERS["down"]
+
+
+def word_hashes(texts: list[bytes], piece: int = 1 << 20) -> tuple[np.ndarray, np.ndarray]:
+    """(64-bit hashes of the words of all texts, number of words of each text), without a Python object per word."""
+    hashes, lengths, start = [np.empty(0, np.uint64)], [np.empty(0, np.int64)], 0
+    while start < len(texts):
+        end, size = start, 0
+        while end < len(texts) and (end == start or size + len(texts[end]) < piece):
+            size += len(texts[end]) + 1
+            end += 1
+        found = _hash_piece(texts[start:end])
+        hashes.append(found[0])
+        lengths.append(found[1])
+        start = end
+    return np.concatenate(hashes), np.concatenate(lengths)
+
+
+def run_hashes(data: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """64-bit hashes of the bytes from ``first`` up to ``last`` (not included)."""
+    up, down = _powers(len(data))
+    sums = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum(_LETTER[data] * up[:len(data)], out=sums[1:])
+    return mix((sums[last] - sums[first]) * down[first] + (last - first).astype(np.uint64))
+
+
+def scan(data: np.ndarray, inside: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(first byte, last byte + 1, hash) of the runs of bytes that are inside words; the outermost bytes must not be."""
+    edges = np.flatnonzero(inside[1:] != inside[:-1]) + 1  # starts and ends by turns
+    first, last = edges[::2], edges[1::2]
+    return first, last, run_hashes(data, first, last)
+
+
+def counts_by_text(first: np.ndarray, texts: list[bytes]) -> np.ndarray:
+    """How many words start in each of the texts, which lie one after the other behind one blank each."""
+    ends = np.cumsum(np.fromiter((len(t) + 1 for t in texts), np.int64, len(texts)))
+    return np.diff(np.searchsorted(first, ends + 1), prepend=0)
+
+
+def _hash_piece(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    data = np.frombuffer(b" " + b" ".join(texts) + b" ", np.uint8)
+    first, _, found = scan(data, _IN_WORD[data])
+    return found, counts_by_text(first, texts)
 
 
 def lower_ascii(text: bytes) -> bytes:
