@@ -9,18 +9,19 @@ The package must be importable on the executors, where each Python worker keeps
 """
 
 import json
-import re
 import zlib
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from deskloom.llm.words import slices, text_bytes
+from deskloom.llm.words import counts_by_text, run_hashes, slices, text_bytes
 from deskloom.session import scratch_path, stored
 
 # The normalisation and word pattern under which blanks separate independent words.
@@ -32,9 +33,12 @@ WORD_PIPELINE = {
          "behavior": "Removed", "invert": True},
         {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]},
 }
-# Printable ASCII and the Latin letters from U+00C0 to U+024F but for U+0130: for these the pattern is simple.
-SIMPLE = re.compile("[!-~À-ÖØ-öø-įı-ɏ]+")
-PIECES = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zÀ-ÖØ-öø-ɏ]+|[0-9]|[^a-z0-9À-ÖØ-öø-ɏ]+")
+# Bytes of the simple part of UTF-8: printable ASCII but for the apostrophe, and U+00C0 to U+00FF but for the two signs.
+LETTER, DIGIT, OTHER, SPACE = range(4)
+CLASS = np.array([SPACE if c in b" \t\n\x0b\x0c\r" else LETTER if c == 0xC3 or 0x80 <= c < 0xC0 or chr(c).isalpha() and c < 128
+                  else DIGIT if 48 <= c < 58 else OTHER for c in range(256)], np.int8)
+ODD = np.array([c < 32 and c not in b"\t\n\x0b\x0c\r" or c in b"'\x7f" or c >= 0xC0 and c != 0xC3 for c in range(256)])
+LOWER = np.frombuffer(bytes(range(256)).lower(), np.uint8)
 
 
 def byte_letters() -> dict[int, str]:
@@ -44,28 +48,47 @@ def byte_letters() -> dict[int, str]:
     return {**{b: chr(b) for b in visible}, **{b: chr(256 + i) for i, b in enumerate(hidden)}}
 
 
-class Recent(dict):
-    """What ``make`` gave for a key, kept for the keys of the last one or two rounds of ``limit`` new ones."""
+def pieces_of(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(bytes of all texts, lower-cased where simple; first and last byte + 1, hash, whether odd, of each piece; pieces per
+    text).
 
-    def __init__(self, make, limit: int):
-        super().__init__()
-        self.make, self.limit, self.old = make, limit, {}
-
-    def __missing__(self, key):
-        value = self.old.get(key)
-        if value is None:
-            value = self.make(key)
-        if len(self) >= self.limit:
-            self.old = dict(self)
-            self.clear()
-        self[key] = value
-        return value
+    A simple word falls into runs of letters, single digits and runs of other characters. A word with odd bytes, for
+    which more rules hold, is one piece as it stands.
+    """
+    raw = np.frombuffer(b" " + b" ".join(texts) + b"  ", np.uint8)
+    kind = CLASS[raw]
+    inside = kind != SPACE
+    follows = raw[1:]
+    odd = ODD[raw]
+    odd[:-1] |= (raw[:-1] == 0xC3) & ((follows == 0x97) | (follows == 0xB7)) | (raw[:-1] == ord("<")) & (follows == ord("|"))
+    edges = np.flatnonzero(inside[1:] != inside[:-1]) + 1
+    words, ends = edges[::2], edges[1::2]
+    counts = np.concatenate([[0], np.cumsum(odd)])
+    strange = counts[ends] > counts[words]
+    whole = np.zeros(len(raw) + 1, np.int8)  # marks the bytes of odd words
+    whole[words[strange]] += 1
+    whole[ends[strange]] -= 1
+    whole = np.cumsum(whole[:-1], dtype=np.int8).astype(bool)
+    lower = np.where(whole, raw, LOWER[raw])
+    upper = np.zeros(len(raw), bool)
+    upper[1:] = (raw[:-1] == 0xC3) & (raw[1:] >= 0x80) & (raw[1:] <= 0x9E) & ~whole[1:]
+    lower = np.where(upper, lower + 0x20, lower).astype(np.uint8)
+    start = inside.copy()
+    start[1:] &= ~inside[:-1] | ~whole[1:] & ((kind[1:] != kind[:-1]) | (kind[1:] == DIGIT))
+    first = np.flatnonzero(start)
+    last = np.append(first[1:], len(raw))
+    last = np.minimum(last, ends[np.searchsorted(ends, first, "right")]) if len(first) else last[:0]
+    hashes = run_hashes(lower, first, last) ^ np.where(whole[first], np.uint64(0x5851F42D4C957F2D), np.uint64(0))
+    return lower, first, last, hashes, whole[first], counts_by_text(first, texts)
 
 
 class TextEncoder:
-    """Texts to ids as the tokenizer gives them, as bytes of ``kind``."""
+    """Texts to ids as the tokenizer gives them, as bytes of ``kind``.
 
-    def __init__(self, vocabulary: str, remember: int = 200_000):
+    What a piece becomes is remembered under its 64-bit hash, up to ``remember`` pieces.
+    """
+
+    def __init__(self, vocabulary: str, remember: int = 2_000_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(vocabulary)
@@ -73,29 +96,54 @@ class TextEncoder:
         self.by_word = all(config[part] == rule for part, rule in WORD_PIPELINE.items())
         size = max(self.tokenizer.get_vocab(with_added_tokens=True).values(), default=0) + 1
         self.kind = np.dtype("<u2" if size <= 1 << 16 else "<u4")
-        self.letters = byte_letters()
-        self.words, self.pieces = Recent(self._word, remember), Recent(self._piece, remember)
-
-    def _ids(self, ids) -> bytes:
-        return np.array(ids, self.kind).tobytes()
-
-    def _whole(self, text: bytes) -> bytes:
-        return self._ids(self.tokenizer.encode(text.decode("utf-8", "surrogatepass"), add_special_tokens=False).ids)
-
-    def _piece(self, piece: str) -> bytes:
-        return self._ids([t.id for t in self.tokenizer.model.tokenize(piece)])
-
-    def _word(self, raw: bytes) -> bytes:
-        word = raw.decode("utf-8", "surrogatepass")
-        if b"<|" in raw or not SIMPLE.fullmatch(word):
-            return self._whole(raw)
-        pieces = PIECES.findall(word.lower())
-        if not raw.isascii():
-            pieces = [p.encode().decode("latin-1").translate(self.letters) for p in pieces]
-        return b"".join(map(self.pieces.__getitem__, pieces))
-
-    def encode(self, text: bytes) -> bytes:
-        return b"".join(map(self.words.__getitem__, text.split())) if self.by_word else self._whole(text)
+        self.letters, self.remember = byte_letters(), remember
+        self._forget()
+
+    def _forget(self) -> None:
+        self.hashes, self.rows = np.empty(0, np.uint64), np.empty(0, np.int64)  # sorted hashes and their rows
+        self.starts, self.ids = np.zeros(1, np.int64), np.empty(0, self.kind)   # ids of row i: starts[i]:starts[i + 1]
+
+    def _whole(self, text: bytes) -> list[int]:
+        return self.tokenizer.encode(text.decode("utf-8", "surrogatepass"), add_special_tokens=False).ids
+
+    def _piece(self, piece: bytes, odd: bool) -> list[int]:
+        if odd:
+            return self._whole(piece)
+        return [t.id for t in self.tokenizer.model.tokenize(piece.decode("latin-1").translate(self.letters))]
+
+    def _rows_of(self, hashes: np.ndarray, lower: np.ndarray, first: np.ndarray, last: np.ndarray, odd: np.ndarray) -> np.ndarray:
+        """Rows of the pieces; those that are new are encoded first."""
+        if len(self.hashes) > self.remember:
+            self._forget()
+        distinct, where, back = np.unique(hashes, return_index=True, return_inverse=True)
+        place = np.searchsorted(self.hashes, distinct)
+        known = np.zeros(len(distinct), bool)
+        there = place < len(self.hashes)
+        known[there] = self.hashes[place[there]] == distinct[there]
+        if not known.all():
+            new = where[~known]
+            made = [self._piece(lower[a:b].tobytes(), o) for a, b, o in zip(first[new].tolist(), last[new].tolist(), odd[new].tolist())]
+            sizes = np.fromiter(map(len, made), np.int64, len(made))
+            rows = len(self.starts) - 1 + np.arange(len(made))
+            self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(sizes)])
+            self.ids = np.concatenate([self.ids, np.fromiter(chain.from_iterable(made), self.kind, int(sizes.sum()))])
+            self.hashes = np.insert(self.hashes, place[~known], distinct[~known])
+            self.rows = np.insert(self.rows, place[~known], rows)
+            place = np.searchsorted(self.hashes, distinct)
+        return self.rows[place][back]
+
+    def encode(self, texts: list[bytes], end_id: int) -> list[bytes]:
+        """Ids of each text and the end id, as bytes."""
+        end = np.array([end_id], self.kind).tobytes()
+        if not self.by_word:
+            return [np.array(self._whole(t), self.kind).tobytes() + end for t in texts]
+        lower, first, last, hashes, odd, counts = pieces_of(texts)
+        rows = self._rows_of(hashes, lower, first, last, odd)
+        sizes = self.starts[rows + 1] - self.starts[rows]
+        totals = np.cumsum(sizes)
+        ids = self.ids[np.repeat(self.starts[rows] - totals + sizes, sizes) + np.arange(sizes.sum())]
+        edges = np.concatenate([[0], totals])[np.concatenate([[0], np.cumsum(counts)])].tolist()
+        return [ids[a:b].tobytes() + end for a, b in zip(edges[:-1], edges[1:])]
 
 
 _ENCODERS: dict[int, TextEncoder] = {}
@@ -151,18 +199,17 @@ class TokenFiles:
 
 
 def token_rows(docs: DataFrame, vocabulary: str, end_id: int, id_col: str, text_col: str) -> DataFrame:
-    """(doc_id, tie, ids): ids as bytes, the end id included; a null text has that one only."""
+    """(doc_id, tie, ids): ids as compressed bytes, the end id included; a null text has that one only."""
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
 
     def encode(batches):
-        encoder = encoder_of(shared.value)
-        end = np.array([end_id], encoder.kind).tobytes()
-        for part in slices(batches):
-            ids = [encoder.encode(t) + end for t in text_bytes(part.column(1))]
+        encoder, packer = encoder_of(shared.value), zstandard.ZstdCompressor(level=1)
+        for part in slices(batches, 1 << 20):
+            ids = encoder.encode(text_bytes(part.column(1)), end_id)
             ties = [xxhash.xxh3_64_intdigest(x) >> 1 for x in ids]
-            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(ties, pa.int64()), pa.array(ids, pa.binary())],
-                                             names=["doc_id", "tie", "ids"])
+            packed = pa.array(map(packer.compress, ids), pa.binary())
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(ties, pa.int64()), packed], names=["doc_id", "tie", "ids"])
 
     return rows.mapInArrow(encode, f"doc_id {dict(rows.dtypes)['doc_id']}, tie bigint, ids binary")
 
@@ -171,9 +218,9 @@ def id_counts(tokens: DataFrame, kind: np.dtype) -> DataFrame:
     """(id, n): at most one row per id of the vocabulary from each task."""
 
     def count(batches):
-        total = np.zeros(0, np.int64)
-        for batch in batches:
-            found = np.bincount(np.frombuffer(b"".join(batch.column(0).to_pylist()), kind))
+        total, unpacker = np.zeros(0, np.int64), zstandard.ZstdDecompressor()
+        for batch in slices(batches, 2 << 20):
+            found = np.bincount(np.frombuffer(b"".join(map(unpacker.decompress, batch.column(0).to_pylist())), kind))
             total, found = (total, found) if len(total) >= len(found) else (found.astype(np.int64), total)
             total[:len(found)] += found
         used = np.flatnonzero(total)
@@ -204,7 +251,7 @@ def write_tokens(docs: DataFrame, vocabulary: str, end_id: int = 1, id_col: str
               "data binary")
 
     def blocks(batches):
-        part, written = TaskContext.get().partitionId(), 0
+        part, written, unpacker = TaskContext.get().partitionId(), 0, zstandard.ZstdDecompressor()
         doc_ids, held, size = [], [], 0
 
         def block():
@@ -215,11 +262,11 @@ def write_tokens(docs: DataFrame, vocabulary: str, end_id: int = 1, id_col: str
                     ("part", pa.int32()), ("start", pa.int64()), ("n", pa.int64()), ("doc_ids", pa.list_(id_kind)),
                     ("counts", pa.list_(pa.int64())), ("control", pa.binary()), ("data", pa.binary())]))
 
-        for batch in slices(batches):
+        for batch in slices(batches, 2 << 20):
             id_kind = batch.column(0).type
             for doc_id, ids in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist()):
                 doc_ids.append(doc_id)
-                held.append(np.frombuffer(ids, kind))
+                held.append(np.frombuffer(unpacker.decompress(ids), kind))
                 size += len(held[-1])
                 if size >= block_ids:
                     yield block()
