@@ -22,7 +22,7 @@ class Mix:
     volume: float = 1.5          # words to take / words there are
     max_repeats: int = 2         # times a source is read at most
     block_words: int = 4096
-    tree_levels: int = 4         # 2 ** levels output shards
+    shard_words: int = 1 << 21   # of an output shard, at most
     bucket_rows: int = 4096      # documents that are ordered together
     seed: int = 17
 
@@ -87,12 +87,15 @@ def _draw(i: str) -> str:
 def shard_quotas(targets: DataFrame, mix: Mix = Mix()) -> DataFrame:
     """(place, shard, blocks): exact block quotas of each source in each shard.
 
-    A tree node is one row with one quota per source: its size is that of the list of weighted sources.
+    The tree is as deep as shards of ``shard_words`` ask for. A node is one row with one quota per source: its size is that
+    of the list of weighted sources.
     """
+    total = targets.agg(F.coalesce(F.sum("take"), F.lit(0))).first()[0]
+    levels = max(0, -(-total // mix.shard_words) - 1).bit_length()
     blocks = F.ceil(F.col("take") / F.lit(mix.block_words)).cast("long")
     quotas = F.transform(F.array_sort(F.collect_list(F.struct("place", blocks.alias("n")))), lambda x: x["n"])
     nodes = targets.agg(quotas.alias("quotas")).select(F.lit(0).cast("long").alias("node"), "quotas")
-    for level in range(mix.tree_levels):
+    for level in range(levels):
         uniform = (f"transform(quotas, (q, i) -> (pmod(xxhash64({mix.seed}, {level}, node, i), 9007199254740992) + 0.5D)"
                    f" / 9007199254740992.0D)")
         start = ("named_struct('pool', cast(aggregate(quotas, 0L, (a, q) -> a + q) as double), "

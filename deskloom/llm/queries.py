@@ -16,31 +16,60 @@ QUERIES: dict[str, Query] = {}
 ORACLE: dict[str, str] = {}
 
 
-def query(function: Query) -> Query:
-    QUERIES[function.__name__] = function
-    return function
+def query(sql: str | None = None):
+    """Register a query under its function name, with its oracle SQL if it has one."""
+
+    def register(function: Query) -> Query:
+        QUERIES[function.__name__] = function
+        if sql is not None:
+            ORACLE[function.__name__] = sql
+        return function
+
+    return register
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-@query
+_WORDS = r"regexp_extract_all({}, '[^\x20\x09-\x0D]+')"
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+@query(f"""WITH RECURSIVE w AS (SELECT doc_id, {_WORDS.format(_LOWER)} AS ws FROM documents),
+places AS (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 3, 2))) AS i FROM w WHERE len(ws) > 0),
+sets AS (SELECT DISTINCT doc_id, md5(array_to_string(ws[i:i + 4], ' ')) AS s FROM places),
+sizes AS (SELECT doc_id, count(*) AS n FROM sets GROUP BY doc_id),
+pairs AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM sets a JOIN sets b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY ALL),
+links AS (SELECT x, y FROM pairs JOIN sizes p ON p.doc_id = x JOIN sizes q ON q.doc_id = y WHERE 100 * c >= 75 * (p.n + q.n - c)),
+edges AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+reach AS (SELECT doc_id, doc_id AS r FROM documents UNION SELECT edges.y, reach.r FROM reach JOIN edges ON edges.x = reach.doc_id),
+found AS (SELECT doc_id, min(r) AS component_id FROM reach GROUP BY doc_id)
+SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id, doc_id = component_id AS kept FROM found LEFT JOIN sizes USING (doc_id)""")
 def op1_hyperminhash(spark, folder):
     return neardup.near_duplicates(table(spark, folder, "documents"))
 
 
-@query
+@query(f"""WITH w AS (SELECT doc_id, {_WORDS.format("coalesce(text, '')")} AS ws FROM documents),
+places AS (SELECT doc_id, ws, unnest(range(1, len(ws) - 11)) AS i FROM w WHERE len(ws) >= 13),
+windows AS (SELECT doc_id, i, md5(array_to_string(ws[i:i + 12], ' ')) AS h FROM places),
+repeats AS (SELECT doc_id, i FROM (SELECT *, min(doc_id) OVER (PARTITION BY h) AS first FROM windows) WHERE first < doc_id),
+gone AS (SELECT DISTINCT doc_id, i + j AS i FROM repeats, range(13) t(j)),
+words AS (SELECT doc_id, unnest(ws) AS word, unnest(range(1, len(ws) + 1)) AS i FROM w),
+kept AS (SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY i) AS text FROM words ANTI JOIN gone USING (doc_id, i)
+  GROUP BY doc_id)
+SELECT doc_id, len(ws)::BIGINT AS n_words, (len(ws) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM w LEFT JOIN kept USING (doc_id)""")
 def op2_suffix_automata(spark, folder):
     return substrings.remove_repeats(table(spark, folder, "documents"))
 
 
-@query
+@query()
 def op3_compression_bands(spark, folder):
     return quality.quality(table(spark, folder, "documents"))
 
 
-@query
+@query()
 def op4_attentive_gru(spark, folder):
     docs = table(spark, folder, "documents").withColumn("held_out", in_fold("doc_id", 4, 2))
     labels = table(spark, folder, "labels").filter(~in_fold("doc_id", 4, 2))
@@ -48,7 +77,7 @@ def op4_attentive_gru(spark, folder):
     return found.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
 
 
-@query
+@query()
 def op5_language(spark, folder):
     docs = table(spark, folder, "documents").withColumn("held_out", in_fold("doc_id", 4, 2))
     model = langid.fit_languages(docs.filter(~F.col("held_out")))
@@ -56,14 +85,14 @@ def op5_language(spark, folder):
         "doc_id", "held_out", "p.*")
 
 
-@query
+@query()
 def op6_backoff_automaton(spark, folder):
     docs = table(spark, folder, "documents").withColumn("held_out", in_fold("doc_id", 5, 1))
     model, words = lm.fit(docs.filter(~F.col("held_out")))
     return lm.scores(docs, model, words, carry=("held_out",))
 
 
-@query
+@query()
 def op7_skip_chain_crf(spark, folder):
     docs = table(spark, folder, "documents")
     found = pii.personal_data(docs, pii.fit(docs))
@@ -71,14 +100,14 @@ def op7_skip_chain_crf(spark, folder):
     return found.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", digest, "spans", "n_added")
 
 
-@query
+@query()
 def op8_mix(spark, folder):
     drawn = mixing.draws(table(spark, folder, "documents"))
     words = F.aggregate("taken", F.lit(0).cast("long"), lambda total, d: total + d["words"])
     return drawn.select("doc_id", "size", "source_size", "target", words.alias("taken"))
 
 
-@query
+@query()
 def op9_template_leaks(spark, folder):
     return decontaminate.leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
@@ -88,7 +117,7 @@ def vocabulary(name: str = "word_bpe_49k.json") -> str:
         return file.read()
 
 
-@query
+@query()
 def op10_token_ids(spark, folder):
     files = tokenids.write_tokens(table(spark, folder, "documents"), vocabulary(), end_id=1)
     return tokenids.digests(tokenids.read_tokens(spark, files))
