@@ -6,21 +6,24 @@ propose pairs; the share of equal registers, corrected for chance collisions, dr
 the rest is confirmed on the full shingle sets.
 
 Copies with equal sets are one node, found by an aggregation. No bucket's pairs are listed: first every member is compared
-with the smallest one of its bucket, and only members that this leaves in different components are compared with each other.
+with the smallest one of its bucket. Of buckets that this leaves in several components, the members are compared with the
+one that shares most shingles with the others, and only those that are still apart, and whose unshared shingles allow a
+link at all, with each other.
 """
 
 import sys
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from deskloom.llm.components import components
-from deskloom.llm.words import WordHashes, lower_ascii, slices, text_bytes, window_hashes
+from deskloom.llm.words import lower_ascii, slices, text_bytes, window_hashes, word_hashes
 from deskloom.session import stored
 
 # Executors need not have this package: its functions travel with the tasks.
@@ -31,21 +34,25 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 class NearDup:
     words: int = 5            # in a shingle
     percent: int = 75         # least intersection / union of linked documents
-    bucket_bits: int = 7      # 2 ** bucket_bits registers
+    bucket_bits: int = 8      # 2 ** bucket_bits registers
     mantissa_bits: int = 10
+    bands: int = 32
     band_rows: int = 4        # registers in a band
     sigmas: float = 4.0       # deviations by which an estimate may fall short before a pair is dropped
     members_per_task: int = 256  # members that are compared with one centre in a row
 
 
-def shingles(text: bytes, hashes: WordHashes, width: int) -> np.ndarray:
-    """Distinct shingle hashes in rising order; a shorter text is one shingle, one without words none."""
-    words = lower_ascii(text).split()
-    if not words:
-        return np.empty(0, np.uint64)
-    if len(words) < width:
-        return window_hashes(hashes.of(words), len(words)) ^ np.uint64(len(words))
-    return np.unique(window_hashes(hashes.of(words), width))
+def shingles(texts: list[bytes], width: int) -> Iterator[np.ndarray]:
+    """For each text its distinct shingle hashes in rising order; a shorter text is one shingle, one without words none."""
+    words, lengths = word_hashes([lower_ascii(t) for t in texts])
+    windows = window_hashes(words, width)
+    start = 0
+    for n in lengths.tolist():
+        if n >= width:
+            yield np.unique(windows[start:start + n - width + 1])
+        else:
+            yield window_hashes(words[start:start + n], n) ^ np.uint64(n) if n else np.empty(0, np.uint64)
+        start += n
 
 
 def donors(bits: int) -> np.ndarray:
@@ -53,8 +60,8 @@ def donors(bits: int) -> np.ndarray:
     return np.array([np.random.RandomState(b).permutation(1 << bits) for b in range(1 << bits)])
 
 
-def registers(shingle: np.ndarray, order: np.ndarray, rules: NearDup) -> tuple[np.ndarray, int]:
-    """(one register per bucket, number of filled buckets) of rising shingle hashes.
+def registers(shingle: np.ndarray, order: np.ndarray, rules: NearDup) -> tuple[np.ndarray, np.ndarray]:
+    """(one register per bucket, which buckets are filled) of rising shingle hashes.
 
     Empty buckets take the register of the first filled one in their order, so that equal registers stay as likely as
     the Jaccard similarity for short documents, too.
@@ -74,35 +81,33 @@ def registers(shingle: np.ndarray, order: np.ndarray, rules: NearDup) -> tuple[n
         empty = np.flatnonzero(~filled)
         choice = order[empty]
         out[empty] = out[choice[np.arange(len(empty)), filled[choice].argmax(axis=1)]]
-    return out, len(first)
+    return out, filled
 
 
 def sketches(docs: DataFrame, id_col: str, text_col: str, rules: NearDup) -> DataFrame:
-    """(doc_id, n_shingles, digest, filled, sketch); the digest is one of the whole shingle set."""
+    """(doc_id, n_shingles, digest, filled, sketch): a digest of the whole set, a bit per bucket, the registers."""
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
 
     def sketch(batches):
-        hashes, order = WordHashes(), donors(rules.bucket_bits)
+        order = donors(rules.bucket_bits)
         for part in slices(batches):
             found = []
-            for text in text_bytes(part.column(1)):
-                s = shingles(text, hashes, rules.words)
+            for s in shingles(text_bytes(part.column(1)), rules.words):
                 digest = xxhash.xxh3_128_digest(s.tobytes())
-                values, filled = registers(s, order, rules) if len(s) else (None, 0)
-                found.append((len(s), digest, filled, None if values is None else values.tobytes()))
-            columns = [pa.array(list(c), t) for c, t in zip(zip(*found), (pa.int64(), pa.binary(), pa.int32(), pa.binary()))]
+                values, filled = registers(s, order, rules) if len(s) else (None, None)
+                found.append((len(s), digest, *((np.packbits(filled).tobytes(), values.tobytes()) if len(s) else (None, None))))
+            columns = [pa.array(list(c), t) for c, t in zip(zip(*found), (pa.int64(), pa.binary(), pa.binary(), pa.binary()))]
             yield pa.RecordBatch.from_arrays([part.column(0), *columns],
                                              names=["doc_id", "n_shingles", "digest", "filled", "sketch"])
 
     kind = dict(rows.dtypes)["doc_id"]
-    return rows.mapInArrow(sketch, f"doc_id {kind}, n_shingles bigint, digest binary, filled int, sketch binary")
+    return rows.mapInArrow(sketch, f"doc_id {kind}, n_shingles bigint, digest binary, filled binary, sketch binary")
 
 
 def band_keys(nodes: DataFrame, rules: NearDup) -> DataFrame:
     """(key, node) for each band of registers."""
     width = 2 * rules.band_rows
-    bands = (1 << rules.bucket_bits) // rules.band_rows
-    keys = F.transform(F.sequence(F.lit(0), F.lit(bands - 1)),
+    keys = F.transform(F.sequence(F.lit(0), F.lit(rules.bands - 1)),
                        lambda b: F.xxhash64(b, F.substring("sketch", b * width + 1, F.lit(width))))
     return nodes.select(F.explode(keys).alias("key"), "node")
 
@@ -110,8 +115,10 @@ def band_keys(nodes: DataFrame, rules: NearDup) -> DataFrame:
 def estimated(pairs: DataFrame, nodes: DataFrame, rules: NearDup) -> DataFrame:
     """The pairs (a, b) that sizes and registers leave possible.
 
-    Registers of unrelated documents are equal by chance with probability 0.17 * 2 ** -mantissa_bits * 4 q / (1 + q) ** 2,
-    q being the ratio of the set sizes; the share of equal registers is corrected for it.
+    The estimate is the share of equal registers among the m buckets that either set fills. Registers of unrelated
+    documents are equal by chance with probability 0.17 * 2 ** -mantissa_bits * 4 q / (1 + q) ** 2, q being the ratio of
+    the set sizes; the share is corrected for it. Its variance for similarity J and a union of f shingles is
+    J (1 - J) ((1 + 1 / (f - 1)) / m - 1 / (f - 1)): next to none if hardly any bucket holds two shingles.
     """
     side = nodes.select("node", "n_shingles", "filled", "sketch")
     both = (pairs.join(side.toDF("a", "n_a", "filled_a", "sketch_a"), "a")
@@ -123,17 +130,20 @@ def estimated(pairs: DataFrame, nodes: DataFrame, rules: NearDup) -> DataFrame:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            left, right = (np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint16).reshape(batch.num_rows, -1)
-                           for i in (4, 5))
-            n_a, n_b, filled = (batch.column(i).to_numpy().astype(float) for i in (2, 3, 6))
+            rows = [np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint8).reshape(batch.num_rows, -1) for i in range(4, 8)]
+            left, right = (r.view(np.uint16) for r in rows[:2])
+            own, other = (np.unpackbits(r, axis=1).astype(bool) for r in rows[2:])
+            n_a, n_b = (batch.column(i).to_numpy().astype(float) for i in (2, 3))
+            filled = (own | other).sum(axis=1)
             chance = 0.169919487 * 2.0 ** -rules.mantissa_bits * 4 * n_a * n_b / (n_a + n_b) ** 2
-            share = ((left == right).mean(axis=1) - chance) / (1 - chance)
-            ok = share >= goal - rules.sigmas * np.sqrt(goal * (1 - goal) / filled)
+            share = (((left == right) & own & other).sum(axis=1) / filled - chance) / (1 - chance)
+            union = np.maximum((n_a + n_b) / (1 + goal) - 1, 1)
+            deviation = np.sqrt(goal * (1 - goal) * np.maximum((1 + 1 / union) / filled - 1 / union, 0))
+            ok = share >= goal - rules.sigmas * deviation - 1 / filled
             yield batch.select([0, 1]).filter(pa.array(ok))
 
     kind = dict(pairs.dtypes)["a"]
-    columns = ["a", "b", "n_a", "n_b", "sketch_a", "sketch_b", F.least("filled_a", "filled_b").alias("filled")]
-    return both.select(*columns).mapInArrow(near, f"a {kind}, b {kind}")
+    return both.select("a", "b", "n_a", "n_b", "sketch_a", "sketch_b", "filled_a", "filled_b").mapInArrow(near, f"a {kind}, b {kind}")
 
 
 def confirmed(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, id_col: str, text_col: str, rules: NearDup) -> DataFrame:
@@ -154,11 +164,11 @@ def confirmed(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, id_col: str,
                 .repartition(F.col("a"), F.col("salt")).sortWithinPartitions("a", "salt", "role"))
 
     def compare(batches):
-        hashes, centre, mine = WordHashes(), None, None
+        centre, mine = None, None
         for part in slices(batches):
             found = []
-            for a, role, b, digest, text in zip(*(part.column(i).to_pylist() for i in (0, 2, 3, 4)), text_bytes(part.column(5))):
-                s = shingles(text, hashes, rules.words)
+            sets = shingles(text_bytes(part.column(5)), rules.words)
+            for a, role, b, digest, s in zip(*(part.column(i).to_pylist() for i in (0, 2, 3, 4)), sets):
                 if xxhash.xxh3_128_digest(s.tobytes()) != digest:
                     continue  # another row with the same id
                 if role == 0:
@@ -175,6 +185,65 @@ def confirmed(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, id_col: str,
     return streamed.mapInArrow(compare, f"a {kind}, b {kind}").distinct()
 
 
+def own_shingles(members: DataFrame, docs: DataFrame, id_col: str, text_col: str, rules: NearDup) -> DataFrame:
+    """(node, own): how many shingles of each member (node, digest) no other member holds.
+
+    Tasks send every shingle they read to its part of the hash space, with its member or, if several hold it, without;
+    what arrives there once belongs to one member alone.
+    """
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    texts = docs.select(F.col(id_col).alias("node"), F.col(text_col).cast("string").alias("text")).filter("text IS NOT NULL")
+    rows = members.join(texts, "node").select("node", "digest", "text")
+
+    def single(key, node):
+        order = np.argsort(key)
+        key, node = key[order], node[order]
+        first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.empty(0, int)
+        alone = np.diff(np.append(first, len(key))) == 1
+        return key[first], node[first], alone
+
+    def send(batches):
+        for part in slices(batches):
+            sets = list(shingles(text_bytes(part.column(2)), rules.words))
+            wanted = [xxhash.xxh3_128_digest(s.tobytes()) == d for s, d in zip(sets, part.column(1).to_pylist())]
+            nodes = part.column(0).to_pylist()
+            if not any(wanted):
+                continue
+            key = np.concatenate([s for s, w in zip(sets, wanted) if w])
+            node = np.repeat([n for n, w in zip(nodes, wanted) if w], [len(s) for s, w in zip(sets, wanted) if w])
+            key, node, alone = single(key, node.astype(np.int64))
+            place = (key >> np.uint64(20)) % np.uint64(parts)
+            order = np.argsort(place, kind="stable")
+            edges = np.searchsorted(place[order], np.arange(parts + 1))
+            out = []
+            for p in range(parts):
+                own = order[edges[p]:edges[p + 1]]
+                if len(own):
+                    out.append((p, key[own].tobytes(), node[own].tobytes(), alone[own].tobytes()))
+            yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(
+                zip(*out), (pa.int32(), pa.binary(), pa.binary(), pa.binary()))], names=["part", "keys", "nodes", "alone"])
+
+    def count(batches):
+        found = [(np.frombuffer(k, np.uint64), np.frombuffer(n, np.int64), np.frombuffer(o, bool)) for b in batches
+                 for k, n, o in zip(*(b.column(i).to_pylist() for i in (1, 2, 3)))]
+        if found:
+            key, node, alone = (np.concatenate(c) for c in zip(*found))
+            # A shingle that several members of one task hold arrives as if twice.
+            _, node, alone = single(np.concatenate([key, key[~alone]]), np.concatenate([node, node[~alone]]))
+            node, own = np.unique(node[alone], return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(node, pa.int64()), pa.array(own, pa.int64())], names=["node", "own"])
+
+    sent = rows.mapInArrow(send, "part int, keys binary, nodes binary, alone binary")
+    return (sent.repartition("part").mapInArrow(count, "node bigint, own bigint").groupBy("node")
+            .agg(F.sum("own").alias("own")))
+
+
+def within_reach(shared_a: str, n_a: str, shared_b: str, n_b: str, rules: NearDup) -> Column:
+    """Whether two sets can be similar enough, given how many of their shingles any other member holds."""
+    most = F.least(shared_a, shared_b)
+    return most * 100 >= (F.col(n_a) + F.col(n_b) - most) * rules.percent
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     rules: NearDup = NearDup()) -> DataFrame:
     """One row per id: doc_id, n_shingles, component_id (smallest id it can reach by links), kept (it is that id).
@@ -200,21 +269,45 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     links = stored(confirmed(possible, nodes, docs, id_col, text_col, rules), "confirmed")
     reached = stored(components(links), "components")
 
-    # Members of one bucket that are still in different components, against each other.
-    placed = keys.join(reached, "node", "left").select("key", "node", F.coalesce("component", "node").alias("component"))
-    open_keys = (placed.groupBy("key").agg(F.min("component").alias("_low"), F.max("component").alias("_high"))
+    # Buckets whose members are still in different components. What a member shares with none of the others bounds how
+    # similar it can be to any: heavily edited copies drop out, and the member that shares most is the best centre.
+    def open_members(component):
+        placed = keys.join(component, "node", "left").select("key", "node", F.coalesce("component", "node").alias("component"))
+        mixed = (placed.groupBy("key").agg(F.min("component").alias("_low"), F.max("component").alias("_high"))
                  .filter("_low < _high").select("key"))
-    open_members = stored(placed.join(open_keys, "key"), "open-members")
-    left = open_members.select("key", F.col("node").alias("a"), F.col("component").alias("_c"))
-    right = open_members.select("key", F.col("node").alias("b"), F.col("component").alias("_d"))
-    crossing = (left.join(right, "key").filter("a < b AND _c <> _d").select("a", "b").distinct()
-                .join(stars, ["a", "b"], "left_anti"))
-    more = stored(estimated(stored(crossing, "crossing"), nodes, rules), "possible-rest")
-    late = stored(confirmed(more, nodes, docs, id_col, text_col, rules), "confirmed-rest")
-    if late.isEmpty():
-        final = reached
-    else:
-        final = stored(components(links.union(late)), "components-all")
+        return placed.join(mixed, "key")
+
+    unsettled = stored(open_members(reached), "unsettled")
+    members = unsettled.select("node").distinct().join(nodes.select("node", "digest", "n_shingles"), "node")
+    own = own_shingles(members.select("node", "digest"), docs, id_col, text_col, rules)
+    sizes = stored(members.join(own, "node", "left").select(
+        "node", "n_shingles", (F.col("n_shingles") - F.coalesce("own", F.lit(0))).alias("shared"))
+        .filter(F.col("shared") * 100 >= F.col("n_shingles") * rules.percent), "shared")
+    bounded = stored(unsettled.join(sizes, "node"), "bounded")
+    best = (bounded.groupBy("key").agg(F.max(F.struct("shared", (-F.col("node")).alias("_n"), "n_shingles", "component")).alias("c"))
+            .select("key", (-F.col("c._n")).alias("_a"), F.col("c.shared").alias("_s"), F.col("c.n_shingles").alias("_m"),
+                    F.col("c.component").alias("_c")))
+    again = (bounded.join(best, "key").filter("node <> _a AND component <> _c")
+             .filter(within_reach("shared", "n_shingles", "_s", "_m", rules))
+             .select(F.least("node", "_a").alias("a"), F.greatest("node", "_a").alias("b")).distinct()
+             .join(stars, ["a", "b"], "left_anti"))
+    second = stored(again, "second-stars")
+    more = stored(confirmed(stored(estimated(second, nodes, rules), "possible-second"), nodes, docs, id_col, text_col, rules),
+                  "confirmed-second")
+    links = links.union(more)
+    reached = stored(components(links), "components-second")
+
+    # The rest: members of different components against each other, as far as their bounds allow.
+    rest = bounded.drop("component").join(reached, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    left = rest.select("key", F.col("node").alias("a"), F.col("component").alias("_c"), F.col("shared").alias("_s"),
+                       F.col("n_shingles").alias("_m"))
+    right = rest.select("key", F.col("node").alias("b"), F.col("component").alias("_d"), "shared", "n_shingles")
+    crossing = (left.join(right, (left["key"] == right["key"]) & (F.col("a") < F.col("b")) & (F.col("_c") != F.col("_d"))
+                          & within_reach("shared", "n_shingles", "_s", "_m", rules))
+                .select("a", "b").distinct().join(stars, ["a", "b"], "left_anti").join(second, ["a", "b"], "left_anti"))
+    last = stored(estimated(stored(crossing, "crossing"), nodes, rules), "possible-rest")
+    late = stored(confirmed(last, nodes, docs, id_col, text_col, rules), "confirmed-rest")
+    final = reached if late.isEmpty() else stored(components(links.union(late)), "components-all")
 
     ends = nodes.select("digest", "node").join(final, "node", "left").select(
         "digest", F.coalesce("component", "node").alias("component"))
