@@ -6,24 +6,45 @@ documents. All but the last return the columns of the documents.
 
 from __future__ import annotations
 
+from functools import wraps
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from deskloom.llm import decontaminate, langid, mixing, neardup, tokenids
 from deskloom.llm.words import in_fold
-from deskloom.session import stored
+from deskloom.session import recorded_tables, remove_tables, stored
 
 VOCABULARY = "word_bpe_49k.json"
 END_ID = 1
+_LEFT: list[str] = []  # tables that earlier stages worked with
+
+
+def stage(function):
+    """A stage that first removes what earlier ones have left in the shared folder and its documents don't read."""
+
+    @wraps(function)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        read = {part for file in docs.inputFiles() for part in file.split("/")}
+        used = [path for path in _LEFT if path.rsplit("/", 1)[-1] in read]
+        remove_tables(spark, [path for path in _LEFT if path not in used])
+        with recorded_tables() as made:
+            result = function(spark, docs, sf_dir)
+        _LEFT[:] = used + made
+        return result
+
+    return run_stage
 
 
+@stage
 def keep_known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is recognised; texts that are null, without letters or undecided go."""
     model = langid.fit_languages(docs.filter(~in_fold("doc_id", 4, 2)))
     return docs.filter(~langid.language(F.col("text"), model)["rejected"])
 
 
+@stage
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates; of rows that repeat an id, one; rows without id stay."""
     found = neardup.near_duplicates(docs)
@@ -38,17 +59,20 @@ def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     return rest.join(repeated, "doc_id", "left_anti").select(docs.columns).union(first.select(docs.columns))
 
 
+@stage
 def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item, whatever its numbers, names and units."""
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     return docs.filter(~decontaminate.is_leaky(F.col("text"), benchmark))
 
 
+@stage
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The mix of the sources: a document occurs as often as it is taken, in shuffled shards."""
     return mixing.mixed_documents(docs)
 
 
+@stage
 def write_token_files(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The token files of the mix, read back: doc_id, start, n_tokens, ids_crc32 of every row."""
     with open(public_tokenizers.path(VOCABULARY), encoding="utf-8") as file:
@@ -67,8 +91,8 @@ STAGES = [
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for name, stage in STAGES:
-        docs = stored(stage(spark, docs, sf_dir), name)
+    for name, apply in STAGES:
+        docs = stored(apply(spark, docs, sf_dir), name)
     return docs
 
 
