@@ -123,15 +123,19 @@ def reply_or_null(col: Column, min_chars: int = 10) -> Column:
     return F.when(F.length(col) > min_chars, strip(unquoted))
 
 
+# The lines of the grounding text.
+CASE_LINE, CUSTOMER_LINE, REPLY_LINE = "Historical case ", ":\n  Customer: ", "\n  Agent reply: "
+NO_CASES = "No historical cases retrieved."
+
+
 def case_context(cases: Column, first: int = 3, prefix: int = 200) -> Column:
     """Grounding text of the first retrieved cases (array of structs with customer_text, agent_text)."""
     lines = F.transform(
         F.slice(cases, 1, first),
         lambda c, i: F.concat(
-            F.lit("Historical case "), (i + 1).cast("string"), F.lit(":\n  Customer: "),
-            F.substring(c["customer_text"], 1, prefix),
-            F.lit("\n  Agent reply: "), F.substring(c["agent_text"], 1, prefix)))
-    return F.when(F.size(cases) > 0, F.array_join(lines, "\n")).otherwise(F.lit("No historical cases retrieved."))
+            F.lit(CASE_LINE), (i + 1).cast("string"), F.lit(CUSTOMER_LINE), F.substring(c["customer_text"], 1, prefix),
+            F.lit(REPLY_LINE), F.substring(c["agent_text"], 1, prefix)))
+    return F.when(F.size(cases) > 0, F.array_join(lines, "\n")).otherwise(F.lit(NO_CASES))
 
 
 def pick(id_col: Column, salt: str, choices: int) -> Column:

@@ -11,6 +11,8 @@ from deskloom.operators.skew import first_per_key, top_n_per_group
 from deskloom.presets.cases import REAL_SAMPLE_NOTE, REAL_SOURCE, SYNTHETIC_SAMPLE_NOTE
 from deskloom.session import stored
 
+# Annotator and method of manual and of programmatic ratings.
+BY_HAND, BY_RULE = ("author", "manual"), ("calibrated_simulation", "programmatic_rubric")
 GOLDEN_COLUMNS = ["id", "customer_tweet", "ground_truth_intent", "reference_reply", "ground_truth_escalation",
                   "escalation_reason", "difficulty", "notes", "source"]
 
@@ -125,8 +127,8 @@ def tier_ratings(cases: DataFrame, position: str, tiers, manual: int = 20, manua
         F.col("id").alias("case_id"), "customer_tweet",
         F.get(F.array(*replies), tier).alias("model_reply"),
         F.struct(*[s.alias(n) for n, s in zip(names, scores)], overall.alias("overall_mean")).alias("human_scores"),
-        F.when(by_hand, "author").otherwise("calibrated_simulation").alias("annotator"),
-        F.when(by_hand, "manual").otherwise("programmatic_rubric").alias("annotation_method"),
+        F.when(by_hand, BY_HAND[0]).otherwise(BY_RULE[0]).alias("annotator"),
+        F.when(by_hand, BY_HAND[1]).otherwise(BY_RULE[1]).alias("annotation_method"),
         F.when(by_hand, hand_note).otherwise(tier_note).alias("annotator_notes"))
 
 

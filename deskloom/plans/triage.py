@@ -16,6 +16,7 @@ from deskloom.presets import rules as preset_rules
 from deskloom.presets import taxonomy
 from deskloom.session import stored
 
+# Metadata of a result.
 VERSION = "2.0.0"
 REPLY_MODE = "template_fallback"
 

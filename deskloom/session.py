@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -45,9 +47,42 @@ def shared_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+_SCOPES: list[list[str]] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder."""
-    return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    for scope in _SCOPES:
+        scope.append(path)
+    return path
+
+
+@contextmanager
+def recorded_tables() -> Iterator[list[str]]:
+    """A scope that lists the scratch paths given out in it."""
+    paths: list[str] = []
+    _SCOPES.append(paths)
+    try:
+        yield paths
+    finally:
+        _SCOPES[:] = [scope for scope in _SCOPES if scope is not paths]
+
+
+def remove_tables(spark: SparkSession, paths: list[str]) -> None:
+    for path in paths:
+        table = spark._jvm.org.apache.hadoop.fs.Path(path)
+        table.getFileSystem(spark._jsc.hadoopConfiguration()).delete(table, True)
+
+
+@contextmanager
+def scratch_tables(spark: SparkSession) -> Iterator[None]:
+    """A scope that removes the tables stored in it at its end; write or collect results before that."""
+    with recorded_tables() as paths:
+        try:
+            yield
+        finally:
+            remove_tables(spark, paths)
 
 
 def stored(df: DataFrame, name: str = "step") -> DataFrame:

@@ -10,7 +10,7 @@ from deskloom.operators.retrieval import flat_cases, search, top_k_cases
 from deskloom.operators.tfidf import TfidfConfig, TfidfIndex, retrieval_terms
 from deskloom.plans.benchmark import annotation_counts, rate_and_compare
 from deskloom.plans.classifier import ClassModel, apply_scorer, classify_by_rules, fit_classifier
-from deskloom.plans.triage import split_blank, triage
+from deskloom.plans.triage import decide, split_blank, triage
 from deskloom.presets import rules, taxonomy
 from deskloom.sources.synthetic import expand_templates
 from deskloom.streaming.triage_stream import drop_repeats
@@ -150,3 +150,28 @@ def test_stream_drops_repeats(spark, tmp_path):
     (stream.writeStream.format("parquet").option("path", f"{tmp_path}/out").option("checkpointLocation", f"{tmp_path}/cp")
      .trigger(availableNow=True).start().awaitTermination())
     assert spark.read.parquet(f"{tmp_path}/out").count() == 2
+
+
+class GuessesByWord:
+    """Stands in for a fitted model: sure of screens, unsure of all else."""
+
+    def classify(self, messages, id_col, text_col, rules, names=None):
+        sure = F.contains(F.col(text_col), F.lit("screen"))
+        return messages.withColumns({"predicted_intent": F.lit("HARDWARE_BATTERY"), "confidence": F.when(sure, 0.9).otherwise(0.2)})
+
+
+def test_pipeline_follows_the_model(spark):
+    asked = spark.createDataFrame([("q1", "the color of it"), ("q2", "a screen colour")], "query_id string, text string")
+    corpus = corpus_of(spark, ["other words", "more words"])
+    found = {r["query_id"]: r for r in decide(asked, corpus, CASES, model=GuessesByWord()).collect()}
+    assert found["q1"]["escalation"]["reason"] == "LOW_CONFIDENCE_AMBIGUITY"
+    assert found["q2"]["escalation"]["reason"] != "LOW_CONFIDENCE_AMBIGUITY"
+
+
+def test_a_saved_index_keeps_its_limit(spark, tmp_path):
+    corpus = corpus_of(spark, ["same words"] * 12)
+    TfidfIndex.build(corpus, "id", "customer_text", CASES, keep=3).save(f"{tmp_path}/index")
+    again = TfidfIndex.load(spark, f"{tmp_path}/index", CASES)
+    asked = spark.createDataFrame([("q", "same words")], "query_id string, text string")
+    with pytest.raises(ValueError):
+        search(asked, again, "query_id", "text", 10)
