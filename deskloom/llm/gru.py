@@ -45,20 +45,9 @@ def initial(shape: Shape, seed: int = 7) -> dict[str, np.ndarray]:
     return weights
 
 
-def trigram_codes(words: list[bytes], buckets: int) -> tuple[np.ndarray, np.ndarray]:
-    """(bucket of every byte trigram, place of each word's first one); words are framed by blanks, so none is without."""
-    flat = np.frombuffer(b"".join(b" " + w + b"  " for w in words), np.uint8).astype(np.uint64)
-    lengths = np.fromiter((len(w) + 3 for w in words), np.int64, len(words))
-    first = np.cumsum(lengths) - lengths
-    codes = ((flat[:-2] * np.uint64(0x9E3779B1) + flat[1:-1]) * np.uint64(0x85EBCA6B) + flat[2:]) * np.uint64(0xC2B2AE3D27D4EB4F)
-    keep = np.ones(len(flat), bool)
-    keep[np.concatenate([first + lengths - 1, first + lengths - 2])] = False  # those that reach into the next word
-    return (codes[keep[:-2]] >> np.uint64(40)).astype(np.int64) % buckets, first - 2 * np.arange(len(words))
-
-
-def word_inputs(weights: dict, numbers: np.ndarray, words: list[bytes]) -> np.ndarray:
-    """Input vectors of words: word vector and mean trigram vector."""
-    codes, first = trigram_codes(words, len(weights["char"]))
+def word_inputs(weights: dict, numbers: np.ndarray, codes: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Input vectors of words: word vector and mean trigram vector. ``codes``: trigrams of all words one after the other,
+    ``first``: the place of each word's first one; every word has some."""
     sums = np.add.reduceat(weights["char"][codes], first, axis=0)
     counts = np.diff(np.append(first, len(codes)))[:, None]
     return np.concatenate([weights["word"][numbers], (sums / counts).astype(np.float32)], axis=1)

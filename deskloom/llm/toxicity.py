@@ -1,7 +1,7 @@
 """Toxicity scores of whole texts: a recurrent network reads all overlapping windows, the highest one counts."""
 
-import string
 import sys
+from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import chain
 
@@ -12,12 +12,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from deskloom.llm import gru
-from deskloom.llm.words import slices, text_bytes
+from deskloom.llm.words import counts_by_text, scan, slices, text_bytes
 
 # Executors need not have this package: its functions travel with the tasks.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-EDGES = string.punctuation.encode()
+# Words are runs of letters and digits in lower case; all other ASCII characters part them.
+LOWER = np.frombuffer(bytes(range(256)).lower(), np.uint8)
+INSIDE = np.array([c >= 128 or chr(c).isalnum() for c in range(256)])
 
 
 @dataclass(frozen=True)
@@ -30,52 +32,74 @@ class ToxicityRules:
     min_docs: int = 4            # documents in which a word must occur to get a vector of its own
     passes: int = 5
     batch: int = 128
-    windows_at_once: int = 4096
+    least_steps: int = 120       # of learning; few documents are passed through more often
+    windows_at_once: int = 2048
 
 
 @dataclass
 class ToxicityModel:
-    vocabulary: dict[bytes, int]  # 0 stands for all other words
+    vocabulary: np.ndarray  # sorted hashes of the words with vectors of their own; number 0 stands for all others
     weights: dict | None          # None if only one class was seen
     prior: float
     rules: ToxicityRules
 
 
-def core(word: bytes) -> bytes:
-    return word.lower().strip(EDGES)
-
-
 def window_starts(n_words: int, rules: ToxicityRules) -> range:
     """Starts of windows that overlap and cover all words."""
     return range(0, max(1, n_words - (rules.window - rules.stride)), rules.stride)
 
 
-class Inputs:
-    """Numbers words as they come and keeps what ``make`` gives for each: a row per distinct word."""
-
-    def __init__(self, vocabulary: dict, make, limit: int = 1 << 17):
-        self.vocabulary, self.make, self.limit = vocabulary, make, limit
-        self.known: dict[bytes, int] = {}
-        self.rows = None
-
-    def numbers(self, words: list[bytes]) -> np.ndarray:
-        """Row numbers of the words; rows may be renumbered by the next call."""
-        if len(self.known) > self.limit:
-            self.known, self.rows = {}, None
-        new = [w for w in dict.fromkeys(words) if w not in self.known]
-        if new:
-            cores = [core(w) for w in new]
-            made = self.make(np.array([self.vocabulary.get(c, 0) for c in cores]), cores)
-            self.known.update(zip(new, range(len(self.known), len(self.known) + len(new))))
-            self.rows = made if self.rows is None else np.concatenate([self.rows, made])
-        return np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
-
-
-def windows(lengths: list[int], rules: ToxicityRules) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+@dataclass
+class Tokens:
+    """Words of several texts one after the other: hashes, number per text, byte trigrams and each word's first one."""
+
+    hashes: np.ndarray
+    lengths: np.ndarray
+    codes: np.ndarray
+    first: np.ndarray
+
+    def numbers(self, vocabulary: np.ndarray) -> np.ndarray:
+        if not len(vocabulary):
+            return np.zeros(len(self.hashes), np.int64)
+        place = np.searchsorted(vocabulary, self.hashes)
+        place[place == len(vocabulary)] = 0
+        return np.where(vocabulary[place] == self.hashes, place + 1, 0)
+
+    def pick(self, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(codes, first) of the words at these places."""
+        sizes = np.diff(np.append(self.first, len(self.codes)))[places]
+        first = np.cumsum(sizes) - sizes
+        return self.codes[np.repeat(self.first[places] - first, sizes) + np.arange(sizes.sum())], first
+
+
+def tokenise(texts: list[bytes], trigrams: int) -> Tokens:
+    """The tokens of all texts, worked out piece by piece."""
+    parts = [_tokens_of_piece(piece, trigrams) for _, piece in in_pieces(texts)] or [_tokens_of_piece([], trigrams)]
+    before = np.cumsum([0, *(len(p.codes) for p in parts[:-1])])
+    return Tokens(*(np.concatenate([getattr(p, name) for p in parts]) for name in ("hashes", "lengths", "codes")),
+                  np.concatenate([p.first + b for p, b in zip(parts, before)]))
+
+
+def _tokens_of_piece(texts: list[bytes], trigrams: int) -> Tokens:
+    data = np.frombuffer(b" " + b" ".join(texts) + b" ", np.uint8)
+    inside = INSIDE[data]
+    data = np.where(inside, LOWER[data], 32).astype(np.uint64)
+    first, last, hashes = scan(data.astype(np.uint8), inside)
+    codes = ((data[:-2] * np.uint64(0x9E3779B1) + data[1:-1]) * np.uint64(0x85EBCA6B) + data[2:]) * np.uint64(0xC2B2AE3D27D4EB4F)
+    # A word has the trigrams around each of its bytes.
+    sizes = last - first
+    starts = np.cumsum(sizes) - sizes
+    used = np.flatnonzero(inside) - 1
+    return Tokens(hashes, counts_by_text(first, texts), ((codes[used] >> np.uint64(40)) % np.uint64(trigrams)).astype(np.int32),
+                  starts)
+
+
+def windows(lengths: np.ndarray, rules: ToxicityRules) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(text number, places of the words, mask) of all windows of texts that lie one after the other.
 
     Places and mask have the shape (steps, windows); places behind the end of a text are those of its last word.
     """
+    lengths = np.asarray(lengths).tolist()
     starts = [window_starts(n, rules) for n in lengths]
     owner = np.repeat(np.arange(len(lengths)), [len(s) if n else 0 for s, n in zip(starts, lengths)])
     if not len(owner):
@@ -84,30 +108,45 @@ def windows(lengths: list[int], rules: ToxicityRules) -> tuple[np.ndarray, np.nd
     n = np.array(lengths)[owner]
     offset = (np.cumsum(lengths) - lengths)[owner]
     inside = first + np.arange(rules.window)[:, None]
-    return owner, offset + np.minimum(inside, n - 1), (inside < n).astype(np.float32)
+    return owner, (offset + np.minimum(inside, n - 1)).astype(np.int32), (inside < n).astype(np.float32)
 
 
-def score_texts(texts: list[bytes], model: ToxicityModel, inputs: Inputs) -> np.ndarray:
+def window_odds(texts: list[bytes], vocabulary: np.ndarray, weights: dict, rules: ToxicityRules) -> tuple[np.ndarray, np.ndarray]:
+    """(text number, log-odds) of all windows."""
+    tokens = tokenise(texts, len(weights["char"]))
+    owner, places, mask = windows(tokens.lengths, rules)
+    odds = np.zeros(len(owner), np.float32)
+    if len(owner):
+        rows = gru.gates(weights, gru.word_inputs(weights, tokens.numbers(vocabulary), tokens.codes, tokens.first))
+        for a in range(0, len(owner), rules.windows_at_once):
+            b = a + rules.windows_at_once
+            odds[a:b] = gru.score(weights, rows[places[:, a:b]], mask[:, a:b, None])
+    return owner, odds
+
+
+def in_pieces(texts: list[bytes], size: int = 1 << 19) -> Iterator[tuple[int, list[bytes]]]:
+    """(number of the first text, texts) in runs of about ``size`` bytes."""
+    start = total = 0
+    for end, text in enumerate(texts):
+        total += len(text)
+        if total >= size:
+            yield start, texts[start:end + 1]
+            start, total = end + 1, 0
+    if start < len(texts):
+        yield start, texts[start:]
+
+
+def score_texts(texts: list[bytes], model: ToxicityModel) -> np.ndarray:
     """Score of each text: the highest of its windows; a text without words has no window and scores 0."""
     if model.weights is None:
         return np.full(len(texts), model.prior)
-    words = [t.split() for t in texts]
-    lengths = [len(w) for w in words]
-    owner, places, mask = windows(lengths, model.rules)
     result = np.zeros(len(texts))
-    if len(owner):
-        numbers = inputs.numbers(list(chain.from_iterable(words)))
-        for a in range(0, len(owner), model.rules.windows_at_once):
-            b = a + model.rules.windows_at_once
-            odds = gru.score(model.weights, inputs.rows[numbers[places[:, a:b]]], mask[:, a:b, None])
-            np.maximum.at(result, owner[a:b], gru.sigmoid(odds.astype(np.float64)))
+    for start, piece in in_pieces(texts):
+        owner, odds = window_odds(piece, model.vocabulary, model.weights, model.rules)
+        np.maximum.at(result, owner + start, gru.sigmoid(odds.astype(np.float64)))
     return result
 
 
-def scorer(model: ToxicityModel) -> Inputs:
-    return Inputs(model.vocabulary, lambda numbers, cores: gru.gates(model.weights, gru.word_inputs(model.weights, numbers, cores)))
-
-
 def train(texts: list[bytes], labels: list[int], rules: ToxicityRules = ToxicityRules(), seed: int = 11) -> ToxicityModel:
     """Learn from labelled texts. A toxic text says only that some of its windows are toxic.
 
@@ -116,42 +155,34 @@ def train(texts: list[bytes], labels: list[int], rules: ToxicityRules = Toxicity
     texts, which lets the first choice of windows find them.
     """
     random = np.random.RandomState(seed)
-    labels = np.array(labels)
-    words = [[core(w) for w in t.split()] for t in texts]
-    full = [i for i, w in enumerate(words) if w]
+    labels = np.array(labels, np.int64)
+    weights = gru.initial(gru.Shape(1), seed)
+    tokens = tokenise(texts, len(weights["char"]))
+    full = tokens.lengths > 0
     prior = float(labels.mean()) if len(labels) else 0.0
-    labels, words = labels[full], [words[i] for i in full]
-    if len(set(labels.tolist())) < 2:
-        return ToxicityModel({}, None, prior, rules)
-    seen: dict[bytes, list] = {}
-    for label, text in zip(labels, words):
-        for w in set(text):
-            seen.setdefault(w, [0, 0])[label] += 1
-    often = sorted(w for w, n in seen.items() if sum(n) >= rules.min_docs and w)
-    vocabulary = {w: i + 1 for i, w in enumerate(often)}
-    totals = np.bincount(labels, minlength=2)
-    lean = np.array([[0, 0], *(seen[w] for w in often)]) + 0.5
-    lean = np.clip(np.log(lean[:, 1] / (totals[1] + 1)) - np.log(lean[:, 0] / (totals[0] + 1)), -3, 3)
-    weights = gru.initial(gru.Shape(len(often) + 1), seed)
+    if len(set(labels[full].tolist())) < 2:
+        return ToxicityModel(np.empty(0, np.uint64), None, prior, rules)
+    # In how many clean and toxic texts each word occurs.
+    text = np.repeat(np.arange(len(texts)), tokens.lengths)
+    distinct, number = np.unique(tokens.hashes, return_inverse=True)
+    seen = np.unique(number * len(texts) + text)
+    counts = np.stack([np.bincount(seen[labels[seen % len(texts)] == c] // len(texts), minlength=len(distinct)) for c in (0, 1)])
+    vocabulary = distinct[counts.sum(axis=0) >= rules.min_docs]
+    shares = (counts[:, counts.sum(axis=0) >= rules.min_docs] + 0.5) / (np.bincount(labels, minlength=2)[:, None] + 1)
+    lean = np.concatenate([[0.0], np.clip(np.log(shares[1] / shares[0]), -3, 3)])
+    weights = gru.initial(gru.Shape(len(lean)), seed)
     weights["word"][:, 0] = lean / 1.5
     weights["word"][0] = 0
-    owner, places, mask = windows([len(w) for w in words], rules)
-    flat = list(chain.from_iterable(words))
-    distinct = list(dict.fromkeys(flat))
-    number_of = {w: i for i, w in enumerate(distinct)}
-    number = np.fromiter(map(number_of.__getitem__, flat), np.int64, len(flat))
-    word_rows = np.array([vocabulary.get(w, 0) for w in distinct])
-    codes, first = gru.trigram_codes(distinct, len(weights["char"]))
-    ends = np.append(first[1:], len(codes))
-    lean_of = lean[word_rows][number]
-    ranking = lean_of[places].max(axis=0)  # the first choice of windows
-    adam = gru.Adam()
-    toxic = labels[owner] == 1
-    for turn in range(rules.passes):
+    numbers = tokens.numbers(vocabulary)
+    owner, places, mask = windows(tokens.lengths, rules)
+    ranking = lean[numbers][places].max(axis=0)  # the first choice of windows
+    adam, toxic = gru.Adam(), labels[owner] == 1
+    size = weights["word"].shape[1]
+    turn = 0
+    while turn < rules.passes or adam.steps < rules.least_steps:
         if turn:
-            rows = gru.gates(weights, gru.word_inputs(weights, word_rows, distinct))
-            ranking = np.concatenate([gru.score(weights, rows[number[places[:, a:a + 4096]]], mask[:, a:a + 4096, None])
-                                      for a in range(0, len(owner), 4096)])
+            ranking = np.concatenate([window_odds(piece, vocabulary, weights, rules)[1] for _, piece in in_pieces(texts)])
+        turn += 1
         order = np.lexsort((-ranking, owner))
         rank = np.empty(len(owner), np.int64)
         rank[order] = np.arange(len(owner)) - np.searchsorted(owner, owner)[order]
@@ -161,19 +192,16 @@ def train(texts: list[bytes], labels: list[int], rules: ToxicityRules = Toxicity
         chosen = random.permutation(np.concatenate([hard, some]))
         for a in range(0, len(chosen), rules.batch):
             pick = chosen[a:a + rules.batch]
-            here = number[places[:, pick]]
-            used, back = np.unique(here, return_inverse=True)
-            vectors = gru.word_inputs(weights, word_rows[used], [distinct[i] for i in used])
-            slopes, d_inputs, _ = gru.gradients(weights, vectors[back.reshape(here.shape)], mask[:, pick, None],
-                                                labels[owner[pick]])
-            size = weights["word"].shape[1]
-            d_used = np.zeros_like(vectors)
-            np.add.at(d_used, back.reshape(-1), d_inputs.reshape(-1, d_inputs.shape[2]))
+            here = places[:, pick].reshape(-1)
+            codes, first = tokens.pick(here)
+            vectors = gru.word_inputs(weights, numbers[here], codes, first).reshape(rules.window, len(pick), -1)
+            slopes, d_inputs, _ = gru.gradients(weights, vectors, mask[:, pick, None], labels[owner[pick]])
+            d_inputs = d_inputs.reshape(len(here), -1)
             slopes["word"], slopes["char"] = np.zeros_like(weights["word"]), np.zeros_like(weights["char"])
-            np.add.at(slopes["word"], word_rows[used], d_used[:, :size])
+            np.add.at(slopes["word"], numbers[here], d_inputs[:, :size])
             slopes["word"][0] = 0
-            for i, u in enumerate(used):
-                np.add.at(slopes["char"], codes[first[u]:ends[u]], d_used[i, size:] / (ends[u] - first[u]))
+            counts = np.diff(np.append(first, len(codes)))
+            np.add.at(slopes["char"], codes, np.repeat(d_inputs[:, size:] / counts[:, None], counts, axis=0))
             adam.step(weights, slopes)
     return ToxicityModel(vocabulary, weights, prior, rules)
 
@@ -205,10 +233,8 @@ def toxicity(docs: DataFrame, model: ToxicityModel, id_col: str = "doc_id", text
     kinds = dict(rows.dtypes)
 
     def rate(batches):
-        known = shared.value
-        inputs = scorer(known)
-        for part in slices(batches, 2 << 20):
-            result = score_texts(text_bytes(part.column(1)), known, inputs)
+        for part in slices(batches):
+            result = score_texts(text_bytes(part.column(1)), shared.value)
             yield pa.RecordBatch.from_arrays([part.column(0), *part.columns[2:], pa.array(result, pa.float64())],
                                              names=["doc_id", *carry, "score"])
 

@@ -27,7 +27,16 @@ _RANDOM = np.random.RandomState(20)
 _LETTER = _RANDOM.randint(0, 1 << 62, 256, np.int64).astype(np.uint64) * np.uint64(4) + _RANDOM.randint(0, 4, 256).astype(np.uint64)
 _BASE, _INVERSE = np.uint64(0x9E3779B97F4A7C15), np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 _IN_WORD = np.array([chr(c).encode("latin-1") not in (b" ", b"\t", b"\n", b"\x0b", b"\x0c", b"\r") for c in range(256)])
-_POWERS: dict[str, np.ndarray] = {}
+
+
+class _Kept(dict):
+    """A memory of one process; it travels empty."""
+
+    def __reduce__(self):
+        return _Kept, ()
+
+
+_POWERS = _Kept()
 
 
 def _powers(length: int) -> tuple[np.ndarray, np.ndarray]:
@@ -116,7 +125,7 @@ def text_bytes(column) -> list[bytes]:
     return [b"" if t is None else t for t in column.cast(pa.large_binary()).to_pylist()]
 
 
-def slices(batches, max_bytes: int = 8 << 20) -> Iterator:
+def slices(batches, max_bytes: int = 4 << 20) -> Iterator:
     """The rows of Arrow batches in runs of about ``max_bytes``, a longer single row alone: bounds what a task holds."""
     for batch in batches:
         step = max(1, int(batch.num_rows * max_bytes / max(batch.nbytes, 1)))
