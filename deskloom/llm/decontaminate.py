@@ -10,12 +10,12 @@ import re
 import string
 import sys
 from array import array
+from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import reduce
 from itertools import chain
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark import cloudpickle
@@ -256,14 +256,15 @@ def is_leaky(text: Column, benchmark: DataFrame, rules: Templates = Templates(),
     """Whether a text leaks any benchmark item; false for null."""
 
     def of(shared):
-        @F.pandas_udf("boolean")
-        def leaky(texts: pd.Series) -> pd.Series:
-            content = [b"" if t is None else t.encode("utf-8", "surrogatepass") for t in texts]
-            forms, hit = Forms(), np.zeros(len(content), bool)
-            for start in range(0, len(content), 1000):
-                for t, *_ in find(content[start:start + 1000], shared.value, rules, forms):
-                    hit[start + t] = True
-            return pd.Series(hit)
+        @F.arrow_udf("boolean")
+        def leaky(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+            forms = Forms()
+            for texts in batches:
+                hit = np.zeros(len(texts), bool)
+                for start in range(0, len(texts), 500):
+                    for t, *_ in find(text_bytes(texts.slice(start, 500)), shared.value, rules, forms):
+                        hit[start + t] = True
+                yield pa.array(hit)
 
         return leaky(text)
 

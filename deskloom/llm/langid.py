@@ -9,7 +9,7 @@ import sys
 from collections.abc import Iterator
 from dataclasses import dataclass
 
-import pandas as pd
+import pyarrow as pa
 import zstandard
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window
@@ -99,11 +99,15 @@ def language(text: Column, model: LanguageModel) -> Column:
     encoded in chunks, so the dictionaries count over the whole of a long text.
     """
 
-    @F.pandas_udf(RESULT)
-    def predict(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    types = pa.string(), pa.float64(), pa.float64(), pa.bool_()
+
+    @F.arrow_udf(RESULT)
+    def predict(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         compressors = _compressors(model)
         for batch in batches:
-            yield pd.DataFrame([classify(t, compressors, model) for t in batch],
-                               columns=["lang_pred", "score", "margin", "rejected"])
+            # Text by text, so a task holds one as a Python string.
+            found = zip(*(classify(t.as_py(), compressors, model) for t in batch)) if len(batch) else [()] * len(types)
+            yield pa.StructArray.from_arrays([pa.array(list(c), t) for c, t in zip(found, types)],
+                                             names=["lang_pred", "score", "margin", "rejected"])
 
     return predict(text)

@@ -88,7 +88,7 @@ class TextEncoder:
     What a piece becomes is remembered under its 64-bit hash, up to ``remember`` pieces.
     """
 
-    def __init__(self, vocabulary: str, remember: int = 2_000_000):
+    def __init__(self, vocabulary: str, remember: int = 600_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(vocabulary)

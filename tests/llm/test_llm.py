@@ -98,7 +98,8 @@ def test_near_duplicates_large_group_and_chain(spark):
 
 
 def test_registers_estimate_similarity():
-    rules, order = neardup.NearDup(), neardup.donors(7)
+    rules = neardup.NearDup()
+    order = neardup.donors(rules.bucket_bits)
     rng = np.random.RandomState(0)
     pool = np.unique(rng.randint(0, 1 << 63, 4000, np.int64).astype(np.uint64) * np.uint64(2))
     for share in (0.2, 0.5, 0.8):
