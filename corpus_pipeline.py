@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from deskloom.llm import decontaminate, langid, mixing, neardup, tokenids
-from deskloom.llm.words import in_fold
+from deskloom.llm.words import in_fold, short_batches
 from deskloom.session import recorded_tables, remove_tables, stored
 
 VOCABULARY = "word_bpe_49k.json"
@@ -26,6 +26,7 @@ def stage(function):
 
     @wraps(function)
     def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        short_batches(spark)
         read = {part for file in docs.inputFiles() for part in file.split("/")}
         used = [path for path in _LEFT if path.rsplit("/", 1)[-1] in read]
         remove_tables(spark, [path for path in _LEFT if path not in used])

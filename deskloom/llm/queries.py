@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from deskloom.llm import decontaminate, langid, lm, mixing, neardup, pii, quality, substrings, tokenids, toxicity
-from deskloom.llm.words import in_fold
+from deskloom.llm.words import in_fold, short_batches
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -29,6 +29,7 @@ def query(sql: str | None = None):
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    short_batches(spark)
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 

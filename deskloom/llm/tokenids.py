@@ -88,7 +88,7 @@ class TextEncoder:
     What a piece becomes is remembered under its 64-bit hash, up to ``remember`` pieces.
     """
 
-    def __init__(self, vocabulary: str, remember: int = 600_000):
+    def __init__(self, vocabulary: str, remember: int = 400_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(vocabulary)
@@ -205,7 +205,7 @@ def token_rows(docs: DataFrame, vocabulary: str, end_id: int, id_col: str, text_
 
     def encode(batches):
         encoder, packer = encoder_of(shared.value), zstandard.ZstdCompressor(level=1)
-        for part in slices(batches, 1 << 20):
+        for part in slices(batches, 1 << 18):
             ids = encoder.encode(text_bytes(part.column(1)), end_id)
             ties = [xxhash.xxh3_64_intdigest(x) >> 1 for x in ids]
             packed = pa.array(map(packer.compress, ids), pa.binary())

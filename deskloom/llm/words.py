@@ -5,7 +5,7 @@ from collections.abc import Iterator
 
 import numpy as np
 from pyspark import cloudpickle
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 # Executors need not have this package: its functions travel with the tasks.
@@ -50,7 +50,7 @@ def _powers(length: int) -> tuple[np.ndarray, np.ndarray]:
     return _POWERS["up"], _POWERS["down"]
 
 
-def word_hashes(texts: list[bytes], piece: int = 1 << 20) -> tuple[np.ndarray, np.ndarray]:
+def word_hashes(texts: list[bytes], piece: int = 1 << 19) -> tuple[np.ndarray, np.ndarray]:
     """(64-bit hashes of the words of all texts, number of words of each text), without a Python object per word."""
     hashes, lengths, start = [np.empty(0, np.uint64)], [np.empty(0, np.int64)], 0
     while start < len(texts):
@@ -125,6 +125,11 @@ def text_bytes(column) -> list[bytes]:
     return [b"" if t is None else t for t in column.cast(pa.large_binary()).to_pylist()]
 
 
+def short_batches(spark: SparkSession) -> None:
+    """Texts are long: fewer rows in an Arrow batch bound what both ends of it hold."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+
+
 def slices(batches, max_bytes: int = 4 << 20) -> Iterator:
     """The rows of Arrow batches in runs of about ``max_bytes``, a longer single row alone: bounds what a task holds."""
     for batch in batches:
