@@ -29,7 +29,6 @@ from deskloom.session import stored
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 BLOCK_BYTES = 4 << 20  # of text whose windows are compared at once
-KEY_BYTES = 4  # of a fingerprint, besides its part of the key space; the automata sort out chance collisions
 
 
 @dataclass(frozen=True)
@@ -166,7 +165,8 @@ def fingerprints(rows: DataFrame, rules: SubstringRules, parts: int, groups: int
     """(key, group, packed): hits inside a block of documents (group >= 0), and for each part of the key space every
     window of the block, as it stands in the smallest document (group -1).
 
-    A window that very many documents share leaves a block once, however often it occurs there.
+    A window that very many documents share leaves a block once, however often it occurs there. Windows meet on all 64 bits
+    of their hash: another window with an equal key would hide the true earlier document.
     """
 
     def read(batches):
@@ -185,15 +185,15 @@ def fingerprints(rows: DataFrame, rules: SubstringRules, parts: int, groups: int
             out = [(g, g, p) for g, p in hit_rows(later, at, earlier, groups)]
             first = np.sort(first)
             window, document, place = window[first], document[first], place[first]
-            part = ((window >> np.uint64(32)) % np.uint64(parts)).astype(np.int64)
+            key, part = np.divmod(window, np.uint64(parts))  # both together are the whole hash
+            part = part.astype(np.int64)
             order = np.argsort(part, kind="stable")
             edges = np.searchsorted(part[order], np.arange(parts + 1))
             for p in range(parts):
                 own = order[edges[p]:edges[p + 1]]
                 if len(own):
                     numbers = np.concatenate([document[own][:1], np.diff(document[own]), place[own][:1], np.diff(place[own])])
-                    out.append((p, -1, window[own].astype("<u4").tobytes() + planes(numbers.view(np.uint64)) +
-                                np.uint32(len(own)).tobytes()))
+                    out.append((p, -1, planes(np.concatenate([key[own], numbers.view(np.uint64)]))))
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(
                     zip(*out), (pa.int32(), pa.int32(), pa.binary()))], names=["key", "group", "packed"])
@@ -226,9 +226,9 @@ def all_hits(prints: DataFrame, groups: int) -> DataFrame:
                     yield from between(found)
                     found = []
                 current = part
-                n = int(np.frombuffer(packed[-4:], np.uint32)[0])
-                document, place = np.cumsum(from_planes(packed[KEY_BYTES * n:-4]).view(np.int64).reshape(2, -1), axis=1)
-                found.append((np.frombuffer(packed, "<u4", n), document, place))
+                key, *numbers = from_planes(packed).reshape(3, -1)
+                document, place = np.cumsum(np.stack(numbers).view(np.int64), axis=1)
+                found.append((key, document, place))
         if found:
             yield from between(found)
 

@@ -138,6 +138,14 @@ def test_substrings_same_id_different_text(spark):
     assert got == brute.remove_repeats(rows)
 
 
+def test_substrings_meet_on_the_whole_hash(documents, monkeypatch):
+    hashes = substrings.window_hashes
+    monkeypatch.setattr(substrings, "window_hashes", lambda h, width: hashes(h, width) & ~np.uint64(0xFFFFFFFF) | np.uint64(7))
+    monkeypatch.setattr(substrings, "BLOCK_BYTES", 1 << 16)
+    got = sorted(tuple(r) for r in substrings.remove_repeats(documents.repartition(8)).collect())
+    assert got == brute.remove_repeats(pairs(documents))
+
+
 def test_suffix_automaton():
     rng = random.Random(1)
     texts = [[rng.choice([b"a", b"b", b"c"]) for _ in range(40)] for _ in range(6)]
