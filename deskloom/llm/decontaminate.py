@@ -2,8 +2,8 @@
 
 Numbers, names and units become typed placeholders, so a question with other numbers or names has the same template.
 Windows of template tokens are looked up in a hash index of the benchmark's windows; matches on one diagonal form a run.
-A run counts if it is long enough, mostly literal, and its slots are consistent: what stands for one value of the item
-must be one value in the document, wherever it occurs.
+A run counts if it is long enough and its slots hold the item's own values. One with other values must be mostly literal
+and its slots consistent: what stands for one value of the item must be one value in the document, wherever it occurs.
 """
 
 import re
@@ -47,8 +47,8 @@ EDGES = re.compile(r"^[\W_]+|[\W_]+$")
 class Templates:
     window: int = 8            # tokens that are looked up together
     min_run: int = 10          # tokens in a row that make a leak; an item with fewer must match whole
-    min_tokens: int = 5        # items with fewer tokens identify nothing and are left out
-    min_literal: float = 0.6   # share of the run's tokens that are words
+    min_tokens: int = 5        # items with fewer tokens are no templates: they match by their own values only
+    min_literal: float = 0.6   # share of the tokens that are words, of a run with another value
     block_items: int = 20_000  # items whose index is sent to the tasks at once
 
 
@@ -133,17 +133,21 @@ class Index:
     values: list[np.ndarray]
     kinds: list[np.ndarray]
     windows: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]  # width -> sorted hash, item, position
+    short: dict[int, tuple[np.ndarray, np.ndarray]]  # number of tokens -> sorted hash of the values, item
 
 
 def build_index(items: list[tuple], rules: Templates) -> Index:
     code, value, kind, bounds = canonical([text.encode("utf-8", "surrogatepass") for _, text in items], Forms())
-    ids, codes, values, kinds, by_width = [], [], [], [], {}
+    ids, codes, values, kinds, by_width, by_length = [], [], [], [], {}, {}
     for (item, _), a, b in zip(items, bounds[:-1], bounds[1:]):
-        if b - a < rules.min_tokens:
+        if a == b:
             continue
-        width = min(rules.window, int(b - a))
-        hashes = window_hashes(code[a:b], width)
-        by_width.setdefault(width, []).append((hashes, np.full(len(hashes), len(ids)), np.arange(len(hashes))))
+        if b - a < rules.min_tokens:
+            by_length.setdefault(int(b - a), []).append((window_hashes(value[a:b], int(b - a))[0], len(ids)))
+        else:
+            width = min(rules.window, int(b - a))
+            hashes = window_hashes(code[a:b], width)
+            by_width.setdefault(width, []).append((hashes, np.full(len(hashes), len(ids)), np.arange(len(hashes))))
         ids.append(item)
         codes.append(code[a:b])
         values.append(value[a:b])
@@ -153,7 +157,12 @@ def build_index(items: list[tuple], rules: Templates) -> Index:
         hashes, item, place = (np.concatenate(c) for c in zip(*parts))
         order = np.argsort(hashes, kind="stable")
         windows[width] = (hashes[order], item[order], place[order])
-    return Index(ids, codes, values, kinds, windows)
+    short = {}
+    for length, parts in by_length.items():
+        hashes, item = np.array([h for h, _ in parts], np.uint64), np.array([i for _, i in parts])
+        order = np.argsort(hashes, kind="stable")
+        short[length] = (hashes[order], item[order])
+    return Index(ids, codes, values, kinds, windows, short)
 
 
 def consistent(item_values: np.ndarray, doc_values: np.ndarray, slots: np.ndarray) -> bool:
@@ -162,23 +171,36 @@ def consistent(item_values: np.ndarray, doc_values: np.ndarray, slots: np.ndarra
     return all(seen.setdefault(a, b) == b for a, b in zip(item_values[slots].tolist(), doc_values[slots].tolist()))
 
 
+def candidates(mine: np.ndarray, hashes: np.ndarray, width: int, bounds: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(place, text, first and last row + 1 of the index) of the windows that the index has."""
+    bits = np.zeros(1 << 16, bool)  # a first cheap look: the top bits of the index hashes
+    bits[(hashes >> np.uint64(48)).astype(np.int64)] = True
+    at = np.flatnonzero(bits[(mine >> np.uint64(48)).astype(np.int64)])
+    first = np.searchsorted(hashes, mine[at], "left")
+    last = np.searchsorted(hashes, mine[at], "right")
+    text = np.searchsorted(bounds, at, "right") - 1
+    ok = (last > first) & (at + width <= bounds[text + 1])
+    return at[ok], text[ok], first[ok], last[ok]
+
+
+def judged(theirs: np.ndarray, mine: np.ndarray, slots: np.ndarray, need: int, rules: Templates) -> tuple | None:
+    """(tokens, slots, whether a slot has another value) of a run, or of its longest part with the item's own values."""
+    other = slots & (theirs != mine)
+    if not other.any() or np.count_nonzero(~slots) >= rules.min_literal * len(slots) and consistent(theirs, mine, slots):
+        return len(slots), int(slots.sum()), bool(other.any())
+    edges = np.concatenate([[-1], np.flatnonzero(other), [len(slots)]])
+    k = int(np.argmax(np.diff(edges)))
+    a, b = int(edges[k]) + 1, int(edges[k + 1])
+    return (b - a, int(slots[a:b].sum()), False) if b - a >= need else None
+
+
 def find(texts: list[bytes], index: Index, rules: Templates, forms: Forms) -> list[tuple]:
     """(text number, item number, tokens in a row, slots, whether a slot has another value), the longest run of each pair."""
     code, value, kind, bounds = canonical(texts, forms)
     places: dict[tuple, set] = {}
     widths: dict[int, int] = {}
     for width, (hashes, item, place) in index.windows.items():
-        mine = window_hashes(code, width)
-        if not len(mine):
-            continue
-        bits = np.zeros(1 << 16, bool)  # a first cheap look: the top bits of the index hashes
-        bits[(hashes >> np.uint64(48)).astype(np.int64)] = True
-        at = np.flatnonzero(bits[(mine >> np.uint64(48)).astype(np.int64)])
-        first = np.searchsorted(hashes, mine[at], "left")
-        last = np.searchsorted(hashes, mine[at], "right")
-        text = np.searchsorted(bounds, at, "right") - 1
-        ok = (last > first) & (at + width <= bounds[text + 1])
-        for p, t, a, b in zip(at[ok].tolist(), text[ok].tolist(), first[ok].tolist(), last[ok].tolist()):
+        for p, t, a, b in zip(*(c.tolist() for c in candidates(window_hashes(code, width), hashes, width, bounds))):
             for i, q in zip(item[a:b].tolist(), place[a:b].tolist()):
                 places.setdefault((t, i, p - q), set()).add(q)
                 widths[i] = width
@@ -195,11 +217,14 @@ def find(texts: list[bytes], index: Index, rules: Templates, forms: Forms) -> li
             if b - a < need:
                 continue
             slots = index.kinds[i][a:b] != LITERAL
-            theirs, mine = index.values[i][a:b], value[a + shift:b + shift]
-            if np.count_nonzero(~slots) < rules.min_literal * (b - a) or not consistent(theirs, mine, slots):
-                continue
-            run = (b - a, int(slots.sum()), bool((theirs != mine)[slots].any()))
-            best[t, i] = max(best.get((t, i), run), run)
+            run = judged(index.values[i][a:b], value[a + shift:b + shift], slots, need, rules)
+            if run:
+                best[t, i] = max(best.get((t, i), run), run)
+    for length, (hashes, item) in index.short.items():
+        _, text, first, last = candidates(window_hashes(value, length), hashes, length, bounds)
+        for t, a, b in set(zip(text.tolist(), first.tolist(), last.tolist())):
+            for i in item[a:b].tolist():
+                best[t, i] = (length, int(np.count_nonzero(index.kinds[i] != LITERAL)), False)
     return [(t, i, *run) for (t, i), run in sorted(best.items())]
 
 
@@ -220,8 +245,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
     """(doc_id, item_id, item_tokens, matched_tokens, slots, changed): one row per document row and item it leaks.
 
     ``changed`` tells that a slot has another value than in the item: a re-parameterised question. Null and empty texts
-    leak nothing, neither do items of fewer than ``min_tokens`` tokens; repeated items count once, repeated documents
-    each; an empty table on either side gives no rows. The benchmark is matched in blocks, each sent to all tasks.
+    leak nothing, nor do items without a token; items of fewer than ``min_tokens`` tokens leak where all their values
+    stand in a row. Repeated items count once, repeated documents each; an empty table on either side gives no rows. The benchmark is matched in blocks, each sent to all tasks.
     """
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     kind = dict(rows.dtypes)["doc_id"]

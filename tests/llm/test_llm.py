@@ -480,6 +480,24 @@ def test_template_leaks(spark, awkward, empty):
     assert {(r["doc_id"], r["item_id"]) for r in blocks.collect()} == set(got)
 
 
+def found_leaks(spark, items, texts):
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id bigint, text string")
+    docs = table(spark, [(i, t, "en", "s") for i, t in enumerate(texts)])
+    return {(r["doc_id"], r["item_id"]): r["changed"] for r in decontaminate.leaks(docs, bench).collect()}
+
+
+def test_verbatim_items_of_few_literals_are_found(spark):
+    items = ["What is 12 plus 30 minus 7 times 4?", "12 + 7?", "one two three four km", "Zebra", "7 km 8 km 9 km 10 km 11 km 12 km"]
+    texts = [f"so. {items[0]} so", "we ask 12 + 7? now", "so one two three four km so", "a zebra here", "12 + 8 and 7 12",
+             "so. What is 13 plus 30 minus 7 times 4? so", "one two three five km", f"x 99 km {items[4]} 5 km y"]
+    assert found_leaks(spark, items, texts) == {(0, 0): False, (1, 1): False, (2, 2): False, (3, 3): False, (7, 4): False}
+
+
+def test_verbatim_parts_of_changed_runs_are_found(spark):
+    item = "a 1 2 3 4 5 6 7 8 9 b 11 12 13 14"
+    assert found_leaks(spark, [item], [item.replace("14", "99"), item.replace("6", "99")]) == {(0, 0): False}
+
+
 def test_exact_passages_are_found(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     bench = spark.read.parquet("/root/testdata/sf0.01/benchmark.parquet")
