@@ -101,7 +101,8 @@ class Forms(dict):
 def canonical(texts: list[bytes], forms: Forms) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(codes, values, kinds, bounds) of the template tokens of all texts; text i has tokens bounds[i]:bounds[i + 1].
 
-    Words without letter or digit are left out. A capitalised word that does not start a sentence is a name.
+    Words without letter or digit are left out. A capitalised word that does not start a sentence is a name; the index has
+    both readings where that depends on what stands before an item, a line or behind a colon.
     """
     forms.trim()
     words = [t.split() for t in texts]
@@ -132,14 +133,45 @@ class Index:
     codes: list[np.ndarray]
     values: list[np.ndarray]
     kinds: list[np.ndarray]
-    windows: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]  # width -> sorted hash, item, position
+    # width -> sorted hash, item, position, which tokens (as bits) are read the other way, as a name or not
+    windows: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]
     short: dict[int, tuple[np.ndarray, np.ndarray]]  # number of tokens -> sorted hash of the values, item
 
 
+def two_readings(text: bytes, forms: Forms) -> np.ndarray:
+    """Which tokens are capitalised and start the text, a line or what follows a colon: what stands before them in a document
+    decides whether they are names there."""
+    found, opens = [], True
+    for line in text.split(b"\n"):
+        opens = opens or bool(found)
+        for raw in line.split():
+            row = forms[raw]
+            if forms.rows[1][row] != BLANK:
+                found.append(opens and bool(forms.rows[2][row]))
+                opens = False
+            opens = opens or raw.endswith(b":")
+    return np.array(found, bool)
+
+
+def read_otherwise(code: np.ndarray, value: np.ndarray, open_: np.ndarray, width: int) -> list[tuple[int, int, int]]:
+    """(hash, position, bits of the tokens read the other way) of all further readings of the windows."""
+    other = np.where(code == NAME, value, np.uint64(NAME))
+    out = []
+    for place in range(len(code) - width + 1):
+        spots = np.flatnonzero(open_[place:place + width]).tolist()
+        for choice in range(1, 1 << len(spots)):
+            turned = [s for k, s in enumerate(spots) if choice >> k & 1]
+            window = code[place:place + width].copy()
+            window[turned] = other[place:place + width][turned]
+            out.append((int(window_hashes(window, width)[0]), place, sum(1 << s for s in turned)))
+    return out
+
+
 def build_index(items: list[tuple], rules: Templates) -> Index:
-    code, value, kind, bounds = canonical([text.encode("utf-8", "surrogatepass") for _, text in items], Forms())
+    texts, forms = [text.encode("utf-8", "surrogatepass") for _, text in items], Forms()
+    code, value, kind, bounds = canonical(texts, forms)
     ids, codes, values, kinds, by_width, by_length = [], [], [], [], {}, {}
-    for (item, _), a, b in zip(items, bounds[:-1], bounds[1:]):
+    for (item, _), text, a, b in zip(items, texts, bounds[:-1], bounds[1:]):
         if a == b:
             continue
         if b - a < rules.min_tokens:
@@ -147,16 +179,21 @@ def build_index(items: list[tuple], rules: Templates) -> Index:
         else:
             width = min(rules.window, int(b - a))
             hashes = window_hashes(code[a:b], width)
-            by_width.setdefault(width, []).append((hashes, np.full(len(hashes), len(ids)), np.arange(len(hashes))))
+            more = read_otherwise(code[a:b], value[a:b], two_readings(text, forms), width)
+            size = len(hashes) + len(more)
+            by_width.setdefault(width, []).append((
+                np.concatenate([hashes, np.array([h for h, _, _ in more], np.uint64)]), np.full(size, len(ids)),
+                np.concatenate([np.arange(len(hashes)), np.array([q for _, q, _ in more], np.int64)]),
+                np.concatenate([np.zeros(len(hashes), np.int64), np.array([t for _, _, t in more], np.int64)])))
         ids.append(item)
         codes.append(code[a:b])
         values.append(value[a:b])
         kinds.append(kind[a:b])
     windows = {}
     for width, parts in by_width.items():
-        hashes, item, place = (np.concatenate(c) for c in zip(*parts))
-        order = np.argsort(hashes, kind="stable")
-        windows[width] = (hashes[order], item[order], place[order])
+        columns = [np.concatenate(c) for c in zip(*parts)]
+        order = np.argsort(columns[0], kind="stable")
+        windows[width] = tuple(c[order] for c in columns)
     short = {}
     for length, parts in by_length.items():
         hashes, item = np.array([h for h, _ in parts], np.uint64), np.array([i for _, i in parts])
@@ -199,9 +236,12 @@ def find(texts: list[bytes], index: Index, rules: Templates, forms: Forms) -> li
     code, value, kind, bounds = canonical(texts, forms)
     places: dict[tuple, set] = {}
     widths: dict[int, int] = {}
-    for width, (hashes, item, place) in index.windows.items():
+    for width, (hashes, item, place, turned) in index.windows.items():
         for p, t, a, b in zip(*(c.tolist() for c in candidates(window_hashes(code, width), hashes, width, bounds))):
-            for i, q in zip(item[a:b].tolist(), place[a:b].tolist()):
+            for i, q, bits in zip(item[a:b].tolist(), place[a:b].tolist(), turned[a:b].tolist()):
+                # A word that is a name in only one of the two texts must be the same word.
+                if bits and any(bits >> k & 1 and value[p + k] != index.values[i][q + k] for k in range(width)):
+                    continue
                 places.setdefault((t, i, p - q), set()).add(q)
                 widths[i] = width
     best: dict[tuple, tuple] = {}

@@ -498,6 +498,14 @@ def test_verbatim_parts_of_changed_runs_are_found(spark):
     assert found_leaks(spark, [item], [item.replace("14", "99"), item.replace("6", "99")]) == {(0, 0): False}
 
 
+def test_first_words_of_items_match_anywhere(spark):
+    items = ["What is the longest river here?", "Question: Which of them\nBelongs to the set"]
+    texts = [f"Question: {items[0]}", f"text\n{items[0]}", f"we ask {items[0]}", f"so. {items[0]}", f"so {items[1]}",
+             "we ask Anna is the longest river here?", "so. Question. Which of them. Belongs to the set",
+             "so Question: Anna of them\nBelongs to the set. Anna of them"]
+    assert found_leaks(spark, items, texts) == {(i, 0): False for i in range(4)} | {(4, 1): False, (6, 1): False, (7, 1): True}
+
+
 def test_exact_passages_are_found(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     bench = spark.read.parquet("/root/testdata/sf0.01/benchmark.parquet")
