@@ -1,7 +1,8 @@
 """Quality rules: base counts of a text and bands of its compression ratio.
 
 A text that repeats itself compresses too well, random characters too little. The ratio (bytes / compressed bytes) of the
-whole text must lie in the band of its length class, and so must the ratios of most of its fixed-size chunks.
+whole text must lie in the band of its length class, and so must the ratios of most of its fixed-size chunks. What is left
+behind the last full chunk is measured in a chunk of the same size that ends with the text.
 """
 
 import sys
@@ -30,7 +31,7 @@ class Bands:
                     (2048, 1.5, 2.35), (4096, 1.6, 2.45), (8192, 1.7, 2.55), (16384, 1.75, 2.6), (32768, 1.75, 2.7))
     chunk_bytes: int = 2048
     chunk: tuple = (1.5, 2.25)
-    chunk_share: float = 0.25  # of the full chunks that may lie outside
+    chunk_share: float = 0.25  # of the chunks that may lie outside
     level: int = 3
 
 
@@ -78,7 +79,9 @@ def measure(text: bytes, hashes: np.ndarray, packer, base: BaseRules, bands: Ban
     word_chars = points - (len(text) - len(text.translate(None, SPACES)))
     failed = len(hashes) < base.min_words or 100 * repeats > base.max_repeat_percent * len(hashes)
     whole = ratio(text, packer)
-    starts = range(0, len(text) - bands.chunk_bytes + 1, bands.chunk_bytes)
+    starts = [*range(0, len(text) - bands.chunk_bytes + 1, bands.chunk_bytes)]
+    if starts and len(text) % bands.chunk_bytes:
+        starts.append(len(text) - bands.chunk_bytes)
     chunks = [ratio(text[i:i + bands.chunk_bytes], packer) for i in starts]
     kept = not failed and in_bands(text, whole, chunks, bands)
     return (len(hashes), word_chars, len(text) - len(text.translate(None, SYMBOLS)), duplicate_lines(text), repeats,

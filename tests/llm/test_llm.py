@@ -1,5 +1,6 @@
 """Every operator against brute force and on awkward rows: nulls, empty and long texts, ties, repeats, clashing columns."""
 
+import base64
 import math
 import random
 import zlib
@@ -181,6 +182,18 @@ def test_quality_bands(spark):
     assert not rows[2]["base_failed"] and rows[2]["ratio"] < 1.4
 
 
+def test_quality_judges_the_end_of_a_text(spark):
+    rng = random.Random(5)
+    words = ["".join(rng.choice("etaoinshrdlu") for _ in range(rng.randrange(3, 9))) for _ in range(400)]
+    clean = " ".join(rng.choice(words) for _ in range(900))
+    noise = " ".join(base64.b64encode(rng.randbytes(45)).decode() for _ in range(60))
+    texts = [clean[:2048] + noise[:2040], clean[:2048] + clean[:2040], clean[:2048]]
+    rows = {r["doc_id"]: r for r in quality.quality(table(spark, [(i, t, "en", "s") for i, t in enumerate(texts)])).collect()}
+    assert not rows[0]["base_failed"] and 1.5 <= rows[0]["ratio"] <= 2.35
+    assert not rows[0]["kept"] and rows[0]["lowest_chunk_ratio"] < 1.5 <= rows[0]["highest_chunk_ratio"]
+    assert rows[2]["kept"]
+
+
 # 4 toxicity
 
 def test_gradients_match_differences():
