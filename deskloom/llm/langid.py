@@ -7,7 +7,7 @@ language whose dictionary makes it smallest wins. Where the best two sizes lie c
 import re
 import sys
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import pyarrow as pa
 import zstandard
@@ -32,6 +32,7 @@ class LanguageModel:
     level: int = 5
     chunk: int = 8192
     min_margin: float = 0.005
+    documents: dict[str, int] = field(default_factory=dict)  # how many documents each dictionary has text of
 
 
 def plain_letters(text: str) -> bytes:
@@ -43,13 +44,25 @@ def has_letter(text: str) -> bool:
     return re.search("[A-Za-z]", text) is not None or any(map(str.isalpha, text))
 
 
+def slices_of_all(texts: list[tuple[int, bytes]], room: int) -> list[bytes]:
+    """A slice of each (spot, text), so long that all of them and the blanks between them fit ``room`` bytes: short texts are
+    whole, longer ones are cut to the same length at a place that the spot tells."""
+    room -= len(texts) - 1
+    longest = 0
+    for k, size in enumerate(sorted(len(t) for _, t in texts)):
+        longest = max(1, room // (len(texts) - k))
+        room -= min(size, longest)
+    starts = (spot % max(1, len(t) - longest + 1) for spot, t in texts)
+    return [t[a:a + longest] for a, (_, t) in zip(starts, texts)]
+
+
 def fit_languages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
                   docs_per_lang: int = 300, chars_per_doc: int = 2000, dict_bytes: int = 112_640,
                   **settings) -> LanguageModel:
     """One dictionary per language, from a bounded sample of labelled rows.
 
-    The sample is ``docs_per_lang`` documents of each language, smallest hash of the id first, ``chars_per_doc``
-    characters of each; a dictionary holds at most ``dict_bytes``. Rows without language, id or text teach nothing; a
+    The sample is ``docs_per_lang`` documents of each language, smallest hash of the id first. A slice from a hashed place
+    of each teaches, at most ``chars_per_doc`` characters and so long that all fit the ``dict_bytes`` of a dictionary. Rows without language, id or text teach nothing; a
     language without any letters in its sample is not learned.
     """
     rows = docs.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
@@ -57,13 +70,20 @@ def fit_languages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     first = Window.partitionBy("lang").orderBy("order", "id")
     chosen = (rows.select("id", "lang", order.alias("order")).filter("id IS NOT NULL AND lang IS NOT NULL").distinct()
               .withColumn("place", F.row_number().over(first)).filter(F.col("place") <= docs_per_lang))
+    spot = F.pmod(F.xxhash64("lang", "id"), F.lit(1 << 31))
+    begin = 1 + F.pmod(spot, F.greatest(F.lit(1), F.length("text") - chars_per_doc + 1)).cast("int")
     sample = rows.join(F.broadcast(chosen), ["id", "lang"]).select(
-        "lang", "place", F.substring("text", 1, chars_per_doc).alias("text")).filter("text IS NOT NULL")
+        "lang", "place", spot.alias("spot"), F.substring("text", begin, F.lit(chars_per_doc)).alias("text")).filter("text IS NOT NULL")
     texts: dict[str, list] = {}
     for row in sample.collect():
-        texts.setdefault(row["lang"], []).append((row["place"], plain_letters(row["text"])))
-    found = {lang: b" ".join(t for _, t in sorted(set(of))).strip()[:dict_bytes] for lang, of in sorted(texts.items())}
-    return LanguageModel({lang: content for lang, content in found.items() if len(content) >= 8}, **settings)
+        texts.setdefault(row["lang"], []).append((row["place"], row["spot"], plain_letters(row["text"])))
+    found, documents = {}, {}
+    for lang, of in sorted(texts.items()):
+        full = [(place, spot, text) for place, spot, text in sorted(set(of)) if text]
+        content = b" ".join(slices_of_all([t[1:] for t in full], dict_bytes)).strip()[:dict_bytes]
+        if len(content) >= 8:
+            found[lang], documents[lang] = content, len({place for place, _, _ in full})
+    return LanguageModel(found, documents=documents, **settings)
 
 
 def _compressors(model: LanguageModel) -> dict:

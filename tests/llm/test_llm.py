@@ -268,6 +268,15 @@ def test_language(spark, awkward, empty, documents):
     assert empty.select(langid.language(F.col("text"), model)).count() == 0
 
 
+def test_dictionaries_hold_text_of_all_sampled_documents(spark):
+    words = ["x" + "".join(chr(97 + i // 5 ** k % 5) for k in range(4)) + "y" for i in range(150)]
+    whole = langid.fit_languages(table(spark, [(i, f"{w} " * 600, "en", "s") for i, w in enumerate(words)]))
+    assert whole.documents == {"en": 150} and len(whole.dictionaries["en"]) <= 112_640
+    assert all(w.encode() in whole.dictionaries["en"] for w in words)
+    late = langid.fit_languages(table(spark, [(i, "begin " * 400 + f"{w} " * 600, "en", "s") for i, w in enumerate(words)]))
+    assert sum(w.encode() in late.dictionaries["en"] for w in words) > 50
+
+
 # 6 language model
 
 def traversed(tokens, model):
