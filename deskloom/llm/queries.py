@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from deskloom.llm import decontaminate, langid, lm, mixing, neardup, pii, quality, substrings, tokenids, toxicity
+from deskloom.llm import (decontaminate, filteraudit, infill, langid, lm, mixing, neardup, pii, quality, substrings, tokenids,
+                          toxicity)
 from deskloom.llm.words import in_fold, short_batches
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -122,3 +123,48 @@ def vocabulary(name: str = "word_bpe_49k.json") -> str:
 def op10_token_ids(spark, folder):
     files = tokenids.write_tokens(table(spark, folder, "documents"), vocabulary(), end_id=1)
     return tokenids.digests(tokenids.read_tokens(spark, files))
+
+
+_DRAWN = "('0x' || sha256('42:' || coalesce(doc_id::VARCHAR, ''))[{0}:{0} + 7])::BIGINT"
+
+
+@query(f"""WITH cut AS (SELECT doc_id, coalesce(text, '') AS t,
+  regexp_extract_all(coalesce(text, ''), '[\\x20\\x09-\\x0D]*[^\\x20\\x09-\\x0D]+|[\\x20\\x09-\\x0D]+') AS u,
+  {_DRAWN.format(1)} AS h1, {_DRAWN.format(9)} AS h2, {_DRAWN.format(17)} AS h3, {_DRAWN.format(25)} AS h4 FROM documents),
+sized AS (SELECT *, len(u) AS n, least(h1 % (len(u) + 1), h2 % (len(u) + 1)) AS a, greatest(h1 % (len(u) + 1), h2 % (len(u) + 1)) AS b,
+  CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 50 THEN 'plain'
+    WHEN h4 % 100 < 80 THEN 'spm' ELSE 'psm' END AS form FROM cut),
+parts AS (SELECT *, array_to_string(u[1:a], '') AS p, array_to_string(u[a + 1:b], '') AS m, array_to_string(u[b + 1:n], '') AS s FROM sized)
+SELECT doc_id, n::BIGINT AS n, form, CASE WHEN form <> 'plain' THEN length(p) END::BIGINT AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN length(m) END::BIGINT AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+    ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256, sha256(t) AS restored_sha256 FROM parts""")
+def op11_infill(spark, folder):
+    cut = infill.fill_in_middle(table(spark, folder, "documents"))
+    digest = lambda text: F.sha2(text.cast("binary"), 256)
+    return cut.select("doc_id", "n", "form", "prefix_chars", "middle_chars", digest(F.col("output")).alias("output_sha256"),
+                      digest(infill.restored(F.col("output"), F.col("form"))).alias("restored_sha256"))
+
+
+@query(r"""WITH d AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t,
+  regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+m AS (SELECT part, (len(w) < 100)::INT + 2 * (100 * len(list_distinct(w)) < 80 * len(w))::INT
+  + 4 * (100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 10 * length(t))::INT + 8 * regexp_matches(t, '[#$%&*|]')::INT
+  + 16 * coalesce(doc_id > min(doc_id) OVER (PARTITION BY t), false)::INT AS mask,
+  coalesce((SELECT max((quality = 1)::INT) FROM labels l WHERE l.doc_id = d.doc_id), 0) AS good,
+  coalesce((SELECT max((toxic = 1)::INT) FROM labels l WHERE l.doc_id = d.doc_id), 0) AS toxic FROM d),
+c AS (SELECT part, mask, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM m GROUP BY ALL),
+f AS (SELECT * FROM (VALUES ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)) v(name, bit)),
+o AS (SELECT a.name || b.name || c.name || d.name || e.name AS filter_order, [a.bit, b.bit, c.bit, d.bit, e.bit] AS bits
+  FROM f a, f b, f c, f d, f e WHERE len(list_distinct([a.bit, b.bit, c.bit, d.bit, e.bit])) = 5),
+s AS (SELECT filter_order, step, bits[step] AS bit, coalesce(list_sum(bits[1:step - 1]), 0)::INT AS before FROM o, range(1, 6) r(step)),
+x AS (SELECT part, filter_order, step, bit, sum(n) FILTER (mask & before = 0 AND mask & bit = 0) AS kept,
+  sum(n) FILTER (mask & before = 0 AND mask & bit > 0) AS removed, sum(n) FILTER (mask & before > 0 AND mask & bit > 0) AS redundant,
+  sum(n) FILTER (mask = bit) AS unique_fails, sum(good) FILTER (mask & before = 0 AND mask & bit > 0) AS good_lost,
+  sum(toxic) FILTER (mask & before = 0 AND mask & bit > 0) AS toxic_lost FROM c, s GROUP BY ALL)
+SELECT part, filter_order, step::INT AS step, coalesce(kept, 0)::BIGINT AS kept, coalesce(removed, 0)::BIGINT AS removed,
+  coalesce(redundant, 0)::BIGINT AS redundant, coalesce(unique_fails, 0)::BIGINT AS unique_fails,
+  coalesce(good_lost, 0)::BIGINT AS good_lost, coalesce(toxic_lost, 0)::BIGINT AS toxic_lost,
+  coalesce(sum(removed) OVER (PARTITION BY part, bit), 0)::BIGINT AS shapley FROM x""")
+def op13_filter_audit(spark, folder):
+    return filteraudit.filter_audit(table(spark, folder, "documents"), table(spark, folder, "labels"))
