@@ -63,12 +63,12 @@ def masks(docs: DataFrame, labels: DataFrame) -> DataFrame:
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     rows = docs.select(F.col("doc_id"), F.coalesce(F.col("lang").cast("string"), F.lit("")).alias("part"),
                        F.sha2(text.cast("binary"), 256).alias("digest"), failed_filters(text, F.lit(False)).alias("own"))
-    copies = (rows.groupBy("digest").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
-              .filter("first < last").drop("last"))
+    # Joined by digest and id together: a text that very many documents share is no hot key.
+    firsts = rows.groupBy(F.col("digest").alias("text_of")).agg(F.min("doc_id").alias("first")).filter("first IS NOT NULL")
     known = (labels.filter("quality = 1 OR toxic = 1").groupBy(F.col("doc_id").alias("id"))
              .agg(F.max((F.col("quality") == 1).cast("int")).alias("good"), F.max((F.col("toxic") == 1).cast("int")).alias("toxic")))
-    later = F.coalesce(F.col("doc_id") > F.col("first"), F.lit(False))
-    return (rows.join(copies, "digest", "left").join(known, F.col("doc_id") == F.col("id"), "left")
+    later = F.col("first").isNull() & F.col("doc_id").isNotNull()
+    return (rows.join(firsts, (F.col("digest") == F.col("text_of")) & (F.col("doc_id") == F.col("first")), "left").join(known, F.col("doc_id") == F.col("id"), "left")
             .groupBy("part", (F.col("own") + later.cast("int") * 16).alias("mask"))
             .agg(F.count("*").alias("n"), F.sum(F.coalesce("good", F.lit(0))).alias("good"),
                  F.sum(F.coalesce("toxic", F.lit(0))).alias("toxic")))

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from deskloom.llm import (decontaminate, filteraudit, infill, langid, lm, mixing, neardup, pii, quality, substrings, tokenids,
-                          toxicity)
+                          toxicity, vectors)
 from deskloom.llm.words import in_fold, short_batches
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -146,6 +146,21 @@ def op11_infill(spark, folder):
                       digest(infill.restored(F.col("output"), F.col("form"))).alias("restored_sha256"))
 
 
+@query("""WITH RECURSIVE v AS (SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS e FROM embeddings),
+ok AS (SELECT vec_id, e, sqrt(list_dot_product(e, e)) AS n FROM v WHERE e IS NOT NULL AND len(e) > 0
+  AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(e, lambda x: x <> 0)) > 0),
+links AS (SELECT a.vec_id AS x, b.vec_id AS y FROM ok a JOIN ok b ON a.vec_id < b.vec_id AND len(a.e) = len(b.e)
+  AND list_dot_product(a.e, b.e) / (a.n * b.n) >= 0.9),
+edges AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+reach AS (SELECT vec_id, vec_id AS r FROM embeddings UNION SELECT edges.y, reach.r FROM reach JOIN edges ON edges.x = reach.vec_id),
+found AS (SELECT vec_id, min(r) AS component_id FROM reach GROUP BY vec_id),
+degrees AS (SELECT x, count(*) AS n FROM edges GROUP BY x)
+SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, component_id, vec_id = component_id AS kept
+FROM found LEFT JOIN degrees ON x = vec_id""")
+def op12_subspace_join(spark, folder):
+    return vectors.near_vectors(table(spark, folder, "embeddings"))
+
+
 @query(r"""WITH d AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t,
   regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
 m AS (SELECT part, (len(w) < 100)::INT + 2 * (100 * len(list_distinct(w)) < 80 * len(w))::INT
