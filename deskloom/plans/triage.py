@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from deskloom.functions.rules import RuleSet
 from deskloom.functions.text import not_blank
 from deskloom.operators.retrieval import DEPTH, top_k_cases
-from deskloom.operators.tfidf import TfidfConfig, TfidfIndex
+from deskloom.operators.tfidf import TfidfConfig
 from deskloom.plans.classifier import ClassModel, classify_by_rules
 from deskloom.plans.policy import escalate
 from deskloom.plans.replies import draft_reply
@@ -30,7 +30,7 @@ def split_blank(messages: DataFrame, text: str = "text") -> tuple[DataFrame, Dat
 def decide(messages: DataFrame, corpus: DataFrame, config: TfidfConfig, rules: RuleSet = preset_rules.BOOST_RULES,
            model: ClassModel | None = None, default_class: str = taxonomy.DEFAULT_CLASS, k: int = 3,
            depth: int = DEPTH, steps=None, class_replies=None, names=None,
-           index: TfidfIndex | None = None) -> DataFrame:
+           index=None) -> DataFrame:
     """Messages (query_id, text) with classification, ``top_cases``, ``escalation`` struct and ``draft_reply``."""
     if model is None:
         classified = classify_by_rules(messages, "text", rules, default_class, names)

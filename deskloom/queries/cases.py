@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from deskloom.functions import rules as R
+from deskloom.operators.caseindex import CaseIndex
 from deskloom.operators.leakage import leakage_report
 from deskloom.operators.retrieval import flat_cases, search, top_k_cases
 from deskloom.operators.tfidf import (CLASSIFIER_TERMS, TfidfConfig, TfidfIndex, document_frequency, fit_tfidf, retrieval_terms,
@@ -109,22 +110,23 @@ _HIT_COLUMNS = """query_id, rank, id, similarity_score, raw_cosine_score, auto_h
 _TOP_SQL = f"WITH {LANG_CORPUS_SQL}, {_ASKED}, {_top_k('queries', 'lang_corpus')} SELECT {_HIT_COLUMNS} FROM hits"
 
 
-def _top_cases(spark, folder, **kwargs):
+def _top_cases(spark, folder, index, **kwargs):
     asked = _asked(spark, folder).withColumn("class", R.label_class(F.col("text"), LANG_RULES, DEFAULT_LANG)["class"])
-    hits = top_k_cases(asked, inputs.lang_corpus(spark, folder), CASES, class_col="class", **kwargs)
+    hits = top_k_cases(asked, inputs.lang_corpus(spark, folder), CASES, class_col="class", index=index, **kwargs)
     return flat_cases(hits).select(*_HIT_COLUMNS.split(", "))
 
 
 @query(_TOP_SQL)
 def top_cases(spark, folder):
     """The three most similar documents per message, class bonus, zero-score filling."""
-    return _top_cases(spark, folder)
+    return _top_cases(spark, folder, inputs.case_index(spark, folder, inputs.lang_corpus, CASES))
 
 
 @query(_TOP_SQL)
 def top_cases_bounded_lists(spark, folder):
     """The same answer from posting lists shown a few at a time, hot terms salted."""
-    return _top_cases(spark, folder, depth=30, heavy_rows=20)
+    index = TfidfIndex.build(inputs.lang_corpus(spark, folder), "id", "customer_text", CASES, 20, keep=9)
+    return _top_cases(spark, folder, index, depth=30, heavy_rows=20)
 
 
 @query(f"""WITH {LANG_CORPUS_SQL}, {_ASKED}, {_top_k('queries', 'lang_corpus')}
@@ -147,6 +149,34 @@ def saved_index_search(spark, folder):
     return found.select("query", "doc", F.round("score", 6).alias("score"), "rank")
 
 
+_POOL_SQL = f"""WITH {LANG_CORPUS_SQL}, {_ASKED}, {_top_k('queries', 'lang_corpus')}
+SELECT query_id AS query, id AS doc, round(score, 6) AS score, r AS rank FROM best"""
+
+
+def _pool(index, spark, folder):
+    found = index.search(_asked(spark, folder), "query_id", "text", 9)
+    return found.select("query", "doc", F.round("score", 6).alias("score"), "rank")
+
+
+@query(_POOL_SQL)
+def essential_terms_search(spark, folder):
+    """The same pool from posting blocks, down to the level that can still matter."""
+    return _pool(CaseIndex.build(inputs.lang_corpus(spark, folder), "id", "customer_text", CASES), spark, folder)
+
+
+@query(_POOL_SQL)
+def grown_index_search(spark, folder):
+    """The same pool from an index that grew by two more batches of documents, was compacted, saved and loaded."""
+    corpus = inputs.lang_corpus(spark, folder)
+    batch = F.pmod(F.xxhash64("id"), F.lit(3))
+    index = CaseIndex.build(corpus.filter(batch == 0), "id", "customer_text", CASES)
+    for more in (1, 2):
+        index = index.extended(corpus.filter(batch == more), "id", "customer_text")
+    path = scratch_path(spark, "grown")
+    index.compact().save(path)
+    return _pool(CaseIndex.load(spark, path, CASES), spark, folder)
+
+
 # Support messages: a generated message per benchmark item, followed by the item's text.
 _INCOMING = f"""{sql.SUPPORT},
 made AS ({sql.generated('benchmark', 'item_id')}),
@@ -177,7 +207,8 @@ def _incoming(spark, folder):
 
 
 def _decided(spark, folder):
-    return decide(_incoming(spark, folder), inputs.support(spark, folder), CASES)
+    index = inputs.case_index(spark, folder, inputs.support, CASES)
+    return decide(_incoming(spark, folder), inputs.support(spark, folder), CASES, index=index)
 
 
 _ESC = "CASE WHEN escalated THEN 'ESCALATE_TO_HUMAN' ELSE 'AUTO_HANDLE' END"
@@ -196,7 +227,8 @@ def triage_decisions(spark, folder):
   3 AS num_retrieved, reason AS reason_code, draft_reply, '{taxonomy.BRAND_HANDLE}' AS brand FROM decided""")
 def triage_envelope(spark, folder):
     """The nested result per message, flattened for comparison."""
-    return triage(_incoming(spark, folder), inputs.support(spark, folder), CASES).select(
+    index = inputs.case_index(spark, folder, inputs.support, CASES)
+    return triage(_incoming(spark, folder), inputs.support(spark, folder), CASES, index=index).select(
         "query_id", "intent.predicted_intent", "intent.intent_name", "retrieval.num_retrieved",
         "escalation.reason_code", "draft_reply", "meta.brand")
 

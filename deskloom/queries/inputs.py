@@ -87,3 +87,16 @@ PAIRS_SQL = """pairs AS (
   SELECT a.conv_id * 1000 + a.turn AS pair_id, a.text AS candidate, b.text AS reference
   FROM conversations a JOIN conversations b ON b.conv_id = a.conv_id AND b.turn = a.turn - 1
   WHERE a.role = 'assistant')"""
+
+
+_INDEXES: dict[tuple[str, str, str], object] = {}
+
+
+def case_index(spark: SparkSession, folder: str, corpus, config):
+    """The search index of one of the corpora above (a function), built once per application and folder."""
+    from deskloom.operators.caseindex import CaseIndex
+
+    key = (spark.sparkContext.applicationId, folder, corpus.__name__)
+    if key not in _INDEXES:
+        _INDEXES[key] = CaseIndex.build(corpus(spark, folder), "id", "customer_text", config)
+    return _INDEXES[key]
