@@ -51,9 +51,15 @@ def parse_scores_json(col: Column, low: int = 1, high: int = 5, missing: int = 3
 
 
 def only_object(text: Column) -> Column:
-    """The text if it starts and ends like an object; the JSON parser itself ignores what follows a value."""
+    """The text if it starts like an object that closes only at its very end; the JSON parser ignores what follows a value."""
     trimmed = F.regexp_replace(text, r"^\s+|\s+\z", "")
-    return F.when(trimmed.startswith("{") & trimmed.endswith("}"), trimmed)
+    braces = F.regexp_replace(F.regexp_replace(trimmed, r'(?s)"(?:[^"\\]|\\.)*+"', ""), r"[^{}]", "")
+    state = F.aggregate(
+        F.split(braces, ""), F.struct(F.lit(0).alias("depth"), F.lit(0).alias("closed")),
+        lambda s, c: F.struct((s["depth"] + F.when(c == "{", 1).when(c == "}", -1).otherwise(0)).alias("depth"),
+                              (s["closed"] + F.when((c == "}") & (s["depth"] == 1), 1).otherwise(0)).alias("closed")))
+    whole = bind(state, lambda s: (s["depth"] == 0) & (s["closed"] == 1))
+    return F.when(trimmed.startswith("{") & trimmed.endswith("}") & whole, trimmed)
 
 
 def normalise(scores: Column) -> Column:

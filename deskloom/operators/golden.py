@@ -29,13 +29,35 @@ def stratum_quota(target: int, n_fixed: int, n_classes: int) -> int:
     return max(1, (target - n_fixed) // n_classes) + 10
 
 
-def stratified_rows(eligible: DataFrame, classes, quota: int, limit: int, seed: int = 42) -> DataFrame:
+def balanced_quotas(sizes: dict, classes, wanted: int) -> dict:
+    """Rows drawn per class so that no class gets fewer than another unless it is used up: min(size, level) for the level at
+    which they sum up to ``wanted``; what the whole level leaves goes to the first classes that have more."""
+    counts = {c: sizes.get(c, 0) for c in classes}
+    level, extra, left = 0, 0, min(wanted, sum(counts.values()))
+    for i, n in enumerate(sorted(counts.values())):
+        level, extra = divmod(left, len(counts) - i)
+        if level < n or not left:
+            break
+        left -= n
+    quotas = {}
+    for c in classes:
+        more = counts[c] > level and extra > 0
+        quotas[c] = min(counts[c], level) + more
+        extra -= more
+    return quotas
+
+
+def stratified_rows(eligible: DataFrame, classes, quota: int, limit: int, seed: int = 42, quotas: dict | None = None) -> DataFrame:
     """Up to ``quota`` rows per class in seeded order, classes filled in taxonomy order until ``limit`` rows.
 
-    Adds ``position`` (1-based). At most ``classes * quota`` rows reach the final ordering.
+    ``quotas`` sets a number for each class instead. Adds ``position`` (1-based). At most ``classes * quota`` rows reach the
+    final ordering.
     """
+    quota = max(quotas.values(), default=0) if quotas else quota
     known = eligible.filter(F.col("intent").isin(list(classes))).withColumn("_order", shuffle_key(F.col("id"), seed))
     drawn = top_n_per_group(known, ["intent"], [F.col("_order"), F.col("id")], quota, spread="id")
+    if quotas:
+        drawn = drawn.filter(F.col("rn") <= F.create_map(*[F.lit(x) for item in quotas.items() for x in item])[F.col("intent")])
     ordinal = F.create_map(*[F.lit(x) for i, c in enumerate(classes) for x in (c, i)])[F.col("intent")]
     taken = drawn.withColumn("_ordinal", ordinal).orderBy("_ordinal", "rn").limit(limit)
     return (taken.withColumn("position", F.row_number().over(Window.orderBy("_ordinal", "rn")))
@@ -55,22 +77,24 @@ def leftover_rows(eligible: DataFrame, sampled: DataFrame, n: int) -> DataFrame:
 def golden_sample(corpus: DataFrame, adversarial: DataFrame, classes, escalation_rules: RuleSet,
                   hard_patterns, target: int = 200, seed: int = 42,
                   default_reason: str = "STANDARD_TROUBLESHOOTING",
-                  real_source: str = REAL_SOURCE) -> tuple[DataFrame, DataFrame]:
+                  real_source: str = REAL_SOURCE, balanced: bool = False) -> tuple[DataFrame, DataFrame]:
     """(golden rows, sampled corpus rows).
 
     Adversarial rows come first; the rest is drawn per class, classes in order, so late classes may get little or
-    nothing; rows still missing are filled up in corpus order. ``corpus`` needs a unique numeric ``seq``.
+    nothing; rows still missing are filled up in corpus order. ``balanced`` shares the rows out evenly instead (see
+    ``balanced_quotas``). ``corpus`` needs a unique numeric ``seq``.
     """
     n_fixed = adversarial.count()
     wanted = max(0, target - n_fixed)
     eligible = eligible_rows(corpus, adversarial)
-    quota = stratum_quota(target, n_fixed, len(classes))
-    sampled = stratified_rows(eligible, classes, quota, wanted, seed).withColumn("_filled", F.lit(False))
-
     # One count per class decides at plan time whether the fill-up (a pass over all text keys) is needed.
     sizes = {r["intent"]: r["count"] for r in
              eligible.filter(F.col("intent").isin(list(classes))).groupBy("intent").count().collect()}
-    short = wanted - min(wanted, sum(min(n, quota) for n in sizes.values()))
+    quota = stratum_quota(target, n_fixed, len(classes))
+    quotas = balanced_quotas(sizes, classes, wanted) if balanced else None
+    sampled = stratified_rows(eligible, classes, quota, wanted, seed, quotas).withColumn("_filled", F.lit(False))
+    drawn = sum((quotas or {c: min(n, quota) for c, n in sizes.items()}).values())
+    short = wanted - min(wanted, drawn)
     if short > 0:
         filled = leftover_rows(eligible, sampled, short)
         filled = filled.withColumn("position", F.col("position") + (wanted - short)).withColumn("_filled", F.lit(True))

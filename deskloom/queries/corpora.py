@@ -203,6 +203,31 @@ def leakage_report_written(spark, folder):
     return back.select("status", "exact_duplicates", F.explode("leaked_examples").alias("example"))
 
 
+_CONTAINED = f"""g AS (SELECT item_id, {_K} AS k FROM benchmark WHERE {_K} <> '' UNION ALL SELECT 1000000 + doc_id, {_K} FROM documents
+  WHERE doc_id % 7 = 0 AND {_K} <> '' UNION ALL SELECT 2000000 + n_nationkey, lower(substr(n_name, 2, 4)) FROM nation),
+pairs AS (SELECT item_id, doc_id FROM g JOIN documents ON contains({_K}, g.k))"""
+
+
+def _held_texts(spark, folder):
+    docs = table(spark, folder, "documents")
+    return (table(spark, folder, "benchmark").select("item_id", "text")
+            .union(docs.filter("doc_id % 7 = 0").select(F.col("doc_id") + 1000000, "text"))
+            .union(table(spark, folder, "nation").select(F.col("n_nationkey") + 2000000, F.expr("substr(n_name, 2, 4)"))))
+
+
+@query(f"WITH {_CONTAINED} SELECT item_id, doc_id FROM pairs")
+def contained_texts(spark, folder):
+    """Held-out texts (items, whole documents, parts of words) that stand inside documents."""
+    return L.contained_texts(table(spark, folder, "documents"), _held_texts(spark, folder), "text", "text", "doc_id", "item_id")
+
+
+@query(f"""WITH {_CONTAINED} SELECT (SELECT count(DISTINCT k) FROM g) AS golden_size,
+  count(DISTINCT k) AS contained, round(count(DISTINCT k) * 100.0 / (SELECT count(DISTINCT k) FROM g), 2)::DOUBLE AS leakage_percentage,
+  'LEAKAGE_DETECTED' AS status FROM g WHERE item_id IN (SELECT item_id FROM pairs)""")
+def containment_report(spark, folder):
+    return L.containment_report(table(spark, folder, "documents"), _held_texts(spark, folder), "text", "text", "doc_id", "item_id")
+
+
 @query(f"""WITH {_SPLIT} SELECT DISTINCT {_K} AS key FROM halves WHERE NOT held
 INTERSECT SELECT DISTINCT {_K} FROM halves WHERE held""")
 def leakage_overlap_keys(spark, folder):
@@ -239,15 +264,19 @@ _ADV = sql.values("adversarial", "id, customer_tweet, intent, reply, escalated,
                   [row[:8] for row in cases.ADVERSARIAL_CASES])
 
 
-def _golden_sql(target: int) -> str:
+def _golden_sql(target: int, balanced: bool = False) -> str:
     quota = G.stratum_quota(target, len(cases.ADVERSARIAL_CASES), len(taxonomy.CLASSES))
     wanted = target - len(cases.ADVERSARIAL_CASES)
     base = len(cases.ADVERSARIAL_CASES)
     text = sql.ascii_words("customer_text")
+    classes = f"list_position({taxonomy.CLASSES!r}, intent)"
+    # Even shares are what taking the classes' rows by turns gives.
+    evenly = f"SELECT * FROM drawn QUALIFY row_number() OVER (ORDER BY rn, {classes}) <= {wanted}"
+    taken = evenly if balanced else f"SELECT * FROM drawn WHERE rn <= {quota}"
     return f"""{sql.SUPPORT}, {_ADV},
 drawn AS (SELECT *, row_number() OVER (PARTITION BY intent ORDER BY md5('42' || id), id) AS rn FROM support),
 sampled AS (SELECT *, row_number() OVER (ORDER BY list_position({taxonomy.CLASSES!r}, intent), rn) AS position
-  FROM drawn WHERE rn <= {quota} QUALIFY position <= {wanted}),
+  FROM ({taken}) QUALIFY position <= {wanted}),
 fresh AS (SELECT * FROM support WHERE {sql.key('customer_text')} NOT IN (SELECT {sql.key('customer_text')} FROM sampled)
   QUALIFY row_number() OVER (PARTITION BY {sql.key('customer_text')} ORDER BY seq) = 1),
 filled AS (SELECT *, row_number() OVER (ORDER BY seq) + (SELECT count(*) FROM sampled) AS position FROM fresh
@@ -262,9 +291,9 @@ golden AS (
     CASE WHEN late THEN 'EASY' ELSE {sql.difficulty('plain', 'why IS NOT NULL')} END FROM picked)"""
 
 
-def _golden(spark, folder, target):
+def _golden(spark, folder, target, **options):
     golden, _ = G.golden_sample(inputs.support(spark, folder), literals.adversarial_cases(spark), taxonomy.CLASSES,
-                                rules.LABEL_ESCALATION_RULES, rules.HARD_CASE_PATTERNS, target)
+                                rules.LABEL_ESCALATION_RULES, rules.HARD_CASE_PATTERNS, target, **options)
     return golden
 
 
@@ -283,6 +312,12 @@ def golden_sample_filled_up(spark, folder):
     return _golden(spark, folder, 950).drop("notes", "source")
 
 
+@query(f"WITH {_golden_sql(200, balanced=True)} SELECT {_GOLDEN} FROM golden")
+def golden_sample_balanced(spark, folder):
+    """The rows shared out evenly: no class gets fewer than another unless it is used up."""
+    return _golden(spark, folder, 200, balanced=True).drop("notes", "source")
+
+
 @query(f"WITH {_golden_sql(200)} SELECT {_GOLDEN} FROM golden")
 def golden_csv_round_trip(spark, folder):
     path = scratch_path(spark, "golden-csv")

@@ -22,12 +22,33 @@ from deskloom.sources import files, literals, synthetic
 @query(f"WITH {sql.MESSAGES} SELECT tweet_id, author_id, inbound, text, in_response_to_tweet_id FROM messages")
 def scan_messages_csv(spark, folder):
     """Messages written to CSV (ids as '12.0', quotes and line breaks in texts) and scanned back."""
+    return _csv_back(spark, folder, files.scan_messages_csv)
+
+
+@query(f"WITH {sql.MESSAGES} SELECT tweet_id, author_id, inbound, text, in_response_to_tweet_id FROM messages")
+def scan_messages_csv_by_ranges(spark, folder):
+    """The same scan, each file read by as many tasks as it has splits."""
+    return _csv_back(spark, folder, files.scan_messages_csv_by_ranges)
+
+
+@query("SELECT doc_id, text, lang, source FROM documents")
+def scan_json_array(spark, folder):
+    """Documents written as files of one JSON array each and scanned by ranges."""
+    path = scratch_path(spark, "json-arrays")
+    docs = table(spark, folder, "documents").select("doc_id", "text", "lang", "source")
+    arrays = (docs.groupBy(F.pmod(F.col("doc_id"), F.lit(64)).alias("part"))
+              .agg(F.concat(F.lit("["), F.array_join(F.collect_list(F.to_json(F.struct(*docs.columns))), ","), F.lit("]")).alias("value")))
+    arrays.write.partitionBy("part").text(path)
+    return files.scan_json_array_by_ranges(spark, f"{path}/*", "doc_id long, text string, lang string, source string")
+
+
+def _csv_back(spark, folder, scan):
     path = scratch_path(spark, "messages-csv")
     rows = inputs.messages(spark, folder)
     files.write_csv(rows.select(
         F.concat("tweet_id", F.lit(".0")).alias("tweet_id"), "author_id", "inbound", F.lit("").alias("created_at"),
         "text", F.lit(None).cast("string").alias("response_tweet_id"), "in_response_to_tweet_id"), path)
-    return files.scan_messages_csv(spark, path).select(
+    return scan(spark, path).select(
         "tweet_id", "author_id", "inbound", "text", "in_response_to_tweet_id")
 
 
@@ -276,9 +297,9 @@ def reply_post_filter(spark, folder):
   CASE WHEN o_orderkey % 13 = 1 THEN 4 WHEN o_orderkey % 13 = 2 THEN 1 WHEN o_orderkey % 13 = 3 THEN 2 ELSE 3 END AS safety,
   round_even((groundedness + brand_voice + actionability + safety) / 4.0, 2)::DOUBLE AS overall_score,
   o_orderpriority AS reasoning
-FROM orders WHERE o_orderkey % 5 <> 0 AND o_orderkey % 13 NOT IN (0, 4, 5, 6, 7, 8)""")
+FROM orders WHERE o_orderkey % 5 <> 0 AND o_orderkey % 13 NOT IN (0, 4, 5, 6, 7, 8, 9, 10, 11)""")
 def parse_scores_json(spark, folder):
-    """JSON score replies, some fenced, some without a key, some broken (dropped here)."""
+    """JSON score replies, some fenced, some without a key, some broken or followed by more (dropped here)."""
     key, cust = F.col("o_orderkey"), F.col("o_custkey")
     voice = F.when(key % 4 != 0, F.concat(F.lit('"brand_voice": '), (cust % 7).cast("string"), F.lit(", "))).otherwise("")
     body = F.concat(F.lit('{"groundedness": '), (cust % 9 - 1).cast("string"), F.lit(", "), voice,
@@ -288,7 +309,8 @@ def parse_scores_json(spark, folder):
                     .when(key % 13 == 4, ', "safety": null').when(key % 13 == 5, ', "safety": "4.5"')
                     .when(key % 13 == 6, ", 'safety': 4").when(key % 13 == 8, ', "safety": [4]').otherwise(""),
                     F.lit(', "reasoning": "'), F.col("o_orderpriority"), F.lit('"}'),
-                    F.when(key % 13 == 7, " That is all.").otherwise(""))
+                    F.when(key % 13 == 7, " That is all.").when(key % 13 == 9, " {}").when(key % 13 == 10, " and {x}")
+                    .when(key % 13 == 11, ' // {"a": "}"}').otherwise(""))
     reply = F.when(key % 5 == 0, F.lit("Sorry, no scores.")).when(
         key % 3 == 0, F.concat(F.lit("```json\n"), body, F.lit("\n```"))).otherwise(body)
     parsed = table(spark, folder, "orders").select("o_orderkey", S.parse_scores_json(reply).alias("s"))

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from deskloom import schemas
 from deskloom.functions.text import norm_id
+from deskloom.sources import ranges
 
 CSV_OPTIONS = {"header": "true", "multiLine": "true", "quote": '"', "escape": '"'}
 
@@ -40,9 +41,24 @@ def scan_messages_csv(spark: SparkSession, path: str) -> DataFrame:
     return normalise_messages(spark.read.schema(schemas.MESSAGES_CSV).options(**CSV_OPTIONS).csv(path))
 
 
+def scan_csv_by_ranges(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """Header CSV whose quoted fields may hold line breaks, each file read by as many tasks as it has splits.
+
+    Columns are taken by position; every file has its own header.
+    """
+    options = {k: v for k, v in CSV_OPTIONS.items() if k != "header"}
+    rows = ranges.csv_records(spark, path).filter("_record > 0")
+    return rows.select(F.from_csv("value", F.lit(schema), options).alias("r")).select("r.*")
+
+
+def scan_messages_csv_by_ranges(spark: SparkSession, path: str) -> DataFrame:
+    """``scan_messages_csv`` for large files."""
+    return normalise_messages(scan_csv_by_ranges(spark, path, schemas.MESSAGES_CSV))
+
+
 def land_messages(spark: SparkSession, csv_path: str, parquet_path: str, partitions: int | None = None) -> DataFrame:
     """Convert a message CSV to Parquet once (splittable, column-pruned, filter push-down) and read it back."""
-    messages = scan_messages_csv(spark, csv_path)
+    messages = scan_messages_csv_by_ranges(spark, csv_path)
     if partitions:
         messages = messages.repartition(partitions, "tweet_id")
     messages.write.mode("errorifexists").parquet(parquet_path)
@@ -74,6 +90,15 @@ def scan_json_array(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.schema(schema).option("multiLine", "true").json(path)
 
 
+def scan_json_array_by_ranges(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """Files that hold one JSON array of objects each, every file read by as many tasks as it has splits.
+
+    An object that cannot be parsed gives a row of nulls.
+    """
+    rows = ranges.json_elements(spark, path)
+    return rows.select(F.from_json("value", schema).alias("r")).select("r.*")
+
+
 def scan_json_lines(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.schema(schema).json(path)
 

@@ -91,7 +91,9 @@ def test_rule_table_join_equals_constant_rules(spark):
 
 @pytest.mark.parametrize("text, want", [
     ('```json\n{"groundedness": 7, "brand_voice": 2, "safety": 0}\n```', (5, 2, 3, 1)),
-    ('{}', (3, 3, 3, 3)), ('{"groundedness": "a"}', None), ("no json", None), ('{"safety": null}', None)])
+    ('{}', (3, 3, 3, 3)), ('{"groundedness": "a"}', None), ("no json", None), ('{"safety": null}', None),
+    ('{"safety": 4} and {x}', None), ('{"safety": 4} {"safety": 5}', None), ('{"safety": 4} // {}', None), ('{"safety": 4}}', None),
+    ('{"safety": 4}"}', None), ('{"safety": 4, "reasoning": "a } \\" {"}', (3, 3, 3, 4)), ('{"a": {"b": {}}, "safety": 4}', (3, 3, 3, 4))])
 def test_parse_scores(value, text, want):
     parsed = value(S.parse_scores_json, text)
     assert (None if parsed is None else tuple(parsed[n] for n in S.RUBRIC)) == want
