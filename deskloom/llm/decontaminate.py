@@ -55,7 +55,7 @@ class Templates:
 class Forms(dict):
     """Raw word -> row of the columns code, kind, capital, ends (a sentence) and value."""
 
-    def __init__(self, limit: int = 1 << 18):
+    def __init__(self, limit: int = 1 << 16):
         super().__init__()
         self.limit = limit
         self.rows = [array("Q"), array("b"), array("b"), array("b"), array("Q")]
@@ -325,10 +325,11 @@ def is_leaky(text: Column, benchmark: DataFrame, rules: Templates = Templates(),
         def leaky(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
             forms = Forms()
             for texts in batches:
-                hit = np.zeros(len(texts), bool)
-                for start in range(0, len(texts), 500):
-                    for t, *_ in find(text_bytes(texts.slice(start, 500)), shared.value, rules, forms):
+                hit, start = np.zeros(len(texts), bool), 0
+                for part in slices([texts], 1 << 20):
+                    for t, *_ in find(text_bytes(part), shared.value, rules, forms):
                         hit[start + t] = True
+                    start += len(part)
                 yield pa.array(hit)
 
         return leaky(text)

@@ -15,6 +15,8 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from deskloom.llm.words import release
+
 # Executors need not have this package: its functions travel with the tasks.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -129,5 +131,6 @@ def language(text: Column, model: LanguageModel) -> Column:
             found = zip(*(classify(t.as_py(), compressors, model) for t in batch)) if len(batch) else [()] * len(types)
             yield pa.StructArray.from_arrays([pa.array(list(c), t) for c, t in zip(found, types)],
                                              names=["lang_pred", "score", "margin", "rejected"])
+        release()
 
     return predict(text)

@@ -7,8 +7,8 @@ the rest is confirmed on the full shingle sets.
 
 Copies with equal sets are one node, found by an aggregation. No bucket's pairs are listed: first every member is compared
 with the smallest one of its bucket. Of buckets that this leaves in several components, the members are compared with the
-one that shares most shingles with the others, and only those that are still apart, and whose unshared shingles allow a
-link at all, with each other.
+one that shares most shingles with the others. Those that are still apart, and whose unshared shingles allow a link at all,
+are dealt to cells, where their registers are compared; only pairs whose estimate allows a link leave a cell.
 """
 
 import sys
@@ -40,6 +40,7 @@ class NearDup:
     band_rows: int = 4        # registers in a band
     sigmas: float = 4.0       # deviations by which an estimate may fall short before a pair is dropped
     members_per_task: int = 256  # members that are compared with one centre in a row
+    cell_members: int = 2048  # members of a bucket whose registers a task holds at once, about
 
 
 def shingles(texts: list[bytes], width: int) -> Iterator[np.ndarray]:
@@ -112,40 +113,96 @@ def band_keys(nodes: DataFrame, rules: NearDup) -> DataFrame:
     return nodes.select(F.explode(keys).alias("key"), "node")
 
 
-def estimated(pairs: DataFrame, nodes: DataFrame, rules: NearDup) -> DataFrame:
-    """The pairs (a, b) that sizes and registers leave possible.
+def near_enough(left, right, own, other, n_a, n_b, rules: NearDup) -> np.ndarray:
+    """Which pairs of registers (rows of ``left`` and ``right``, with the buckets they fill) leave a link possible.
 
     The estimate is the share of equal registers among the m buckets that either set fills. Registers of unrelated
     documents are equal by chance with probability 0.17 * 2 ** -mantissa_bits * 4 q / (1 + q) ** 2, q being the ratio of
     the set sizes; the share is corrected for it. Its variance for similarity J and a union of f shingles is
     J (1 - J) ((1 + 1 / (f - 1)) / m - 1 / (f - 1)): next to none if hardly any bucket holds two shingles.
     """
+    goal = rules.percent / 100
+    filled = (own | other).sum(axis=1)
+    chance = 0.169919487 * 2.0 ** -rules.mantissa_bits * 4 * n_a * n_b / (n_a + n_b) ** 2
+    share = (((left == right) & own & other).sum(axis=1) / filled - chance) / (1 - chance)
+    union = np.maximum((n_a + n_b) / (1 + goal) - 1, 1)
+    deviation = np.sqrt(goal * (1 - goal) * np.maximum((1 + 1 / union) / filled - 1 / union, 0))
+    return share >= goal - rules.sigmas * deviation - 1 / filled
+
+
+def matrix(column: pa.Array) -> np.ndarray:
+    """Equally long byte strings as rows of bytes."""
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(len(column), -1)
+
+
+def estimated(pairs: DataFrame, nodes: DataFrame, rules: NearDup) -> DataFrame:
+    """The pairs (a, b) that sizes and registers leave possible."""
     side = nodes.select("node", "n_shingles", "filled", "sketch")
     both = (pairs.join(side.toDF("a", "n_a", "filled_a", "sketch_a"), "a")
             .join(side.toDF("b", "n_b", "filled_b", "sketch_b"), "b")
             .filter(F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * rules.percent))
-    goal = rules.percent / 100
 
     def near(batches):
         for batch in batches:
             if not batch.num_rows:
                 continue
-            rows = [np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint8).reshape(batch.num_rows, -1) for i in range(4, 8)]
-            left, right = (r.view(np.uint16) for r in rows[:2])
-            own, other = (np.unpackbits(r, axis=1).astype(bool) for r in rows[2:])
+            left, right = (matrix(batch.column(i)).view(np.uint16) for i in (4, 5))
+            own, other = (np.unpackbits(matrix(batch.column(i)), axis=1).astype(bool) for i in (6, 7))
             n_a, n_b = (batch.column(i).to_numpy().astype(float) for i in (2, 3))
-            filled = (own | other).sum(axis=1)
-            chance = 0.169919487 * 2.0 ** -rules.mantissa_bits * 4 * n_a * n_b / (n_a + n_b) ** 2
-            share = (((left == right) & own & other).sum(axis=1) / filled - chance) / (1 - chance)
-            union = np.maximum((n_a + n_b) / (1 + goal) - 1, 1)
-            deviation = np.sqrt(goal * (1 - goal) * np.maximum((1 + 1 / union) / filled - 1 / union, 0))
-            ok = share >= goal - rules.sigmas * deviation - 1 / filled
+            ok = near_enough(left, right, own, other, n_a, n_b, rules)
             yield batch.select([0, 1]).filter(pa.array(ok))
 
     kind = dict(pairs.dtypes)["a"]
     return both.select("a", "b", "n_a", "n_b", "sketch_a", "sketch_b", "filled_a", "filled_b").mapInArrow(near, f"a {kind}, b {kind}")
 
 
+def crossing(members: DataFrame, nodes: DataFrame, rules: NearDup) -> DataFrame:
+    """The pairs (a, b), a < b, of bucket members (key, node, component, shared, n_shingles) in different components that bounds
+    and registers leave possible.
+
+    Members of a bucket live in cells, by a hash, and visit the later cells of their bucket; a cell holds the registers of
+    those that live there, and what comes after them passes by. Pairs that cannot be linked are never rows.
+    """
+    cells = members.groupBy("key").agg(F.ceil(F.count("*") / F.lit(rules.cell_members)).cast("int").alias("cells")).filter("cells > 0")
+    own = F.pmod(F.xxhash64("node"), F.col("cells")).cast("int")
+    placed = (members.join(cells, "key").withColumn("_own", own)
+              .withColumn("cell", F.explode(F.sequence(F.col("_own"), F.col("cells") - 1)))
+              .withColumn("role", (F.col("cell") > F.col("_own")).cast("int"))
+              .join(nodes.select("node", "filled", "sketch"), "node"))
+    streamed = (placed.select("key", "cell", "role", "node", "component", "shared", "n_shingles", "filled", "sketch")
+                .repartition("key", "cell").sortWithinPartitions("key", "cell", "role"))
+
+    def compare(batches):
+        cell, held = None, None
+        for part in slices(batches, 1 << 20):
+            places = np.column_stack([part.column(i).to_numpy() for i in (0, 1)])
+            role = part.column(2).to_numpy()
+            rows = [*(part.column(i).to_numpy() for i in (3, 4, 5, 6)), np.unpackbits(matrix(part.column(7)), axis=1).astype(bool),
+                    matrix(part.column(8)).view(np.uint16)]
+            breaks = np.flatnonzero((places[1:] != places[:-1]).any(axis=1)) + 1
+            found = []
+            for start, stop in zip([0, *breaks], [*breaks, len(role)]):
+                if tuple(places[start]) != cell:
+                    cell, held = tuple(places[start]), None
+                lives, before = int((role[start:stop] == 0).sum()), len(held[0]) if held else 0
+                if lives:
+                    fresh = [c[start:start + lives] for c in rows]
+                    held = [np.concatenate(c) for c in zip(held, fresh)] if held else fresh
+                for i in range(stop - start if held else 0):
+                    seen = before + min(i, lives)  # what lives here, for one of them what came before it
+                    node, component, shared, n, fills, values = (c[:seen] for c in held)
+                    node_i, component_i, shared_i, n_i, fills_i, values_i = (c[start + i] for c in rows)
+                    most = np.minimum(shared, shared_i)
+                    able = np.flatnonzero((component != component_i) & (most * 100 >= (n + n_i - most) * rules.percent) & (node != node_i))
+                    if len(able):
+                        able = able[near_enough(values[able], values_i, fills[able], fills_i, n[able].astype(float), float(n_i), rules)]
+                        found += [(min(node_i, x), max(node_i, x)) for x in node[able].tolist()]
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array([int(x) for x in c], pa.int64()) for c in zip(*found)], names=["a", "b"])
+
+    return streamed.mapInArrow(compare, "a bigint, b bigint").distinct()
+
+
 def confirmed(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, id_col: str, text_col: str, rules: NearDup) -> DataFrame:
     """The pairs (a, b) whose full shingle sets are similar enough.
 
@@ -250,7 +307,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     Texts without words (null, empty, blanks) are linked with nothing. Rows that repeat an id count once, with the text
     whose shingle set has the smallest digest. A row without id cannot be linked: it is returned as it is, kept, with a
-    null component. An empty table gives no rows; other columns play no part.
+    null component. An empty table gives no rows; other columns play no part. Ids must be whole numbers.
     """
     sketched = stored(sketches(docs, id_col, text_col, rules), "sketches")
     named = sketched.filter("doc_id IS NOT NULL")
@@ -299,13 +356,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     # The rest: members of different components against each other, as far as their bounds allow.
     rest = bounded.drop("component").join(reached, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    left = rest.select("key", F.col("node").alias("a"), F.col("component").alias("_c"), F.col("shared").alias("_s"),
-                       F.col("n_shingles").alias("_m"))
-    right = rest.select("key", F.col("node").alias("b"), F.col("component").alias("_d"), "shared", "n_shingles")
-    crossing = (left.join(right, (left["key"] == right["key"]) & (F.col("a") < F.col("b")) & (F.col("_c") != F.col("_d"))
-                          & within_reach("shared", "n_shingles", "_s", "_m", rules))
-                .select("a", "b").distinct().join(stars, ["a", "b"], "left_anti").join(second, ["a", "b"], "left_anti"))
-    last = stored(estimated(stored(crossing, "crossing"), nodes, rules), "possible-rest")
+    open_ = rest.groupBy("key").agg(F.min("component").alias("_low"), F.max("component").alias("_high")).filter("_low < _high")
+    last = (stored(crossing(rest.join(open_.select("key"), "key", "left_semi"), nodes, rules), "possible-rest")
+            .join(stars, ["a", "b"], "left_anti").join(second, ["a", "b"], "left_anti"))
     late = stored(confirmed(last, nodes, docs, id_col, text_col, rules), "confirmed-rest")
     final = reached if late.isEmpty() else stored(components(links.union(late)), "components-all")
 

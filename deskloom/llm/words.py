@@ -130,9 +130,26 @@ def short_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
 
 
+def release() -> None:
+    """Give freed memory back to the system: a Python worker outlives its task and would keep it from what runs next."""
+    import ctypes
+
+    import pyarrow as pa
+
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+    if trim:
+        trim(0)
+
+
 def slices(batches, max_bytes: int = 4 << 20) -> Iterator:
-    """The rows of Arrow batches in runs of about ``max_bytes``, a longer single row alone: bounds what a task holds."""
-    for batch in batches:
-        step = max(1, int(batch.num_rows * max_bytes / max(batch.nbytes, 1)))
-        for start in range(0, batch.num_rows, step):
-            yield batch.slice(start, step)
+    """The rows of Arrow batches, or of Arrow arrays, in runs of about ``max_bytes``, a longer single row alone: bounds what a
+    task holds."""
+    try:
+        for batch in batches:
+            count = len(batch)
+            step = max(1, int(count * max_bytes / max(batch.nbytes, 1)))
+            for start in range(0, count, step):
+                yield batch.slice(start, step)
+    finally:
+        release()

@@ -226,3 +226,33 @@ def test_ranks_number_the_orders():
     for n in (1, 3, 5):
         assert [filteraudit.rank(p, n) for p in permutations(range(n))] == list(range(math.factorial(n)))
     assert [filteraudit.rank((p,), 5) for p in range(5)] == [0, 24, 48, 72, 96]
+
+
+# Near copies that are not linked with the centre of their bucket -------------------------------------------------------
+
+def test_edited_copies_meet_in_cells_and_few_pairs_leave_them(spark, monkeypatch):
+    """Copies of one text with 4 to 6 edits: hardly any is similar enough to another, and no list of their pairs is made."""
+    from deskloom.llm import neardup
+    from tests.llm import brute
+
+    rng = random.Random(8)
+    text = [f"w{rng.randrange(400)}" for _ in range(150)]
+    docs, counts = [], {}
+    for i in range(400):
+        copy = list(text)
+        for place in rng.sample(range(150), rng.choice([4, 5, 6])):
+            copy[place] = f"w{rng.randrange(400)}"
+        docs.append((i, " ".join(copy)))
+    store = neardup.stored
+
+    def counted(df, name="step"):
+        made = store(df, name)
+        counts[name] = made.count()
+        return made
+
+    monkeypatch.setattr(neardup, "stored", counted)
+    frame = spark.createDataFrame(docs, "doc_id bigint, text string").repartition(3)
+    for cell in (2048, 40):
+        got = neardup.near_duplicates(frame, rules=neardup.NearDup(cell_members=cell)).collect()
+        assert {r["doc_id"]: tuple(r)[1:] for r in got} == brute.near_duplicates(docs)
+        assert counts["possible-rest"] < 0.02 * len(docs) * (len(docs) - 1) / 2, counts
