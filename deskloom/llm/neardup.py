@@ -40,6 +40,7 @@ class NearDup:
     band_rows: int = 4        # registers in a band
     sigmas: float = 4.0       # deviations by which an estimate may fall short before a pair is dropped
     members_per_task: int = 256  # members that are compared with one centre in a row
+    part_shingles: int = 1 << 20  # shingles that meet in one part of the hash space, about
     cell_members: int = 2048  # members of a bucket whose registers a task holds at once, about
 
 
@@ -243,12 +244,13 @@ def confirmed(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, id_col: str,
 
 
 def own_shingles(members: DataFrame, docs: DataFrame, id_col: str, text_col: str, rules: NearDup) -> DataFrame:
-    """(node, own): how many shingles of each member (node, digest) no other member holds.
+    """(node, own): how many shingles of each member (node, digest, n_shingles; stored) no other member holds.
 
     Tasks send every shingle they read to its part of the hash space, with its member or, if several hold it, without;
     what arrives there once belongs to one member alone.
     """
-    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    total = members.agg(F.sum("n_shingles")).first()[0] or 0
+    parts = -(-total // rules.part_shingles) or 1
     texts = docs.select(F.col(id_col).alias("node"), F.col(text_col).cast("string").alias("text")).filter("text IS NOT NULL")
     rows = members.join(texts, "node").select("node", "digest", "text")
 
@@ -335,8 +337,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         return placed.join(mixed, "key")
 
     unsettled = stored(open_members(reached), "unsettled")
-    members = unsettled.select("node").distinct().join(nodes.select("node", "digest", "n_shingles"), "node")
-    own = own_shingles(members.select("node", "digest"), docs, id_col, text_col, rules)
+    members = stored(unsettled.select("node").distinct().join(nodes.select("node", "digest", "n_shingles"), "node"), "members")
+    own = own_shingles(members, docs, id_col, text_col, rules)
     sizes = stored(members.join(own, "node", "left").select(
         "node", "n_shingles", (F.col("n_shingles") - F.coalesce("own", F.lit(0))).alias("shared"))
         .filter(F.col("shared") * 100 >= F.col("n_shingles") * rules.percent), "shared")
