@@ -110,6 +110,21 @@ def from_planes(data: bytes) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(zstandard.decompress(data), np.uint8).reshape(8, -1).T).view("<u8").reshape(-1)
 
 
+def place_codes(document: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """Rising places of rising documents as the steps inside a document and the first place of each: never negative, so the
+    high byte planes stay empty."""
+    steps = place.copy()
+    same = document[1:] == document[:-1]
+    steps[1:][same] -= place[:-1][same]
+    return steps
+
+
+def places_from(document: np.ndarray, steps: np.ndarray) -> np.ndarray:
+    sums = np.cumsum(steps)
+    first = np.flatnonzero(np.diff(document, prepend=document[:1] - 1))
+    return sums - np.repeat(sums[first] - steps[first], np.diff(np.append(first, len(steps))))
+
+
 def group_of(documents: np.ndarray, groups: int) -> np.ndarray:
     return (mix(documents.astype(np.int64).view(np.uint64)) % np.uint64(groups)).astype(np.int64)
 
@@ -183,7 +198,7 @@ def fingerprints(rows: DataFrame, rules: SubstringRules, parts: int, groups: int
             window, document, place = window[inside], ids[owner[inside]], place[inside]
             later, at, earlier, first = repeated(window, document, place)
             out = [(g, g, p) for g, p in hit_rows(later, at, earlier, groups)]
-            first = np.sort(first)
+            first = first[np.lexsort((place[first], document[first]))]
             window, document, place = window[first], document[first], place[first]
             key, part = np.divmod(window, np.uint64(parts))  # both together are the whole hash
             part = part.astype(np.int64)
@@ -192,7 +207,7 @@ def fingerprints(rows: DataFrame, rules: SubstringRules, parts: int, groups: int
             for p in range(parts):
                 own = order[edges[p]:edges[p + 1]]
                 if len(own):
-                    numbers = np.concatenate([document[own][:1], np.diff(document[own]), place[own][:1], np.diff(place[own])])
+                    numbers = np.concatenate([document[own][:1], np.diff(document[own]), place_codes(document[own], place[own])])
                     out.append((p, -1, planes(np.concatenate([key[own], numbers.view(np.uint64)]))))
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(
@@ -227,8 +242,8 @@ def all_hits(prints: DataFrame, groups: int) -> DataFrame:
                     found = []
                 current = part
                 key, *numbers = from_planes(packed).reshape(3, -1)
-                document, place = np.cumsum(np.stack(numbers).view(np.int64), axis=1)
-                found.append((key, document, place))
+                document = np.cumsum(numbers[0].view(np.int64))
+                found.append((key, document, places_from(document, numbers[1].view(np.int64))))
         if found:
             yield from between(found)
 
@@ -258,26 +273,46 @@ PLACED = "kind int, doc_id bigint, earlier bigint, start int, words binary, numb
 
 
 def place_hits(rows: DataFrame, hits: DataFrame, rules: SubstringRules, groups: int) -> DataFrame:
-    """Documents meet their hits: one shuffle of the texts, which travel compressed."""
+    """Documents meet their hits: one shuffle of the texts. Those of a slice that go to the same group travel in one frame."""
 
     def grouped(batches):
         packer = zstandard.ZstdCompressor(level=3)
-        for part in slices(batches):
-            ids = part.column(0).cast(pa.int64())
-            packed = [packer.compress(t) for t in text_bytes(part.column(1))]
-            yield pa.RecordBatch.from_arrays([pa.array(group_of(ids.to_numpy(), groups), pa.int32()), ids,
-                                              pa.array(packed, pa.binary())], names=["group", "doc_id", "text"])
-
-    texts = rows.mapInArrow(grouped, "group int, doc_id bigint, text binary").select(
-        "group", F.lit(1).alias("role"), "doc_id", "text")
-    packed = hits.select("group", F.lit(0).alias("role"), F.lit(None).cast("bigint").alias("doc_id"), F.col("packed").alias("text"))
+        for part in slices(batches, BLOCK_BYTES):
+            ids, texts = part.column(0).cast(pa.int64()).to_numpy(), text_bytes(part.column(1))
+            group = group_of(ids, groups)
+            out = []
+            for g in np.unique(group).tolist():
+                own = np.flatnonzero(group == g)
+                held = [texts[i] for i in own]
+                out.append((g, ids[own].tobytes(), np.array([len(t) for t in held], np.int64).tobytes(), packer.compress(b"".join(held))))
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(
+                    zip(*out), (pa.int32(), pa.binary(), pa.binary(), pa.binary()))], names=["group", "ids", "sizes", "text"])
+
+    texts = rows.mapInArrow(grouped, "group int, ids binary, sizes binary, text binary").select(
+        "group", F.lit(1).alias("role"), "ids", "sizes", "text")
+    none = F.lit(None).cast("binary")
+    packed = hits.select("group", F.lit(0).alias("role"), none.alias("ids"), none.alias("sizes"), F.col("packed").alias("text"))
     met = packed.union(texts).repartition("group").sortWithinPartitions("group", "role")
 
     def extract(batches):
-        group, held, known, unpacker = None, [], None, zstandard.ZstdDecompressor()
+        group, held, known = None, [], None
+        unpacker, packer = zstandard.ZstdDecompressor(), zstandard.ZstdCompressor(level=3)
+
+        def documents(ids, sizes, data):
+            """(id, text) of the documents of a frame; hits have no ids and come as they are."""
+            if ids is None:
+                yield None, data
+                return
+            texts, at = unpacker.decompress(data), 0
+            for doc, size in zip(np.frombuffer(ids, np.int64).tolist(), np.frombuffer(sizes, np.int64).tolist()):
+                yield doc, texts[at:at + size]
+                at += size
+
         for part in slices(batches, 2 << 20):
             out = []
-            for g, role, doc, data in zip(*(part.column(i).to_pylist() for i in range(4))):
+            frames = zip(*(part.column(i).to_pylist() for i in range(5)))
+            for g, role, doc, data in ((g, r, d, t) for g, r, *frame in frames for d, t in documents(*frame)):
                 if g != group:
                     group, held, known = g, [], None
                 if role == 0:
@@ -286,8 +321,7 @@ def place_hits(rows: DataFrame, hits: DataFrame, rules: SubstringRules, groups:
                 if known is None:
                     known = np.concatenate(held, axis=1) if held else np.zeros((3, 0), np.int64)
                     known = known[:, np.lexsort((known[1], known[2], known[0]))]
-                text = unpacker.decompress(data)
-                words, tag = text.split(), xxhash.xxh3_64_intdigest(text) >> 1
+                words, tag = data.split(), xxhash.xxh3_64_intdigest(data) >> 1
                 a, b = np.searchsorted(known[0], [doc, doc + 1])
                 mine = known[1:, a:b]
                 mine = mine[:, mine[0] + rules.width <= len(words)]
@@ -300,7 +334,7 @@ def place_hits(rows: DataFrame, hits: DataFrame, rules: SubstringRules, groups:
                         out.append((REFERENCE, doc, doc, start, span, tag, None) if earlier < 0
                                    else (STREAM, doc, earlier, start, span, tag, None))
                 if (mine[1] >= 0).any():
-                    out.append((WAITING, doc, None, None, data, tag, None))
+                    out.append((WAITING, doc, None, None, packer.compress(data), tag, None))
                 else:
                     out.append((DONE, doc, None, None, None, *finished_columns(words)))
             if out:
