@@ -8,7 +8,7 @@ from itertools import chain
 import numpy as np
 import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from deskloom.llm import gru
@@ -28,7 +28,7 @@ class ToxicityRules:
     stride: int = 16
     toxic_docs: int = 1500       # labelled documents to learn from
     clean_docs: int = 4000
-    chars_per_doc: int = 8000    # of those documents
+    most_chars: int = 8000       # of a document to learn from; longer ones are not in the sample, so it is bounded
     min_docs: int = 4            # documents in which a word must occur to get a vector of its own
     passes: int = 5
     batch: int = 128
@@ -210,18 +210,24 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         rules: ToxicityRules = ToxicityRules()) -> ToxicityModel:
     """A model from at most ``toxic_docs`` and ``clean_docs`` labelled documents, smallest hash of the id first.
 
-    Labels other than 0 and 1, null ids and labels without document or text teach nothing. Without both classes there is
-    no network, and every text scores the share of toxic ones.
+    The sample holds whole texts of at most ``most_chars`` characters. Labels other than 0 and 1, null ids and labels without
+    such a document teach nothing. Rows that repeat an id count once, with the smallest text. Without both classes there is no
+    network, and every text scores the share of toxic ones.
     """
-    first = Window.partitionBy("label").orderBy("order", "id")
     marks = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label")).filter(
-        "id IS NOT NULL AND label IN (0, 1)").distinct().withColumn("order", F.xxhash64("id"))
-    rows = docs.select(F.col(id_col).alias("id"), F.substring(F.col(text_col).cast("string"), 1, rules.chars_per_doc)
-                       .alias("text")).filter("text IS NOT NULL")
-    marks = marks.withColumn("place", F.row_number().over(first)).filter(
-        F.col("place") <= F.when(F.col("label") == 1, rules.toxic_docs).otherwise(rules.clean_docs))
-    found = sorted((r["place"], r["label"], r["text"]) for r in rows.join(F.broadcast(marks), "id").collect())
-    return train([t.encode("utf-8", "surrogatepass") for *_, t in found], [label for _, label, _ in found], rules)
+        "id IS NOT NULL AND label IN (0, 1)").distinct()
+    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).filter(
+        F.length("text") <= rules.most_chars)
+    marks = marks.join(texts.select("id"), "id", "left_semi").withColumn("order", F.xxhash64("id"))
+    # Each task keeps its own smallest hashes; no task sees all rows of a label.
+    sample = [marks.filter(F.col("label") == label).orderBy("order", "id").limit(most)
+              for label, most in ((1, rules.toxic_docs), (0, rules.clean_docs))]
+    chosen = sorted((place, r["label"], r["id"]) for part in sample for place, r in enumerate(part.collect()))
+    if not chosen:
+        return train([], [], rules)
+    ids = docs.sparkSession.createDataFrame([(i,) for i in {i for *_, i in chosen}], f"id {dict(marks.dtypes)['id']}")
+    found = dict(texts.join(F.broadcast(ids), "id").groupBy("id").agg(F.min("text")).collect())
+    return train([found[i].encode("utf-8", "surrogatepass") for *_, i in chosen], [label for _, label, _ in chosen], rules)
 
 
 def toxicity(docs: DataFrame, model: ToxicityModel, id_col: str = "doc_id", text_col: str = "text",

@@ -244,6 +244,17 @@ def test_toxicity_learns_and_is_total(spark, awkward, empty):
     assert alone.weights is None and toxicity.toxicity(awkward, alone).agg(F.max("score")).first()[0] == 0
 
 
+def test_toxicity_sample_is_whole_texts_within_its_bounds(spark, monkeypatch):
+    rules = toxicity.ToxicityRules(toxic_docs=3, clean_docs=5, most_chars=40)
+    docs = [(i % 20, f"text {i % 20} " + "x" * (100 if i % 20 == 4 else i // 20 % 2), "en", "s") for i in range(2000)] + [(None, "lost", "en", "s")] * 500
+    marks = spark.createDataFrame([(i, i % 2) for i in range(20)] * 3 + [(None, 1)] * 50 + [(77, 1)], "doc_id bigint, toxic int")
+    seen = []
+    monkeypatch.setattr(toxicity, "train", lambda texts, labels, rules: seen.extend(zip(texts, labels)))
+    toxicity.fit(table(spark, docs), marks, rules=rules)
+    assert sorted(label for _, label in seen) == [0] * 5 + [1] * 3
+    assert len(set(seen)) == 8 and set(seen) <= {(f"text {i} ".encode(), i % 2) for i in range(20) if i != 4}
+
+
 def test_windows_cover_all_words():
     rules = toxicity.ToxicityRules()
     for n in (1, 15, 16, 31, 32, 33, 48, 49, 500):
@@ -609,3 +620,13 @@ def test_pipeline_awkward(spark, awkward, empty):
         corpus_pipeline.STAGES[-1][1](spark, docs, FOLDER).collect()
     once = corpus_pipeline.keep_one_of_each_group(spark, awkward, FOLDER)
     assert sorted((r["doc_id"] for r in once.collect()), key=repr) == sorted([1, 2, 3, 4, 5, 7, 9, 10, 12, 13, None], key=repr)
+
+
+def test_places_of_windows_survive_packing():
+    rng = np.random.RandomState(4)
+    for n in (0, 1, 2, 500):
+        document = np.sort(rng.randint(-5, 40, n)).astype(np.int64)
+        place = rng.randint(0, 1 << 40, n).astype(np.int64)
+        place = place[np.lexsort((place, document))]
+        steps = substrings.place_codes(document, place)
+        assert (steps >= 0).all() and (substrings.places_from(document, steps) == place).all()
