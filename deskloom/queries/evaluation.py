@@ -8,6 +8,7 @@ from deskloom.functions import rules as R
 from deskloom.operators import agreement as A
 from deskloom.operators import metrics as M
 from deskloom.operators import overlap as O
+from deskloom.operators import sketches as S
 from deskloom.functions.stem import stem_tokens
 from deskloom.functions.text import latin_words
 from deskloom.plans import benchmark as B
@@ -16,6 +17,7 @@ from deskloom.queries import inputs, sql
 from deskloom.queries.corpora import TIER_OVERALL, TIER_REPLIES, tier_rated
 from deskloom.queries.inputs import DEFAULT_LANG, LANG_PHRASES, LANG_RULES, LANGS, PAIRS_SQL
 from deskloom.queries.registry import query, table
+from deskloom.session import stored
 
 _BY_RULES = sql.best_class(sql.hit_list("text", LANG_RULES), LANGS, DEFAULT_LANG)
 _BY_PHRASES = sql.best_class(sql.phrase_list("lower(text)", LANG_PHRASES), LANGS, DEFAULT_LANG)
@@ -97,6 +99,21 @@ def binary_metrics(spark, folder):
     return found.select("system", *[F.round(c, 6).alias(c) for c in shares], "missed_high_risk_count", "total_high_risk_count")
 
 
+@query("""SELECT event_type, count(value) AS n, true AS within_bound FROM events GROUP BY 1 HAVING count(value) > 0""")
+def merged_percentile_sketches(spark, folder):
+    """The 95th percentile per event type from daily sketches, and whether its exact rank is within two per cent."""
+    events = table(spark, folder, "events").select("event_type", "value", F.to_date("ts").alias("day"))
+    daily = S.value_sketches(events, ["event_type", "day"], "value")
+    # Stored, since a sketch made again can differ a little.
+    found = stored(S.sketch_percentiles(S.merge_sketches(daily, ["event_type"]), ["event_type"], {"p95": 0.95}), "sketches")
+    of_type = found.select(F.col("event_type").alias("_type"), "n", "p95")
+    met = events.filter("value IS NOT NULL").join(of_type, F.col("event_type").eqNullSafe(F.col("_type")))
+    ranks = met.groupBy("event_type", "n").agg(F.sum((F.col("value") < F.col("p95")).cast("long")).alias("below"),
+                                               F.sum((F.col("value") <= F.col("p95")).cast("long")).alias("upto"))
+    return ranks.select("event_type", "n", ((F.col("below") <= 0.97 * F.col("n")) & (F.col("upto") >= 0.93 * F.col("n")))
+                        .alias("within_bound"))
+
+
 @query("""SELECT o_orderstatus AS system, round(quantile_cont(o_totalprice, 0.95), 6)::DOUBLE AS p95 FROM orders GROUP BY 1""")
 def percentile_95(spark, folder):
     rows = table(spark, folder, "orders").select(F.col("o_orderstatus").alias("system"), "o_totalprice")

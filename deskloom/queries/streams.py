@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from deskloom.queries import sql
 from deskloom.queries.registry import query, table
 from deskloom.session import scratch_path
+from deskloom.streaming.pair_stream import pair_reply_stream
 from deskloom.streaming.triage_stream import drop_repeats, triage_rows, windowed_counts
 
 EVENT_RULES = {"problem": [r"error"], "sale": [r"purchase"], "visit": [r"view", r"click"]}
@@ -79,3 +80,29 @@ def stream_first_messages(spark, folder):
     texts.repartitionByRange(3, "ts").write.parquet(path)
     stream = spark.readStream.schema(texts.schema).option("maxFilesPerTrigger", 1).parquet(path)
     return _drain(spark, drop_repeats(stream, delay="3650 days")).groupBy("text").agg(F.count("*").alias("n"))
+
+
+_PARENT = "event_id - event_id % 7 - 1"
+
+
+def _ordered_stream(spark, rows, batches=4):
+    """The rows as a file stream whose batches arrive in the order of time, written one after the other."""
+    path = scratch_path(spark, "ordered-stream")
+    edges = rows.agg(F.percentile_approx("ts", [i / batches for i in range(1, batches)])).first()[0] or []
+    number = sum(((F.col("ts") > F.lit(e)).cast("int") for e in edges), F.lit(0))
+    for batch in range(batches):
+        rows.filter(F.coalesce(number, F.lit(0)) == batch).coalesce(1).write.mode("append").parquet(path)
+    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(path)
+
+
+@query(f"""WITH r AS (SELECT event_id AS reply_id, {_PARENT} AS parent_id, ts, props FROM events WHERE event_id % 3 = 1)
+SELECT r.reply_id, m.event_id AS message_id, m.event_type AS message_text, r.props AS reply_text
+FROM r JOIN events m ON r.parent_id = m.event_id AND r.ts >= m.ts AND r.ts <= m.ts + INTERVAL 30 MINUTE""")
+def stream_reply_pairs(spark, folder):
+    """Two streams of events joined as replies and messages, in four batches, with state that expires."""
+    events = table(spark, folder, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    messages = _ordered_stream(spark, events.select(F.col("event_id").alias("message_id"), "ts", F.col("event_type").alias("text")))
+    replies = _ordered_stream(spark, events.filter("event_id % 3 = 1").select(
+        F.col("event_id").alias("reply_id"), F.expr(_PARENT).alias("parent_id"), "ts", F.col("props").alias("text")))
+    pairs = pair_reply_stream(replies, messages, within="30 MINUTES", delay="1 hour")
+    return _drain(spark, pairs).select("reply_id", "message_id", "message_text", "reply_text")
