@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-SIZE = 400  # the rank of an estimate is off by about 1.8 / SIZE of the rows at most, in 99 of 100 cases
+SIZE = 400  # in 99 of 100 cases the rank of an estimate is off by at most about 2.3 / SIZE ** 0.9 of the rows, 1 % here
 
 
 def value_sketches(df: DataFrame, keys: Sequence[str], value: str, size: int = SIZE) -> DataFrame:
