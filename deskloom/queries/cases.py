@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import functions as F
 
 from deskloom.functions import rules as R
@@ -12,14 +14,14 @@ from deskloom.operators.tfidf import (CLASSIFIER_TERMS, TfidfConfig, TfidfIndex,
                                       term_counts, tfidf, vocabulary)
 from deskloom.plans import benchmark as B
 from deskloom.plans.baselines import keyword_baseline, majority_baseline, majority_class
-from deskloom.plans.classifier import classify_by_rules, fit_classifier
+from deskloom.plans.classifier import ClassModel, classify_by_rules, fit_classifier
 from deskloom.plans.policy import escalate
 from deskloom.plans.replies import draft_reply
 from deskloom.plans.triage import decide, triage
 from deskloom.presets import replies, rules, taxonomy
 from deskloom.queries import inputs, sql
 from deskloom.queries.corpora import tier_rated
-from deskloom.queries.inputs import DEFAULT_LANG, LANG_CORPUS_SQL, LANG_RULES, LANGS
+from deskloom.queries.inputs import DEFAULT_LANG, HALVES_SQL, LANG_CORPUS_SQL, LANG_RULES, LANGS
 from deskloom.queries.registry import query, table
 from deskloom.queries.scalars import STOP_WORDS
 from deskloom.session import stored, scratch_path
@@ -371,7 +373,8 @@ def triage_with_model(spark, folder):
     corpus = inputs.lang_corpus(spark, folder)
     model = fit_classifier(inputs.halves(corpus, "id")[0], "customer_text", "intent", LANGS, CLASSIFIER_TERMS)
     messages = table(spark, folder, "benchmark").select(F.col("item_id").alias("query_id"), "text")
-    found = decide(messages, corpus, CASES, rules=LANG_RULES, model=model, names=dict(zip(LANGS, LANGS)))
+    found = decide(messages, corpus, CASES, rules=LANG_RULES, model=model, names=dict(zip(LANGS, LANGS)),
+                   index=inputs.case_index(spark, folder, inputs.lang_corpus, CASES))
     return found.select("query_id", "predicted_intent", F.round("confidence", 6).alias("confidence"), "is_confident",
                         "escalation.decision", "escalation.reason", F.size("top_cases").alias("retrieved"), "draft_reply")
 
@@ -385,3 +388,96 @@ def classify_with_model(spark, folder):
                            names=dict(zip(LANGS, LANGS)))
     return found.select("id", "intent", "predicted_intent", "confidence", "is_confident", "heuristic_match",
                         F.map_entries("probabilities").alias("probabilities"))
+
+
+# A linear model whose coefficients plain SQL can restate: how much likelier than overall a class's documents hold a term.
+_LIFT_WEIGHT = 0.02  # keeps probabilities away from 0 and 1
+
+
+def _grams_upto(tokens: str, n: int) -> str:
+    return " UNION ALL ".join(
+        f"SELECT id, unnest([{' || chr(32) || '.join(f'w[i + {k}]' for k in range(size))} for i in range(1, len(w) - {size - 2})]) AS term "
+        f"FROM {tokens}" for size in range(1, n + 1))
+
+
+def _linear_sql(asked: str) -> str:
+    """CTEs from the training half to c(id, p, scores): probabilities and blended scores of ``asked`` (id, text)."""
+    terms = f"""l_t AS (SELECT id, intent, {sql.words('customer_text')} AS w FROM train),
+l_tf AS (SELECT id, term, count(*) AS tf FROM ({_grams_upto('l_t', CLASSIFIER_TERMS.high)}) GROUP BY ALL),
+l_idf AS (SELECT term, count(*) AS df, ln((1 + (SELECT count(*) FROM train)) / (1 + count(*))) + 1 AS idf
+  FROM l_tf GROUP BY term ORDER BY sum(tf) DESC, term LIMIT {CLASSIFIER_TERMS.max_terms}),
+l_n AS (SELECT intent, count(*) AS n FROM train GROUP BY intent),
+l_df AS (SELECT term, intent, count(*) AS dfc FROM l_tf JOIN train USING (id) SEMI JOIN l_idf USING (term) GROUP BY ALL),
+l_coef AS (SELECT i.term, n.intent, {_LIFT_WEIGHT} * (ln((coalesce(dfc, 0) + 1) / (n + 2)) -
+    ln((df + 1) / ((SELECT count(*) FROM train) + 2))) AS weight
+  FROM l_idf i CROSS JOIN l_n n LEFT JOIN l_df d ON d.term = i.term AND d.intent = n.intent),
+a_t AS (SELECT id, {sql.words('text')} AS w FROM {asked}),
+a_w AS (SELECT id, term, (1 + ln(count(*))) * any_value(idf) AS w
+  FROM ({_grams_upto('a_t', CLASSIFIER_TERMS.high)}) JOIN l_idf USING (term) GROUP BY id, term),
+a_len AS (SELECT id, sqrt(sum(w * w)) AS len FROM a_w GROUP BY id),
+a_dot AS (SELECT id, intent, sum(w * weight) AS dot FROM a_w JOIN l_coef USING (term) GROUP BY id, intent),
+a_logit AS (SELECT a.id, n.intent, ln(n / (SELECT count(*) FROM train)) + coalesce(dot / len, 0) AS z
+  FROM {asked} a CROSS JOIN l_n n LEFT JOIN a_dot d ON d.id = a.id AND d.intent = n.intent LEFT JOIN a_len l ON l.id = a.id),
+a_p AS (SELECT id, intent, exp(z) / sum(exp(z)) OVER (PARTITION BY id) AS p FROM a_logit),
+a_hit AS (SELECT id, text, {sql.hit_list('text', LANG_RULES)} AS hit FROM {asked})"""
+    shares = ", ".join(f"coalesce(max(p) FILTER (intent = {sql.lit(c)}), 0)" for c in LANGS)
+    return f"""{terms},
+a_wide AS (SELECT id, [{shares}] AS p FROM a_p GROUP BY id),
+a_mix AS (SELECT id, text, hit, [p[i] + 0.18 * hit[i] for i in range(1, {len(LANGS) + 1})] AS m FROM a_wide JOIN a_hit USING (id)),
+c AS (SELECT id, text, hit, [round(v / list_sum(m), 4) for v in m] AS scores FROM a_mix)"""
+
+
+_SCORED = f"""{sql.best_class('scores', LANGS, DEFAULT_LANG)} AS class, list_max(scores) AS confidence"""
+
+
+def _lift_model(train) -> ClassModel:
+    terms = stored(fit_tfidf(train, "id", "customer_text", CLASSIFIER_TERMS).terms, "lift-terms")
+    tf = term_counts(train, "id", "customer_text", CLASSIFIER_TERMS, carry=("intent",))
+    by_class = tf.groupBy("term", "intent").agg(F.count("*").alias("dfc"))
+    sizes = {r["intent"]: r["count"] for r in train.groupBy("intent").count().collect()}
+    rows = sum(sizes.values())
+    size = F.create_map(*[F.lit(x) for pair in sizes.items() for x in pair])
+    every = terms.select("term", "df", F.explode(F.array(*map(F.lit, sizes))).alias("intent"))
+    lifts = every.join(by_class, ["term", "intent"], "left").select(
+        "term", F.col("intent").alias("class"),
+        (_LIFT_WEIGHT * (F.log((F.coalesce("dfc", F.lit(0)) + 1) / (size[F.col("intent")] + 2))
+                         - F.log((F.col("df") + 1) / F.lit(rows + 2)))).alias("weight"))
+    priors = {c: math.log(sizes[c] / rows) if c in sizes else float("-inf") for c in LANGS}
+    return ClassModel.from_coefficients(terms, lifts, priors)
+
+
+@query(f"""WITH {HALVES_SQL}, asked AS (SELECT id, customer_text AS text FROM held), {_linear_sql('asked')},
+s AS (SELECT *, {_SCORED} FROM c)
+SELECT id, class AS predicted_intent, class AS intent_name, confidence, confidence >= 0.35 AS is_confident,
+  hit[list_position(scores, confidence)] > 0 AS heuristic_match,
+  {", ".join(f"scores[{i + 1}] AS p_{c}" for i, c in enumerate(LANGS))} FROM s""")
+def classify_with_coefficients(spark, folder):
+    """A coefficient table joined to the term weights of the held-out part, blended with rules."""
+    train, held = inputs.halves(inputs.lang_corpus(spark, folder), "id")
+    found = _lift_model(train).classify(held.select("id", "customer_text"), "id", "customer_text", LANG_RULES,
+                                        names=dict(zip(LANGS, LANGS)))
+    return found.select("id", "predicted_intent", "intent_name", "confidence", "is_confident", "heuristic_match",
+                        *[F.col("probabilities")[c].alias(f"p_{c}") for c in LANGS])
+
+
+_MODEL_PAST = "WHEN NOT coalesce(h.auto_handle, true) THEN coalesce(h.escalation_reason, 'PII_SECURITY_DM')"
+
+
+@query(f"""WITH {HALVES_SQL}, asked AS (SELECT item_id AS id, text FROM benchmark), {_linear_sql('asked')},
+queries AS (SELECT id AS query_id, text, {sql.ascii_words('text')} AS t, {_SCORED} FROM c), {_top_k('queries', 'lang_corpus')},
+judged AS (SELECT q.*, h.similarity_score, h.agent_text AS top_reply, {sql.policy_reason('q.t', 'q.confidence', _MODEL_PAST)} AS reason,
+    ({sql.policy_reason('q.t', 'q.confidence')}) <> 'STANDARD_TROUBLESHOOTING' OR NOT coalesce(h.auto_handle, true) AS escalated
+  FROM queries q LEFT JOIN hits h ON h.query_id = q.query_id AND h.rank = 1)
+SELECT query_id, class AS predicted_intent, confidence, confidence >= 0.35 AS is_confident, reason,
+  {_ESC} AS decision, round(similarity_score, 4) AS similarity,
+  CASE WHEN escalated THEN {sql.lookup('reason', replies.ESCALATION_REPLIES, replies.OTHER_ESCALATION_REPLY)}
+    WHEN similarity_score > 0.45 THEN top_reply {_KEYWORD_WHENS}
+    ELSE {sql.lookup('class', replies.CLASS_REPLIES, replies.OTHER_CLASS_REPLY)} END AS draft_reply FROM judged""")
+def triage_with_coefficients(spark, folder):
+    """The whole pipeline on a coefficient table: classify, retrieve by the predicted class, decide, reply."""
+    corpus = inputs.lang_corpus(spark, folder)
+    messages = table(spark, folder, "benchmark").select(F.col("item_id").alias("query_id"), "text")
+    found = decide(messages, corpus, CASES, rules=LANG_RULES, model=_lift_model(inputs.halves(corpus, "id")[0]),
+                   names=dict(zip(LANGS, LANGS)), index=inputs.case_index(spark, folder, inputs.lang_corpus, CASES))
+    return found.select("query_id", "predicted_intent", "confidence", "is_confident", "escalation.reason",
+                        "escalation.decision", F.get("top_cases", 0)["similarity_score"].alias("similarity"), "draft_reply")
