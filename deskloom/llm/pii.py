@@ -1,8 +1,10 @@
 """Personal data with a skip-chain conditional random field.
 
-Fixed patterns find the certain spans. A CRF over the words that hold a digit or an @ then labels the rest: neighbouring
-words are linked as in a chain, and equal words far apart share a skip potential, so that what is known at one place of a
-document counts at the others. Loopy message passing settles the labels of all documents of a batch at once.
+Fixed patterns find the certain spans. A CRF over the other mentions (runs of digit groups, words around an at sign or what
+stands for one) labels the rest: neighbouring mentions are linked as in a chain, and equal or similar ones far apart (the same
+last digits, the same letters) share a skip potential, so that what is known at one place of a document counts at the others.
+Weights are learned together from the certain spans and from copies of their texts in which they are spelled otherwise.
+Loopy message passing settles the labels of all documents of a batch at once.
 """
 
 import re
@@ -31,7 +33,6 @@ DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
 CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
-WORD = re.compile(r"[^\x20\x09-\x0D]+")
 CANDIDATE = re.compile("[0-9@]")
 NOT_DIGITS = re.compile("[^0-9]+")
 
@@ -78,78 +79,135 @@ def written(spans: list[tuple[int, int, int]]) -> str:
     return ",".join(f"{KINDS[k]}:{a}:{b}" for a, k, b in spans)
 
 
+# Mentions that can be personal data in another spelling: runs of digit groups, and words around an at sign or a stand-in.
+RUN = re.compile(r"\+?\(?[0-9]++(?:[\x20().\-/\[\]]{1,3}+[0-9]++)*+")
+GROUP = re.compile(r"[0-9]+")
+AT = re.compile(r"\x20?@\x20?|\x20?[\[({]\x20?at\x20?[\])}]\x20?|\x20at\x20", re.I)
+HOST = re.compile(r"[A-Za-z0-9-]++(?:(?:\.|\x20?[\[({]\x20?dot\x20?[\])}]\x20?|\x20dot\x20)[A-Za-z0-9-]++)++", re.I)
+HEDGED = re.compile("[\\[({\x20](at|dot)[\\])}\x20]", re.I)
+SIGNS = re.compile("[^A-Za-z0-9]+")
+PLACE = re.compile("[@0-9]|[\\[({\x20]at[\\])}\x20]", re.I)
+
+
 @dataclass(frozen=True)
 class CrfRules:
     features: int = 1 << 12    # hashed
     rounds: int = 12           # of message passing
     damping: float = 0.5
-    least: float = 0.9         # marginal probability of a label that adds a span
-    skip_length: int = 5       # letters and digits that words must share to be linked over a distance
-    sample_docs: int = 6000    # documents, about, that the weights are learned from
-    clamp: float = 30.0        # log potential that holds words of certain spans
+    least: float = 0.6         # marginal probability of a label that adds a span
+    skip_digits: int = 7       # last digits that two numbers must share to be linked over a distance
+    near: int = 40             # code points between mentions that are neighbours in the chain
+    sample_docs: int = 6000    # most documents that the weights are learned from
+    sample_chars: int = 20_000 # longer documents are labelled whole, but not learned from
+    clamp: float = 30.0        # log potential that holds mentions of certain spans
 
 
 @dataclass
 class Crf:
     unary: np.ndarray   # features x labels
-    chain: np.ndarray   # labels x labels, of neighbouring words
-    skip: np.ndarray    # of equal words
-
-
-def shape(core: str) -> str:
-    return re.sub(r"[A-Za-z\u0080-\U0010FFFF]+", "a", re.sub("[0-9]", "9", core))[:16]
+    chain: np.ndarray   # labels x labels, of neighbouring mentions
+    skip: np.ndarray    # of equal or similar mentions far apart
 
 
 @dataclass
 class Graph:
-    """Candidate words of several texts as nodes, with their links."""
+    """Mentions of several texts as nodes, with their links."""
 
     text: list          # number of the text
-    span: list          # (start, end) without edge punctuation
+    span: list          # (start, end)
     active: list        # feature numbers
     label: list         # number of the label that a certain span gives, 0 for none
     chain: list         # (node, next node)
     skip: list
 
 
+def number_runs(text: str):
+    """(start, end) of runs of digit groups. A lone space parts two runs where one side is long or written without spaces."""
+    for m in RUN.finditer(text):
+        groups = [(g.start() + m.start(), g.end() + m.start()) for g in GROUP.finditer(m[0])]
+        gaps = [text[x[1]:y[0]] for x, y in zip(groups, groups[1:])]
+        first = 0
+        for i, gap in enumerate(gaps):
+            if gap != " ":
+                continue
+            head = i == 0 and m[0][0] == "+"
+            long = groups[i + 1][1] - groups[i + 1][0] >= 7 or (not head and groups[i][1] - groups[i][0] >= 7)
+            dense = not head and any(0 <= j < len(gaps) and gaps[j] in ("-", ".", "/") for j in (i - 1, i + 1))
+            if long or dense:
+                yield (m.start() if first == 0 else groups[first][0]), groups[i][1]
+                first = i + 1
+        yield (m.start() if first == 0 else groups[first][0]), m.end()
+
+
+def address_runs(text: str):
+    """(start, end) of what may be an address, whether its signs are written or spelled."""
+    done = 0
+    for m in AT.finditer(text):
+        start = m.start()
+        while start > done and text[start - 1] in LOCAL_PART:
+            start -= 1
+        host = HOST.match(text, m.end()) if start < m.start() else None
+        if host and ("@" in m[0] or m[0].strip() != m[0].strip().strip("[](){}") or " dot " in host[0].lower()):
+            yield start, host.end()
+            done = host.end()
+
+
+def mentions(text: str) -> list[tuple[int, int, bool]]:
+    """(start, end, whether an address), in order; numbers inside an address are no mentions."""
+    if not PLACE.search(text):
+        return []
+    found, at = [(a, b, True) for a, b in address_runs(text)], 0
+    addresses = list(found)
+    for a, b in number_runs(text):
+        while at < len(addresses) and addresses[at][1] <= a:
+            at += 1
+        if at == len(addresses) or addresses[at][0] >= b:
+            if "(" in text[a:b] and ")" not in text[a:b]:
+                a = text.index("(", a) + 1 if text[a] == "(" else a
+            found.append((a, b, False))
+    return sorted(found)
+
+
+def facts(text: str, start: int, end: int, address: bool) -> tuple[str, ...]:
+    piece = text[start:end]
+    sizes = [g.end() - g.start() for g in GROUP.finditer(piece)]
+    digits = NOT_DIGITS.sub("", piece)
+    glued = any(0 <= i < len(text) and (text[i].isalnum() or text[i] in "_@\"=") for i in (start - 1, end))
+    if address:
+        digits, sizes, form = "", [], "address " + ("spelled" if HEDGED.search(piece) else "signs")
+    else:
+        form = "layout " + "-".join(map(str, sizes[:8]))
+    signs = "".join(sorted(set(SIGNS.sub(" ", "") if address else "".join(c for c in piece if not c.isdigit()))))
+    four = len(sizes) == 4 and all(int(g[0][-4:]) <= 255 and len(g[0]) <= 3 for g in GROUP.finditer(piece))
+    before = text[max(0, start - 24):start].lower().split()
+    kind = ("address" if address else "card" if 14 <= len(digits) <= 19 and luhn(digits) else "four" if four
+            else "number" if 10 <= len(digits) <= 15 else "short")
+    return ("bias", form, f"{form} {glued}", f"signs {signs}", f"digits {min(len(digits), 20)}", f"kind {kind} {glued}",
+            f"kind {kind} in {min(len(sizes), 6)}", "before " + (before[-1].strip(".,:;()") if before else ""))
+
+
 def add_text(graph: Graph, number: int, text: str, certain: list, rules: CrfRules) -> None:
-    if not CANDIDATE.search(text):
-        return
     last_seen: dict[str, int] = {}
-    previous, before, place = "", -2, 0
-    at = 0
-    for place, m in enumerate(WORD.finditer(text)):
-        word = m[0]
-        if not CANDIDATE.search(word):
-            previous = word
-            continue
-        left = len(word) - len(word.lstrip(".,;:!?'\"[]{}<>*#&%$|)_/\\-"))
-        core = word[left:].rstrip(".,;:!?'\"[]{}<>*#&%$|(_/\\-+")
-        if not CANDIDATE.search(core):
-            previous = word
-            continue
-        start = m.start() + left
-        end = start + len(core)
+    at, before = 0, -1
+    for start, end, address in mentions(text):
         while at < len(certain) and certain[at][2] <= start:
             at += 1
         label = next((k + 1 for a, k, b in certain[at:at + 4] if a < end and b > start), 0)
-        digits = NOT_DIGITS.sub("", core)
-        facts = ("bias", "shape " + shape(core), f"digits {len(digits)}", "before " + previous.lower().strip(".,:;()")[:20],
-                 f"card {14 <= len(digits) <= 19 and luhn(digits)}", f"at {'@' in core}", f"dots {min(core.count('.'), 4)}",
-                 f"plus {core[0] == '+'}")
         node = len(graph.span)
         graph.text.append(number)
         graph.span.append((start, end))
-        graph.active.append([xxhash.xxh3_64_intdigest(f) % rules.features for f in facts])
+        graph.active.append([xxhash.xxh3_64_intdigest(f) % rules.features for f in facts(text, start, end, address)])
         graph.label.append(label)
-        if before == place - 1:
+        if before >= 0 and start - before <= rules.near:
             graph.chain.append((node - 1, node))
-        key = "".join(c for c in core.lower() if c.isalnum())
-        if len(key) >= rules.skip_length:
-            if key in last_seen:  # equal words form a chain of their own: links stay linear in the length of the text
+        before = end
+        piece = text[start:end]
+        digits = NOT_DIGITS.sub("", piece)
+        key = SIGNS.sub("", HEDGED.sub("", piece)).lower() if address else digits[-rules.skip_digits:]
+        if address or len(key) == rules.skip_digits:
+            if key in last_seen:  # similar mentions form a chain of their own: links stay linear in the length of the text
                 graph.skip.append((last_seen[key], node))
             last_seen[key] = node
-        previous, before = word, place
 
 
 def graph_of(texts: list[str], certain: list[list], rules: CrfRules) -> Graph:
@@ -159,33 +217,103 @@ def graph_of(texts: list[str], certain: list[list], rules: CrfRules) -> Graph:
     return graph
 
 
-def pair_weights(pairs: list, labels: np.ndarray) -> np.ndarray:
-    """Piecewise estimate of a potential: log of how much more often two labels are linked than by chance."""
+def respelled(kind: int, piece: str, turn: int) -> str:
+    """The same datum in another spelling."""
+    groups = GROUP.findall(piece)
+    digits = "".join(groups)
+    if kind == 0:
+        at, dot = ((" [at] ", " [dot] "), ("(at)", "."), (" at ", " dot "), (" @ ", "."), ("[at]", "[dot]"), ("{at}", "."))[turn % 6]
+        local, host = piece.split("@", 1)
+        return local + at + host.replace(".", dot)
+    if kind == 1:
+        return ("[.]", " . ", "-", "(.)")[turn % 4].join(groups)
+    if kind == 2:
+        sign = (".", " ", "-", "/")[turn % 4]
+        return sign.join(digits[i:i + 4] for i in range(0, len(digits), 4))
+    local = digits[-10:]
+    x, y, z = local[:3], local[3:6], local[6:]
+    country = digits[:-10] or "1"
+    return (f"{x}-{y}-{z}", f"({x}) {y}-{z}", f"{x}.{y}.{z}", f"{x} {y} {z}", f"{country}-{x}-{y}-{z}", f"00{country} {x} {y} {z}",
+            f"+{country}/{x}/{y}/{z}", f"({x}){y}-{z}", f"{x}/{y}-{z}", f"{country} ({x}) {y}-{z}")[turn % 10]
+
+
+def unlike(piece: str, turn: int) -> str:
+    """Digits of the same look that are nothing personal: numbers of items, dates, amounts, hex strings, versions."""
+    digits = (NOT_DIGITS.sub("", piece) + "20314159265358979")[:17]
+    day, month = int(digits[:2]) % 28 + 1, int(digits[2:4]) % 12 + 1
+    return (f"{2000 + day}-{month:02}-{day:02}", digits[:10], digits[:7] + "." + digits[7:9], "f" + digits[:16] + "c", digits[:8],
+            f"{digits[:3]}.{digits[3]}.{digits[4]}", f"{day:02}/{month:02}/{2000 + month}", f"{digits[:2]} {digits[2:5]} {digits[5:8]}",
+            digits[:12], f"978-{digits[0]}-{digits[1:5]}-{digits[5:9]}-{digits[9]}", f"{2000 + day}-{2001 + day}", digits[:11])[turn % 12]
+
+
+def lessons(text: str) -> list[tuple[str, list, list]]:
+    """(text, spans known to be personal, spans known to be nothing) of the text as it is and with its data respelled, repeated
+    in other spellings at the end, and replaced by numbers of the same look. What may be personal without a certain span is in
+    neither list."""
+    certain = [c for i, c in enumerate(base_spans(text)) if i < 64]
+    doubtful = [(a, b) for a, b, address in mentions(text) if address or len(NOT_DIGITS.sub("", text[a:b])) >= 7]
+    told = [(a, 0, b) for a, b, _ in mentions(text) if (a, b) not in set(doubtful)
+            and not any(x < b and y > a for x, _, y in certain)]
+    made = [(text, certain, told)]
+    turn = xxhash.xxh3_64_intdigest(text)
+    for copy in range(4 if certain else 0):
+        parts, spans, none, done, size = [], [], [], 0, 0
+        for i, (a, k, b) in enumerate(certain):
+            if a < done:
+                continue
+            new = text[a:b] if copy == 3 else respelled(k, text[a:b], turn + i + copy) if copy < 2 else unlike(text[a:b], turn + i)
+            parts += [text[done:a], new]
+            size += a - done
+            (none if copy == 2 else spans).append((size, k, size + len(new)))
+            size, done = size + len(new), b
+        parts.append(text[done:])
+        size += len(text) - done
+        if copy == 3:
+            for i, (a, k, b) in enumerate(certain):
+                bare = NOT_DIGITS.sub("", text[a:b])
+                new = bare[-10:] if k == 3 and i % 2 else bare if k == 3 else respelled(k, text[a:b], turn + i)
+                parts += [" and, ", new]
+                spans.append((size + 6, k, size + 6 + len(new)))
+                size += 6 + len(new)
+        made.append(("".join(parts), spans, none))
+    return made
+
+
+def train(texts: list[str], rules: CrfRules = CrfRules(), steps: int = 500, rate: float = 3.0, ridge: float = 2e-5) -> Crf:
+    """Unary, chain and skip weights, learned together by pseudo-likelihood from the certain spans and their respellings."""
+    taught = [x for t in texts for x in lessons(t)]
+    graph = graph_of([t for t, _, _ in taught], [sorted(s) for _, s, _ in taught], rules)
     size = len(LABELS)
-    counts = np.ones((size, size))
-    for a, b in pairs:
-        counts[labels[a], labels[b]] += 1
-        counts[labels[b], labels[a]] += 1
-    counts /= counts.sum()
-    share = counts.sum(axis=1)
-    return np.clip(np.log(counts / np.outer(share, share)), -4.0, 4.0)
-
-
-def train(texts: list[str], rules: CrfRules = CrfRules(), steps: int = 300, rate: float = 2.0, ridge: float = 1e-4) -> Crf:
-    """Weights from texts, the certain spans serving as labels: unary by logistic regression, pairs piecewise."""
-    graph = graph_of(texts, [base_spans(t) for t in texts], rules)
-    unary = np.zeros((rules.features, len(LABELS)))
-    labels = np.array(graph.label, np.int64)
-    if len(labels):
-        active = np.array(graph.active)
-        goal = np.eye(len(LABELS))[labels]
-        for step in range(steps):
-            z = unary[active].sum(axis=1)
-            z = np.exp(z - z.max(axis=1, keepdims=True))
-            slope = np.zeros_like(unary)
-            np.add.at(slope, active, ((z / z.sum(axis=1, keepdims=True) - goal) / len(labels))[:, None, :])
-            unary -= rate * (slope + ridge * unary)
-    return Crf(unary, pair_weights(graph.chain, labels), pair_weights(graph.skip, labels))
+    unary, chain, skip = np.zeros((rules.features, size)), np.zeros((size, size)), np.zeros((size, size))
+    if not graph.span:
+        return Crf(unary, chain, skip)
+    labels = np.array(graph.label)
+    told = np.array([any(a < e and b > s for a, _, b in taught[t][2]) for t, (s, e) in zip(graph.text, graph.span)])
+    known = (labels > 0) | told
+    share = np.bincount(labels[known], minlength=size)
+    weight = np.where(known, 1 / np.sqrt(np.maximum(share, 1))[labels], 0.0)
+    weight /= max(weight.sum(), 1e-9)
+    goal, active = np.eye(size)[labels], np.array(graph.active)
+    hot = goal * known[:, None]  # a neighbour without a known label says nothing
+
+    def sides(links):
+        pairs = np.array(links, np.int64).reshape(-1, 2)
+        return np.concatenate([pairs, pairs[:, ::-1]]).T
+
+    tables, ends = [chain, skip], [sides(graph.chain), sides(graph.skip)]
+    for _ in range(steps):
+        z = unary[active].sum(axis=1)
+        for table, (a, b) in zip(tables, ends):
+            np.add.at(z, a, hot[b] @ table)
+        z = np.exp(z - z.max(axis=1, keepdims=True))
+        error = (z / z.sum(axis=1, keepdims=True) - goal) * weight[:, None]
+        slope = np.zeros_like(unary)
+        np.add.at(slope, active, error[:, None, :])
+        unary -= rate * (slope + ridge * unary)
+        for table, (a, b) in zip(tables, ends):
+            turn = hot[b].T @ error[a]
+            table -= rate * (turn + turn.T + ridge * table)
+    return Crf(unary, chain, skip)
 
 
 def marginals(graph: Graph, crf: Crf, rules: CrfRules) -> np.ndarray:
@@ -214,13 +342,15 @@ def marginals(graph: Graph, crf: Crf, rules: CrfRules) -> np.ndarray:
     return p / p.sum(axis=1, keepdims=True)
 
 
-def plausible(kind: int, digits: int, text: str) -> bool:
-    """Whether a run of labelled words can be what the label says."""
+def plausible(kind: int, piece: str) -> bool:
+    """Whether a mention can be what its label says."""
+    groups = GROUP.findall(piece)
+    digits = "".join(groups)
     if kind == 0:
-        return "@" in text
+        return AT.search(piece) is not None
     if kind == 1:
-        return IP.fullmatch(text) is not None
-    return 14 <= digits <= 19 if kind == 2 else 7 <= digits <= 15
+        return len(groups) == 4 and all(len(g) <= 3 and int(g) <= 255 for g in groups)
+    return 14 <= len(digits) <= 19 and luhn(digits) if kind == 2 else 7 <= len(digits) <= 15
 
 
 def added_spans(texts: list[str], certain: list[list], crf: Crf, rules: CrfRules) -> list[list[tuple[int, int, int]]]:
@@ -232,33 +362,25 @@ def added_spans(texts: list[str], certain: list[list], crf: Crf, rules: CrfRules
     p = marginals(graph, crf, rules)
     best = p.argmax(axis=1)
     chosen = (best > 0) & (p.max(axis=1) >= rules.least) & (np.array(graph.label) == 0)
-    joined = set(graph.chain)
-    node = 0
-    while node < len(chosen):
-        if not chosen[node]:
-            node += 1
-            continue
-        last = node
-        while last + 1 < len(chosen) and (last, last + 1) in joined and chosen[last + 1] and best[last + 1] == best[node]:
-            last += 1
-        start, end, number = graph.span[node][0], graph.span[last][1], graph.text[node]
-        piece = texts[number][start:end]
-        kind = int(best[node]) - 1
-        clear = all(b <= start or a >= end for a, _, b in certain[number])
-        if clear and plausible(kind, len(NOT_DIGITS.sub("", piece)), piece):
+    for node in np.flatnonzero(chosen).tolist():
+        (start, end), number, kind = graph.span[node], graph.text[node], int(best[node]) - 1
+        if plausible(kind, texts[number][start:end]):
             added[number].append((start, kind, end))
-        node = last + 1
     return added
 
 
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rules: CrfRules = CrfRules()) -> Crf:
-    """A CRF learned from about ``sample_docs`` documents, chosen by a hash of the id."""
-    rows = docs.select(F.xxhash64(F.col(id_col)).alias("h"), F.col(text_col).cast("string").alias("text"))
-    total = max(1, rows.count())
-    share = min(1.0, rules.sample_docs / total)
-    sample = rows.filter(F.col("text").isNotNull() & (F.pmod("h", F.lit(1 << 30)) < int(share * (1 << 30)) + 1))
-    texts = [r["text"] for r in sample.filter(F.col("text").rlike("[0-9@]")).orderBy("h", "text").collect()]
-    return train(texts, rules)
+    """A CRF learned from at most ``sample_docs`` different texts of at most ``sample_chars`` code points: those with the
+    smallest hashes among the ones with a digit or an at sign. Null ids and repeated rows take no more places than others."""
+    rows = docs.select(F.col(text_col).cast("string").alias("text"))
+    usable = rows.filter(F.col("text").rlike("[0-9@]") & (F.length("text") <= rules.sample_chars))
+    keyed = usable.select(F.xxhash64("text").alias("h"), "text")
+    lowest = keyed.select("h").distinct().orderBy("h").limit(rules.sample_docs)
+    edge = lowest.agg(F.max("h")).first()[0]
+    if edge is None:
+        return train([], rules)
+    found = keyed.filter(F.col("h") <= edge).groupBy("h").agg(F.min("text").alias("text")).orderBy("h").limit(rules.sample_docs)
+    return train([r["text"] for r in found.collect()], rules)
 
 
 def personal_data(docs: DataFrame, crf: Crf, id_col: str = "doc_id", text_col: str = "text",
@@ -270,14 +392,15 @@ def personal_data(docs: DataFrame, crf: Crf, id_col: str = "doc_id", text_col: s
     """
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    shared = spark.sparkContext.broadcast(crf)
+    shared = spark.sparkContext.broadcast((crf.unary, crf.chain, crf.skip))  # plain arrays: workers need not have this package
     names = [f"n_{k}" for k in KINDS]
 
     def search(batches):
-        for part in slices(batches):
+        model = Crf(*shared.value)
+        for part in slices(batches, 1 << 20):
             texts = [t or "" for t in part.column(1).to_pylist()]
             certain = [base_spans(t) for t in texts]
-            added = added_spans(texts, certain, shared.value, rules)
+            added = added_spans(texts, certain, model, rules)
             counts = [[sum(k == kind for _, k, _ in spans) for spans in certain] for kind in range(len(KINDS))]
             yield pa.RecordBatch.from_arrays(
                 [part.column(0), *(pa.array(c, pa.int64()) for c in counts), pa.array(map(written, certain), pa.string()),

@@ -416,6 +416,90 @@ def test_personal_data(spark, awkward, empty, documents):
         assert set(certain) <= set(r["spans"].split(",")) and len(certain) == sum(r[f"n_{k}"] for k in pii.KINDS)
 
 
+def pii_texts(count, start=0):
+    return [f"{prose(6, i)} +1 ({200 + i % 700}) 555-{1000 + i} {prose(3, i + 1)} m{i}.x@mail{i % 9}.example.com {prose(3, i)} {i} "
+            f"{prose(2, i)} {i % 250}.{i % 199}.17.{i % 97} {prose(3, i + 2)} paid {card_number(i)} {prose(2, i)}" for i in range(start, start + count)]
+
+
+def card_number(i):
+    body = f"4{i * 7919:014d}"
+    return next(body + str(d) for d in range(10) if pii.luhn(body + str(d)))
+
+
+@pytest.fixture(scope="module")
+def pii_model():
+    return pii.train(pii_texts(200))
+
+
+def test_respelled_data_is_found(pii_model):
+    rules, hits, total, false = pii.CrfRules(), 0, 0, 0
+    for turn, text in enumerate(pii_texts(120, 5000)):
+        out, spans, done = "", [], 0
+        for a, k, b in pii.base_spans(text):
+            new = pii.respelled(k, text[a:b], turn)
+            out += text[done:a]
+            spans.append((len(out), k, len(out) + len(new)))
+            out, done = out + new, b
+        out += text[done:]
+        certain = pii.base_spans(out)
+        got = certain + pii.added_spans([out], [certain], pii_model, rules)[0]
+        hits += sum(any(g[1] == k and g[0] < b and g[2] > a for g in got) for a, k, b in spans)
+        false += sum(not any(g[0] < b and g[2] > a for a, _, b in spans) for g in got)
+        total += len(spans)
+    assert total == 480 and hits >= 0.95 * total and false <= 0.02 * total
+
+
+@pytest.mark.parametrize("text,want", [
+    ("call 974-555-3436 or (974) 555-3436 today", "phone:5:17,phone:21:35"),
+    ("+1 (974) 555-3436 or 974 555 3436", "phone:21:33"),
+    ("order 9745553436 of 2024-03-15, 3.14159, ISBN 978-3-1614-8410-0, hash f00455934712a", ""),
+    ("write to joe [at] example [dot] com now", "email:9:35"),
+    ("4465758382889437 4465758382889437", "card:0:16,card:17:33"),
+    ("nothing at all, at home", ""), ("", ""), ("+ ( ) . - @ [at]", "")])
+def test_added_spans(pii_model, text, want):
+    certain = pii.base_spans(text)
+    assert pii.written(pii.added_spans([text], [certain], pii_model, pii.CrfRules())[0]) == want
+
+
+def test_a_repeated_number_takes_the_label_of_its_other_place(pii_model):
+    rules, between = pii.CrfRules(), "words that stand between two mentions and say nothing of them "
+    alone, known = f"{between}9745553436 here", f"+1 (974) 555-3436 {between}9745553436 here"
+    p = [pii.marginals(pii.graph_of([t], [pii.base_spans(t)], rules), pii_model, rules)[-1][4] for t in (alone, known)]
+    assert p[0] < 0.3 and p[1] > p[0] + 0.3
+
+
+def test_mentions_are_linear_and_in_order():
+    assert pii.mentions("(974 x") == [(1, 4, False)]
+    for text in ("1 " * 200_000, "1" * 400_000, "a@" * 200_000, " at " * 100_000, "a at b.c " * 40_000, "(" * 300_000, "+(1)" * 100_000):
+        found = pii.mentions(text)
+        assert all(x[1] <= y[0] for x, y in zip(found, found[1:]))
+
+
+def test_sample_of_the_crf_is_bounded(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(pii, "train", lambda texts, rules: seen.append(texts))
+    rows = spark.range(600).selectExpr("cast(null as long) doc_id", "concat('t ', id % 60) text")
+    pii.fit(rows.unionAll(spark.sql("select 1L, repeat('9', 30000)")), rules=pii.CrfRules(sample_docs=25))
+    pii.fit(rows, rules=pii.CrfRules(sample_docs=1000))
+    assert [len(t) for t in seen] == [25, 60] and max(map(len, seen[0])) < 10
+
+
+def test_base_spans_equal_plain_patterns(documents):
+    import re
+
+    email, ip = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)"
+    for row in documents.collect():
+        text = row["text"] or ""
+        want = [(m.start(), 0, m.end()) for m in re.finditer(email, text)]
+        want += [(m.start(), 1, m.end()) for m in re.finditer(ip, text) if all(int(x) <= 255 for x in m[0].split("."))]
+        for m in re.finditer(r"[0-9]([\x20-]?[0-9])+", text):
+            d = re.sub("[^0-9]", "", m[0])
+            want += [(m.start(), 2, m.end())] if 14 <= len(d) <= 19 and pii.luhn(d) else []
+        want += [(m.start(), 3, m.end()) for m in re.finditer(r"\+[0-9][\x20().0-9-]+[0-9]", text)
+                 if 10 <= len(re.sub("[^0-9]", "", m[0])) <= 15]
+        assert pii.base_spans(text) == sorted(want)
+
+
 def test_message_passing_is_exact_on_a_tree():
     rules = pii.CrfRules(rounds=40)
     rng = np.random.RandomState(1)
