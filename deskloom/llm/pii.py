@@ -82,6 +82,7 @@ def written(spans: list[tuple[int, int, int]]) -> str:
 # Mentions that can be personal data in another spelling: runs of digit groups, and words around an at sign or a stand-in.
 RUN = re.compile(r"\+?\(?[0-9]++(?:[\x20().\-/\[\]]{1,3}+[0-9]++)*+")
 GROUP = re.compile(r"[0-9]+")
+DENSE = re.compile("[./-]")
 AT = re.compile(r"\x20?@\x20?|\x20?[\[({]\x20?at\x20?[\])}]\x20?|\x20at\x20", re.I)
 HOST = re.compile(r"[A-Za-z0-9-]++(?:(?:\.|\x20?[\[({]\x20?dot\x20?[\])}]\x20?|\x20dot\x20)[A-Za-z0-9-]++)++", re.I)
 HEDGED = re.compile("[\\[({\x20](at|dot)[\\])}\x20]", re.I)
@@ -132,8 +133,9 @@ def number_runs(text: str):
                 continue
             head = i == 0 and m[0][0] == "+"
             long = groups[i + 1][1] - groups[i + 1][0] >= 7 or (not head and groups[i][1] - groups[i][0] >= 7)
-            dense = not head and any(0 <= j < len(gaps) and gaps[j] in ("-", ".", "/") for j in (i - 1, i + 1))
-            if long or dense:
+            dense = not head and any(0 <= j < len(gaps) and DENSE.search(gaps[j]) for j in (i - 1, i + 1))
+            word = i == 0 and m.start() > 0 and text[m.start() - 1].isalnum()  # the first digits end a word
+            if long or dense or word:
                 yield (m.start() if first == 0 else groups[first][0]), groups[i][1]
                 first = i + 1
         yield (m.start() if first == 0 else groups[first][0]), m.end()
@@ -312,7 +314,7 @@ def train(texts: list[str], rules: CrfRules = CrfRules(), steps: int = 500, rate
         unary -= rate * (slope + ridge * unary)
         for table, (a, b) in zip(tables, ends):
             turn = hot[b].T @ error[a]
-            table -= rate * (turn + turn.T + ridge * table)
+            table -= 4 * rate * (turn + turn.T + ridge * table)
     return Crf(unary, chain, skip)
 
 
