@@ -8,6 +8,7 @@ from hypothesis import given
 from hypothesis import strategies as st
 
 from deskloom.operators.golden import balanced_quotas
+from deskloom.operators import leakage
 from deskloom.operators.leakage import contained_texts, containment_report
 from deskloom.sources import files, ranges
 
@@ -94,3 +95,28 @@ def test_balanced_quotas_level_the_classes(sizes, wanted):
     assert sum(got.values()) == min(wanted, sum(sizes.values()))
     top = max(got.values())
     assert all(n == sizes.get(c, 0) or top - n <= 1 for c, n in got.items())
+
+
+def test_containment_of_long_and_short_texts_is_exact_and_shows_few_runs(spark, monkeypatch):
+    """Long texts are routed by sampled runs, short ones by all of theirs; what is stored grows with hits, not with words."""
+    rng = random.Random(5)
+    word = lambda: f"w{rng.randint(0, 400)}"
+    docs = [" ".join(word() for _ in range(rng.randint(1, 120))) for _ in range(150)]
+    inside = [d[rng.randint(0, 4):max(6, len(d) - rng.randint(0, 9))] for d in docs[::5]] + docs[::7]
+    held = inside + ["w1", "w1 w2", "w39 w4 ", " ".join(docs[3].split()[2:7]), "not there at all", " ", None]
+    corpus = spark.createDataFrame(list(enumerate(docs)) + [(None, docs[0]), (1000, None)], "id int, customer_text string")
+    golden = spark.createDataFrame(list(enumerate(held)), "id int, customer_tweet string")
+    stored, tables = leakage.stored, {}
+
+    def kept(df, name="step", *rest):
+        tables.setdefault(name, []).append(stored(df, name, *rest))
+        return tables[name][-1]
+
+    monkeypatch.setattr(leakage, "stored", kept)
+    want = {(i, j) for i, h in enumerate(held) if h and h.strip() for j, d in enumerate(docs) if h.strip().lower() in d}
+    assert {tuple(r) for r in contained_texts(corpus, golden).collect()} == want
+    # Golden texts travel once a pair, not once a run; the runs of corpus texts that are shown are sampled ones.
+    assert tables["runs"][0].columns == ["_n", "_few", "run"]
+    assert tables["found"][0].count() < sum(len(d.split()) for d in docs) / 8
+    monkeypatch.setattr(leakage, "SENT_ROWS", 0)
+    assert {tuple(r) for r in contained_texts(corpus, golden).collect()} == want
