@@ -15,7 +15,7 @@ from deskloom.plans.triage import split_blank
 from deskloom.presets import cases, rules, taxonomy
 from deskloom.queries import inputs, sql
 from deskloom.queries.registry import query, table
-from deskloom.session import scratch_path
+from deskloom.session import scratch_path, stored
 from deskloom.sources import files, literals, synthetic
 
 
@@ -187,11 +187,22 @@ g AS (SELECT doc_id, unnest(w) AS gram FROM t
 SELECT doc_id, count(*) AS n, count(DISTINCT gram) AS n_distinct, min(gram) AS first_gram, max(gram) AS last_gram
 FROM g GROUP BY doc_id""")
 def word_ngrams(spark, folder):
-    grams = table(spark, folder, "documents").select(
-        "doc_id", F.explode(T.ngrams(T.words(F.col("text")), 1, 3)).alias("gram"))
-    counted = grams.groupBy("doc_id", "gram").agg(F.count("*").alias("_n"))
-    return counted.groupBy("doc_id").agg(F.sum("_n").alias("n"), F.count("*").alias("n_distinct"),
-                                         F.min("gram").alias("first_gram"), F.max("gram").alias("last_gram"))
+    return ngram_counts(table(spark, folder, "documents"))
+
+
+def ngram_counts(docs):
+    """(doc_id, n, n_distinct, first_gram, last_gram): row by row; only rows that share an id have their n-grams grouped."""
+    grams = T.ngrams(T.words(F.col("text")), 1, 3)
+    repeated = stored(docs.groupBy("doc_id").agg(F.count("*").alias("_rows")).filter("_rows > 1")
+                      .select(F.col("doc_id").alias("_id")), "repeated")
+    same = F.col("doc_id").eqNullSafe(F.col("_id"))
+    found = T.bind(grams, lambda g: F.struct(F.size(g).cast("long").alias("n"), F.size(F.array_distinct(g)).cast("long").alias(
+        "n_distinct"), F.array_min(g).alias("first_gram"), F.array_max(g).alias("last_gram")))
+    single = docs.join(repeated, same, "left_anti").select("doc_id", found.alias("_f")).select("doc_id", "_f.*").filter("n > 0")
+    shared = docs.join(repeated, same, "left_semi").select("doc_id", F.explode(grams).alias("gram"))
+    counted = shared.groupBy("doc_id", "gram").agg(F.count("*").alias("_n"))
+    return single.unionByName(counted.groupBy("doc_id").agg(
+        F.sum("_n").alias("n"), F.count("*").alias("n_distinct"), F.min("gram").alias("first_gram"), F.max("gram").alias("last_gram")))
 
 
 STOP_WORDS = ["the", "and", "of", "to", "is", "in", "on", "at", "by", "for", "with", "that", "this", "was", "are", "as",

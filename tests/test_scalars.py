@@ -7,6 +7,7 @@ from deskloom.functions import rules as R
 from deskloom.functions import scores as S
 from deskloom.functions import text as T
 from deskloom.presets import rules, taxonomy
+from deskloom.queries.scalars import ngram_counts
 
 
 def test_clean_text(value):
@@ -112,3 +113,10 @@ def test_case_context(spark):
     full, none = [r[0] for r in frame.select(T.case_context(F.col("c"))).collect()]
     assert full.count("Historical case") == 3 and "a" * 200 in full and "a" * 201 not in full
     assert none == "No historical cases retrieved."
+
+
+def test_ngram_counts_move_no_ngrams(spark):
+    rows = [(1, "b a b a"), (2, None), (3, " . "), (4, "x y"), (4, "x z"), (None, "n"), (None, "n m")]
+    found = ngram_counts(spark.createDataFrame(rows, "doc_id int, text string"))
+    assert sorted(map(tuple, found.collect()), key=str) == sorted([
+        (1, 9, 6, "a", "b a b"), (4, 6, 5, "x", "z"), (None, 4, 3, "m", "n m")], key=str)
