@@ -8,7 +8,8 @@ the rest is confirmed on the full shingle sets.
 Copies with equal sets are one node, found by an aggregation. No bucket's pairs are listed: first every member is compared
 with the smallest one of its bucket. Of buckets that this leaves in several components, the members are compared with the
 one that shares most shingles with the others. Those that are still apart, and whose unshared shingles allow a link at all,
-are dealt to cells, where their registers are compared; only pairs whose estimate allows a link leave a cell.
+are dealt to cells, where their registers are compared. Members that an estimate leaves a link meet in cells again, with their
+whole sets: only links that join what is still apart leave a cell.
 """
 
 import sys
@@ -42,6 +43,7 @@ class NearDup:
     members_per_task: int = 256  # members that are compared with one centre in a row
     part_shingles: int = 1 << 20  # shingles that meet in one part of the hash space, about
     cell_members: int = 2048  # members of a bucket whose registers a task holds at once, about
+    cell_shingles: int = 1 << 21  # and shingles of their sets
 
 
 def shingles(texts: list[bytes], width: int) -> Iterator[np.ndarray]:
@@ -107,11 +109,11 @@ def sketches(docs: DataFrame, id_col: str, text_col: str, rules: NearDup) -> Dat
 
 
 def band_keys(nodes: DataFrame, rules: NearDup) -> DataFrame:
-    """(key, node) for each band of registers."""
+    """(band, key, node) for each band of registers."""
     width = 2 * rules.band_rows
     keys = F.transform(F.sequence(F.lit(0), F.lit(rules.bands - 1)),
                        lambda b: F.xxhash64(b, F.substring("sketch", b * width + 1, F.lit(width))))
-    return nodes.select(F.explode(keys).alias("key"), "node")
+    return nodes.select(F.posexplode(keys).alias("band", "key"), "node")
 
 
 def near_enough(left, right, own, other, n_a, n_b, rules: NearDup) -> np.ndarray:
@@ -157,38 +159,53 @@ def estimated(pairs: DataFrame, nodes: DataFrame, rules: NearDup) -> DataFrame:
     return both.select("a", "b", "n_a", "n_b", "sketch_a", "sketch_b", "filled_a", "filled_b").mapInArrow(near, f"a {kind}, b {kind}")
 
 
-def crossing(members: DataFrame, nodes: DataFrame, rules: NearDup) -> DataFrame:
-    """The pairs (a, b), a < b, of bucket members (key, node, component, shared, n_shingles) in different components that bounds
-    and registers leave possible.
+def crossing(members: DataFrame, nodes: DataFrame, rules: NearDup, sets: DataFrame | None = None) -> DataFrame:
+    """Bucket members (band, key, node, component, shared, n_shingles) of different components against each other.
+
+    Without ``sets`` the rows (key, node) of members that bounds and registers leave a link with another one. With the ``sets``
+    (node, shingles) of such members, links (a, b), a < b, that are confirmed on them and join what is still apart in the cell.
 
     Members of a bucket live in cells, by a hash, and visit the later cells of their bucket; a cell holds the registers of
-    those that live there, and what comes after them passes by. Pairs that cannot be linked are never rows.
+    those that live there, and what comes after them passes by. Pairs are never rows: a member is one row at most for each of
+    its visits, and a cell has fewer links than members. A pair is looked at in the first band that its registers share.
     """
-    cells = members.groupBy("key").agg(F.ceil(F.count("*") / F.lit(rules.cell_members)).cast("int").alias("cells")).filter("cells > 0")
+    cells = members.groupBy("key").agg(F.greatest(
+        F.ceil(F.count("*") / F.lit(rules.cell_members)), F.ceil(F.sum("n_shingles") / F.lit(rules.cell_shingles))).cast("int").alias("cells"))
     own = F.pmod(F.xxhash64("node"), F.col("cells")).cast("int")
     placed = (members.join(cells, "key").withColumn("_own", own)
               .withColumn("cell", F.explode(F.sequence(F.col("_own"), F.col("cells") - 1)))
               .withColumn("role", (F.col("cell") > F.col("_own")).cast("int"))
               .join(nodes.select("node", "filled", "sketch"), "node"))
-    streamed = (placed.select("key", "cell", "role", "node", "component", "shared", "n_shingles", "filled", "sketch")
-                .repartition("key", "cell").sortWithinPartitions("key", "cell", "role"))
+    columns = ["key", "cell", "role", "node", "component", "shared", "n_shingles", "filled", "sketch", "band"]
+    if sets is not None:
+        placed, columns = placed.join(sets, "node"), [*columns, "shingles"]
+    streamed = placed.select(*columns).repartition("key", "cell").sortWithinPartitions("key", "cell", "role")
+    exact = sets is not None
 
     def compare(batches):
-        cell, held = None, None
+        cell, held, sets_held, joined = None, None, [], {}
+
+        def root(c):
+            while c in joined:
+                c = joined[c]
+            return c
+
         for part in slices(batches, 1 << 20):
             places = np.column_stack([part.column(i).to_numpy() for i in (0, 1)])
-            role = part.column(2).to_numpy()
+            role, band = part.column(2).to_numpy(), part.column(9).to_numpy()
             rows = [*(part.column(i).to_numpy() for i in (3, 4, 5, 6)), np.unpackbits(matrix(part.column(7)), axis=1).astype(bool),
                     matrix(part.column(8)).view(np.uint16)]
+            own_sets = [np.frombuffer(s, np.uint64) for s in part.column(10).to_pylist()] if exact else []
             breaks = np.flatnonzero((places[1:] != places[:-1]).any(axis=1)) + 1
-            found = []
+            found = set()
             for start, stop in zip([0, *breaks], [*breaks, len(role)]):
                 if tuple(places[start]) != cell:
-                    cell, held = tuple(places[start]), None
+                    cell, held, sets_held, joined = tuple(places[start]), None, [], {}
                 lives, before = int((role[start:stop] == 0).sum()), len(held[0]) if held else 0
                 if lives:
                     fresh = [c[start:start + lives] for c in rows]
-                    held = [np.concatenate(c) for c in zip(held, fresh)] if held else fresh
+                    held = [np.concatenate(c) for c in zip(held, fresh)] if held else [c.copy() for c in fresh]
+                    sets_held += own_sets[start:start + lives]
                 for i in range(stop - start if held else 0):
                     seen = before + min(i, lives)  # what lives here, for one of them what came before it
                     node, component, shared, n, fills, values = (c[:seen] for c in held)
@@ -197,11 +214,41 @@ def crossing(members: DataFrame, nodes: DataFrame, rules: NearDup) -> DataFrame:
                     able = np.flatnonzero((component != component_i) & (most * 100 >= (n + n_i - most) * rules.percent) & (node != node_i))
                     if len(able):
                         able = able[near_enough(values[able], values_i, fills[able], fills_i, n[able].astype(float), float(n_i), rules)]
-                        found += [(min(node_i, x), max(node_i, x)) for x in node[able].tolist()]
+                    if len(able):
+                        width = rules.bands * rules.band_rows
+                        alike = (values[able, :width] == values_i[:width]).reshape(len(able), rules.bands, rules.band_rows).all(axis=2)
+                        able = able[~alike.any(axis=1) | (alike.argmax(axis=1) == band[start + i])]
+                    if not exact:
+                        found.update((cell[0], x) for x in ([*node[able].tolist(), int(node_i)] if len(able) else ()))
+                        continue
+                    for j in able.tolist():
+                        ends = root(int(component[j])), root(int(component_i))
+                        if ends[0] == ends[1]:
+                            continue
+                        common = len(np.intersect1d(sets_held[j], own_sets[start + i], assume_unique=True))
+                        if 100 * common >= rules.percent * (n[j] + n_i - common):
+                            joined[max(ends)] = min(ends)
+                            found.add((min(int(node_i), int(node[j])), max(int(node_i), int(node[j]))))
             if found:
-                yield pa.RecordBatch.from_arrays([pa.array([int(x) for x in c], pa.int64()) for c in zip(*found)], names=["a", "b"])
+                yield pa.RecordBatch.from_arrays([pa.array([int(x) for x in c], pa.int64()) for c in zip(*found)], names=names)
+
+    names = ["a", "b"] if exact else ["key", "node"]
+    return streamed.mapInArrow(compare, ", ".join(f"{c} bigint" for c in names)).distinct()
+
+
+def shingle_sets(members: DataFrame, docs: DataFrame, id_col: str, text_col: str, rules: NearDup) -> DataFrame:
+    """(node, shingles): the whole sets of members (node, digest)."""
+    texts = docs.select(F.col(id_col).alias("node"), F.col(text_col).cast("string").alias("text")).filter("text IS NOT NULL")
+    rows = members.join(texts, "node").select("node", "digest", "text")
+
+    def cut(batches):
+        for part in slices(batches):
+            sets = [s.tobytes() for s in shingles(text_bytes(part.column(2)), rules.words)]
+            own = [xxhash.xxh3_128_digest(s) == d for s, d in zip(sets, part.column(1).to_pylist())]
+            yield pa.RecordBatch.from_arrays([part.column(0).cast(pa.int64()), pa.array(sets, pa.binary())],
+                                             names=["node", "shingles"]).filter(pa.array(own, pa.bool_()))
 
-    return streamed.mapInArrow(compare, "a bigint, b bigint").distinct()
+    return rows.mapInArrow(cut, "node bigint, shingles binary").dropDuplicates(["node"])
 
 
 def confirmed(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, id_col: str, text_col: str, rules: NearDup) -> DataFrame:
@@ -331,7 +378,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     # Buckets whose members are still in different components. What a member shares with none of the others bounds how
     # similar it can be to any: heavily edited copies drop out, and the member that shares most is the best centre.
     def open_members(component):
-        placed = keys.join(component, "node", "left").select("key", "node", F.coalesce("component", "node").alias("component"))
+        placed = keys.join(component, "node", "left").select("band", "key", "node", F.coalesce("component", "node").alias("component"))
         mixed = (placed.groupBy("key").agg(F.min("component").alias("_low"), F.max("component").alias("_high"))
                  .filter("_low < _high").select("key"))
         return placed.join(mixed, "key")
@@ -359,9 +406,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     # The rest: members of different components against each other, as far as their bounds allow.
     rest = bounded.drop("component").join(reached, "node", "left").withColumn("component", F.coalesce("component", "node"))
     open_ = rest.groupBy("key").agg(F.min("component").alias("_low"), F.max("component").alias("_high")).filter("_low < _high")
-    last = (stored(crossing(rest.join(open_.select("key"), "key", "left_semi"), nodes, rules), "possible-rest")
-            .join(stars, ["a", "b"], "left_anti").join(second, ["a", "b"], "left_anti"))
-    late = stored(confirmed(last, nodes, docs, id_col, text_col, rules), "confirmed-rest")
+    rest = stored(rest.join(open_.select("key"), "key", "left_semi"), "rest")
+    able = stored(crossing(rest, nodes, rules), "possible-rest")
+    sets = stored(shingle_sets(nodes.select("node", "digest").join(able.select("node").distinct(), "node"), docs, id_col, text_col, rules),
+                  "sets")
+    late = stored(crossing(rest.join(able, ["key", "node"], "left_semi"), nodes, rules, sets), "confirmed-rest")
     final = reached if late.isEmpty() else stored(components(links.union(late)), "components-all")
 
     ends = nodes.select("digest", "node").join(final, "node", "left").select(

@@ -256,3 +256,25 @@ def test_edited_copies_meet_in_cells_and_few_pairs_leave_them(spark, monkeypatch
         got = neardup.near_duplicates(frame, rules=neardup.NearDup(cell_members=cell)).collect()
         assert {r["doc_id"]: tuple(r)[1:] for r in got} == brute.near_duplicates(docs)
         assert counts["possible-rest"] < 0.02 * len(docs) * (len(docs) - 1) / 2, counts
+
+
+def test_pairs_just_under_the_threshold_are_no_rows(spark, monkeypatch):
+    """Many texts as far apart from each other as estimates cannot tell from linked ones: rows grow with texts, not with pairs."""
+    from deskloom.llm import neardup
+    from tests.llm import brute
+
+    base = [f"w{i}" for i in range(400)]
+    docs = {i: " ".join(w if j % 33 or j == 0 else f"x{i}-{j}" for j, w in enumerate(base)) for i in range(60)}
+    docs |= {1000 + i: t + f" more{i}" for i, t in docs.items()}
+    kept, tables = neardup.stored, {}
+
+    def stored(df, name="step"):
+        tables[name] = kept(df, name)
+        return tables[name]
+
+    monkeypatch.setattr(neardup, "stored", stored)
+    rows = neardup.near_duplicates(spark.createDataFrame(list(docs.items()), "doc_id long, text string")).collect()
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"], r["kept"]) for r in rows} == brute.near_duplicates(docs.items())
+    assert {r["component_id"] for r in rows} == set(range(60))
+    assert 0 < tables["possible-rest"].select("node").distinct().count() <= len(docs)
+    assert set(tables["possible-rest"].columns) == {"key", "node"} and tables["confirmed-rest"].count() <= len(docs)
