@@ -3,9 +3,12 @@
 Counted n-grams become states. An arc reads the next word and carries its smoothed log-probability; a failure arc leads to
 the state of the next shorter history and carries its backoff weight. A text is read once from left to right.
 
-All counts cover the whole training text. An n-gram is kept as a state if its count is at least a fixed share of all
-training tokens, so an order has at most 1 / share states, whatever the corpus: that bounds what is sent to the tasks.
-Words rarer than another share stay in a table that is joined, so every word counts exactly.
+All counts cover the whole training text. ``fit_whole`` makes every n-gram with ``min_count`` occurrences a state. The weights
+of arcs and failure arcs are turned into one number per state, so a text's score is the sum over the states that its n-grams
+lead to; states with at least a fixed share of all training tokens are sent to the tasks, at most 1 / share of each order, the
+others stay in a table that is joined, so all of them count exactly.
+
+``fit`` gives a model of bounded size instead: the automaton of the n-grams that reach the share, with arcs to walk along.
 """
 
 import sys
@@ -285,3 +288,252 @@ def scores(docs: DataFrame, model: Automaton, words: DataFrame, id_col: str = "d
         "doc_id", *carry, "n_tokens", (F.col("n_known") + known).alias("n_known"),
         F.lit(model.tokens).cast("long").alias("train_tokens"), (F.col("base_score") + more).alias("base_score"),
         (F.col("score") + more).alias("score"))
+
+
+# ---- all n-grams ----
+
+GRAM = np.uint64(0x9E3779B97F4A7C15)
+
+
+@dataclass(frozen=True)
+class WholeAutomaton:
+    """Sums per state: ``sent`` has the sorted keys of frequent states and what reading one adds to (known, base, score);
+    ``rest`` (key, known, base, more) has the same of all others, for words beyond what an unseen word adds."""
+
+    tokens: int
+    unseen: float          # log10 probability of a word that was never seen
+    order: int
+    sent: np.ndarray
+    sums: np.ndarray       # a row for each of known, base, more
+    rest: DataFrame
+
+
+def gram_key(prefix: np.ndarray, inner: np.ndarray) -> np.ndarray:
+    """Key of an n-gram from those of its first and of its last n - 1 words; that of a word is its hash."""
+    return mix(prefix * GRAM + mix(inner))
+
+
+def longer(keys: np.ndarray, place: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(prefix, inner, last token) of all n-grams, from the keys of the n - 1 words up to every token. ``place``: that of a token
+    in its text."""
+    last = np.flatnonzero(place >= n - 1)
+    return keys[last - 1], keys[last], last
+
+
+def by_part(key: np.ndarray, parts: int) -> tuple[list[int], list[np.ndarray]]:
+    """Parts of the key space, and the places of their keys."""
+    part = np.mod(key.view(np.int64), parts)
+    order = np.argsort(part, kind="stable")
+    edges = np.searchsorted(part[order], np.arange(parts + 1))
+    used = np.flatnonzero(edges[1:] > edges[:-1]).tolist()
+    return used, [order[edges[p]:edges[p + 1]] for p in used]
+
+
+def binaries(values: np.ndarray, chunks: list[np.ndarray]) -> pa.Array:
+    return pa.array([values[c].tobytes() for c in chunks], pa.binary())
+
+
+def counted_grams(texts: DataFrame, n: int, least: int, held: int = 1 << 20) -> DataFrame:
+    """(key, prefix, inner, n) of all n-grams that occur ``least`` times or more; sent as ``counted`` sends keys."""
+    parts = 4 * int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+    def merged(prefix, inner, counts):
+        key = gram_key(prefix, inner)
+        order = np.argsort(key, kind="stable")
+        first = np.flatnonzero(np.concatenate([[True], key[order][1:] != key[order][:-1]])) if len(key) else order
+        at = order[first]
+        return key[at], prefix[at], inner[at], np.add.reduceat(counts[order], first) if len(key) else counts
+
+    def runs(batches):
+        waiting, size = [], 0
+
+        def packed():
+            key, prefix, inner, count = merged(*map(np.concatenate, zip(*waiting)))
+            used, chunks = by_part(key, parts)
+            return pa.RecordBatch.from_arrays(
+                [pa.array(used, pa.int32()), binaries(prefix, chunks), binaries(inner, chunks), binaries(count.astype(np.uint32), chunks)],
+                names=["part", "prefix", "inner", "counts"])
+
+        for part in slices(batches):
+            tokens, first = tokens_of(text_bytes(part.column(0)))
+            keys, place = states_of(tokens, first, n - 1)
+            prefix, inner, _ = longer(keys[-1], place, n)
+            waiting.append(merged(prefix, inner, np.ones(len(prefix), np.int64))[1:])
+            size += len(waiting[-1][0])
+            if size > held:
+                yield packed()
+                waiting, size = [], 0
+        if size:
+            yield packed()
+
+    def sums(batches):
+        rows = [[np.frombuffer(v, kind) for v, kind in zip(row, (np.uint64, np.uint64, np.uint32))]
+                for b in batches for row in zip(*(c.to_pylist() for c in b.columns[1:]))]
+        if not rows:
+            return
+        prefix, inner, counts = (np.concatenate([r[i] for r in rows]) for i in range(3))
+        key, prefix, inner, count = merged(prefix, inner, counts.astype(np.int64))
+        kept = np.flatnonzero(count >= least)
+        for start in range(0, len(kept), 1 << 16):
+            at = kept[start:start + (1 << 16)]
+            yield pa.RecordBatch.from_arrays([pa.array(x[at].view(np.int64)) for x in (key, prefix, inner, count)],
+                                             names=["key", "prefix", "inner", "n"])
+
+    sent = texts.mapInArrow(runs, "part int, prefix binary, inner binary, counts binary")
+    return sent.repartition("part").mapInArrow(sums, "key bigint, prefix bigint, inner bigint, n bigint")
+
+
+def states_of(tokens: np.ndarray, first: np.ndarray, order: int) -> tuple[list[np.ndarray], np.ndarray]:
+    """(for each order the keys of the n-grams that end at every token, the tokens' places in their texts). Keys that would begin
+    before the text stand for nothing."""
+    place = np.arange(len(tokens)) - np.repeat(first, np.diff(np.append(first, len(tokens))))
+    keys = [tokens]
+    for n in range(2, order + 1):
+        prefix, inner, last = longer(keys[-1], place, n)
+        keys.append(np.zeros(len(tokens), np.uint64))
+        keys[-1][last] = gram_key(prefix, inner)
+    return keys, place
+
+
+def fit_whole(docs: DataFrame, text_col: str = "text", rules: LmRules = LmRules()) -> WholeAutomaton:
+    """The automaton of all n-grams with ``min_count`` occurrences; the shares only say which states are sent to the tasks.
+
+    Reading an n-gram that is a state changes the score by its arc less the way round it: its history's failure arc and the
+    arc of the n-gram without its first word. The failure arc that leaves a state is added to what the state itself adds.
+    """
+    texts = docs.select(F.col(text_col).cast("string").alias("text"))
+    words = stored(counted(texts, lambda found: tokens_of(found)[0].view(np.int64)), "words")
+    total = words.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
+    unit = total["n"] + 0.5 * (total["v"] + 1)
+    unseen = float(np.log10(0.5 / unit))
+    states = words.select("key", "n", ((F.col("n") + 0.5) / unit).alias("share")).withColumn("gain", F.log10("share"))
+    tables = []
+
+    def table(n: int, states: DataFrame, leaving) -> DataFrame:
+        word, least = n == 1, max(1, int(np.ceil((rules.word_share if n == 1 else rules.state_share) * total["n"])))
+        return states.select("key", (F.col("n") >= least).alias("frequent"), F.lit(int(word)).alias("known"),
+                             (F.col("gain") if word else F.lit(0.0)).alias("base"), (F.col("gain") + leaving).alias("more"))
+
+    for n in range(2, rules.order + 1):
+        grams = counted_grams(texts, n, rules.min_count)
+        arcs = stored(grams.join(states.select(F.col("key").alias("prefix"), F.col("n").alias("_of")), "prefix")
+                      .join(states.select(F.col("key").alias("inner"), F.col("share").alias("lower")), "inner")
+                      .select("key", "prefix", "n", ((F.col("n") - rules.discount) / F.col("_of")).alias("share"), "lower"), "arcs")
+        free = (1 - F.sum("share")) / F.greatest(1 - F.sum("lower"), F.lit(1e-12))
+        failure = stored(arcs.groupBy("prefix").agg(F.log10(F.greatest(free, F.lit(1e-12))).alias("failure")), "failure")
+        leaving = states.join(failure.withColumnRenamed("prefix", "key"), "key", "left")
+        tables.append(table(n - 1, leaving, F.coalesce("failure", F.lit(0.0))))
+        gain = F.log10("share") - F.log10("lower") - F.col("failure")
+        states = arcs.join(failure, "prefix").select("key", "n", "share", gain.alias("gain"))
+    tables.append(table(rules.order, states, F.lit(0.0)))
+    whole = tables[0]
+    for more in tables[1:]:
+        whole = whole.unionByName(more)
+    whole = stored(whole, "states")
+    sent = whole.filter("frequent").select("key", "known", "base", "more").toArrow()
+    key = sent.column(0).to_numpy()
+    order = np.argsort(key)
+    sums = np.stack([sent.column(i).to_numpy().astype(float)[order] for i in (1, 2, 3)])
+    # A word that is not sent counts as unseen until it is joined.
+    beyond = F.when(F.col("known") == 1, F.lit(unseen)).otherwise(0.0)
+    rest = whole.filter("NOT frequent").select("key", "known", (F.col("base") - beyond).alias("base"), (F.col("more") - beyond).alias("more"))
+    return WholeAutomaton(total["n"], unseen, rules.order, key[order], sums, rest)
+
+
+def whole_scores(docs: DataFrame, model: WholeAutomaton, id_col: str = "doc_id", text_col: str = "text", carry: tuple = ()) -> DataFrame:
+    """The rows of ``scores`` by a model of all n-grams.
+
+    N-grams that are not sent travel, with the number of their row, to the part of the key space that has their state, and the
+    sums of those that are states travel back to the run of rows they came from.
+    """
+    spark = docs.sparkSession
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"), *carry)
+    parts = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    unseen, order = model.unseen, model.order
+    shared = spark.sparkContext.broadcast((model.sent, model.sums))
+    kinds = dict(rows.dtypes)
+    entry = pa.struct([("part", pa.int32()), ("keys", pa.binary()), ("places", pa.binary())])
+    schema = (f"row bigint, doc_id {kinds['doc_id']}, " + "".join(f"{c} {kinds[c]}, " for c in carry)
+              + "n_tokens bigint, known double, base double, more double, others array<struct<part: int, keys: binary, places: binary>>")
+
+    def read(batches):
+        sent, sums = shared.value
+        row = TaskContext.get().partitionId() << 40
+        for part in slices(batches):
+            tokens, first = tokens_of(text_bytes(part.column(1)))
+            lengths = np.diff(np.append(first, len(tokens)))
+            of_row = np.repeat(np.arange(len(first)), lengths)
+            keys, place = states_of(tokens, first, order)
+            found, others, owners = np.zeros((3, len(first))), [], []
+            for n, key in enumerate(keys, 1):
+                at = np.flatnonzero(place >= n - 1)
+                spot = lookup(sent, key[at].view(np.int64))
+                hit, miss = spot >= 0, at[spot < 0]
+                for i in range(3):
+                    found[i] += np.bincount(of_row[at[hit]], sums[i][spot[hit]], len(first))
+                if n == 1:
+                    late = np.bincount(of_row[miss], minlength=len(first)) * unseen
+                    found[1] += late
+                    found[2] += late
+                others.append(key[miss])
+                owners.append(of_row[miss].astype(np.int32))
+            others, owners = np.concatenate(others), np.concatenate(owners)
+            used, chunks = by_part(others, parts)
+            runs = pa.StructArray.from_arrays([pa.array(used, pa.int32()), binaries(others, chunks), binaries(owners, chunks)], fields=list(entry))
+            ends = np.full(len(first) + 1, len(used), np.int32)  # all of them lie in the run's first row
+            ends[0] = 0
+            numbers = np.arange(row, row + part.num_rows)
+            row += part.num_rows
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(numbers, pa.int64()), part.column(0), *part.columns[2:], pa.array(lengths, pa.int64()),
+                 *(pa.array(x) for x in found), pa.ListArray.from_arrays(pa.array(ends), runs)],
+                names=["row", "doc_id", *carry, "n_tokens", "known", "base", "more", "others"])
+
+    def looked_up(key, asked: pa.Table, states: pa.Table) -> pa.Table:
+        known = states.column("key").to_numpy()
+        rising = np.argsort(known)
+        known = known[rising]
+        values = [states.column(c).to_numpy().astype(float)[rising] for c in ("known", "base", "more")]
+        starts, owners, sums = [], [], [[], [], []]
+        for start, keys, places in zip(*(asked.column(c).to_pylist() for c in ("start", "keys", "places"))):
+            spot = lookup(known, np.frombuffer(keys, np.int64))
+            hit = spot >= 0
+            if not hit.any():
+                continue
+            places, own = np.unique(np.frombuffer(places, np.int32)[hit], return_inverse=True)
+            starts.append(start)
+            owners.append(places.tobytes())
+            for i in range(3):
+                sums[i].append(np.bincount(own, values[i][spot[hit]]).tobytes())
+        return pa.table([pa.array(starts, pa.int64()), *(pa.array(x, pa.binary()) for x in (owners, *sums))],
+                        names=["start", "places", "known", "base", "more"])
+
+    def added(batches):
+        total: dict[int, list] = {}
+        for b in batches:
+            for start, places, *sums in zip(*(c.to_pylist() for c in b.columns)):
+                places = np.frombuffer(places, np.int32)
+                have = total.get(start, np.zeros((3, 0)))
+                size = max(have.shape[1], int(places.max()) + 1)
+                have = np.pad(have, ((0, 0), (0, size - have.shape[1])))
+                for i in range(3):
+                    have[i, places] += np.frombuffer(sums[i], np.float64)
+                total[start] = have
+        for start, have in total.items():
+            yield pa.RecordBatch.from_arrays([pa.array(start + np.arange(have.shape[1]), pa.int64()), *(pa.array(x) for x in have)],
+                                             names=["row", "_known", "_base", "_more"])
+
+    # Stored, so the row numbers stay the same for both uses.
+    found = stored(rows.mapInArrow(read, schema), "scores")
+    asked = found.filter(F.size("others") > 0).select(F.col("row").alias("start"), F.inline("others"))
+    states = model.rest.withColumn("part", F.pmod("key", F.lit(parts)).cast("int"))
+    back = asked.groupBy("part").cogroup(states.groupBy("part")).applyInArrow(
+        looked_up, "start bigint, places binary, known binary, base binary, more binary")
+    late = back.repartition("start").mapInArrow(added, "row bigint, _known double, _base double, _more double")
+
+    def whole(name: str):
+        return F.col(name) + F.coalesce(f"_{name}", F.lit(0.0))
+
+    return found.drop("others").join(late, "row", "left").select(
+        "doc_id", *carry, "n_tokens", F.round(whole("known")).cast("long").alias("n_known"),
+        F.lit(model.tokens).cast("long").alias("train_tokens"), whole("base").alias("base_score"), whole("more").alias("score"))

@@ -389,6 +389,40 @@ def test_language_model_awkward(awkward, empty):
     assert lm.scores(empty, model, counts).count() == 0
 
 
+@pytest.mark.parametrize("shares", [(1e-7, 1e-6), (1e-3, 1e-3), (1.0, 1.0)])
+def test_language_model_counts_every_state(documents, shares):
+    """What is sent to the tasks changes no score: all n-grams with two occurrences are states, also rare ones."""
+    docs = documents.withColumn("held", F.col("doc_id") % 5 == 1)
+    whole, counts = lm.fit(docs.filter("NOT held"), rules=lm.LmRules(word_share=0.0, state_share=0.0))
+    want = {r["doc_id"]: r for r in lm.scores(docs, whole, counts, carry=("held",)).collect()}
+    model = lm.fit_whole(docs.filter("NOT held"), rules=lm.LmRules(word_share=shares[0], state_share=shares[1]))
+    rows = lm.whole_scores(docs, model, carry=("held",)).collect()
+    assert len(rows) == len(want) and (shares[0] == 1.0) == (len(model.sent) == 0)
+    for r in rows:
+        w = want[r["doc_id"]]
+        assert (r["held"], r["n_tokens"], r["n_known"], r["train_tokens"]) == (w["held"], w["n_tokens"], w["n_known"], w["train_tokens"])
+        assert r["base_score"] == pytest.approx(w["base_score"]) and r["score"] == pytest.approx(w["score"])
+
+
+def test_language_model_rare_state(spark):
+    """A pair of words that occurs twice is a state however long the training text is."""
+    docs = table(spark, [(1, "rare pair here", "en", "a"), (2, "a rare pair", "en", "a"), (3, prose(4_000, 9, 5), "en", "a"),
+                         (4, "pair rare", "en", "a")])
+    train = docs.filter("doc_id < 4")
+    rules = lm.LmRules(state_share=1e-3, word_share=1e-3)
+    rows = {r["doc_id"]: r for r in lm.whole_scores(docs, lm.fit_whole(train, rules=rules)).collect()}
+    assert rows[2]["score"] - rows[2]["base_score"] > 2 and rows[4]["score"] < rows[4]["base_score"] + 0.1
+
+
+def test_language_model_whole_awkward(awkward, empty):
+    rows = lm.whole_scores(awkward, lm.fit_whole(awkward)).collect()
+    assert len(rows) == len(AWKWARD)
+    assert all(r["n_tokens"] == 1 and r["score"] == pytest.approx(r["base_score"]) for r in rows if r["doc_id"] in (1, 2, 3))
+    rows = lm.whole_scores(awkward, lm.fit_whole(empty)).collect()
+    assert all(r["n_known"] == 0 and r["train_tokens"] == 0 and r["base_score"] == 0 for r in rows)
+    assert lm.whole_scores(empty, lm.fit_whole(awkward)).count() == 0
+
+
 # 7 personal data
 
 def test_base_spans():
