@@ -410,7 +410,8 @@ def rule_table_hits(spark, folder):
     """Text x rule-table join, kept to the classes that hit."""
     docs = table(spark, folder, "documents").withColumn("seq", F.col("doc_id"))
     hits = R.rule_hits(docs, "text", literals.rule_table(spark, lang=LANG_RULES))
-    return hits.select("doc_id", F.explode("hits").alias("h")).select("doc_id", "h.*")
+    # explode_outer: with explode, Spark would look for the hits twice, first to drop rows without any.
+    return hits.select("doc_id", F.explode_outer("hits").alias("h")).filter("h IS NOT NULL").select("doc_id", "h.*")
 
 
 @query(f"""WITH h AS (SELECT doc_id, {_HITS} FROM documents), u AS (UNPIVOT h ON en, de, fr, es INTO NAME class VALUE n),
