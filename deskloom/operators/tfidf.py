@@ -9,11 +9,14 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from deskloom.functions.text import drop_words, key_digest, ngrams, text_key, words
+from deskloom.functions.vocabulary import Vocabulary, counter, longer_totals, token_totals
 from deskloom.operators.skew import HEAVY_ROWS, heavy_keys, skew_join, top_n_per_group
 from deskloom.session import stored
 
 # Copies of one text an index keeps; searches may ask for pools up to this size.
 KEEP_COPIES = 30
+# Terms that are sent to every task at most, to count only these.
+SENT_TERMS = 1 << 18
 
 
 @dataclass(frozen=True)
@@ -26,9 +29,12 @@ class TfidfConfig:
     stop_words: Sequence[str] = ()
     max_terms: int | None = None
 
+    def tokens(self, text):
+        return drop_words(words(text, self.min_chars), self.stop_words)
+
     def terms(self, text):
         """Array of all n-grams of a text; stop words go before n-grams are formed."""
-        return ngrams(drop_words(words(text, self.min_chars), self.stop_words), self.low, self.high)
+        return ngrams(self.tokens(text), self.low, self.high)
 
 
 # Word 1- to 3-grams, capped vocabulary: features of the class model.
@@ -52,12 +58,17 @@ def text_digest(text):
     return key_digest(text_key(F.coalesce(text, F.lit(""))))
 
 
-def term_counts(docs: DataFrame, id_col: str, text_col: str, config: TfidfConfig, carry: Sequence[str] = ()) -> DataFrame:
+def term_counts(docs: DataFrame, id_col: str, text_col: str, config: TfidfConfig, carry: Sequence[str] = (),
+                known: Vocabulary | None = None) -> DataFrame:
     """(id, term, tf, carry..). The texts are spread by id before they are cut into n-grams, so the only shuffle moves
-    plain texts; counting per (id, term) then needs none."""
+    plain texts; counting per (id, term) then needs none. Of a ``known`` vocabulary only its terms are counted."""
     # With a number, the partitions stay apart: texts grow many times when they are cut into n-grams.
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("_text"), *carry).repartition(parts, "id")
+    if known is not None:
+        # explode_outer: the counts are not made twice, once to see whether there are any.
+        rows = texts.select("id", *carry, F.explode_outer(counter(known)(config.tokens(F.col("_text")))).alias("_t")).filter("_t IS NOT NULL")
+        return rows.groupBy("id", *carry, F.col("_t.term").alias("term")).agg(F.sum("_t.tf").alias("tf")).select("id", "term", "tf", *carry)
     exploded = texts.select("id", *carry, F.explode(config.terms(F.col("_text"))).alias("term"))
     return exploded.groupBy("id", *carry, "term").agg(F.count("*").alias("tf")).select("id", "term", "tf", *carry)
 
@@ -74,6 +85,50 @@ def vocabulary(frequencies: DataFrame, max_terms: int | None) -> DataFrame:
     return frequencies.orderBy(F.desc("total"), "term").limit(max_terms)
 
 
+def most_frequent(docs: DataFrame, text_col: str, config: TfidfConfig) -> Vocabulary | None:
+    """The ``max_terms`` terms of ``vocabulary``, without counting all n-grams. None where that would need too many candidates.
+
+    An n-gram occurs at most as often as its parts. So the least total among the ``max_terms`` most frequent shorter terms bounds
+    the longer ones that can be among them, and only n-grams of terms that reach it are counted.
+    """
+    if config.max_terms is None or config.low != 1:
+        return None
+    tokens = docs.select(config.tokens(F.col(text_col)).alias("tokens"))
+    singles = stored(tokens.mapInArrow(token_totals, "term string, n bigint").groupBy("term").agg(F.sum("n").alias("n")), "totals")
+    found: list[tuple[str, int]] = []
+    fresh = singles
+    for n in range(1, config.high + 1):
+        top = [r["n"] for r in fresh.orderBy(F.desc("n")).limit(config.max_terms).select("n").collect()]
+        totals = sorted([*top, *(x for _, x in found)], reverse=True)[:config.max_terms]
+        least = totals[-1] if len(totals) == config.max_terms else 1
+        rows = fresh.filter(F.col("n") >= least).limit(SENT_TERMS + 1).collect()
+        if len(rows) > SENT_TERMS:
+            return None
+        if n > 1:
+            rows = [(f"{states[r['code'] // size]} {words_[r['code'] % size]}", r["n"]) for r in rows]
+        fresh_terms = [t for t, _ in rows]
+        found = [(t, x) for t, x in [*found, *rows] if x >= least]
+        if n == 1:
+            words_, size = sorted(fresh_terms), max(len(fresh_terms), 1)
+        if n == config.high or not fresh_terms:
+            break
+        # Its tokens are numbered like ``words_``, its longest states by the order of their codes.
+        tree = Vocabulary.of([*words_, *(fresh_terms if n > 1 else [])])
+        states = words_ if n == 1 else spelled(tree)
+        counted = tokens.mapInArrow(longer_totals(tree), "code bigint, n bigint").groupBy("code").agg(F.sum("n").alias("n"))
+        fresh = stored(counted, "totals")
+    found.sort(key=lambda t: (-t[1], t[0].encode()))
+    return Vocabulary.of([t for t, _ in found[:config.max_terms]])
+
+
+def spelled(tree: Vocabulary) -> list[str]:
+    """The terms of a vocabulary's longest states."""
+    texts = tree.tokens
+    for codes in tree.codes:
+        texts = [f"{texts[c // len(tree.tokens)]} {tree.tokens[c % len(tree.tokens)]}" for c in codes.tolist()]
+    return texts
+
+
 def smooth_idf(n_docs, df):
     return F.log((1 + n_docs) / (1 + df)) + 1
 
@@ -85,6 +140,7 @@ class TfidfModel:
     terms: DataFrame
     config: TfidfConfig
     heavy_rows: int = HEAVY_ROWS
+    known: Vocabulary | None = None
 
     def weigh(self, tf: DataFrame) -> DataFrame:
         """Unit-length weights of counted terms; terms outside the vocabulary are dropped."""
@@ -96,16 +152,17 @@ class TfidfModel:
         return raw.select("id", "term", "df", (F.col("_w") / length).alias("weight"))
 
     def transform(self, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-        return self.weigh(term_counts(docs, id_col, text_col, self.config))
+        return self.weigh(term_counts(docs, id_col, text_col, self.config, known=self.known))
 
 
 def fit_tfidf(docs: DataFrame, id_col: str, text_col: str, config: TfidfConfig,
               tf: DataFrame | None = None) -> TfidfModel:
     """Vocabulary with idf; pass counted terms (``tf``) to avoid counting them again."""
-    tf = term_counts(docs, id_col, text_col, config) if tf is None else tf
+    known = most_frequent(docs, text_col, config) if tf is None else None
+    tf = term_counts(docs, id_col, text_col, config, known=known) if tf is None else tf
     n_docs = docs.agg(F.count("*")).scalar()
     kept = vocabulary(document_frequency(tf), config.max_terms)
-    return TfidfModel(kept.select("term", "df", smooth_idf(n_docs, F.col("df")).alias("idf")), config)
+    return TfidfModel(kept.select("term", "df", smooth_idf(n_docs, F.col("df")).alias("idf")), config, known=known)
 
 
 def tfidf(docs: DataFrame, id_col: str, text_col: str, config: TfidfConfig) -> DataFrame:

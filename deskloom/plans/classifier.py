@@ -14,8 +14,9 @@ from pyspark.sql import types as T
 from deskloom.functions.rules import RuleSet, first_largest, hit_counts, label_class, lookup
 from deskloom.functions.scores import normalise, ranked_classes
 from deskloom.functions.text import bind
+from deskloom.functions.vocabulary import Vocabulary
 from deskloom.operators.skew import heavy_keys, skew_join
-from deskloom.operators.tfidf import CLASSIFIER_TERMS, TfidfConfig, TfidfModel, fit_tfidf, term_counts
+from deskloom.operators.tfidf import CLASSIFIER_TERMS, TfidfConfig, TfidfModel, fit_tfidf, most_frequent, term_counts
 from deskloom.presets import taxonomy
 from deskloom.session import stored
 
@@ -134,11 +135,12 @@ class ClassModel:
         The length of a document's vector divides the sums at the end, so one grouping by id, which is how the term
         counts lie already, does everything.
         """
-        counted = term_counts(docs, id_col, text_col, self.config)
         table = self.terms.select("term", "df", "idf", "coefs")
         if self._small():
-            joined = counted.join(F.broadcast(table), "term")
+            known = Vocabulary.of(sorted({r["term"] for r in table.filter("term IS NOT NULL").select("term").collect()}))
+            joined = term_counts(docs, id_col, text_col, self.config, known=known).join(F.broadcast(table), "term")
         else:
+            counted = term_counts(docs, id_col, text_col, self.config)
             joined = skew_join(counted, table, "term", spread="id", heavy=heavy_keys(table, "term", rows=F.col("df")))
         raw = joined.withColumn("_w", (1 + F.log(F.col("tf").cast("double"))) * F.col("idf"))
         sums = [F.sum(F.col("_w") * F.get("coefs", F.lit(i))).alias(f"_s{i}") for i in range(len(self.classes))]
@@ -208,7 +210,8 @@ def fit_classifier(corpus: DataFrame, text_col: str, label_col: str, classes: Se
     classes = list(classes)
     if config.max_terms is None:
         raise ValueError("the class model needs a capped vocabulary")
-    tf = stored(term_counts(corpus, id_col, text_col, config), "tf")  # the texts are cut into n-grams once
+    known = most_frequent(corpus, text_col, config)
+    tf = stored(term_counts(corpus, id_col, text_col, config, known=known), "tf")
     kept = fit_tfidf(corpus, id_col, text_col, config, tf).terms
     terms = stored(kept.withColumn("index", F.row_number().over(Window.orderBy("term")) - 1), "class-terms")
     sizes = {r[label_col]: r["count"] for r in

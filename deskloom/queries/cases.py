@@ -431,8 +431,9 @@ _SCORED = f"""{sql.best_class('scores', LANGS, DEFAULT_LANG)} AS class, list_max
 
 
 def _lift_model(train) -> ClassModel:
-    terms = stored(fit_tfidf(train, "id", "customer_text", CLASSIFIER_TERMS).terms, "lift-terms")
-    tf = term_counts(train, "id", "customer_text", CLASSIFIER_TERMS, carry=("intent",))
+    fitted = fit_tfidf(train, "id", "customer_text", CLASSIFIER_TERMS)
+    terms = stored(fitted.terms, "lift-terms")
+    tf = term_counts(train, "id", "customer_text", CLASSIFIER_TERMS, carry=("intent",), known=fitted.known)
     by_class = tf.groupBy("term", "intent").agg(F.count("*").alias("dfc"))
     sizes = {r["intent"]: r["count"] for r in train.groupBy("intent").count().collect()}
     rows = sum(sizes.values())
