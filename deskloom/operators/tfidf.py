@@ -8,7 +8,9 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from deskloom.functions.text import drop_words, key_digest, ngrams, text_key, words
+from deskloom.functions.postings import (FREQUENCIES, LENGTHS, TERM_BLOCK, block_lengths, dealt_postings, summed_runs,
+                                         term_blocks, term_runs)
+from deskloom.functions.text import bind, drop_words, key_digest, ngrams, text_key, words
 from deskloom.functions.vocabulary import Vocabulary, counter, longer_totals, token_totals
 from deskloom.operators.skew import HEAVY_ROWS, heavy_keys, skew_join, top_n_per_group
 from deskloom.session import stored
@@ -17,6 +19,10 @@ from deskloom.session import stored
 KEEP_COPIES = 30
 # Terms that are sent to every task at most, to count only these.
 SENT_TERMS = 1 << 18
+# Documents in a block of an index at most, entries of a part of its terms, about, and documents, or blocks, in an Arrow batch.
+BLOCK_DOCS = 1024
+PART_TERMS = 1 << 20
+BATCH_DOCS, BATCH_BLOCKS = "128", "8"
 
 
 @dataclass(frozen=True)
@@ -73,6 +79,17 @@ def term_counts(docs: DataFrame, id_col: str, text_col: str, config: TfidfConfig
     return exploded.groupBy("id", *carry, "term").agg(F.count("*").alias("tf")).select("id", "term", "tf", *carry)
 
 
+def counted_terms(terms):
+    """Struct(terms, tfs) of an array of terms: equal ones lie side by side once it is sorted."""
+    def count(ordered):
+        starts = F.filter(F.sequence(F.lit(0), F.size(ordered) - 1), lambda i: (i == 0) | (F.get(ordered, i) != F.get(ordered, i - 1)))
+        return bind(F.when(F.size(ordered) > 0, starts).otherwise(F.array().cast("array<int>")), lambda at: F.struct(
+            F.transform(at, lambda i: F.get(ordered, i)).alias("terms"),
+            F.transform(at, lambda i, n: F.coalesce(F.get(at, n + 1), F.size(ordered)) - i).alias("tfs")))
+
+    return bind(F.sort_array(terms), count)
+
+
 def document_frequency(tf: DataFrame) -> DataFrame:
     """(term, df, total), combined before the shuffle."""
     return tf.groupBy("term").agg(F.count("*").alias("df"), F.sum("tf").alias("total"))
@@ -171,44 +188,97 @@ def tfidf(docs: DataFrame, id_col: str, text_col: str, config: TfidfConfig) -> D
     return fit_tfidf(docs, id_col, text_col, config, tf).weigh(tf)
 
 
+def of_vocabulary(counts: DataFrame, max_terms: int) -> DataFrame:
+    """(id, copies, terms, tfs) with the ``max_terms`` terms of ``vocabulary`` only."""
+    flat = counts.select("id", "copies", F.inline(F.arrays_zip("terms", "tfs"))).toDF("id", "copies", "term", "tf")
+    rows = flat.groupBy("id", "copies", "term").agg(F.sum("tf").cast("int").alias("tf"))
+    frequencies = rows.groupBy("term").agg(F.sum("copies").alias("df"), F.sum(F.col("tf") * F.col("copies")).alias("total"))
+    kept = stored(vocabulary(frequencies, max_terms).select("term"), "vocabulary")
+    own = rows.join(kept, "term", "left_semi").groupBy("id", "copies").agg(F.collect_list(F.struct("term", "tf")).alias("_t"))
+    return own.select("id", "copies", F.col("_t.term").alias("terms"), F.col("_t.tf").alias("tfs"))
+
+
+def lists_per_id(counts: DataFrame, repeated: DataFrame) -> DataFrame:
+    """(id, terms, tfs, copies), one row per id, from (id, copies, terms, tfs). Texts that share an id, or have none, are one document:
+    its ``copies`` has a number for each term, that of others one for all terms."""
+    again = counts["id"].eqNullSafe(repeated["id"])
+    flat = counts.join(repeated, again, "left_semi").select("id", "copies", F.inline(F.arrays_zip("terms", "tfs")))
+    terms = flat.toDF("id", "copies", "term", "tf").groupBy("id", "copies", "term").agg(F.sum("tf").cast("int").alias("tf"))
+    merged = terms.groupBy("id").agg(F.collect_list(F.struct("term", "tf", "copies")).alias("_t")).select(
+        "id", F.col("_t.term").alias("terms"), F.col("_t.tf").alias("tfs"), F.col("_t.copies").alias("copies"))
+    plain = counts.join(repeated, again, "left_anti").select("id", "terms", "tfs", F.array("copies").alias("copies"))
+    return plain.unionByName(merged)
+
+
 @dataclass
 class TfidfIndex:
     """Stored search tables, built once and searched by many message batches.
 
-    Copies of a text are indexed once, under their lowest document id. ``weights`` holds (id, term, df, weight), ``df``
-    counting all copies; ``members`` holds (id, copy) with the ``keep`` lowest document ids per text: of equally scored
-    copies no others can be among the ``keep`` best.
+    Copies of a text are indexed once, under their lowest document id. Documents lie in ``blocks`` (see ``functions.postings``) with
+    posting lists of their own; ``lengths`` has the lengths of their vectors, block by block; the model's ``terms`` count all
+    copies. Terms leave their block once, in sorted runs, to be counted, and only the counts come back. ``members`` holds (id, copy)
+    with the ``keep`` lowest document ids per text: of equally scored copies no others can be among the ``keep`` best.
     """
 
     model: TfidfModel
-    weights: DataFrame
+    blocks: DataFrame
+    lengths: DataFrame
     members: DataFrame
     keep: int = KEEP_COPIES
 
+    TABLES = ("blocks", "lengths", "members")
+
     @classmethod
     def build(cls, docs: DataFrame, id_col: str, text_col: str, config: TfidfConfig,
               heavy_rows: int = HEAVY_ROWS, keep: int = KEEP_COPIES) -> "TfidfIndex":
         lowered = F.lower(F.coalesce(F.col(text_col), F.lit("")))
         keyed = docs.select(F.col(id_col).alias("id"), text_digest(F.col(text_col)).alias("key"), lowered.alias("_text"))
-        texts = keyed.groupBy("key").agg(F.min("id").alias("id"), F.first("_text").alias("_text"),
-                                         F.count("*").alias("copies"))
-        tf = stored(term_counts(texts, "id", "_text", config, carry=("copies",)), "tf")
-        frequencies = tf.groupBy("term").agg(F.sum("copies").alias("df"), F.sum(F.col("tf") * F.col("copies")).alias("total"))
-        n_docs = docs.agg(F.count("*")).scalar()
-        terms = vocabulary(frequencies, config.max_terms).select("term", "df", smooth_idf(n_docs, F.col("df")).alias("idf"))
-        model = TfidfModel(stored(terms, "terms"), config, heavy_rows)
-        lowest = top_n_per_group(keyed.select("key", "id"), ["key"], [F.col("id")], keep, spread="id")
+        keys = stored(keyed.select("key", "id"), "keys")
+        texts = keyed.groupBy("key").agg(F.min("id").alias("id"), F.first("_text").alias("_text"), F.count("*").alias("copies"))
+        counted = texts.select("id", "copies", counted_terms(config.terms(F.col("_text"))).alias("_c"))
+        counts = counted.select("id", "copies", "_c.terms", "_c.tfs").filter(F.size("terms") > 0)
+        if config.max_terms is not None:
+            counts = of_vocabulary(stored(counts, "counts", "zstd"), config.max_terms)
+        firsts = keys.groupBy("key").agg(F.min("id").alias("id")).groupBy("id").agg(F.count("*").alias("n"))
+        repeated = stored(firsts.filter("n > 1").select("id"), "repeated")
+        if repeated.isEmpty():
+            vectors = counts.withColumn("copies", F.array("copies"))
+        else:
+            vectors = lists_per_id(stored(counts, "counts", "zstd"), repeated)
+        n_docs = keys.count()
+        blocks, frequencies, lengths = cls._weighed(vectors, n_docs)
+        terms = frequencies.filter("block IS NULL").select(F.inline(F.arrays_zip("terms", "df"))).toDF("term", "df")
+        model = TfidfModel(terms.select("term", "df", smooth_idf(F.lit(n_docs), F.col("df")).alias("idf")), config, heavy_rows)
+        lowest = top_n_per_group(keys, ["key"], [F.col("id")], keep, spread="id")
         members = lowest.select(F.min("id").over(Window.partitionBy("key")).alias("id"), F.col("id").alias("copy"))
-        return cls(model, stored(model.weigh(tf.drop("copies")), "weights"), stored(members, "members"), keep)
+        return cls(model, blocks, lengths, stored(members, "members"), keep)
+
+    @staticmethod
+    def _weighed(vectors: DataFrame, n_docs: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+        """The blocks of (id, terms, tfs, copies), the frequencies of their terms, and the lengths of their documents."""
+        spark = vectors.sparkSession
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_DOCS)
+        schema = TERM_BLOCK.format(kind=dict(vectors.dtypes)["id"])
+        blocks = stored(vectors.select("id", "terms", "tfs", "copies").mapInArrow(term_blocks(BLOCK_DOCS), schema), "blocks", "zstd")
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_BLOCKS)
+        entries = blocks.agg(F.sum(F.size("sizes"))).first()[0] or 0
+        parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-entries // PART_TERMS))
+        runs = blocks.select("block", "terms", "dfs").mapInArrow(term_runs(parts), "part int, block bigint, terms binary, dfs binary")
+        frequencies = stored(runs.groupBy("part").applyInArrow(summed_runs, FREQUENCIES), "frequencies", "zstd")
+        dealt = blocks.select("block", F.size("ids").alias("n"), "terms", "sizes", "places", "tfs").mapInArrow(
+            dealt_postings(parts), "block bigint, n int, sizes binary, places binary, tfs binary")
+        back = frequencies.filter("block IS NOT NULL").select("block", "part", "dfs")
+        lengths = dealt.groupBy("block").cogroup(back.groupBy("block")).applyInArrow(block_lengths(n_docs), LENGTHS)
+        return blocks, frequencies, stored(lengths, "lengths")
 
     def save(self, path: str) -> None:
-        self.model.terms.write.parquet(f"{path}/terms")
-        self.weights.write.parquet(f"{path}/weights")
-        self.members.write.parquet(f"{path}/members")
+        self.model.terms.write.parquet(f"{path}/terms", compression="zstd")
+        for name in self.TABLES:
+            getattr(self, name).write.parquet(f"{path}/{name}", compression="zstd")
         self.members.sparkSession.range(1).select(F.lit(self.keep).alias("keep")).write.parquet(f"{path}/settings")
 
     @classmethod
     def load(cls, spark: SparkSession, path: str, config: TfidfConfig) -> "TfidfIndex":
         """A saved index; how many copies per text it holds was saved with it, so a larger pool is refused."""
-        return cls(TfidfModel(spark.read.parquet(f"{path}/terms"), config), spark.read.parquet(f"{path}/weights"),
-                   spark.read.parquet(f"{path}/members"), spark.read.parquet(f"{path}/settings").first()["keep"])
+        return cls(TfidfModel(spark.read.parquet(f"{path}/terms"), config), *(spark.read.parquet(f"{path}/{n}") for n in cls.TABLES),
+                   spark.read.parquet(f"{path}/settings").first()["keep"])

@@ -175,3 +175,46 @@ def test_a_saved_index_keeps_its_limit(spark, tmp_path):
     asked = spark.createDataFrame([("q", "same words")], "query_id string, text string")
     with pytest.raises(ValueError):
         search(asked, again, "query_id", "text", 10)
+
+
+def test_scores_are_added_up_inside_blocks(spark, monkeypatch):
+    """Many blocks and parts, few queries a round: the frequencies and lengths are those of the whole corpus, and a block hands on
+    its best documents only."""
+    from deskloom.operators import retrieval, tfidf
+
+    for name, value in (("BLOCK_DOCS", 7), ("PART_TERMS", 16), ("BATCH_DOCS", "3"), ("BATCH_BLOCKS", "2")):
+        monkeypatch.setattr(tfidf, name, value)
+    monkeypatch.setattr(retrieval, "QUERIES", 4)
+    monkeypatch.setattr(retrieval, "BATCH_BLOCKS", "2")
+    rng = random.Random(5)
+    words = [f"w{i}" for i in range(40)] + ["straße", "中文"]
+    docs = [" ".join(rng.choices(words, [1 / (i + 1) for i in range(42)], k=rng.randint(1, 9))) for _ in range(90)] + ["w0 w1"] * 20
+    queries = ["w0 w1", "w0", "straße w3", "中文", "w39 w2 w2", "unknown", "w5 w0", "w7 w8 w9"]
+    frame = spark.createDataFrame(list(enumerate(docs)), "id int, t string")
+    asked = spark.createDataFrame([*enumerate(queries), (None, "w0 w1")], "id int, t string")
+    index = TfidfIndex.build(frame, "id", "t", TfidfConfig())
+    assert index.blocks.count() > 5 and index.blocks.selectExpr("max(size(ids))").first()[0] <= 7
+    found = search(asked, index, "id", "t", 6, depth=2).collect()
+    want = brute_force(queries, docs)
+    for i in [*range(len(queries)), None]:
+        got = [(r["doc"], round(r["score"], 7)) for r in sorted((r for r in found if r["query"] == i), key=lambda r: r["rank"])]
+        assert got == [(j, round(s, 7)) for j, s in want[i or 0][:6]]
+
+
+def test_texts_of_one_id_are_one_document(spark):
+    frame = spark.createDataFrame([(1, "a b"), (1, "b c"), (2, "a c d"), (3, "d")], "id int, t string")
+    index = TfidfIndex.build(frame, "id", "t", TfidfConfig())
+    assert {r["term"]: r["df"] for r in index.model.terms.collect()} == {"a": 2, "b": 1, "c": 2, "d": 2}
+    asked = spark.createDataFrame([(7, "b")], "id int, t string")
+    idf = {t: math.log(5 / (1 + n)) + 1 for t, n in (("a", 2), ("b", 1), ("c", 2))}
+    raw = [idf["a"], (1 + math.log(2)) * idf["b"], idf["c"]]
+    score = round(raw[1] / math.sqrt(sum(x * x for x in raw)), 9)
+    assert {(r["doc"], r["score"]) for r in search(asked, index, "id", "t", 3).collect()} == {(1, score)}
+
+
+def test_an_index_of_the_most_frequent_terms(spark):
+    frame = spark.createDataFrame([(1, "a b b"), (2, "a c"), (3, "a b"), (4, "d")], "id int, t string")
+    index = TfidfIndex.build(frame, "id", "t", TfidfConfig(max_terms=2))
+    assert {r["term"]: r["df"] for r in index.model.terms.collect()} == {"a": 3, "b": 2}
+    asked = spark.createDataFrame([(7, "c d a")], "id int, t string")
+    assert [r["doc"] for r in search(asked, index, "id", "t", 3).orderBy("rank").collect()] == [2, 3, 1]
