@@ -13,7 +13,7 @@ from deskloom.functions.postings import (FREQUENCIES, LENGTHS, TERM_BLOCK, block
 from deskloom.functions.text import bind, drop_words, key_digest, ngrams, text_key, words
 from deskloom.functions.vocabulary import Vocabulary, counter, longer_totals, token_totals
 from deskloom.operators.skew import HEAVY_ROWS, heavy_keys, skew_join, top_n_per_group
-from deskloom.session import stored
+from deskloom.session import arrow_batches, stored
 
 # Copies of one text an index keeps; searches may ask for pools up to this size.
 KEEP_COPIES = 30
@@ -257,19 +257,19 @@ class TfidfIndex:
     def _weighed(vectors: DataFrame, n_docs: int) -> tuple[DataFrame, DataFrame, DataFrame]:
         """The blocks of (id, terms, tfs, copies), the frequencies of their terms, and the lengths of their documents."""
         spark = vectors.sparkSession
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_DOCS)
         schema = TERM_BLOCK.format(kind=dict(vectors.dtypes)["id"])
-        blocks = stored(vectors.select("id", "terms", "tfs", "copies").mapInArrow(term_blocks(BLOCK_DOCS), schema), "blocks", "zstd")
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_BLOCKS)
+        with arrow_batches(spark, BATCH_DOCS):
+            blocks = stored(vectors.select("id", "terms", "tfs", "copies").mapInArrow(term_blocks(BLOCK_DOCS), schema), "blocks", "zstd")
         entries = blocks.agg(F.sum(F.size("sizes"))).first()[0] or 0
         parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-entries // PART_TERMS))
-        runs = blocks.select("block", "terms", "dfs").mapInArrow(term_runs(parts), "part int, block bigint, terms binary, dfs binary")
-        frequencies = stored(runs.groupBy("part").applyInArrow(summed_runs, FREQUENCIES), "frequencies", "zstd")
-        dealt = blocks.select("block", F.size("ids").alias("n"), "terms", "sizes", "places", "tfs").mapInArrow(
-            dealt_postings(parts), "block bigint, n int, sizes binary, places binary, tfs binary")
-        back = frequencies.filter("block IS NOT NULL").select("block", "part", "dfs")
-        lengths = dealt.groupBy("block").cogroup(back.groupBy("block")).applyInArrow(block_lengths(n_docs), LENGTHS)
-        return blocks, frequencies, stored(lengths, "lengths")
+        with arrow_batches(spark, BATCH_BLOCKS):
+            runs = blocks.select("block", "terms", "dfs").mapInArrow(term_runs(parts), "part int, block bigint, terms binary, dfs binary")
+            frequencies = stored(runs.groupBy("part").applyInArrow(summed_runs, FREQUENCIES), "frequencies", "zstd")
+            dealt = blocks.select("block", F.size("ids").alias("n"), "terms", "sizes", "places", "tfs").mapInArrow(
+                dealt_postings(parts), "block bigint, n int, sizes binary, places binary, tfs binary")
+            back = frequencies.filter("block IS NOT NULL").select("block", "part", "dfs")
+            lengths = dealt.groupBy("block").cogroup(back.groupBy("block")).applyInArrow(block_lengths(n_docs), LENGTHS)
+            return blocks, frequencies, stored(lengths, "lengths")
 
     def save(self, path: str) -> None:
         self.model.terms.write.parquet(f"{path}/terms", compression="zstd")
