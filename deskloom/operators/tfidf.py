@@ -13,16 +13,16 @@ from deskloom.functions.postings import (FREQUENCIES, LENGTHS, TERM_BLOCK, block
 from deskloom.functions.text import bind, drop_words, key_digest, ngrams, text_key, words
 from deskloom.functions.vocabulary import Vocabulary, counter, longer_totals, token_totals
 from deskloom.operators.skew import HEAVY_ROWS, heavy_keys, skew_join, top_n_per_group
-from deskloom.session import arrow_batches, stored
+from deskloom.session import row_batches, stored
 
 # Copies of one text an index keeps; searches may ask for pools up to this size.
 KEEP_COPIES = 30
 # Terms that are sent to every task at most, to count only these.
 SENT_TERMS = 1 << 18
 # Documents in a block of an index at most, entries of a part of its terms, about, and documents, or blocks, in an Arrow batch.
-BLOCK_DOCS = 1024
+BLOCK_DOCS = 512
 PART_TERMS = 1 << 20
-BATCH_DOCS, BATCH_BLOCKS = "128", "8"
+BATCH_DOCS, BATCH_BLOCKS = "128", "2"
 
 
 @dataclass(frozen=True)
@@ -258,11 +258,11 @@ class TfidfIndex:
         """The blocks of (id, terms, tfs, copies), the frequencies of their terms, and the lengths of their documents."""
         spark = vectors.sparkSession
         schema = TERM_BLOCK.format(kind=dict(vectors.dtypes)["id"])
-        with arrow_batches(spark, BATCH_DOCS):
+        with row_batches(spark, BATCH_DOCS):
             blocks = stored(vectors.select("id", "terms", "tfs", "copies").mapInArrow(term_blocks(BLOCK_DOCS), schema), "blocks", "zstd")
-        entries = blocks.agg(F.sum(F.size("sizes"))).first()[0] or 0
-        parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-entries // PART_TERMS))
-        with arrow_batches(spark, BATCH_BLOCKS):
+        with row_batches(spark, BATCH_BLOCKS):
+            entries = blocks.agg(F.sum(F.size("sizes"))).first()[0] or 0
+            parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-entries // PART_TERMS))
             runs = blocks.select("block", "terms", "dfs").mapInArrow(term_runs(parts), "part int, block bigint, terms binary, dfs binary")
             frequencies = stored(runs.groupBy("part").applyInArrow(summed_runs, FREQUENCIES), "frequencies", "zstd")
             dealt = blocks.select("block", F.size("ids").alias("n"), "terms", "sizes", "places", "tfs").mapInArrow(
@@ -272,8 +272,10 @@ class TfidfIndex:
             return blocks, frequencies, stored(lengths, "lengths")
 
     def save(self, path: str) -> None:
-        self.model.terms.write.parquet(f"{path}/terms", compression="zstd")
-        for name in self.TABLES:
+        with row_batches(self.blocks.sparkSession, BATCH_BLOCKS):
+            self.model.terms.write.parquet(f"{path}/terms", compression="zstd")
+            self.blocks.write.parquet(f"{path}/blocks", compression="zstd")
+        for name in ("lengths", "members"):
             getattr(self, name).write.parquet(f"{path}/{name}", compression="zstd")
         self.members.sparkSession.range(1).select(F.lit(self.keep).alias("keep")).write.parquet(f"{path}/settings")
 
