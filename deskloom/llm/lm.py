@@ -9,6 +9,9 @@ lead to; states with at least a fixed share of all training tokens are sent to t
 others stay in a table that is joined, so all of them count exactly.
 
 ``fit`` gives a model of bounded size instead: the automaton of the n-grams that reach the share, with arcs to walk along.
+
+``learned_scores`` learns from some rows of a table and scores all of them, by the model of ``fit_whole``. Texts stay in blocks: a
+block asks the parts of the key space for the counts of its distinct n-grams, and the answers carry no keys.
 """
 
 import sys
@@ -17,11 +20,11 @@ from dataclasses import dataclass, field
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext, cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from deskloom.llm.words import lower_ascii, mix, slices, text_bytes, word_hashes
-from deskloom.session import stored
+from deskloom.session import stored, without_shuffle_files
 
 # Executors need not have this package: its functions travel with the tasks.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -537,3 +540,277 @@ def whole_scores(docs: DataFrame, model: WholeAutomaton, id_col: str = "doc_id",
     return found.drop("others").join(late, "row", "left").select(
         "doc_id", *carry, "n_tokens", F.round(whole("known")).cast("long").alias("n_known"),
         F.lit(model.tokens).cast("long").alias("train_tokens"), whole("base").alias("base_score"), whole("more").alias("score"))
+
+
+# ---- learning and scoring in one table ----
+
+BLOCK = 1 << 20  # tokens of a block, and tokens whose n-grams a part of the key space has on average
+
+
+def pack(numbers: np.ndarray) -> bytes:
+    """64-bit numbers, byte by byte: the high bytes of small ones compress to nothing."""
+    planes = np.ascontiguousarray(numbers.view(np.uint8).reshape(-1, 8).T)
+    return len(numbers).to_bytes(4, "little") + pa.Codec("zstd").compress(planes, asbytes=True)
+
+
+def unpack(data: bytes) -> np.ndarray:
+    count = int.from_bytes(data[:4], "little")
+    planes = np.frombuffer(pa.Codec("zstd").decompress(data[4:], 8 * count, asbytes=True), np.uint8)
+    return np.ascontiguousarray(planes.reshape(8, count).T).view(np.int64).ravel()
+
+
+def pack_keys(keys: np.ndarray) -> bytes:
+    """Keys in rising order, as steps."""
+    return pack(np.diff(keys, prepend=np.uint64(0)))
+
+
+def unpack_keys(data: bytes) -> np.ndarray:
+    return np.cumsum(unpack(data).view(np.uint64))
+
+
+def distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(distinct keys in rising order, where each is, the number of every key among them)."""
+    order = np.argsort(keys)
+    new = np.append(True, keys[order[1:]] != keys[order[:-1]])[:len(keys)]
+    numbers = np.empty(len(keys), np.int64)
+    numbers[order] = np.cumsum(new) - 1
+    at = order[new]
+    return keys[at], at, numbers
+
+
+def block_tables(docs: DataFrame) -> DataFrame:
+    """Rows (item, text, learns) in blocks of about ``BLOCK`` tokens, or of one longer text."""
+    def read(batches):
+        block = TaskContext.get().partitionId() << 32
+        items, hashes, sizes, learns = [], [], [], []
+
+        def made():
+            nonlocal block
+            words, _, spots = distinct(np.concatenate(hashes))
+            lengths, learn = np.concatenate(sizes), np.concatenate(learns)
+            item = pa.concat_arrays(items)
+            block += 1
+            return pa.RecordBatch.from_arrays(
+                [pa.array([block - 1], pa.int64()), pa.ListArray.from_arrays(pa.array([0, len(item)], pa.int32()), item),
+                 pa.array([pack_keys(words)], pa.binary()),
+                 *(pa.array([pack(x.astype(np.int64, copy=False))], pa.binary()) for x in (spots, lengths, learn)),
+                 pa.array([len(spots)], pa.int64()), pa.array([int(lengths[learn].sum())], pa.int64())],
+                names=["block", "items", "words", "spots", "lengths", "learn", "size", "trained"])
+
+        for part in slices(batches):
+            tokens, first = tokens_of(text_bytes(part.column(1)))
+            items.append(part.column(0))
+            hashes.append(tokens)
+            sizes.append(np.diff(np.append(first, len(tokens))))
+            learns.append(part.column(2).to_numpy(zero_copy_only=False).astype(bool))
+            if sum(map(len, hashes)) >= BLOCK:
+                yield made()
+                items, hashes, sizes, learns = [], [], [], []
+        if items:
+            yield made()
+
+    kind = docs.schema["item"].dataType.simpleString()
+    return docs.mapInArrow(read, f"block bigint, items array<{kind}>, words binary, spots binary, lengths binary, learn binary, "
+                                 "size bigint, trained bigint")
+
+
+class Block:
+    """The n-grams of a block, as far as it was told their counts.
+
+    ``keys[n]``: its distinct n-grams in rising order; ``spots[n]``: the number of the one that ends at each token, or -1;
+    ``at[n]``: a token at which each ends; ``counts[n]``, ``own[n]``: their counts, 0 for no state, and whether this block, of all
+    that have it, adds it to the sums of its history; ``sums[n]``: (count, number, count without their first word) of all states
+    that continue each.
+    """
+
+    def __init__(self, row: dict, answers: dict[int, np.ndarray], order: int):
+        words, self.spots = unpack_keys(row["words"]), {1: unpack(row["spots"])}
+        self.lengths = unpack(row["lengths"])
+        self.learn = np.repeat(unpack(row["learn"]), self.lengths)
+        self.first = np.cumsum(self.lengths) - self.lengths
+        self.place = np.arange(len(self.learn)) - np.repeat(self.first, self.lengths)
+        self.keys, self.at, self.counts, self.own, self.sums = {1: words}, {}, {}, {}, {}
+        self.tell(1, answers)
+        for n in range(2, order + 1):
+            if n > 2 and n - 1 not in self.counts:
+                break
+            self.find(n)
+            self.tell(n, answers)
+        for n in range(1, order):
+            if -n in answers:
+                self.sums[n] = np.zeros((3, len(self.keys[n])), np.int64)
+                self.sums[n][:, self.continued(n)] = answers[-n]
+
+    def tell(self, n: int, answers: dict[int, np.ndarray]) -> None:
+        if n in answers:
+            self.counts[n], self.own[n] = answers[n][0] >> 1, (answers[n][0] & 1) == 1
+
+    def find(self, n: int) -> None:
+        """N-grams can only be states if those without their first and without their last word are."""
+        keys, spots = self.keys[n - 1], self.spots[n - 1]
+        ends = np.flatnonzero(self.place >= n - 1)
+        if n > 2:
+            state = spots >= 0
+            state[state] = self.counts[n - 1][spots[state]] > 0
+            ends = ends[state[ends - 1] & state[ends]]
+        self.keys[n], at, numbers = distinct(gram_key(keys[spots[ends - 1]], keys[spots[ends]]))
+        self.at[n] = ends[at]
+        self.spots[n] = np.full(len(spots), -1)
+        self.spots[n][ends] = numbers
+
+    def continued(self, n: int) -> np.ndarray:
+        """Numbers of the states that a token follows somewhere in the block."""
+        spots = self.spots[n][np.flatnonzero(self.place >= 1) - 1]
+        followed = np.zeros(len(self.keys[n]), bool)
+        followed[spots[spots >= 0]] = True
+        return np.flatnonzero(followed & (self.counts[n] > 0))
+
+    def learned(self, n: int) -> tuple[np.ndarray, np.ndarray]:
+        """(distinct n-grams, their occurrences in training texts)."""
+        spots = self.spots[n]
+        return self.keys[n], np.bincount(spots[spots >= 0], self.learn[spots >= 0], len(self.keys[n])).astype(np.int64)[None]
+
+    def continuing(self, n: int) -> tuple[np.ndarray, np.ndarray]:
+        """(states, what the states that continue them and are this block's own add to their sums)."""
+        own = np.flatnonzero(self.own[n + 1] & (self.counts[n + 1] > 0))
+        history, inner = (self.spots[n][self.at[n + 1][own] - back] for back in (1, 0))
+        added = [np.bincount(history, x, len(self.keys[n])) for x in (self.counts[n + 1][own], np.ones(len(own)), self.counts[n][inner])]
+        kept = self.continued(n)
+        return self.keys[n][kept], np.stack(added)[:, kept].astype(np.int64)
+
+    def failures(self, n: int, discount: float, unit: float) -> np.ndarray:
+        """log10 weights of the failure arcs that leave the n-grams, 0 where no state continues them."""
+        count, number, inner = self.sums[n]
+        some = number > 0
+        kept = (count[some] - discount * number[some]) / self.counts[n][some]
+        if n == 1:
+            below = (inner[some] + 0.5 * number[some]) / unit
+        else:
+            below = (inner[some] - discount * number[some]) / self.counts[n - 1][self.spots[n - 1][self.at[n][some]]]
+        result = np.zeros(len(some))
+        result[some] = np.log10(np.maximum((1 - kept) / np.maximum(1 - below, 1e-12), 1e-12))
+        return result
+
+    def scores(self, discount: float, unit: float) -> list[np.ndarray]:
+        """For each text: known tokens, base score, score."""
+        share = (self.counts[1] + 0.5) / unit
+        base = np.log10(share)[self.spots[1]]
+        score, failure = base, np.zeros(len(share))
+        for n in sorted(self.counts):
+            if n > 1:
+                state = np.flatnonzero(self.counts[n] > 0)
+                history, inner = (self.spots[n - 1][self.at[n][state] - back] for back in (1, 0))
+                lower, gain = share[inner], np.zeros(len(self.keys[n]))
+                share = np.zeros(len(self.keys[n]))
+                share[state] = (self.counts[n][state] - discount) / self.counts[n - 1][history]
+                gain[state] = np.log10(share[state]) - np.log10(lower) - failure[history]
+                failure = np.zeros(len(gain))
+            else:
+                gain = np.zeros(len(share))
+            if n in self.sums:
+                failure = self.failures(n, discount, unit)
+            spots = self.spots[n]
+            score = score + np.where(spots >= 0, np.append(gain + failure, 0.0)[spots], 0.0)
+        return [np.add.reduceat(x, self.first) for x in ((self.counts[1] > 0)[self.spots[1]].astype(np.int64), base, score)]
+
+
+def questions(keys: np.ndarray, values: np.ndarray, n: int, parts: int) -> list[dict]:
+    """Rows for the parts of the key space, which are ranges of it."""
+    part = ((keys >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
+    edges = np.searchsorted(part, np.arange(parts + 1))
+    return [{"n": n, "part": p, "keys": pack_keys(keys[a:b]), "numbers": pack(values[:, a:b].ravel())}
+            for p, (a, b) in enumerate(zip(edges[:-1], edges[1:])) if a < b]
+
+
+def learned_scores(docs: DataFrame, learns: Column, id_col: str = "doc_id", text_col: str = "text", carry: tuple = (),
+                   rules: LmRules = LmRules()) -> DataFrame:
+    """The rows of ``scores`` for all ``docs``, by the automaton of all n-grams of those rows where ``learns`` holds.
+
+    Every block sends its distinct n-grams with their counts to the parts of the key space, where they are summed up, and gets the
+    sums back in the order it asked. An n-gram is sent only if its shorter ones are states. One of the blocks that have a state
+    adds it to the sums of its history, which the failure arcs are made from, in the next round.
+    """
+    spark = docs.sparkSession
+    item = F.struct(F.col(id_col).alias("doc_id"), *(F.col(c) for c in carry)).alias("item")
+    rows = docs.select(item, F.col(text_col).cast("string").alias("text"), F.coalesce(learns, F.lit(False)).alias("learns"))
+    fields = rows.schema["item"].dataType.fields
+    order, least, discount = rules.order, rules.min_count, rules.discount
+    columns = ["words", "spots", "lengths", "learn"]
+    blocks = stored(block_tables(rows), "blocks")
+    size, tokens = (int(x or 0) for x in blocks.agg(F.sum("size"), F.sum("trained")).first())
+    parts = max(4 * int(spark.conf.get("spark.sql.shuffle.partitions")), size // BLOCK)
+
+    def told_by(answers: pa.Table) -> dict[int, np.ndarray]:
+        found = sorted(zip(*(answers.column(c).to_pylist() for c in ("n", "part", "numbers"))), key=lambda r: r[:2])
+        told: dict[int, list] = {kind: [np.zeros((1 if kind > 0 else 3, 0), np.int64)] for kind in range(1 - order, order + 1)}
+        for kind, _, numbers in found:
+            told[kind].append(unpack(numbers).reshape(1 if kind > 0 else 3, -1))
+        return {kind: np.concatenate(pieces, axis=1) for kind, pieces in told.items()}
+
+    def asked(row: dict, answers: pa.Table | None, turn: int) -> pa.Table:
+        told = told_by(answers) if turn > 1 else {}
+        block = Block(row, {n: told[n] for n in range(1, turn + 1) if n in told}, min(turn + 1, order))
+        found = []
+        for n in ([1, 2] if turn == 1 else [turn + 1]):
+            if n <= order:
+                found += questions(*block.learned(n), n, parts)
+        if turn > 1:
+            found += questions(*block.continuing(turn - 1), 1 - turn, parts)
+        return pa.Table.from_pylist([{"block": row["block"]} | r for r in found], schema=pa.schema(
+            [("block", pa.int64()), ("n", pa.int32()), ("part", pa.int32()), ("keys", pa.binary()), ("numbers", pa.binary())]))
+
+    def added_up(table: pa.Table) -> pa.Table:
+        table = table.sort_by("block")
+        n = table.column("n")[0].as_py()
+        keys = [unpack_keys(k) for k in table.column("keys").to_pylist()]
+        values = np.concatenate([unpack(v).reshape(-1, len(k)) for k, v in zip(keys, table.column("numbers").to_pylist())], axis=1)
+        edges, keys = np.cumsum([len(k) for k in keys]), np.concatenate(keys)
+        rising = np.argsort(keys, kind="stable")
+        new = np.append(True, keys[rising][1:] != keys[rising][:-1])
+        sums = np.add.reduceat(values[:, rising], np.flatnonzero(new), axis=1)[:, np.cumsum(new) - 1]
+        fresh = 0
+        if n > 0:  # the first block that asked has the state as its own
+            state = sums >= (1 if n == 1 else least)
+            sums = np.where(state, 2 * sums + new, 0)
+            fresh = int((state & new).sum())
+        back = np.empty_like(sums)
+        back[:, rising] = sums
+        numbers = [pack(np.ascontiguousarray(b).ravel()) for b in np.split(back, edges[:-1], axis=1)]
+        fresh = [fresh] + [0] * (len(numbers) - 1)
+        return pa.table([table.column("block"), table.column("n"), table.column("part"), pa.array(numbers, pa.binary()),
+                         pa.array(fresh, pa.int64())], names=["block", "n", "part", "numbers", "fresh"])
+
+    question = "block bigint, n int, part int, keys binary, numbers binary"
+    told = None
+    for turn in range(1, order + 1):
+        if turn == 1:
+            def first_asked(batches):
+                for b in batches:
+                    for i in range(b.num_rows):
+                        yield from asked(b.slice(i, 1).to_pylist()[0], None, 1).to_batches()
+
+            sent = blocks.select("block", *columns).mapInArrow(first_asked, question)
+        else:
+            def next_asked(row: pa.Table, answers: pa.Table) -> pa.Table:
+                return asked(row.to_pylist()[0], answers, turn)
+
+            sent = (blocks.select("block", *columns).groupBy("block").cogroup(told.groupBy("block"))
+                    .applyInArrow(next_asked, question))
+        back = sent.groupBy("n", "part").applyInArrow(added_up, "block bigint, n int, part int, numbers binary, fresh bigint")
+        with without_shuffle_files(spark):
+            back = stored(back, "answers")
+        told = back if told is None else told.unionByName(back)
+    words = told.filter("n = 1").agg(F.sum("fresh")).first()[0] or 0
+    unit = tokens + 0.5 * (words + 1)
+
+    def scored(row: pa.Table, answers: pa.Table) -> pa.Table:
+        block = Block(row.select(columns).to_pylist()[0], told_by(answers), order)
+        items = row.column("items").combine_chunks().flatten()
+        known, base, score = block.scores(discount, unit)
+        return pa.table([*items.flatten(), pa.array(block.lengths), pa.array(known), pa.array(np.full(len(known), tokens)),
+                         pa.array(base), pa.array(score)],
+                        names=["doc_id", *carry, "n_tokens", "n_known", "train_tokens", "base_score", "score"])
+
+    kinds = "".join(f"{f.name} {f.dataType.simpleString()}, " for f in fields)
+    return blocks.select("block", "items", *columns).groupBy("block").cogroup(told.groupBy("block")).applyInArrow(
+        scored, kinds + "n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double")

@@ -4,6 +4,7 @@ import base64
 import math
 import random
 import zlib
+from pathlib import Path
 
 import numpy as np
 import public_tokenizers
@@ -14,6 +15,7 @@ from tokenizers import Tokenizer
 from deskloom.llm import (components, decontaminate, gru, langid, lm, mixing, neardup, pii, quality, substrings, tokenids,
                           toxicity)
 from deskloom.llm.queries import ORACLE, QUERIES, vocabulary
+from deskloom.session import recorded_tables
 from tests.llm import brute
 
 FOLDER = "/root/testdata/sf0.001"
@@ -414,6 +416,44 @@ def test_language_model_rare_state(spark):
     assert rows[2]["score"] - rows[2]["base_score"] > 2 and rows[4]["score"] < rows[4]["base_score"] + 0.1
 
 
+@pytest.mark.parametrize("order, block", [(3, 1 << 20), (3, 300), (2, 5_000), (1, 5_000), (4, 5_000)])
+def test_language_model_learned_in_the_same_table(documents, monkeypatch, order, block):
+    """Blocks that ask for counts give the scores of the model that is learned from a table of its own."""
+    monkeypatch.setattr(lm, "BLOCK", block)
+    docs = documents.withColumn("held", F.col("doc_id") % 5 == 1)
+    rules = lm.LmRules(order=order)
+    want = {r["doc_id"]: r for r in lm.whole_scores(docs, lm.fit_whole(docs.filter("NOT held"), rules=rules), carry=("held",)).collect()}
+    found = lm.learned_scores(docs, ~F.col("held"), carry=("held",), rules=rules)
+    rows = found.collect()
+    assert len(rows) == len(want) and found.columns == ["doc_id", "held", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
+    for r in rows:
+        w = want[r["doc_id"]]
+        assert (r["held"], r["n_tokens"], r["n_known"], r["train_tokens"]) == (w["held"], w["n_tokens"], w["n_known"], w["train_tokens"])
+        assert r["base_score"] == pytest.approx(w["base_score"], rel=1e-9) and r["score"] == pytest.approx(w["score"], rel=1e-9)
+
+
+def test_language_model_learned_awkward(awkward, empty):
+    rows = lm.learned_scores(awkward, F.lit(True)).collect()
+    want = {r["doc_id"]: r["score"] for r in lm.whole_scores(awkward, lm.fit_whole(awkward)).collect()}
+    assert len(rows) == len(AWKWARD) and all(r["score"] == pytest.approx(want[r["doc_id"]]) for r in rows)
+    rows = lm.learned_scores(awkward, F.lit(None).cast("boolean")).collect()
+    assert len(rows) == len(AWKWARD)
+    assert all(r["n_known"] == 0 and r["train_tokens"] == 0 and r["base_score"] == 0 for r in rows)
+    assert lm.learned_scores(empty, F.lit(True)).count() == 0
+    twice = awkward.unionByName(awkward).withColumn("doc_id", F.lit(None).cast("long"))
+    assert lm.learned_scores(twice, F.lit(True)).count() == 2 * len(AWKWARD)
+
+
+def test_language_model_disk(spark, tmp_path):
+    """What the query stores is less than its texts: n-grams do not travel with the rows they came from."""
+    texts = [prose(700, seed, 5_000) for seed in range(300)]
+    table(spark, [(i, t, "en", "a") for i, t in enumerate(texts)]).write.parquet(str(tmp_path / "documents.parquet"))
+    with recorded_tables() as paths:
+        assert QUERIES["op6_backoff_automaton"](spark, str(tmp_path)).count() == len(texts)
+    files = [f for path in paths for f in Path(path.removeprefix("file:")).rglob("*.parquet")]
+    assert files and sum(f.stat().st_size for f in files) < sum(map(len, texts))
+
+
 def test_language_model_whole_awkward(awkward, empty):
     rows = lm.whole_scores(awkward, lm.fit_whole(awkward)).collect()
     assert len(rows) == len(AWKWARD)
