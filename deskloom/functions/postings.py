@@ -1,7 +1,7 @@
 """Posting lists of blocks of documents, and the search of such blocks: Arrow batches in, Arrow batches out.
 
-A block holds some documents and, for every term in them, its list: places in the block and counts, heaviest first. The idf
-of a term is the same for its whole list, so lists are ordered without it; a search brings it along with its own weights.
+A block holds some documents and, for every term in them, its list: places in the block and counts. The idf of a term is the
+same for its whole list, so the weights in a list are compared without it; a search brings it along with its own weights.
 """
 
 from __future__ import annotations
@@ -21,8 +21,6 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 BLOCK_BYTES = 16 << 20  # of counted terms in a block, about
 PAIRS = 1 << 20         # (query, posting) pairs that are added up at once, about
 
-BLOCK = "ids array<{kind}>, lengths array<double>, terms array<string>, sizes array<int>, places array<int>, tfs array<int>, repeats array<int>"
-
 
 @dataclass(frozen=True)
 class Asked:
@@ -72,33 +70,9 @@ def weights(tfs: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return (1 + np.log(tfs.astype(float))) / lengths
 
 
-def blocks_of(docs: int):
-    """Batches (id, terms, tfs, length) to blocks of at most ``docs`` documents, ordered by id."""
-
-    def build(batches):
-        for part in pieces(batches, docs):
-            part = part.take(pc.sort_indices(part.column(0), null_placement="at_start"))
-            ids, terms, tfs, length = (whole(c) for c in part.columns)
-            encoded = terms.flatten().dictionary_encode()
-            if not len(encoded):
-                continue
-            rising = pc.sort_indices(encoded.dictionary)  # neighbours that look alike compress well
-            rank = np.empty(len(rising), np.int64)
-            rank[rising.to_numpy()] = np.arange(len(rising))
-            code, tfs = rank[encoded.indices.to_numpy()], tfs.flatten().to_numpy()
-            place = np.repeat(np.arange(len(ids)), pc.list_value_length(terms).to_numpy())
-            order = np.lexsort((place, -weights(tfs, length.to_numpy()[place]), code))
-            repeats = np.unique(code * len(ids) + place, return_counts=True)[1].max()  # of a document in a list: rows of one id
-            columns = [ids, length, encoded.dictionary.take(rising), pa.array(np.bincount(code), pa.int32()),
-                       pa.array(place[order], pa.int32()), pa.array(tfs[order], pa.int32()), pa.array([repeats], pa.int32())]
-            yield pa.RecordBatch.from_arrays([list_of(c) for c in columns],
-                                             names=["ids", "lengths", "terms", "sizes", "places", "tfs", "repeats"])
-
-    return build
-
-
 def best_in(asked, pool: int, digits: int):
-    """Blocks to (query, doc, score): all that can be among the ``pool`` best documents of a query, ties by doc.
+    """Blocks (ids, lengths, terms, sizes, places, tfs, repeats) to (query, doc, score): all that can be among the ``pool`` best
+    documents of a query, ties by doc.
 
     What the heaviest postings of a block add up to bounds its scores. A query opens a block only if that bound reaches the
     score that ``pool`` documents of earlier blocks have; scores are compared after rounding to ``digits``.
@@ -121,7 +95,8 @@ def best_in(asked, pool: int, digits: int):
                 count = known.ends[at[hit] + 1] - known.ends[at[hit]]
                 entry, of = ranges(known.ends[at[hit]], count), np.repeat(hit, count)
                 query, gain = known.queries[entry], known.gains[entry]
-                bound = np.bincount(query, gain * weight[starts[of]], minlength=n) * batch.column(6)[row].values[0].as_py()
+                heaviest = np.maximum.reduceat(weight, starts)
+                bound = np.bincount(query, gain * heaviest[of], minlength=n) * batch.column(6)[row].as_py()
                 able = np.flatnonzero((bound > 0) & (bound >= floor - 2 * slack))
                 if not len(able):
                     continue
@@ -158,7 +133,7 @@ def best_in(asked, pool: int, digits: int):
     return search
 
 
-# ---- blocks whose lengths are kept apart ----
+# ---- blocks, and the lengths of their documents, which are kept apart ----
 
 TERM_BLOCK = ("block bigint, ids array<{kind}>, terms array<string>, dfs array<bigint>, sizes array<int>, places array<int>, tfs array<int>, "
               "repeats int")

@@ -210,6 +210,29 @@ def lists_per_id(counts: DataFrame, repeated: DataFrame) -> DataFrame:
     return plain.unionByName(merged)
 
 
+def weighed_blocks(vectors: DataFrame, n_docs: int, docs: int, part_terms: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The blocks of (id, terms, tfs, copies), the frequencies of their terms, and the lengths of their documents."""
+    spark = vectors.sparkSession
+    schema = TERM_BLOCK.format(kind=dict(vectors.dtypes)["id"])
+    with row_batches(spark, BATCH_DOCS):
+        blocks = stored(vectors.select("id", "terms", "tfs", "copies").mapInArrow(term_blocks(docs), schema), "blocks", "zstd")
+    with row_batches(spark, BATCH_BLOCKS):
+        entries = blocks.agg(F.sum(F.size("sizes"))).first()[0] or 0
+        parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-entries // part_terms))
+        runs = blocks.select("block", "terms", "dfs").mapInArrow(term_runs(parts), "part int, block bigint, terms binary, dfs binary")
+        frequencies = stored(runs.groupBy("part").applyInArrow(summed_runs, FREQUENCIES), "frequencies", "zstd")
+        dealt = blocks.select("block", F.size("ids").alias("n"), "terms", "sizes", "places", "tfs").mapInArrow(
+            dealt_postings(parts), "block bigint, n int, sizes binary, places binary, tfs binary")
+        back = frequencies.filter("block IS NOT NULL").select("block", "part", "dfs")
+        lengths = dealt.groupBy("block").cogroup(back.groupBy("block")).applyInArrow(block_lengths(n_docs), LENGTHS)
+        return blocks, frequencies, stored(lengths, "lengths")
+
+
+def known_terms(frequencies: DataFrame) -> DataFrame:
+    """(term, df) from the frequencies of blocks."""
+    return frequencies.filter("block IS NULL").select(F.inline(F.arrays_zip("terms", "df"))).toDF("term", "df")
+
+
 @dataclass
 class TfidfIndex:
     """Stored search tables, built once and searched by many message batches.
@@ -246,31 +269,12 @@ class TfidfIndex:
         else:
             vectors = lists_per_id(stored(counts, "counts", "zstd"), repeated)
         n_docs = keys.count()
-        blocks, frequencies, lengths = cls._weighed(vectors, n_docs)
-        terms = frequencies.filter("block IS NULL").select(F.inline(F.arrays_zip("terms", "df"))).toDF("term", "df")
-        model = TfidfModel(terms.select("term", "df", smooth_idf(F.lit(n_docs), F.col("df")).alias("idf")), config, heavy_rows)
+        blocks, frequencies, lengths = weighed_blocks(vectors, n_docs, BLOCK_DOCS, PART_TERMS)
+        model = TfidfModel(known_terms(frequencies).select("term", "df", smooth_idf(F.lit(n_docs), F.col("df")).alias("idf")), config, heavy_rows)
         lowest = top_n_per_group(keys, ["key"], [F.col("id")], keep, spread="id")
         members = lowest.select(F.min("id").over(Window.partitionBy("key")).alias("id"), F.col("id").alias("copy"))
         return cls(model, blocks, lengths, stored(members, "members"), keep)
 
-    @staticmethod
-    def _weighed(vectors: DataFrame, n_docs: int) -> tuple[DataFrame, DataFrame, DataFrame]:
-        """The blocks of (id, terms, tfs, copies), the frequencies of their terms, and the lengths of their documents."""
-        spark = vectors.sparkSession
-        schema = TERM_BLOCK.format(kind=dict(vectors.dtypes)["id"])
-        with row_batches(spark, BATCH_DOCS):
-            blocks = stored(vectors.select("id", "terms", "tfs", "copies").mapInArrow(term_blocks(BLOCK_DOCS), schema), "blocks", "zstd")
-        with row_batches(spark, BATCH_BLOCKS):
-            entries = blocks.agg(F.sum(F.size("sizes"))).first()[0] or 0
-            parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-entries // PART_TERMS))
-            runs = blocks.select("block", "terms", "dfs").mapInArrow(term_runs(parts), "part int, block bigint, terms binary, dfs binary")
-            frequencies = stored(runs.groupBy("part").applyInArrow(summed_runs, FREQUENCIES), "frequencies", "zstd")
-            dealt = blocks.select("block", F.size("ids").alias("n"), "terms", "sizes", "places", "tfs").mapInArrow(
-                dealt_postings(parts), "block bigint, n int, sizes binary, places binary, tfs binary")
-            back = frequencies.filter("block IS NOT NULL").select("block", "part", "dfs")
-            lengths = dealt.groupBy("block").cogroup(back.groupBy("block")).applyInArrow(block_lengths(n_docs), LENGTHS)
-            return blocks, frequencies, stored(lengths, "lengths")
-
     def save(self, path: str) -> None:
         with row_batches(self.blocks.sparkSession, BATCH_BLOCKS):
             self.model.terms.write.parquet(f"{path}/terms", compression="zstd")
